@@ -1 +1,336 @@
 """Registered feature queries: text, image and vector features (with oracles)."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkloom.operators import combine
+from sparkloom.plans.registry import register, table
+
+# ---------------------------------------------------------------- vectors
+# Fixed fixture rule: in `embeddings`, even vec_id rows are the text side and
+# odd ones the image side; both halves of a pair share id = vec_id div 2.
+
+_DUCK_SIDES = """t AS (SELECT vec_id // 2 AS pair_id, embedding AS v FROM embeddings WHERE vec_id % 2 = 0),
+i AS (SELECT vec_id // 2 AS pair_id, embedding AS v FROM embeddings WHERE vec_id % 2 = 1)"""
+
+
+def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    e = table(spark, sf, "embeddings")
+    side = F.col("vec_id") % 2
+    t = e.filter(side == 0).select((F.col("vec_id") / 2).cast("bigint").alias("pair_id"), F.col("embedding").alias("vector"))
+    i = e.filter(side == 1).select((F.col("vec_id") / 2).cast("bigint").alias("pair_id"), F.col("embedding").alias("vector"))
+    return t, i
+
+
+@register(
+    "pair_features",
+    f"""WITH {_DUCK_SIDES}
+SELECT pair_id, len(t.v) AS text_dim, len(i.v) AS image_dim FROM t JOIN i USING (pair_id)""",
+)
+def q_pair_features(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = _sides(spark, sf)
+    p = combine.pair_features(t, i, "pair_id")
+    return p.select("pair_id", F.size("text_vec").alias("text_dim"), F.size("image_vec").alias("image_dim"))
+
+
+@register(
+    "pairing_report",
+    f"""WITH {_DUCK_SIDES}, tk AS (SELECT pair_id, count(*) AS nt FROM t GROUP BY pair_id),
+ik AS (SELECT pair_id, count(*) AS ni FROM i GROUP BY pair_id),
+j AS (SELECT tk.nt, ik.ni FROM tk FULL OUTER JOIN ik ON tk.pair_id = ik.pair_id)
+SELECT count_if(ni IS NULL) AS text_only, count_if(nt IS NULL) AS image_only,
+       count_if(coalesce(nt, 0) > 1 OR coalesce(ni, 0) > 1) AS duplicated FROM j""",
+)
+def q_pairing_report(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = _sides(spark, sf)
+    return combine.pairing_report(t, i, "pair_id")
+
+
+@register(
+    "combine_concat",
+    f"""WITH {_DUCK_SIDES}, c AS (SELECT pair_id, list_concat(t.v::DOUBLE[], i.v::DOUBLE[]) AS v FROM t JOIN i USING (pair_id))
+SELECT pair_id, generate_subscripts(v, 1) - 1 AS dim, round(unnest(v), 6) AS value FROM c""",
+)
+def q_combine_concat(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = _sides(spark, sf)
+    return combine.long_form(combine.combine_concat(combine.pair_features(t, i, "pair_id")), "pair_id", "combined", 6)
+
+
+@register(
+    "combine_weighted",
+    f"""WITH {_DUCK_SIDES},
+p AS (SELECT pair_id, t.v::DOUBLE[] AS tv, i.v::DOUBLE[] AS iv FROM t JOIN i USING (pair_id)),
+n AS (SELECT pair_id, tv, iv, sqrt(list_sum(list_transform(tv, lambda x: x * x))) AS nt,
+             sqrt(list_sum(list_transform(iv, lambda x: x * x))) AS ni FROM p),
+l AS (SELECT pair_id, nt, ni, unnest(tv) AS a, unnest(iv) AS b, generate_subscripts(tv, 1) - 1 AS dim FROM n)
+SELECT pair_id, dim, round(0.7 * CASE WHEN nt > 0 THEN a / nt ELSE 0 END + 0.3 * CASE WHEN ni > 0 THEN b / ni ELSE 0 END, 6) AS value
+FROM l""",
+)
+def q_combine_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = _sides(spark, sf)
+    w = combine.combine_weighted(combine.pair_features(t, i, "pair_id"), 0.7, 0.3)
+    return combine.long_form(w, "pair_id", "combined", 6)
+
+
+_DUCK_ATTENTION = f"""WITH {_DUCK_SIDES},
+s AS (SELECT t.pair_id AS tid, i.pair_id AS iid, list_dot_product(t.v::DOUBLE[], i.v::DOUBLE[]) AS sc FROM t, i),
+p AS (SELECT tid, iid, exp(sc - max(sc) OVER (PARTITION BY tid)) AS e FROM s),
+z AS (SELECT tid, iid, e / sum(e) OVER (PARTITION BY tid) AS w FROM p),
+ie AS (SELECT pair_id AS iid, generate_subscripts(v, 1) - 1 AS dim, unnest(v)::DOUBLE AS x FROM i)
+SELECT tid AS pair_id, dim, round(sum(w * x), 5) + 0.0 AS value FROM z JOIN ie USING (iid) GROUP BY tid, dim"""
+
+
+@register("cross_attention", _DUCK_ATTENTION)
+def q_cross_attention(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = _sides(spark, sf)
+    out = combine.cross_attention(t, i, "pair_id", "pair_id")
+    return combine.long_form(out, "pair_id", "combined", 5)
+
+
+@register("cross_attention_blocked", _DUCK_ATTENTION)
+def q_cross_attention_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    # small blocks force the multi-block path and its exact log-sum-exp merge
+    t, i = _sides(spark, sf)
+    out = combine.cross_attention(t, i, "pair_id", "pair_id", block_rows=64)
+    return combine.long_form(out, "pair_id", "combined", 5)
+
+
+@register(
+    "feature_summary_vectors",
+    f"""WITH {_DUCK_SIDES}, c AS (SELECT t.pair_id FROM t JOIN i USING (pair_id))
+SELECT 'text' AS side, count(*) AS n_rows, max(len(v)) AS dim, 'CONCAT' AS method FROM t
+UNION ALL SELECT 'image', count(*), max(len(v)), 'CONCAT' FROM i
+UNION ALL SELECT 'combined', (SELECT count(*) FROM c), (SELECT max(len(v)) FROM t) + (SELECT max(len(v)) FROM i), 'CONCAT'""",
+)
+def q_feature_summary_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    t, i = _sides(spark, sf)
+    c = combine.combine_concat(combine.pair_features(t, i, "pair_id"))
+    return combine.vector_summary(t, i, c, "CONCAT")
+
+
+# ---------------------------------------------------------------- text
+from sparkloom.functions import inference  # noqa: E402
+from sparkloom.functions.text import entities, sentiment, topics, vectors  # noqa: E402
+from sparkloom.functions.text.entities import ENTITY_RULES  # noqa: E402
+
+_DUCK_TOKENS = r"lower(unnest(regexp_extract_all(coalesce(text, ''), '\p{L}+')))"
+
+
+@register(
+    "text_topic_preprocess",
+    f"""SELECT doc_id, term, count(*) AS count FROM (SELECT doc_id, {_DUCK_TOKENS} AS term FROM documents)
+WHERE length(term) BETWEEN 2 AND 15 GROUP BY doc_id, term""",
+)
+def q_text_topic_preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    return topics.bag_of_words(table(spark, sf, "documents"), "doc_id", "text")
+
+
+@register(
+    "text_vectors_hashing",
+    f"""WITH t AS (SELECT doc_id, {_DUCK_TOKENS} AS term FROM documents),
+b AS (SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 256 AS bucket, count(*)::DOUBLE AS tf FROM t GROUP BY 1, 2),
+n AS (SELECT count(*) AS n FROM documents),
+f AS (SELECT bucket, count(*) AS df FROM b GROUP BY 1),
+w AS (SELECT doc_id, bucket, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM b JOIN f USING (bucket), n),
+z AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY 1)
+SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, round(w / norm, 6) AS value FROM w JOIN z USING (doc_id)""",
+)
+def q_text_vectors_hashing(spark: SparkSession, sf: str) -> DataFrame:
+    out = vectors.hashed_tfidf(table(spark, sf, "documents"), "doc_id", "text", 256)
+    return out.withColumn("value", F.round("value", 6))
+
+
+# Test lexicon over invented tokens that occur in `documents`
+# (token, polarity, subjectivity), and the negator tokens.
+SENTIMENT_LEXICON = [
+    ("hehely", 0.8, 0.9),
+    ("orantion", 0.5, 0.6),
+    ("ononst", 0.3, 0.4),
+    ("thatin", 0.6, 0.7),
+    ("rewh", -0.7, 0.8),
+    ("orre", -0.4, 0.5),
+    ("inoran", -0.9, 1.0),
+    ("ble", -0.2, 0.3),
+]
+SENTIMENT_NEGATORS = ["th", "nd"]
+
+
+def _lexicon(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    lex = spark.createDataFrame(SENTIMENT_LEXICON, "token string, polarity double, subjectivity double")
+    neg = spark.createDataFrame([(t,) for t in SENTIMENT_NEGATORS], "token string")
+    return lex, neg
+
+
+def _duck_values(rows, cols: str) -> str:
+    def lit(v):
+        return f"'{v}'" if isinstance(v, str) else repr(v)
+
+    body = ", ".join("(" + ", ".join(lit(v) for v in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows)
+    return f"(VALUES {body}) AS v({cols})"
+
+
+_DUCK_SENTIMENT = f"""WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '\\p{{L}}+'), lambda x: lower(x)) AS toks
+           FROM documents WHERE lang = 'en'),
+t AS (SELECT doc_id, unnest(toks) AS token, unnest(list_concat([NULL], toks[1:len(toks) - 1])) AS prev FROM d),
+lex AS (SELECT * FROM {_duck_values(SENTIMENT_LEXICON, "token, polarity, subjectivity")}),
+neg AS (SELECT * FROM {_duck_values(SENTIMENT_NEGATORS, "ntoken")}),
+h AS (SELECT t.doc_id, CASE WHEN neg.ntoken IS NOT NULL THEN lex.polarity * -0.5 ELSE lex.polarity END AS pol,
+             lex.subjectivity AS subj
+      FROM t JOIN lex ON t.token = lex.token LEFT JOIN neg ON t.prev = neg.ntoken),
+a AS (SELECT doc_id, avg(pol) AS polarity, avg(subj) AS subjectivity, count(*) AS n_hits FROM h GROUP BY doc_id)
+SELECT d.doc_id, round(coalesce(a.polarity, 0.0), 6) AS polarity, round(coalesce(a.subjectivity, 0.0), 6) AS subjectivity,
+       coalesce(a.n_hits, 0) AS n_hits
+FROM d LEFT JOIN a USING (doc_id)"""
+
+
+def _sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    lex, neg = _lexicon(spark)
+    return sentiment.sentiment(docs, "doc_id", "text", lex, neg)
+
+
+@register("text_sentiment", _DUCK_SENTIMENT)
+def q_text_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    s = _sentiment_scores(spark, sf)
+    return s.select("doc_id", F.round("polarity", 6).alias("polarity"), F.round("subjectivity", 6).alias("subjectivity"), "n_hits")
+
+
+@register(
+    "prompt_sentiment",
+    f"""WITH s AS ({_DUCK_SENTIMENT})
+SELECT CASE WHEN avg(polarity) > 0.3 THEN 'Maintain a positive and uplifting tone'
+            WHEN avg(polarity) < -0.3 THEN 'Consider a more serious or dramatic tone' END AS suggestion
+FROM s HAVING suggestion IS NOT NULL""",
+)
+def q_prompt_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    return sentiment.sentiment_prompt(_sentiment_scores(spark, sf))
+
+
+@register(
+    "prompt_sentiment_mean",
+    f"""WITH s AS ({_DUCK_SENTIMENT}) SELECT round(avg(polarity), 6) AS mean_polarity, count(*) AS num_texts FROM s""",
+)
+def q_prompt_sentiment_mean(spark: SparkSession, sf: str) -> DataFrame:
+    s = _sentiment_scores(spark, sf)
+    return s.agg(F.round(F.avg("polarity"), 6).alias("mean_polarity"), F.count(F.lit(1)).alias("num_texts"))
+
+
+def _duck_matches(source: str, id_col: str, text_col: str, rules) -> str:
+    parts = []
+    for prio, (label, pattern) in enumerate(rules):
+        pat = pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT {id_col} AS id, {prio} AS priority, '{label}' AS label, match, idx,
+       sum(length(gap) + length(match)) OVER (PARTITION BY {id_col} ORDER BY idx) AS end_pos
+FROM (SELECT {id_col}, unnest(ms) AS match, unnest(gs[1:len(ms)]) AS gap, generate_subscripts(ms, 1) AS idx
+      FROM (SELECT {id_col}, regexp_extract_all(coalesce({text_col}, ''), '{pat}') AS ms,
+                   regexp_split_to_array(coalesce({text_col}, ''), '{pat}') AS gs FROM {source}))"""
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _duck_resolve(matches_sql: str, n_levels: int) -> str:
+    cols, conds = [], []
+    for p in range(1, n_levels):
+        cols.append(
+            f"max(CASE WHEN priority < {p} THEN end_pos END) OVER (PARTITION BY id ORDER BY start_pos "
+            f"RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e{p}"
+        )
+        cols.append(
+            f"min(CASE WHEN priority < {p} THEN start_pos END) OVER (PARTITION BY id ORDER BY start_pos "
+            f"RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS s{p}"
+        )
+        conds.append(f"(priority = {p} AND (coalesce(e{p}, -1) > start_pos OR coalesce(s{p}, 1073741824) < end_pos))")
+    return f"""WITH m AS (SELECT id, priority, label, match, end_pos - length(match) AS start_pos, end_pos
+           FROM ({matches_sql}) WHERE length(match) > 0),
+w AS (SELECT *, {', '.join(cols)} FROM m)
+SELECT id, start_pos, end_pos, label, match AS text FROM w WHERE NOT ({' OR '.join(conds)})"""
+
+
+@register(
+    "text_entities",
+    _duck_resolve(_duck_matches("documents", "doc_id", "text", ENTITY_RULES), len(ENTITY_RULES)).replace(
+        "SELECT id, start_pos", "SELECT id AS doc_id, start_pos", 1
+    ),
+)
+def q_text_entities(spark: SparkSession, sf: str) -> DataFrame:
+    e = entities.extract_entities(table(spark, sf, "documents"), "doc_id", "text")
+    return e.select("doc_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "label", "text")
+
+
+@register(
+    "text_entities_urls",
+    _duck_resolve(_duck_matches("pages", "page_id", "url", ENTITY_RULES), len(ENTITY_RULES)).replace(
+        "SELECT id, start_pos", "SELECT id AS page_id, start_pos", 1
+    ),
+)
+def q_text_entities_urls(spark: SparkSession, sf: str) -> DataFrame:
+    e = entities.extract_entities(table(spark, sf, "pages"), "page_id", "url")
+    return e.select("page_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "label", "text")
+
+
+def _gazetteer(spark: SparkSession, sf: str) -> DataFrame:
+    r = table(spark, sf, "region").select(F.col("r_name").alias("token"))
+    n = table(spark, sf, "nation").select(F.col("n_name").alias("token"))
+    return r.unionByName(n).withColumn("label", F.lit("GPE"))
+
+
+_GAZ_RULES = ENTITY_RULES + (("GPE_TOKEN", r"\p{L}+"),)
+_DUCK_GAZ_MATCHES = _duck_matches("pages", "page_id", "html", _GAZ_RULES)
+_DUCK_GAZ = (
+    _duck_resolve(
+        f"""SELECT id, priority, label, match, idx, end_pos FROM ({_DUCK_GAZ_MATCHES}) WHERE priority < {len(ENTITY_RULES)}
+UNION ALL
+SELECT g.id, g.priority, 'GPE' AS label, g.match, g.idx, g.end_pos FROM ({_DUCK_GAZ_MATCHES}) g
+JOIN (SELECT DISTINCT lower(r_name) AS tok FROM region UNION SELECT DISTINCT lower(n_name) FROM nation) z
+  ON lower(g.match) = z.tok WHERE g.priority = {len(ENTITY_RULES)}""",
+        len(_GAZ_RULES),
+    ).replace("SELECT id, start_pos", "SELECT id AS page_id, start_pos", 1)
+)
+
+
+@register("text_entities_gazetteer", _DUCK_GAZ)
+def q_text_entities_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
+    e = entities.extract_entities(table(spark, sf, "pages"), "page_id", "html", gazetteer=_gazetteer(spark, sf))
+    return e.select("page_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "label", "text")
+
+
+@register(
+    "prompt_entities",
+    "SELECT DISTINCT 'Include ' || lower(label) || ' elements in the generation' AS suggestion FROM ("
+    + _duck_resolve(_duck_matches("documents", "doc_id", "text", ENTITY_RULES), len(ENTITY_RULES))
+    + ")",
+)
+def q_prompt_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return entities.entity_prompts(entities.extract_entities(table(spark, sf, "documents"), "doc_id", "text"))
+
+
+@register(
+    "batch_model_inference",
+    """SELECT doc_id, CAST(length(coalesce(text, '')) AS DOUBLE) AS length_feature,
+       CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), ' ', '')) AS DOUBLE) AS blanks_feature
+FROM documents""",
+)
+def q_batch_model_inference(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = inference.batch_model_inference(docs, "text", inference.text_stats_model, "vector", batch_size=32)
+    return out.select("doc_id", F.col("vector")[0].cast("double").alias("length_feature"),
+                      F.col("vector")[1].cast("double").alias("blanks_feature"))
+
+
+@register("custom_extractor", "SELECT item_id, CAST(length(coalesce(text, '')) AS BIGINT) AS text_length FROM benchmark")
+def q_custom_extractor(spark: SparkSession, sf: str) -> DataFrame:
+    b = table(spark, sf, "benchmark")
+    return inference.apply_extractor(b, "TEXT_LENGTH", "text", "text_length").select("item_id", "text_length")
+
+
+@register("text_topics", None)
+def q_text_topics(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    return topics.describe_topics(docs, "doc_id", "text", k=5, terms=10, seed=7, max_iter=10)
+
+
+@register("prompt_topics", None)
+def q_prompt_topics(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    return topics.topic_prompts(topics.describe_topics(docs, "doc_id", "text", k=5, terms=10, seed=7, max_iter=10))
