@@ -334,3 +334,256 @@ def q_text_topics(spark: SparkSession, sf: str) -> DataFrame:
 def q_prompt_topics(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
     return topics.topic_prompts(topics.describe_topics(docs, "doc_id", "text", k=5, terms=10, seed=7, max_iter=10))
+
+
+# ---------------------------------------------------------------- images
+# Every part row is one synthetic raster image (fixture formula in pixels.synthetic_raster).
+from sparkloom.functions.image import analysis, assemble, palette  # noqa: E402
+from sparkloom.functions.image.pixels import DUCK_GRAY, duck_raster, synthetic_raster  # noqa: E402
+
+_IMG = f"""p AS {duck_raster("SELECT p_partkey AS image_id FROM part")},
+g AS (SELECT *, {DUCK_GRAY} AS gray FROM p),
+dims AS (SELECT image_id, max(x) + 1 AS width, max(y) + 1 AS height,
+                (max(x) + 1) / (max(y) + 1) AS aspect_ratio,
+                CASE WHEN max(x) > max(y) THEN 'landscape' ELSE 'portrait' END AS orientation FROM p GROUP BY image_id),
+sty AS (SELECT image_id, sum(r + g + b) / (count(*) * 3.0) AS brightness,
+               sqrt(greatest(sum(r * r + g * g + b * b) / (count(*) * 3.0) - pow(sum(r + g + b) / (count(*) * 3.0), 2), 0)) AS pixel_std,
+               avg(sqrt(greatest((r * r + g * g + b * b) / 3.0 - pow((r + g + b) / 3.0, 2), 0))) AS saturation,
+               var_pop(r) AS var_r, var_pop(g) AS var_g, var_pop(b) AS var_b FROM p GROUP BY image_id),
+pairs AS (SELECT * FROM (SELECT image_id, y, x, gray AS a, lead(gray) OVER (PARTITION BY image_id, y ORDER BY x) AS b FROM g)
+          WHERE b IS NOT NULL),
+cells AS (SELECT image_id, i, j, count(*) AS c FROM (SELECT image_id, a AS i, b AS j FROM pairs UNION ALL
+                                                     SELECT image_id, b, a FROM pairs) GROUP BY ALL),
+tex AS (SELECT s.image_id, s.tc AS texture_contrast, sqrt(e.sc) / (2.0 * s.n) AS energy, s.hom AS homogeneity
+        FROM (SELECT image_id, count(*) AS n, avg((a - b) * (a - b)) AS tc, avg(1.0 / (1 + (a - b) * (a - b))) AS hom
+              FROM pairs GROUP BY image_id) s
+        JOIN (SELECT image_id, sum(c * c) AS sc FROM cells GROUP BY image_id) e USING (image_id)),
+hp AS (SELECT image_id, x, y,
+              coalesce(lead(gray) OVER wr, gray) - coalesce(lag(gray) OVER wr, gray) AS dx,
+              coalesce(lag(gray) OVER wr, gray) + 2 * gray + coalesce(lead(gray) OVER wr, gray) AS sx
+       FROM g WINDOW wr AS (PARTITION BY image_id, y ORDER BY x)),
+edges AS (SELECT image_id, avg(sqrt(pow(coalesce(lag(dx) OVER wc, dx) + 2 * dx + coalesce(lead(dx) OVER wc, dx), 2)
+                               + pow(coalesce(lead(sx) OVER wc, sx) - coalesce(lag(sx) OVER wc, sx), 2))) AS edge_density
+          FROM hp WINDOW wc AS (PARTITION BY image_id, x ORDER BY y) GROUP BY image_id),
+focal AS (SELECT f.image_id, f.x / d.width AS focal_x, f.y / d.height AS focal_y
+          FROM (SELECT image_id, x, y, row_number() OVER (PARTITION BY image_id ORDER BY gray DESC, y, x) AS rn FROM g) f
+          JOIN dims d USING (image_id) WHERE rn = 1),
+aes AS (SELECT a.image_id, a.aesthetic_score, a.sharpness, coalesce(c.complexity, 0.0) AS complexity
+        FROM (SELECT image_id, avg((r + g + b) / 3.0) / 255.0 AS aesthetic_score, stddev_pop(gray) AS sharpness FROM g GROUP BY image_id) a
+        LEFT JOIN (SELECT image_id, avg(abs(b - a)) AS complexity FROM pairs GROUP BY image_id) c USING (image_id))"""
+
+
+def _duck_edges_fix(sql: str) -> str:
+    # DuckDB cannot nest a window inside an aggregate; compute magnitudes first
+    return sql.replace(
+        """edges AS (SELECT image_id, avg(sqrt(pow(coalesce(lag(dx) OVER wc, dx) + 2 * dx + coalesce(lead(dx) OVER wc, dx), 2)
+                               + pow(coalesce(lead(sx) OVER wc, sx) - coalesce(lag(sx) OVER wc, sx), 2))) AS edge_density
+          FROM hp WINDOW wc AS (PARTITION BY image_id, x ORDER BY y) GROUP BY image_id)""",
+        """mags AS (SELECT image_id, sqrt(pow(coalesce(lag(dx) OVER wc, dx) + 2 * dx + coalesce(lead(dx) OVER wc, dx), 2)
+                              + pow(coalesce(lead(sx) OVER wc, sx) - coalesce(lag(sx) OVER wc, sx), 2)) AS mag
+          FROM hp WINDOW wc AS (PARTITION BY image_id, x ORDER BY y)),
+edges AS (SELECT image_id, avg(mag) AS edge_density FROM mags GROUP BY image_id)""",
+    )
+
+
+_IMG = _duck_edges_fix(_IMG)
+
+
+def _pixels(spark: SparkSession, sf: str) -> DataFrame:
+    return synthetic_raster(table(spark, sf, "part"), "p_partkey")
+
+
+def _r(c: str, digits: int = 6):
+    return F.round(F.col(c), digits).alias(c)
+
+
+@register("image_pixels", f"WITH {_IMG} SELECT image_id, x, y, r, g, b FROM p")
+def q_image_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    return _pixels(spark, sf)
+
+
+@register(
+    "image_dimensions",
+    f"WITH {_IMG} SELECT image_id, width, height, round(aspect_ratio, 6) AS aspect_ratio, orientation FROM dims",
+)
+def q_image_dimensions(spark: SparkSession, sf: str) -> DataFrame:
+    d = analysis.dimensions(_pixels(spark, sf))
+    return d.select("image_id", "width", "height", _r("aspect_ratio"), "orientation")
+
+
+@register(
+    "image_style",
+    f"""WITH {_IMG} SELECT image_id, round(brightness, 6) AS brightness, round(pixel_std, 6) AS pixel_std,
+round(saturation, 6) AS saturation, round(var_r, 4) AS var_r, round(var_g, 4) AS var_g, round(var_b, 4) AS var_b FROM sty""",
+)
+def q_image_style(spark: SparkSession, sf: str) -> DataFrame:
+    s = analysis.style(_pixels(spark, sf))
+    return s.select("image_id", _r("brightness"), _r("pixel_std"), _r("saturation"), _r("var_r", 4), _r("var_g", 4), _r("var_b", 4))
+
+
+@register(
+    "image_texture",
+    f"""WITH {_IMG} SELECT image_id, round(texture_contrast, 6) AS texture_contrast, round(energy, 6) AS energy,
+round(homogeneity, 6) AS homogeneity FROM tex""",
+)
+def q_image_texture(spark: SparkSession, sf: str) -> DataFrame:
+    t = analysis.texture(_pixels(spark, sf))
+    return t.select("image_id", _r("texture_contrast"), _r("energy"), _r("homogeneity"))
+
+
+@register("image_edge_density", f"WITH {_IMG} SELECT image_id, round(edge_density, 6) AS edge_density FROM edges")
+def q_image_edge_density(spark: SparkSession, sf: str) -> DataFrame:
+    return analysis.edge_density(_pixels(spark, sf)).select("image_id", _r("edge_density"))
+
+
+@register("image_focal_point", f"WITH {_IMG} SELECT image_id, round(focal_x, 6) AS focal_x, round(focal_y, 6) AS focal_y FROM focal")
+def q_image_focal_point(spark: SparkSession, sf: str) -> DataFrame:
+    return analysis.focal_point(_pixels(spark, sf)).select("image_id", _r("focal_x"), _r("focal_y"))
+
+
+@register(
+    "image_aesthetics",
+    f"""WITH {_IMG} SELECT image_id, round(aesthetic_score, 6) AS aesthetic_score, round(sharpness, 6) AS sharpness,
+round(complexity, 6) AS complexity FROM aes""",
+)
+def q_image_aesthetics(spark: SparkSession, sf: str) -> DataFrame:
+    a = analysis.aesthetics(_pixels(spark, sf))
+    return a.select("image_id", _r("aesthetic_score"), _r("sharpness"), _r("complexity"))
+
+
+def _duck_kmeans(k: int = 5, rounds: int = 5) -> str:
+    ctes = [
+        "colors AS (SELECT image_id, r, g, b, count(*) AS cnt FROM p GROUP BY ALL)",
+        """bins AS (SELECT image_id, (r >> 5) * 64 + (g >> 5) * 8 + (b >> 5) AS bin, sum(cnt) AS n,
+                 sum(cnt * r) / sum(cnt) AS cr, sum(cnt * g) / sum(cnt) AS cg, sum(cnt * b) / sum(cnt) AS cb
+          FROM colors GROUP BY ALL)""",
+        f"""c0 AS (SELECT image_id, k, cr, cg, cb FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY n DESC, bin) - 1 AS k
+                                                 FROM bins) WHERE k < {k})""",
+    ]
+
+    def assign_sql(i: int) -> str:
+        return f"""a{i} AS (SELECT image_id, r, g, b, cnt, k FROM (
+              SELECT c.image_id, c.r, c.g, c.b, c.cnt, z.k, row_number() OVER (
+                PARTITION BY c.image_id, c.r, c.g, c.b
+                ORDER BY (c.r - z.cr) * (c.r - z.cr) + (c.g - z.cg) * (c.g - z.cg) + (c.b - z.cb) * (c.b - z.cb), z.k) AS rn
+              FROM colors c JOIN c{i} z USING (image_id)) WHERE rn = 1)"""
+
+    for i in range(rounds):
+        ctes.append(assign_sql(i))
+        ctes.append(
+            f"""c{i + 1} AS (SELECT o.image_id, o.k, coalesce(s.nr, o.cr) AS cr, coalesce(s.ng, o.cg) AS cg, coalesce(s.nb, o.cb) AS cb
+          FROM c{i} o LEFT JOIN (SELECT image_id, k, sum(cnt * r) / sum(cnt) AS nr, sum(cnt * g) / sum(cnt) AS ng,
+                                        sum(cnt * b) / sum(cnt) AS nb FROM a{i} GROUP BY ALL) s USING (image_id, k))"""
+        )
+    ctes.append(assign_sql(rounds))
+    ctes.append(
+        f"""pal AS (SELECT s.image_id, row_number() OVER (PARTITION BY s.image_id ORDER BY s.n DESC, s.k) - 1 AS rank,
+                '#' || printf('%02x', floor(c.cr)::INT) || printf('%02x', floor(c.cg)::INT) || printf('%02x', floor(c.cb)::INT) AS color_hex,
+                s.n / t.total AS weight
+         FROM (SELECT image_id, k, sum(cnt) AS n FROM a{rounds} GROUP BY ALL) s
+         JOIN c{rounds} c USING (image_id, k)
+         JOIN (SELECT image_id, sum(cnt) AS total FROM a{rounds} GROUP BY image_id) t USING (image_id))"""
+    )
+    return ",\n".join(ctes)
+
+
+_PAL = f"WITH {_IMG},\n{_duck_kmeans()}"
+
+
+@register("image_color_palette", f"{_PAL} SELECT image_id, rank, color_hex, round(weight, 6) AS weight FROM pal")
+def q_image_color_palette(spark: SparkSession, sf: str) -> DataFrame:
+    p = palette.color_palette(_pixels(spark, sf))
+    return p.select("image_id", "rank", "color_hex", _r("weight"))
+
+
+@register(
+    "image_color_stats",
+    f"""{_PAL}, div AS (SELECT image_id, sqrt(greatest(sum(weight * rank * rank) - pow(sum(weight * rank), 2), 0)) AS color_diversity
+                      FROM pal GROUP BY image_id)
+SELECT image_id, round(avg(r), 6) AS mean_r, round(avg(g), 6) AS mean_g, round(avg(b), 6) AS mean_b,
+       round(stddev_pop(r), 6) AS std_r, round(stddev_pop(g), 6) AS std_g, round(stddev_pop(b), 6) AS std_b,
+       round(any_value(div.color_diversity), 6) AS color_diversity
+FROM p JOIN div USING (image_id) GROUP BY image_id""",
+)
+def q_image_color_stats(spark: SparkSession, sf: str) -> DataFrame:
+    s = palette.color_stats(_pixels(spark, sf))
+    return s.select("image_id", *[_r(c) for c in ("mean_r", "mean_g", "mean_b", "std_r", "std_g", "std_b", "color_diversity")])
+
+
+_ALL = ("COMPOSITION", "STYLE", "AESTHETICS")
+_VEC = f"""WITH {_IMG}, v AS (
+  SELECT image_id, [aspect_ratio, edge_density, brightness, texture_contrast, saturation, var_r, var_g, var_b,
+                    aesthetic_score, sharpness, complexity]::DOUBLE[] AS vec,
+         [brightness, texture_contrast, saturation, texture_contrast, energy, homogeneity]::DOUBLE[] AS svec
+  FROM dims JOIN edges USING (image_id) JOIN sty USING (image_id) JOIN tex USING (image_id) JOIN aes USING (image_id))"""
+
+
+@register(
+    "visual_feature_vector",
+    f"{_VEC} SELECT image_id, generate_subscripts(vec, 1) - 1 AS dim, round(unnest(vec), 4) AS value FROM v",
+)
+def q_visual_feature_vector(spark: SparkSession, sf: str) -> DataFrame:
+    from sparkloom.operators.combine import long_form
+
+    f = assemble.analyze_images(_pixels(spark, sf), _ALL)
+    return long_form(assemble.visual_feature_vector(f, _ALL), "image_id", "visual_features", 4)
+
+
+@register(
+    "style_vector",
+    f"{_VEC} SELECT image_id, generate_subscripts(svec, 1) - 1 AS dim, round(unnest(svec), 6) AS value FROM v",
+)
+def q_style_vector(spark: SparkSession, sf: str) -> DataFrame:
+    from sparkloom.operators.combine import long_form
+
+    f = assemble.analyze_images(_pixels(spark, sf), ("STYLE",))
+    return long_form(assemble.style_vector(f), "image_id", "style_vector", 6)
+
+
+@register(
+    "suggested_params",
+    f"""WITH {_IMG} SELECT image_id, round(aspect_ratio, 6) AS aspect_ratio, orientation, round(brightness, 6) AS brightness,
+round(texture_contrast, 6) AS contrast, round(saturation, 6) AS saturation, round(aesthetic_score, 6) AS target_score,
+round(sharpness, 6) AS sharpness FROM dims JOIN sty USING (image_id) JOIN tex USING (image_id) JOIN aes USING (image_id)""",
+)
+def q_suggested_params(spark: SparkSession, sf: str) -> DataFrame:
+    f = assemble.analyze_images(_pixels(spark, sf), _ALL)
+    s = assemble.suggested_params(f)
+    return s.select(
+        "image_id", F.round("composition.aspect_ratio", 6).alias("aspect_ratio"), F.col("composition.orientation").alias("orientation"),
+        F.round("style.brightness", 6).alias("brightness"), F.round("style.contrast", 6).alias("contrast"),
+        F.round("style.saturation", 6).alias("saturation"), F.round("quality.target_score", 6).alias("target_score"),
+        F.round("quality.sharpness", 6).alias("sharpness"),
+    )
+
+
+@register(
+    "image_objects",
+    f"""WITH {_IMG} SELECT image_id, 0 AS rank, min(x)::DOUBLE AS x1, min(y)::DOUBLE AS y1, (max(x) + 1)::DOUBLE AS x2,
+(max(y) + 1)::DOUBLE AS y2, 1 AS label, round(count(*) / any_value(n), 6) AS score
+FROM g JOIN (SELECT image_id, count(*) AS n FROM g GROUP BY image_id) USING (image_id) WHERE gray > 200 GROUP BY image_id""",
+)
+def q_image_objects(spark: SparkSession, sf: str) -> DataFrame:
+    o = assemble.detect_objects(_pixels(spark, sf))
+    return o.withColumn("score", F.round("score", 6))
+
+
+@register(
+    "image_default_on_error",
+    f"""WITH {_IMG}, ok AS (SELECT p_partkey AS image_id FROM part WHERE p_size <= 45),
+ids AS (SELECT p_partkey AS image_id FROM part)
+SELECT ids.image_id, coalesce(round(d.aspect_ratio, 6), 1.0) AS aspect_ratio, coalesce(d.orientation, 'unknown') AS orientation,
+       coalesce(round(e.edge_density, 6), 0.0) AS edge_density, coalesce(round(f.focal_x, 6), 0.5) AS focal_x,
+       coalesce(round(s.brightness, 6), 0.0) AS brightness
+FROM ids LEFT JOIN (SELECT * FROM dims WHERE image_id IN (SELECT image_id FROM ok)) d USING (image_id)
+LEFT JOIN (SELECT * FROM edges WHERE image_id IN (SELECT image_id FROM ok)) e USING (image_id)
+LEFT JOIN (SELECT * FROM focal WHERE image_id IN (SELECT image_id FROM ok)) f USING (image_id)
+LEFT JOIN (SELECT * FROM sty WHERE image_id IN (SELECT image_id FROM ok)) s USING (image_id)""",
+)
+def q_image_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part")
+    # parts with p_size > 45 stand for files that failed to decode: listed, but without pixels
+    decoded = synthetic_raster(part.filter(F.col("p_size") <= 45), "p_partkey")
+    ids = part.select(F.col("p_partkey").alias("image_id"))
+    f = assemble.analyze_images(decoded, ("COMPOSITION", "STYLE"), ids=ids)
+    return f.select("image_id", _r("aspect_ratio"), "orientation", _r("edge_density"), _r("focal_x"), _r("brightness"))
