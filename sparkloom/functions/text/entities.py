@@ -17,14 +17,15 @@ from pyspark.sql import functions as F
 from sparkloom.functions.text.tokens import LETTER_TOKEN, match_offsets, require_text_column
 from sparkloom.operators.broadcast import broadcast_if_small
 
-# Entity rules in priority order (first wins on overlap).
+# Entity rules in priority order (first wins on overlap; the
+# more specific DATE pattern outranks the looser PHONE one).
 # No \b: word boundaries differ between Java and RE2 next to non-ASCII letters.
 ENTITY_RULES: tuple[tuple[str, str], ...] = (
     ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     ("URL", r"https?://[A-Za-z0-9._~:/?#@!$&'*+,;=%-]+"),
     ("IP", r"(?:\d{1,3}\.){3}\d{1,3}"),
-    ("PHONE", r"\+?\d[\d -]{6,}\d"),
     ("DATE", r"\d{4}-\d{2}-\d{2}"),
+    ("PHONE", r"\+?\d[\d -]{6,}\d"),
     ("MONEY", r"[$€£]\d+(?:[.,]\d+)?"),
     ("PERCENT", r"\d+(?:\.\d+)?%"),
     ("CARDINAL", r"\d+"),

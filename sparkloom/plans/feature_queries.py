@@ -587,3 +587,51 @@ def q_image_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
     ids = part.select(F.col("p_partkey").alias("image_id"))
     f = assemble.analyze_images(decoded, ("COMPOSITION", "STYLE"), ids=ids)
     return f.select("image_id", _r("aspect_ratio"), "orientation", _r("edge_density"), _r("focal_x"), _r("brightness"))
+
+
+# ---------------------------------------------------------------- keywords
+from sparkloom.functions.text import keywords as kw  # noqa: E402
+
+_STOP_SQL = ", ".join(f"'{w}'" for w in kw.STOP_WORDS)
+_DUCK_TERM_SCORES = rf"""WITH d AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+s AS (SELECT doc_id, generate_subscripts(ss, 1) - 1 AS s, unnest(ss) AS sentence
+      FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?\n]+') AS ss FROM d)),
+w AS (SELECT doc_id, s, ws, list_transform(ws, lambda x: lower(x)) AS lw
+      FROM (SELECT doc_id, s, regexp_extract_all(sentence, '\p{{L}}+') AS ws FROM s) WHERE len(ws) > 0),
+ns AS (SELECT doc_id, count(*) AS n_sent FROM w GROUP BY doc_id),
+t AS (SELECT doc_id, s, generate_subscripts(ws, 1) - 1 AS i, unnest(ws) AS word, unnest(lw) AS term,
+             unnest(list_concat([NULL], lw[1:len(lw) - 1])) AS prev, unnest(list_concat(lw[2:], [NULL])) AS nxt FROM w),
+f AS (SELECT *, (word = upper(word) AND length(word) > 1 AND word <> lower(word)) AS acronym,
+             (substr(word, 1, 1) = upper(substr(word, 1, 1)) AND substr(word, 1, 1) <> lower(substr(word, 1, 1))) AS capital
+      FROM t WHERE term NOT IN ({_STOP_SQL})),
+st AS (SELECT doc_id, term, count(*) AS tf, count_if(acronym) AS tf_a, count_if(capital AND NOT acronym AND i > 0) AS tf_u,
+              median(s) AS med_s, count(DISTINCT s) AS n_sent_t, count(prev) AS n_left, count(DISTINCT prev) AS d_left,
+              count(nxt) AS n_right, count(DISTINCT nxt) AS d_right FROM f GROUP BY doc_id, term),
+dc AS (SELECT doc_id, avg(tf) AS mean_tf, stddev_pop(tf) AS std_tf, max(tf) AS max_tf FROM st GROUP BY doc_id),
+j AS (SELECT st.*, dc.mean_tf, dc.std_tf, dc.max_tf, ns.n_sent,
+             CASE WHEN n_left > 0 THEN d_left / n_left ELSE 0.0 END AS dl,
+             CASE WHEN n_right > 0 THEN d_right / n_right ELSE 0.0 END AS dr
+      FROM st JOIN dc USING (doc_id) JOIN ns USING (doc_id)),
+r AS (SELECT doc_id, term, tf, 1.0 + (dl + dr) * tf / max_tf AS rel, greatest(tf_a, tf_u) / (1.0 + ln(tf)) AS cas,
+             ln(ln(3.0 + med_s)) AS pos, tf / (mean_tf + std_tf) AS freq, n_sent_t / n_sent AS sent FROM j)
+SELECT doc_id, term, tf, round(rel * pos / (cas + freq / rel + sent / rel), 6) AS score FROM r"""
+
+
+def _en_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+
+
+@register("text_keyword_terms", _DUCK_TERM_SCORES)
+def q_text_keyword_terms(spark: SparkSession, sf: str) -> DataFrame:
+    s = kw.term_scores(_en_docs(spark, sf), "doc_id", "text")
+    return s.select("doc_id", "term", "tf", F.round("score", 6).alias("score"))
+
+
+@register("text_keywords", None)
+def q_text_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return kw.keywords(_en_docs(spark, sf), "doc_id", "text")
+
+
+@register("prompt_keywords", None)
+def q_prompt_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return kw.keyword_prompts(kw.keywords(_en_docs(spark, sf), "doc_id", "text"), "doc_id")

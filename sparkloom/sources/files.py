@@ -83,9 +83,9 @@ def load_dataset(
     """Lazily read ``path``; the dataset is named after the path stem."""
     try:
         df = reader(spark, format, options, schema).load(path)
-    except AnalysisException as e:
-        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find data source" in str(e):
-            raise ValidationError(f"Data source {format!r} is not available in this Spark installation") from e
+    except Exception as e:  # the missing-provider error arrives as a Py4J or analysis error
+        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find the data source" in str(e):
+            raise ValidationError(f"Data source {format!r} is not available in this Spark installation") from None
         raise
     meta = read_metadata(spark, path) if with_metadata else {}
     return Dataset(df, _stem(path), meta)
