@@ -41,8 +41,13 @@ def color_counts(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("image_id", "r", "g", "b").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _c(j: int, ch: str) -> str:
+    return f"k{j}_{ch}"
+
+
 def initial_centres(colors: DataFrame, k: int = DEFAULT_K) -> DataFrame:
-    """``(image_id, cs)`` with ``cs`` = up to ``k`` centres ``struct(k, cr, cg, cb)`` sorted by k."""
+    """One row per image with centre columns ``k{j}_r, k{j}_g, k{j}_b`` (null when the
+    image has fewer than j+1 distinct bins)."""
     bin_id = F.shiftright("r", 5) * 64 + F.shiftright("g", 5) * 8 + F.shiftright("b", 5)
     bins = colors.withColumn("bin", bin_id).groupBy("image_id", "bin").agg(
         F.sum("cnt").alias("n"),
@@ -52,65 +57,48 @@ def initial_centres(colors: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     )
     # at most 512 bins per image
     w = Window.partitionBy("image_id").orderBy(F.col("n").desc(), F.col("bin"))
-    top = bins.withColumn("k", (F.row_number().over(w) - 1).cast("int")).filter(F.col("k") < k)
-    return top.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("k", "cr", "cg", "cb"))).alias("cs"))
-
+    top = bins.withColumn("k", F.row_number().over(w) - 1).filter(F.col("k") < k)
+    aggs = []
+    for j in range(k):
+        for ch, src in (("r", "cr"), ("g", "cg"), ("b", "cb")):
+            aggs.append(F.max(F.when(F.col("k") == j, F.col(src))).alias(_c(j, ch)))
+    return top.groupBy("image_id").agg(*aggs)
 
-def _nearest(cs) -> F.Column:
-    """Index of the nearest centre; scanning in k order with a strict '<' keeps the lowest k on ties."""
-    def dist(c):
-        return (
-            (F.col("r") - c["cr"]) * (F.col("r") - c["cr"])
-            + (F.col("g") - c["cg"]) * (F.col("g") - c["cg"])
-            + (F.col("b") - c["cb"]) * (F.col("b") - c["cb"])
-        )
 
-    start = F.struct(F.lit(float("inf")).alias("d"), F.lit(-1).alias("k"))
-    best = F.aggregate(cs, start, lambda acc, c: F.when(dist(c) < acc["d"], F.struct(dist(c).alias("d"), c["k"].alias("k"))).otherwise(acc))
-    return best["k"]
+def _nearest(k: int) -> F.Column:
+    """Nearest centre: ``least`` over ``struct(distance, j)`` compares distance first and
+    then the index, so ties go to the lowest index; missing centres are null and skipped.
+    Linear in k and inside whole-stage codegen."""
+    cands = []
+    for j in range(k):
+        d = sum(((F.col(ch) - F.col(_c(j, ch))) * (F.col(ch) - F.col(_c(j, ch))) for ch in "rgb"), F.lit(0.0))
+        cands.append(F.when(F.col(_c(j, "r")).isNotNull(), F.struct(d.alias("d"), F.lit(j).alias("j"))))
+    return (F.least(*cands) if k > 1 else cands[0])["j"]
 
 
-def assign(colors: DataFrame, centres: DataFrame) -> DataFrame:
-    """``(image_id, r, g, b, cnt, k, cs)``: nearest centre per colour.
+def assign(colors: DataFrame, centres: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+    """Colours with their nearest centre ``k`` (and the centre columns carried along).
 
-    An equi-join with one centre row per image, so colours are not duplicated;
-    the distance scan over at most k centres runs in generated code.
+    An equi-join with one centre row per image, so colours are not duplicated.
     """
-    return colors.join(centres, "image_id").withColumn("k", _nearest(F.col("cs")))
+    # Build the hash table on the centres (one row per image).  Catalyst cannot see the
+    # row growth of the pixel explode and would otherwise broadcast the colour side.
+    return colors.join(centres.hint("shuffle_hash"), "image_id").withColumn("k", _nearest(k))
 
 
 def update(assigned: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     """New centres = weighted means per cluster; a cluster without colours keeps its centre.
 
-    One aggregate per image (partial per task, then one row per image
-    shuffled); the old centres ride along in ``cs``.
+    One aggregate per image (partial per task, then one row per image shuffled).
     """
-    aggs = [F.any_value("cs").alias("cs")]
+    aggs = []
     for j in range(k):
         hit = F.col("k") == j
-        aggs += [
-            F.sum(F.when(hit, F.col("cnt"))).alias(f"n{j}"),
-            F.sum(F.when(hit, F.col("cnt") * F.col("r"))).alias(f"r{j}"),
-            F.sum(F.when(hit, F.col("cnt") * F.col("g"))).alias(f"g{j}"),
-            F.sum(F.when(hit, F.col("cnt") * F.col("b"))).alias(f"b{j}"),
-        ]
-    per_image = assigned.groupBy("image_id").agg(*aggs)
-    ns = F.array(*[F.col(f"n{j}") for j in range(k)])
-    sums = {ch: F.array(*[F.col(f"{ch}{j}") for j in range(k)]) for ch in "rgb"}
-
-    def moved(c):
-        n = F.element_at(ns, c["k"] + 1)
-        return F.when(
-            n > 0,
-            F.struct(
-                c["k"].alias("k"),
-                (F.element_at(sums["r"], c["k"] + 1) / n).alias("cr"),
-                (F.element_at(sums["g"], c["k"] + 1) / n).alias("cg"),
-                (F.element_at(sums["b"], c["k"] + 1) / n).alias("cb"),
-            ),
-        ).otherwise(c)
-
-    return per_image.select("image_id", F.transform("cs", moved).alias("cs"))
+        n = F.sum(F.when(hit, F.col("cnt")))
+        for ch in "rgb":
+            new = F.sum(F.when(hit, F.col("cnt") * F.col(ch))) / n
+            aggs.append(F.coalesce(new, F.first(_c(j, ch), ignorenulls=True)).alias(_c(j, ch)))
+    return assigned.groupBy("image_id").agg(*aggs)
 
 
 def kmeans_colors(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_ROUNDS, max_side: int | None = None,
@@ -129,10 +117,16 @@ def kmeans_colors(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_R
         colors = colors.persist(StorageLevel.MEMORY_AND_DISK)
     centres = initial_centres(colors, k)
     for i in range(rounds):
-        centres = update(assign(colors, centres), k)
+        centres = update(assign(colors, centres, k), k)
         if (i + 1) % checkpoint_every == 0 and i + 1 < rounds:
             centres = centres.checkpoint(eager=True)
-    return centres, assign(colors, centres)
+    return centres, assign(colors, centres, k)
+
+
+def centres_long(centres: DataFrame, k: int = DEFAULT_K) -> DataFrame:
+    """``(image_id, k, cr, cg, cb)`` rows for the existing centres."""
+    parts = ", ".join(f"{j}, {_c(j, 'r')}, {_c(j, 'g')}, {_c(j, 'b')}" for j in range(k))
+    return centres.selectExpr("image_id", f"stack({k}, {parts}) as (k, cr, cg, cb)").filter(F.col("cr").isNotNull())
 
 
 def _hex2(c) -> F.Column:
@@ -143,8 +137,7 @@ def color_palette(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_R
     """``(image_id, rank, color_hex, weight)``: clusters by share (rank 0 = largest)."""
     centres, assigned = kmeans_colors(pixels, k, rounds, max_side)
     shares = assigned.groupBy("image_id", "k").agg(F.sum("cnt").alias("n"))
-    flat = centres.select("image_id", F.explode("cs").alias("c")).select("image_id", "c.k", "c.cr", "c.cg", "c.cb")
-    j = shares.join(flat, ["image_id", "k"])
+    j = shares.join(centres_long(centres, k), ["image_id", "k"])
     total = F.sum("n").over(Window.partitionBy("image_id"))
     j = j.withColumn("total", total)
     w = Window.partitionBy("image_id").orderBy(F.col("n").desc(), F.col("k"))
