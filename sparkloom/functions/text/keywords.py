@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, require_text_column
+from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column
 
 # English stop words for candidate boundaries.
 STOP_WORDS = (
@@ -58,7 +58,10 @@ def sentence_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     require_text_column(df, text_col)
     sents = df.select(F.col(id_col), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_SPLIT, -1)).alias("s", "sentence"))
     words = sents.select(id_col, "s", F.regexp_extract_all("sentence", F.lit(LETTER_TOKEN), 0).alias("ws")).filter(F.size("ws") > 0)
-    return words.withColumn("lw", F.transform("ws", lambda w: F.lower(w)))
+    words = words.withColumn("lw", F.transform("ws", lambda w: F.lower(w)))
+    # tokenise once, then partition by document: every later step is keyed by
+    # (id, ...) and reads this one (reused) exchange
+    return by_document(words, id_col)
 
 
 def token_rows(df: DataFrame, id_col: str, text_col: str, words: DataFrame | None = None) -> DataFrame:
@@ -124,32 +127,39 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
     occ = words.select(id_col, F.explode(all_grams).alias("g"))
     occ = occ.withColumn("st", F.transform("g", lambda t: t.isin(STOP_WORDS)))
     occ = occ.filter(~F.element_at("st", 1) & ~F.element_at("st", -1))
-    cands = occ.groupBy(id_col, "g", "st").agg(F.count(F.lit(1)).alias("kf"))
+    occ = occ.withColumn("keyword", F.array_join("g", " "))
+    cands = occ.groupBy(id_col, "keyword").agg(F.count(F.lit(1)).alias("kf"))
+    cands = cands.withColumn("g", F.split("keyword", " ")).withColumn("st", F.transform("g", lambda t: t.isin(STOP_WORDS)))
     # component terms: non-stop terms take S(t); an interior stop word takes the bigram factor
-    comp = cands.select(id_col, "g", "st", "kf", F.posexplode(F.arrays_zip(F.col("g").alias("t"), F.col("st").alias("stop"))).alias("j", "c"))
-    comp = comp.select(id_col, "g", "kf", "j", F.col("c.t").alias("t"), F.col("c.stop").alias("stop"),
+    comp = cands.select(id_col, "keyword", "g", "st", "kf", F.posexplode(F.arrays_zip(F.col("g").alias("t"), F.col("st").alias("stop"))).alias("j", "c"))
+    comp = comp.select(id_col, "keyword", "kf", "j", F.col("c.t").alias("t"), F.col("c.stop").alias("stop"),
                        F.when(F.col("j") > 0, F.try_element_at("g", F.col("j"))).alias("a"),
                        F.try_element_at("g", F.col("j") + 2).alias("b"))
     plain = comp.filter(~F.col("stop")).join(
         scores.select(id_col, F.col("term").alias("t"), F.col("score").alias("st_score")), [id_col, "t"]
-    ).select(id_col, "g", "kf", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
+    ).select(id_col, "keyword", "kf", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
     # interior stop words (only inside 3-grams) take 1 + (1 - P(w|a) P(b|w)); counts over all tokens
-    pairs = words.select(id_col, F.explode(ngrams(2)).alias("p"))
-    big = pairs.groupBy(id_col, F.element_at("p", 1).alias("x"), F.element_at("p", 2).alias("y")).agg(F.count(F.lit(1)).alias("cxy"))
-    uni = words.select(id_col, F.explode("lw").alias("u")).groupBy(id_col, "u").agg(F.count(F.lit(1)).alias("cu"))
+    # only pairs touching a stop word can feed a stop-word factor
+    pairs = words.select(id_col, F.explode(ngrams(2)).alias("p")).select(
+        id_col, F.element_at("p", 1).alias("x"), F.element_at("p", 2).alias("y")
+    ).filter(F.col("x").isin(STOP_WORDS) | F.col("y").isin(STOP_WORDS))
+    big = pairs.groupBy(id_col, "x", "y").agg(F.count(F.lit(1)).alias("cxy"))
+    stop_n = words.select(id_col, F.explode("lw").alias("u")).filter(F.col("u").isin(STOP_WORDS)).groupBy(id_col, "u").agg(
+        F.count(F.lit(1)).alias("cu")
+    )
     sw = comp.filter(F.col("stop"))
     sw = sw.join(big.select(id_col, F.col("x").alias("a"), F.col("y").alias("t"), F.col("cxy").alias("c_at")), [id_col, "a", "t"], "left")
     sw = sw.join(big.select(id_col, F.col("x").alias("t"), F.col("y").alias("b"), F.col("cxy").alias("c_tb")), [id_col, "t", "b"], "left")
-    sw = sw.join(uni.select(id_col, F.col("u").alias("a"), F.col("cu").alias("c_a")), [id_col, "a"], "left")
-    sw = sw.join(uni.select(id_col, F.col("u").alias("t"), F.col("cu").alias("c_t")), [id_col, "t"], "left")
+    sw = sw.join(scores.select(id_col, F.col("term").alias("a"), F.col("tf").alias("c_a")), [id_col, "a"], "left")
+    sw = sw.join(stop_n.select(id_col, F.col("u").alias("t"), F.col("cu").alias("c_t")), [id_col, "t"], "left")
     pp = (F.coalesce(F.col("c_at"), F.lit(0)) / F.col("c_a")) * (F.coalesce(F.col("c_tb"), F.lit(0)) / F.col("c_t"))
-    stops = sw.select(id_col, "g", "kf", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
+    stops = sw.select(id_col, "keyword", "kf", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
     sc = plain.unionByName(stops)
-    per = sc.groupBy(id_col, "g", "kf").agg(
+    per = sc.groupBy(id_col, "keyword", "kf").agg(
         F.sum("log_f").alias("log_prod"), F.sum("add").alias("sum_s"), F.count(F.lit(1)).alias("n")
     )
     score = F.exp("log_prod") / (F.col("kf") * (F.lit(1.0) + F.col("sum_s")))
-    return per.select(id_col, F.array_join("g", " ").alias("keyword"), "n", "kf", score.alias("score"))
+    return per.select(id_col, "keyword", "n", "kf", score.alias("score"))
 
 
 def _levenshtein(a: str, b: str) -> int:

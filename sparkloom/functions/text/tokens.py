@@ -25,6 +25,23 @@ def require_text_column(df: DataFrame, column: str) -> None:
         raise ValidationError(f"Column '{column}' must contain text data, found {df.schema[column].dataType.simpleString()}")
 
 
+def by_document(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
+    """Hash-partition the input by document id, once.
+
+    Every later aggregate or join in the text features is keyed by
+    ``(id, ...)``, which this partitioning already satisfies, so the whole
+    feature job needs this one shuffle of the raw text instead of several
+    shuffles of exploded tokens (which are larger than the text).  All
+    branches read the same exchange, which Spark reuses rather than
+    recomputing the regex work.  Documents are bounded in length, so one
+    document never overloads a task.
+    """
+    keep = [id_col, *cols] if cols else df.columns
+    # the explicit null filter keeps every branch's plan identical (joins would
+    # otherwise infer it for some branches only and defeat exchange reuse)
+    return df.select(*keep).filter(F.col(id_col).isNotNull()).repartition(id_col)
+
+
 def token_array(text: Column, pattern: str = LETTER_TOKEN, lower: bool = True) -> Column:
     toks = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), 0)
     return F.transform(toks, lambda t: F.lower(t)) if lower else toks

@@ -635,3 +635,50 @@ def q_text_keywords(spark: SparkSession, sf: str) -> DataFrame:
 @register("prompt_keywords", None)
 def q_prompt_keywords(spark: SparkSession, sf: str) -> DataFrame:
     return kw.keyword_prompts(kw.keywords(_en_docs(spark, sf), "doc_id", "text"), "doc_id")
+
+
+# ---------------------------------------------------------------- sample data and summaries
+from sparkloom.functions.text.extract import text_feature_summary  # noqa: E402
+from sparkloom.sources import sample  # noqa: E402
+
+
+def _duck_hash(field: str) -> str:
+    return f"('0x' || substr(md5('0|{field}|' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT"
+
+
+def _duck_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_DUCK_SAMPLE = f"""SELECT doc_id AS id,
+  {_duck_list(sample.SCENES)}[{_duck_hash('scene')} % {len(sample.SCENES)} + 1] || ' ' ||
+  {_duck_list(sample.STYLES)}[{_duck_hash('style')} % {len(sample.STYLES)} + 1] AS description,
+  round(0.5 + ({_duck_hash('strength')} % 100000) / 100000.0 * 0.5, 6) AS strength,
+  round(0.1 + ({_duck_hash('noise')} % 100000) / 100000.0 * 0.4, 6) AS noise,
+  round(0.8 + ({_duck_hash('contrast')} % 100000) / 100000.0 * 0.4, 6) AS contrast,
+  list_transform(list_sort([{", ".join(f"{{'h': {_duck_hash('tag:' + t)}, 't': '{t}'}}" for t in sample.TAGS)}])[1:3],
+                 lambda e: e.t) AS tags
+FROM documents"""
+
+
+@register("generate_sample", _DUCK_SAMPLE)
+def q_generate_sample(spark: SparkSession, sf: str) -> DataFrame:
+    s = sample.generate_sample(table(spark, sf, "documents"), "doc_id", seed=0)
+    m = F.from_json("metadata", sample.SAMPLE_METADATA_SCHEMA)
+    return s.select(
+        "id", "description",
+        F.round(m["style_params"]["strength"], 6).alias("strength"),
+        F.round(m["style_params"]["noise"], 6).alias("noise"),
+        F.round(m["style_params"]["contrast"], 6).alias("contrast"),
+        m["tags"].alias("tags"),
+    )
+
+
+@register(
+    "feature_summary",
+    """SELECT 'SENTIMENT' AS extraction_type, count(*) AS num_texts, count_if(length(coalesce(text, '')) > 0) AS non_empty_texts,
+       CAST(NULL AS INTEGER) AS max_keywords FROM documents WHERE lang = 'en'""",
+)
+def q_feature_summary(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    return text_feature_summary(docs, "text", "SENTIMENT").drop("processing_time")
