@@ -57,8 +57,11 @@ def sentence_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, s, ws, lw)``: each non-empty sentence's words, as written and lower-cased."""
     require_text_column(df, text_col)
     sents = df.select(F.col(id_col), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_SPLIT, -1)).alias("s", "sentence"))
-    words = sents.select(id_col, "s", F.regexp_extract_all("sentence", F.lit(LETTER_TOKEN), 0).alias("ws")).filter(F.size("ws") > 0)
-    words = words.withColumn("lw", F.transform("ws", lambda w: F.lower(w)))
+    words = sents.select(
+        id_col, "s",
+        F.regexp_extract_all("sentence", F.lit(LETTER_TOKEN), 0).alias("ws"),
+        F.regexp_extract_all(F.lower("sentence"), F.lit(LETTER_TOKEN), 0).alias("lw"),  # aligned with ws
+    ).filter(F.size("ws") > 0)
     # tokenise once, then partition by document: every later step is keyed by
     # (id, ...) and reads this one (reused) exchange
     return by_document(words, id_col)

@@ -43,8 +43,10 @@ def by_document(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
 
 
 def token_array(text: Column, pattern: str = LETTER_TOKEN, lower: bool = True) -> Column:
-    toks = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), 0)
-    return F.transform(toks, lambda t: F.lower(t)) if lower else toks
+    """Tokens of ``text``; with ``lower`` the text is lower-cased first (same tokens as
+    lower-casing each token, without an interpreted per-element lambda)."""
+    t = F.coalesce(text, F.lit(""))
+    return F.regexp_extract_all(F.lower(t) if lower else t, F.lit(pattern), 0)
 
 
 def tokens(df: DataFrame, id_col: str, text_col: str, pattern: str = LETTER_TOKEN, lower: bool = True,

@@ -27,10 +27,10 @@ def preprocess(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def bag_of_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, count)``: the sparse document-term matrix in long form."""
-    words = preprocess(df, id_col, text_col)
-    return words.select(id_col, F.explode("words").alias("term")).groupBy(id_col, "term").agg(
-        F.count(F.lit(1)).alias("count")
-    )
+    require_text_column(df, text_col)
+    toks = df.select(F.col(id_col), F.explode(token_array(F.col(text_col))).alias("term"))
+    kept = toks.filter((F.length("term") >= MIN_TOKEN) & (F.length("term") <= MAX_TOKEN))
+    return kept.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("count"))
 
 
 def fit_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int = 20, seed: int = 7,

@@ -9,7 +9,7 @@ broadcast to the per-document term counts.  IDF is the smoothed form
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text.tokens import LETTER_TOKEN, require_text_column, token_array
@@ -29,16 +29,23 @@ def term_counts(df: DataFrame, id_col: str, text_col: str, pattern: str = LETTER
 
 
 def hashed_tfidf(df: DataFrame, id_col: str, text_col: str, n_features: int = DEFAULT_FEATURES) -> DataFrame:
-    """Sparse long form ``(id, bucket, value)`` of the L2-normalised TF-IDF vector."""
-    tc = term_counts(df, id_col, text_col).withColumn("bucket", hash_bucket(F.col("term"), n_features))
-    tf = tc.groupBy(id_col, "bucket").agg(F.sum("tf").cast("double").alias("tf"))
+    """Sparse long form ``(id, bucket, value)`` of the L2-normalised TF-IDF vector.
+
+    Tokens go straight to buckets and are counted per ``(id, bucket)``; a
+    document sits in one input row, so the partial aggregate is already
+    complete per document and the shuffle moves at most ``n_features`` rows
+    per document.  The norm is a window sum per document.
+    """
+    require_text_column(df, text_col)
+    toks = df.select(F.col(id_col), F.explode(token_array(F.col(text_col))).alias("term"))
+    tf = toks.groupBy(id_col, hash_bucket(F.col("term"), n_features).alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("tf"))
     n_docs = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
     dfreq = tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))  # <= n_features rows
     idf = dfreq.select("bucket", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     # idf has at most n_features rows: a proven bound, so broadcast it
     w = tf.join(F.broadcast(idf), "bucket").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, id_col).select(id_col, "bucket", (F.col("w") / F.col("norm")).alias("value"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "bucket", (F.col("w") / norm).alias("value"))
 
 
 def dense(long: DataFrame, id_col: str, n_features: int = DEFAULT_FEATURES) -> DataFrame:

@@ -113,7 +113,7 @@ from sparkloom.functions import inference  # noqa: E402
 from sparkloom.functions.text import entities, sentiment, topics, vectors  # noqa: E402
 from sparkloom.functions.text.entities import ENTITY_RULES  # noqa: E402
 
-_DUCK_TOKENS = r"lower(unnest(regexp_extract_all(coalesce(text, ''), '\p{L}+')))"
+_DUCK_TOKENS = r"unnest(regexp_extract_all(lower(coalesce(text, '')), '\p{L}+'))"
 
 
 @register(
@@ -169,7 +169,7 @@ def _duck_values(rows, cols: str) -> str:
     return f"(VALUES {body}) AS v({cols})"
 
 
-_DUCK_SENTIMENT = f"""WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '\\p{{L}}+'), lambda x: lower(x)) AS toks
+_DUCK_SENTIMENT = f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS toks
            FROM documents WHERE lang = 'en'),
 t AS (SELECT doc_id, unnest(toks) AS token, unnest(list_concat([NULL], toks[1:len(toks) - 1])) AS prev FROM d),
 lex AS (SELECT * FROM {_duck_values(SENTIMENT_LEXICON, "token, polarity, subjectivity")}),
@@ -596,8 +596,9 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in kw.STOP_WORDS)
 _DUCK_TERM_SCORES = rf"""WITH d AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
 s AS (SELECT doc_id, generate_subscripts(ss, 1) - 1 AS s, unnest(ss) AS sentence
       FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?\n]+') AS ss FROM d)),
-w AS (SELECT doc_id, s, ws, list_transform(ws, lambda x: lower(x)) AS lw
-      FROM (SELECT doc_id, s, regexp_extract_all(sentence, '\p{{L}}+') AS ws FROM s) WHERE len(ws) > 0),
+w AS (SELECT doc_id, s, ws, lw
+      FROM (SELECT doc_id, s, regexp_extract_all(sentence, '\p{{L}}+') AS ws,
+                   regexp_extract_all(lower(sentence), '\p{{L}}+') AS lw FROM s) WHERE len(ws) > 0),
 ns AS (SELECT doc_id, count(*) AS n_sent FROM w GROUP BY doc_id),
 t AS (SELECT doc_id, s, generate_subscripts(ws, 1) - 1 AS i, unnest(ws) AS word, unnest(lw) AS term,
              unnest(list_concat([NULL], lw[1:len(lw) - 1])) AS prev, unnest(list_concat(lw[2:], [NULL])) AS nxt FROM w),
