@@ -101,10 +101,13 @@ def term_scores(df: DataFrame, id_col: str, text_col: str, words: DataFrame | No
         F.count(F.col("next")).alias("n_right"),
         F.size(F.collect_set("next")).alias("d_right"),
     )
+    # every side below is already hash-partitioned by document (see sentence_words):
+    # shuffle-hash joins run in place, where a broadcast would ship derived tables
+    # whose size the planner underestimates through the driver
     doc = stats.groupBy(id_col).agg(
         F.avg("tf").alias("mean_tf"), F.stddev_pop("tf").alias("std_tf"), F.max("tf").alias("max_tf")
-    ).join(words.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_sent")), id_col)
-    j = stats.join(doc, id_col)
+    ).join(words.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_sent")).hint("shuffle_hash"), id_col)
+    j = stats.join(doc.hint("shuffle_hash"), id_col)
     dl = F.when(F.col("n_left") > 0, F.col("d_left") / F.col("n_left")).otherwise(F.lit(0.0))
     dr = F.when(F.col("n_right") > 0, F.col("d_right") / F.col("n_right")).otherwise(F.lit(0.0))
     case = F.greatest("tf_a", "tf_u") / (F.lit(1.0) + F.log("tf"))
@@ -139,7 +142,7 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
                        F.when(F.col("j") > 0, F.try_element_at("g", F.col("j"))).alias("a"),
                        F.try_element_at("g", F.col("j") + 2).alias("b"))
     plain = comp.filter(~F.col("stop")).join(
-        scores.select(id_col, F.col("term").alias("t"), F.col("score").alias("st_score")), [id_col, "t"]
+        scores.select(id_col, F.col("term").alias("t"), F.col("score").alias("st_score")).hint("shuffle_hash"), [id_col, "t"]
     ).select(id_col, "keyword", "kf", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
     # interior stop words (only inside 3-grams) take 1 + (1 - P(w|a) P(b|w)); counts over all tokens
     # only pairs touching a stop word can feed a stop-word factor
@@ -151,10 +154,10 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
         F.count(F.lit(1)).alias("cu")
     )
     sw = comp.filter(F.col("stop"))
-    sw = sw.join(big.select(id_col, F.col("x").alias("a"), F.col("y").alias("t"), F.col("cxy").alias("c_at")), [id_col, "a", "t"], "left")
-    sw = sw.join(big.select(id_col, F.col("x").alias("t"), F.col("y").alias("b"), F.col("cxy").alias("c_tb")), [id_col, "t", "b"], "left")
-    sw = sw.join(scores.select(id_col, F.col("term").alias("a"), F.col("tf").alias("c_a")), [id_col, "a"], "left")
-    sw = sw.join(stop_n.select(id_col, F.col("u").alias("t"), F.col("cu").alias("c_t")), [id_col, "t"], "left")
+    sw = sw.join(big.select(id_col, F.col("x").alias("a"), F.col("y").alias("t"), F.col("cxy").alias("c_at")).hint("shuffle_hash"), [id_col, "a", "t"], "left")
+    sw = sw.join(big.select(id_col, F.col("x").alias("t"), F.col("y").alias("b"), F.col("cxy").alias("c_tb")).hint("shuffle_hash"), [id_col, "t", "b"], "left")
+    sw = sw.join(scores.select(id_col, F.col("term").alias("a"), F.col("tf").alias("c_a")).hint("shuffle_hash"), [id_col, "a"], "left")
+    sw = sw.join(stop_n.select(id_col, F.col("u").alias("t"), F.col("cu").alias("c_t")).hint("shuffle_hash"), [id_col, "t"], "left")
     pp = (F.coalesce(F.col("c_at"), F.lit(0)) / F.col("c_a")) * (F.coalesce(F.col("c_tb"), F.lit(0)) / F.col("c_t"))
     stops = sw.select(id_col, "keyword", "kf", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
     sc = plain.unionByName(stops)
