@@ -11,7 +11,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, MapType, StructType
 
 SCHEMA_COLUMNS = "ordinal int, column_name string, data_type string, nullable boolean, metadata string"
 
@@ -92,12 +92,22 @@ def _as_text(c: Column, dt) -> Column:
     return c.cast("string")
 
 
+def _distinct_key(c: Column, dt) -> Column:
+    """A string with the same equality as the value (-0.0 and 0.0 count as one, as in Spark)."""
+    if isinstance(dt, (DoubleType, FloatType)):
+        c = F.when(c == 0, F.lit(0.0).cast(dt)).otherwise(c)
+    return _as_text(c, dt)
+
+
 def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05) -> DataFrame:
     """Per column: non-null count, distinct count, min and max (as text).
 
-    One Spark job for all columns.  ``approximate`` swaps exact distinct
-    counting (a shuffle of every distinct value) for HyperLogLog++ sketches,
-    which merge map-side and keep the final stage tiny at any scale.
+    Counts, minima and maxima come from one wide aggregate over all columns.
+    Exact distinct counts use a long form ``(ordinal, value)``: deduplicated
+    by a hash aggregate that is partial per task, then counted per column.
+    (Several ``count(DISTINCT)`` in one aggregate would instead expand every
+    row once per column and sort.)  ``approximate`` uses HyperLogLog++
+    sketches in the wide aggregate and needs no second pass.
     """
     fields = df.schema.fields
     aggs = []
@@ -106,8 +116,6 @@ def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05)
         aggs.append(F.count(c).alias(f"n{i}"))
         if approximate:
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"d{i}"))
-        else:
-            aggs.append(F.count_distinct(c).alias(f"d{i}"))
         if _orderable(f.dataType):
             aggs.append(_as_text(F.min(c), f.dataType).alias(f"lo{i}"))
             aggs.append(_as_text(F.max(c), f.dataType).alias(f"hi{i}"))
@@ -117,12 +125,22 @@ def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05)
     wide = df.agg(*aggs)
     parts = []
     for i, f in enumerate(fields):
-        parts.append(
-            f"{i}, '{f.name}', '{f.dataType.simpleString()}', "
-            f"cast(n{i} as bigint), cast(d{i} as bigint), lo{i}, hi{i}"
-        )
-    stack = f"stack({len(fields)}, {', '.join(parts)}) as (ordinal, column_name, data_type, total_count, distinct_count, min_value, max_value)"
-    return wide.selectExpr(stack)
+        d = f"cast(d{i} as bigint)" if approximate else "cast(null as bigint)"
+        parts.append(f"{i}, '{f.name}', '{f.dataType.simpleString()}', cast(n{i} as bigint), {d}, lo{i}, hi{i}")
+    stack = (f"stack({len(fields)}, {', '.join(parts)}) "
+             "as (ordinal, column_name, data_type, total_count, distinct_count, min_value, max_value)")
+    rows = wide.selectExpr(stack)
+    if approximate:
+        return rows
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("ordinal"), _distinct_key(F.col(f"`{f.name}`"), f.dataType).alias("v"))
+        for i, f in enumerate(fields)
+    ])
+    values = df.select(F.explode(pairs).alias("p")).select("p.ordinal", "p.v").filter(F.col("v").isNotNull())
+    distinct = values.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("nd"))
+    out = rows.drop("distinct_count").join(distinct, "ordinal", "left")
+    return out.select("ordinal", "column_name", "data_type", "total_count",
+                      F.coalesce("nd", F.lit(0)).cast("bigint").alias("distinct_count"), "min_value", "max_value")
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
