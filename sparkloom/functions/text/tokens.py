@@ -79,6 +79,25 @@ def sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out.filter(F.length(F.trim("sentence")) > 0)
 
 
+def match_steps(df: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
+    """``(id, idx, match, step)`` before offsets: ``step`` = gap before the match + match length."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    m = F.regexp_extract_all(text, F.lit(pattern), 0)
+    g = F.split(text, pattern, -1)
+    pairs = F.arrays_zip(F.slice(g, 1, F.size(m)).alias("gap"), m.alias("match"))
+    return df.select(F.col(id_col), F.posexplode(pairs).alias("idx", "p")).select(
+        id_col, "idx", F.col("p.match").alias("match"), (F.length("p.gap") + F.length("p.match")).alias("step")
+    )
+
+
+def offsets_from_steps(steps: DataFrame, id_col: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Running sum of steps per ``(id, *keys)`` ordered by match index -> ``start``/``end``."""
+    w = Window.partitionBy(id_col, *keys).orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = steps.withColumn("end", F.sum("step").over(w).cast("int"))
+    out = out.withColumn("start", (F.col("end") - F.length("match")).cast("int"))
+    return out.filter(F.length("match") > 0)
+
+
 def match_offsets(df: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
     """``(id, idx, start, end, match)`` for every non-empty match of ``pattern``.
 
