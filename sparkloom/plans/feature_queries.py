@@ -683,3 +683,39 @@ def q_generate_sample(spark: SparkSession, sf: str) -> DataFrame:
 def q_feature_summary(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
     return text_feature_summary(docs, "text", "SENTIMENT").drop("processing_time")
+
+
+_DUCK_CANDIDATES = (
+    _DUCK_TERM_SCORES.rsplit("SELECT doc_id, term, tf, round(", 1)[0]
+    + rf""", sc AS (SELECT doc_id, term, tf, rel * pos / (cas + freq / rel + sent / rel) AS score FROM r),
+grams AS (SELECT doc_id, unnest(list_concat(
+            list_transform(range(1, len(lw) + 1), lambda i: lw[i:i]),
+            list_transform(range(1, len(lw)), lambda i: lw[i:i + 1]),
+            list_transform(range(1, len(lw) - 1), lambda i: lw[i:i + 2]))) AS g FROM w),
+cands AS (SELECT doc_id, array_to_string(g, ' ') AS keyword, any_value(g) AS g, count(*) AS kf FROM grams
+          WHERE g[1] NOT IN ({_STOP_SQL}) AND g[-1] NOT IN ({_STOP_SQL}) GROUP BY doc_id, keyword),
+comp AS (SELECT doc_id, keyword, kf, g, unnest(g) AS t, generate_subscripts(g, 1) AS j FROM cands),
+comp2 AS (SELECT doc_id, keyword, kf, t, CASE WHEN j > 1 THEN g[j - 1] END AS a, CASE WHEN j < len(g) THEN g[j + 1] END AS b,
+                 t IN ({_STOP_SQL}) AS stop FROM comp),
+big AS (SELECT doc_id, term AS x, nxt AS y, count(*) AS cxy FROM t WHERE nxt IS NOT NULL GROUP BY ALL),
+uni AS (SELECT doc_id, term AS u, count(*) AS cu FROM t GROUP BY ALL),
+plain AS (SELECT c.doc_id, c.keyword, c.kf, ln(sc.score) AS log_f, sc.score AS addv
+          FROM comp2 c JOIN sc ON c.doc_id = sc.doc_id AND c.t = sc.term WHERE NOT c.stop),
+stops AS (SELECT c.doc_id, c.keyword, c.kf,
+                 (coalesce(b1.cxy, 0) / ua.cu) * (coalesce(b2.cxy, 0) / ut.cu) AS pp
+          FROM comp2 c
+          LEFT JOIN big b1 ON b1.doc_id = c.doc_id AND b1.x = c.a AND b1.y = c.t
+          LEFT JOIN big b2 ON b2.doc_id = c.doc_id AND b2.x = c.t AND b2.y = c.b
+          LEFT JOIN uni ua ON ua.doc_id = c.doc_id AND ua.u = c.a
+          LEFT JOIN uni ut ON ut.doc_id = c.doc_id AND ut.u = c.t
+          WHERE c.stop),
+allc AS (SELECT doc_id, keyword, kf, log_f, addv FROM plain
+         UNION ALL SELECT doc_id, keyword, kf, ln(2.0 - pp), pp - 1.0 FROM stops)
+SELECT doc_id, keyword, kf, round(exp(sum(log_f)) / (kf * (1.0 + sum(addv))), 8) AS score FROM allc GROUP BY doc_id, keyword, kf"""
+)
+
+
+@register("text_keyword_candidates", _DUCK_CANDIDATES)
+def q_text_keyword_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    c = kw.candidate_scores(_en_docs(spark, sf), "doc_id", "text")
+    return c.select("doc_id", "keyword", "kf", F.round("score", 8).alias("score"))
