@@ -27,7 +27,7 @@ Everything up to the ranking is per-document aggregation and equi-joins on
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column
@@ -104,8 +104,13 @@ def term_scores(df: DataFrame, id_col: str, text_col: str, words: DataFrame | No
     # every side below is already hash-partitioned by document (see sentence_words):
     # shuffle-hash joins run in place, where a broadcast would ship derived tables
     # whose size the planner underestimates through the driver
+    # exact integer sums, then fixed float steps: bit-identical on every run, whatever
+    # the order in which partial aggregates merge (the ranking compares scores exactly)
+    n_t, s1, s2 = F.count(F.lit(1)), F.sum("tf"), F.sum(F.col("tf") * F.col("tf"))
     doc = stats.groupBy(id_col).agg(
-        F.avg("tf").alias("mean_tf"), F.stddev_pop("tf").alias("std_tf"), F.max("tf").alias("max_tf")
+        (s1 / n_t).alias("mean_tf"),
+        F.sqrt(F.greatest(s2 / n_t - (s1 / n_t) * (s1 / n_t), F.lit(0.0))).alias("std_tf"),
+        F.max("tf").alias("max_tf"),
     ).join(words.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_sent")).hint("shuffle_hash"), id_col)
     j = stats.join(doc.hint("shuffle_hash"), id_col)
     dl = F.when(F.col("n_left") > 0, F.col("d_left") / F.col("n_left")).otherwise(F.lit(0.0))
@@ -143,7 +148,7 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
                        F.try_element_at("g", F.col("j") + 2).alias("b"))
     plain = comp.filter(~F.col("stop")).join(
         scores.select(id_col, F.col("term").alias("t"), F.col("score").alias("st_score")).hint("shuffle_hash"), [id_col, "t"]
-    ).select(id_col, "keyword", "kf", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
+    ).select(id_col, "keyword", "kf", "j", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
     # interior stop words (only inside 3-grams) take 1 + (1 - P(w|a) P(b|w)); counts over all tokens
     # only pairs touching a stop word can feed a stop-word factor
     pairs = words.select(id_col, F.explode(ngrams(2)).alias("p")).select(
@@ -159,11 +164,20 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
     sw = sw.join(scores.select(id_col, F.col("term").alias("a"), F.col("tf").alias("c_a")).hint("shuffle_hash"), [id_col, "a"], "left")
     sw = sw.join(stop_n.select(id_col, F.col("u").alias("t"), F.col("cu").alias("c_t")).hint("shuffle_hash"), [id_col, "t"], "left")
     pp = (F.coalesce(F.col("c_at"), F.lit(0)) / F.col("c_a")) * (F.coalesce(F.col("c_tb"), F.lit(0)) / F.col("c_t"))
-    stops = sw.select(id_col, "keyword", "kf", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
+    stops = sw.select(id_col, "keyword", "kf", "j", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
     sc = plain.unionByName(stops)
-    per = sc.groupBy(id_col, "keyword", "kf").agg(
-        F.sum("log_f").alias("log_prod"), F.sum("add").alias("sum_s"), F.count(F.lit(1)).alias("n")
-    )
+    # one row per component index: pick each exactly (max over a single value), then add
+    # them in index order, so the score never depends on how partial aggregates merge
+    picks = []
+    for jj in range(max_ngram):
+        picks += [F.max(F.when(F.col("j") == jj, F.col("log_f"))).alias(f"l{jj}"),
+                  F.max(F.when(F.col("j") == jj, F.col("add"))).alias(f"a{jj}")]
+    per = sc.groupBy(id_col, "keyword", "kf").agg(F.count(F.lit(1)).alias("n"), *picks)
+    log_prod, sum_s = F.lit(0.0), F.lit(0.0)
+    for jj in range(max_ngram):
+        log_prod = log_prod + F.coalesce(F.col(f"l{jj}"), F.lit(0.0))
+        sum_s = sum_s + F.coalesce(F.col(f"a{jj}"), F.lit(0.0))
+    per = per.select(id_col, "keyword", "kf", "n", log_prod.alias("log_prod"), sum_s.alias("sum_s"))
     score = F.exp("log_prod") / (F.col("kf") * (F.lit(1.0) + F.col("sum_s")))
     return per.select(id_col, "keyword", "n", "kf", score.alias("score"))
 
