@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 
 PIXEL_COLUMNS = ("image_id", "x", "y", "r", "g", "b")
 
+# ITU-R 601 luma weights in 16-bit fixed point, and the rounding term.
+LUMA_R, LUMA_G, LUMA_B, LUMA_ROUND = 19595, 38470, 7471, 32768
+
 
 def gray(r: Column, g: Column, b: Column) -> Column:
     """8-bit luma, ITU-R 601 weights in 16-bit fixed point (the usual "L" conversion)."""
-    return F.shiftright(r * 19595 + g * 38470 + b * 7471 + 32768, 16).cast("int")
+    return F.shiftright(r * LUMA_R + g * LUMA_G + b * LUMA_B + LUMA_ROUND, 16).cast("int")
 
 
 def with_gray(pixels: DataFrame) -> DataFrame:
@@ -137,4 +140,4 @@ def duck_raster(source_sql: str) -> str:
               FROM (SELECT image_id, 16 + image_id % 4 AS width FROM ({source_sql})))))"""
 
 
-DUCK_GRAY = "((19595 * r + 38470 * g + 7471 * b + 32768) >> 16)"
+DUCK_GRAY = f"(({LUMA_R} * r + {LUMA_G} * g + {LUMA_B} * b + {LUMA_ROUND}) >> 16)"

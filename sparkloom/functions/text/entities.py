@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import (
     LETTER_TOKEN, by_document, match_offsets, match_steps, offsets_from_steps, require_text_column,
 )
@@ -136,4 +137,5 @@ def extract_entities(df: DataFrame, id_col: str, text_col: str, gazetteer: DataF
 def entity_prompts(entities: DataFrame) -> DataFrame:
     """One suggestion per distinct label: ``Include <label> elements in the generation``."""
     labels = entities.select(F.lower("label").alias("label")).distinct()
-    return labels.select(F.concat(F.lit("Include "), F.col("label"), F.lit(" elements in the generation")).alias("suggestion"))
+    head, tail = prompts.ENTITY_TEMPLATE
+    return labels.select(F.concat(F.lit(head), F.col("label"), F.lit(tail)).alias("suggestion"))

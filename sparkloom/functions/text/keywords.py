@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column
 
 # English stop words for candidate boundaries.
@@ -225,4 +226,4 @@ def keyword_prompts(kw: DataFrame, id_col: str, n: int = 3) -> DataFrame:
     """``Create content focusing on: k1, k2, k3`` per document (its best ``n`` keywords)."""
     best = kw.filter(F.col("rank") < n).groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("rank", "keyword"))).alias("ks"))
     text = F.array_join(F.transform("ks", lambda e: e["keyword"]), ", ")
-    return best.select(id_col, F.concat(F.lit("Create content focusing on: "), text).alias("suggestion"))
+    return best.select(id_col, F.concat(F.lit(prompts.KEYWORDS_PREFIX), text).alias("suggestion"))

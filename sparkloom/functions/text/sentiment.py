@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import require_text_column, tokens_with_previous
 from sparkloom.operators.broadcast import broadcast_if_small
 
@@ -42,11 +43,12 @@ def sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, neg
     )
 
 
-def sentiment_prompt(scores: DataFrame, positive: float = 0.3, negative: float = -0.3) -> DataFrame:
+def sentiment_prompt(scores: DataFrame, positive: float = prompts.TONE_THRESHOLDS[0],
+                     negative: float = prompts.TONE_THRESHOLDS[1]) -> DataFrame:
     """Corpus-level tone suggestion from the mean polarity (zero or one row)."""
     mean = scores.agg(F.avg("polarity").alias("mean_polarity"))
     tone = (
-        F.when(F.col("mean_polarity") > positive, F.lit("Maintain a positive and uplifting tone"))
-        .when(F.col("mean_polarity") < negative, F.lit("Consider a more serious or dramatic tone"))
+        F.when(F.col("mean_polarity") > positive, F.lit(prompts.POSITIVE_TONE))
+        .when(F.col("mean_polarity") < negative, F.lit(prompts.SERIOUS_TONE))
     )
     return mean.select(tone.alias("suggestion")).filter(F.col("suggestion").isNotNull())

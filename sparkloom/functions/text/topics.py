@@ -12,6 +12,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import require_text_column, token_array
 
 MIN_TOKEN, MAX_TOKEN = 2, 15
@@ -61,4 +62,4 @@ def topic_prompts(topics: DataFrame) -> DataFrame:
     item = F.format_string('%.3f*"%s"', F.col("weight"), F.col("term"))
     per_topic = topics.groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct("rank", item.alias("s")))).alias("items"))
     text = F.array_join(F.transform("items", lambda e: e["s"]), " + ")
-    return per_topic.select("topic_id", F.concat(F.lit("Incorporate theme: "), text).alias("suggestion"))
+    return per_topic.select("topic_id", F.concat(F.lit(prompts.THEME_PREFIX), text).alias("suggestion"))

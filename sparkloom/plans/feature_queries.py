@@ -109,7 +109,7 @@ def q_feature_summary_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- text
-from sparkloom.functions import inference  # noqa: E402
+from sparkloom.functions import inference, prompts  # noqa: E402
 from sparkloom.functions.text import entities, sentiment, topics, vectors  # noqa: E402
 from sparkloom.functions.text.entities import ENTITY_RULES  # noqa: E402
 
@@ -198,8 +198,8 @@ def q_text_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "prompt_sentiment",
     f"""WITH s AS ({_DUCK_SENTIMENT})
-SELECT CASE WHEN avg(polarity) > 0.3 THEN 'Maintain a positive and uplifting tone'
-            WHEN avg(polarity) < -0.3 THEN 'Consider a more serious or dramatic tone' END AS suggestion
+SELECT CASE WHEN avg(polarity) > {prompts.TONE_THRESHOLDS[0]} THEN '{prompts.POSITIVE_TONE}'
+            WHEN avg(polarity) < {prompts.TONE_THRESHOLDS[1]} THEN '{prompts.SERIOUS_TONE}' END AS suggestion
 FROM s HAVING suggestion IS NOT NULL""",
 )
 def q_prompt_sentiment(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,7 +297,7 @@ def q_text_entities_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "prompt_entities",
-    "SELECT DISTINCT 'Include ' || lower(label) || ' elements in the generation' AS suggestion FROM ("
+    f"SELECT DISTINCT '{prompts.ENTITY_TEMPLATE[0]}' || lower(label) || '{prompts.ENTITY_TEMPLATE[1]}' AS suggestion FROM ("
     + _duck_resolve(_duck_matches("documents", "doc_id", "text", ENTITY_RULES), len(ENTITY_RULES))
     + ")",
 )
