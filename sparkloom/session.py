@@ -32,6 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    from sparkloom.deploy import ship_package
+
+    ship_package(spark)
     return spark
 
 
