@@ -29,10 +29,6 @@ from sparkloom.errors import ValidationError
 METHODS = ("CONCAT", "WEIGHTED", "CROSS_ATTENTION")
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
-
-
 def l2_norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
 
