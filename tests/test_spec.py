@@ -111,3 +111,17 @@ def test_observed_stats_and_cache(lineitem):
     ds.unpersist()
     with pytest.raises(ValueError):
         observed_query(lineitem, spec, cache="SOMETIMES")
+
+
+def test_approximate_distinct_within_bound(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    spec = QuerySpec.build(aggregations=[{"function": "approx_count_distinct", "column": "l_partkey", "alias": "a"},
+                                         {"function": "count_distinct", "column": "l_partkey", "alias": "e"}],
+                           group_by=["l_returnflag"])
+    for r in apply_spec(li, spec).collect():
+        assert abs(r["a"] - r["e"]) <= 0.15 * r["e"]  # default rsd 0.05; 3 sigma
+    from sparkloom.operators import inspect as insp
+
+    exact = {r["column_name"]: r["distinct_count"] for r in insp.profile_columns(li.select("l_partkey", "l_suppkey")).collect()}
+    approx = {r["column_name"]: r["distinct_count"] for r in insp.profile_columns(li.select("l_partkey", "l_suppkey"), approximate=True).collect()}
+    assert all(abs(approx[k] - exact[k]) <= 0.15 * exact[k] for k in exact)
