@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import editmatch, minhash, quality, surrogates, wfst
+from sparkloom.llm import arcwarc, editmatch, langid, minhash, quality, sharding, simple8b, surrogates, wfst, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arcwarc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wfst.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -34,11 +42,27 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.neighbour_prints(table(spark, sf_dir, "documents"))
+
+
+def op9_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editmatch.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality, op4_sentencepiece, op5_surrogates, op6_minhash, op10_decontaminate)
-}
+    f.__name__: f
+    for f in (
+        op1_quality, op2_sharding, op3_arc_to_warc, op4_sentencepiece, op5_surrogates,
+        op6_minhash, op7_langid, op8_winnowing, op9_simple8b, op10_decontaminate,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
