@@ -34,7 +34,7 @@ HEAD = struct.Struct("<4sIIIIQQ")
 MAGIC = b"S8B1"
 BLOCK_IDS = 65_536
 BLOCKS_OF_FILE = 64
-MEMO_WORDS = 600_000
+MEMO_WORDS = 200_000  # of each memo of a worker
 _powers = np.array([1 << b for b in range(64)], np.uint64)
 
 

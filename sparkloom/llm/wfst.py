@@ -32,7 +32,7 @@ from sparkloom.llm.common import arrow_schema
 BLANK = "▁"
 NORMAL, UNKNOWN, USER, UNUSED, BYTE = 1, 2, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-MEMO_WORDS = 600_000
+MEMO_WORDS = 120_000  # of each memo of a worker
 
 
 def _fields(b: bytes):
@@ -123,7 +123,7 @@ class Transducer:
         known = self.beside.get((left, right))
         if known is None:
             known = self._adjacent(left, right)
-            if len(self.beside) >= 4 * MEMO_WORDS:
+            if len(self.beside) >= MEMO_WORDS:
                 self.beside.clear()
             self.beside[left, right] = known
         return known
