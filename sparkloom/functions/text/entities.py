@@ -2,10 +2,10 @@
 
 Each rule is a regex; every match becomes ``(id, start, end, label, text)``
 with end-exclusive character offsets.  Overlaps are resolved by rule
-priority: a match is dropped when it overlaps any match of a higher-priority
+priority: a match is dropped when it overlaps a kept match of a higher-priority
 rule.  That test is a sweep over the matches of one document ordered by
-start offset (two running window aggregates per priority level), not a
-pairwise self-join.  Statistical NER is available only through
+start offset (two running window aggregates per priority level, one in each
+direction), linear in the matches.  Statistical NER is available only through
 ``batch_model_inference`` with a user-supplied model.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import (
-    LETTER_TOKEN, by_document, match_offsets, match_steps, offsets_from_steps, require_text_column,
+    LETTER_TOKEN, match_offsets, match_steps, offsets_from_steps, require_text_column,
 )
 from sparkloom.operators.broadcast import broadcast_if_small
 
@@ -78,7 +78,7 @@ def rule_matches(df: DataFrame, id_col: str, text_col: str, rules=ENTITY_RULES)
     offset window ``(id, priority)`` and the overlap window ``(id)`` both run
     on that partitioning, so entity extraction shuffles only once.
     """
-    steps = by_document(_labelled_steps(df, id_col, text_col, rules), id_col)
+    steps = _labelled_steps(df, id_col, text_col, rules).repartition(id_col)
     m = offsets_from_steps(steps, id_col, ("priority",))
     return m.select(id_col, "start", "end", "label", F.col("match").alias("text"), "priority")
 
@@ -93,32 +93,21 @@ def gazetteer_matches(df: DataFrame, id_col: str, text_col: str, gazetteer: Data
 
 
 def resolve_overlaps(matches: DataFrame, id_col: str, n_levels: int) -> DataFrame:
-    """Keep a match unless a match of strictly higher priority (lower number) overlaps it.
+    """Keep a match unless a kept match of strictly higher priority (lower number) overlaps it.
 
-    For priority level p, over the document's matches ordered by start:
-    ``max end`` of higher-priority matches starting at or before this start,
-    and ``min start`` of those starting after it.  Overlap of [s, e) with
-    [s', e') means s < e' and s' < e.
+    Level by level, over the document's matches ordered by start: ``max end`` of the
+    kept matches that start at or before this one, and ``min start`` of those that start
+    after it, as running aggregates.  [s, e) and [s', e') overlap if s < e' and s' < e.
     """
-    order = Window.partitionBy(id_col).orderBy("start")
-    before = order.rangeBetween(Window.unboundedPreceding, 0)
-    after = order.rangeBetween(1, Window.unboundedFollowing)
-    out = matches
-    conds = []
+    before = Window.partitionBy(id_col).orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(id_col).orderBy(F.col("start").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    out = matches.withColumn("_kept", F.col("priority") == 0)
     for p in range(1, n_levels):
-        higher = F.col("priority") < F.lit(p)
-        max_end = F.max(F.when(higher, F.col("end"))).over(before)
-        min_start = F.min(F.when(higher, F.col("start"))).over(after)
-        out = out.withColumn(f"_e{p}", max_end).withColumn(f"_s{p}", min_start)
-        conds.append(
-            (F.col("priority") == p)
-            & ((F.coalesce(F.col(f"_e{p}"), F.lit(-1)) > F.col("start")) | (F.coalesce(F.col(f"_s{p}"), F.lit(1 << 30)) < F.col("end")))
-        )
-    dropped = conds[0]
-    for c in conds[1:]:
-        dropped = dropped | c
-    helper = [c for c in out.columns if c.startswith("_e") or c.startswith("_s")]
-    return out.filter(~dropped).drop(*helper)
+        out = out.withColumn("_e", F.max(F.when(F.col("_kept"), F.col("end"))).over(before))
+        out = out.withColumn("_s", F.min(F.when(F.col("_kept"), F.col("start"))).over(after))
+        free = (F.coalesce("_e", F.lit(-1)) <= F.col("start")) & (F.coalesce("_s", F.lit(2**31 - 1)) >= F.col("end"))
+        out = out.withColumn("_kept", F.when(F.col("priority") == p, free).otherwise(F.col("_kept")))
+    return out.filter("_kept").drop("_e", "_s", "_kept")
 
 
 def extract_entities(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame | None = None,

@@ -1,8 +1,9 @@
 """Lexicon sentiment: polarity in [-1, 1] and subjectivity in [0, 1] per text.
 
-Tokens join a broadcast lexicon ``(token, polarity, subjectivity)``; a hit
-whose previous token is a negator has its polarity multiplied by -0.5.  The
-text's scores are the means over its hits, 0.0 / 0.0 when there are none.
+Tokens meet a broadcast lexicon ``(token, polarity, subjectivity)`` in the task
+that read their text; a hit whose previous token is a negator has its polarity
+multiplied by -0.5.  The text's scores are the means over its hits, 0.0 / 0.0
+when there are none; the sums are decimals, so no order of adding changes them.
 The lexicon is the caller's (no pretrained lexicon ships with Spark).
 """
 
@@ -13,33 +14,31 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import require_text_column, tokens_with_previous
-from sparkloom.operators.broadcast import broadcast_if_small
+from sparkloom.operators.broadcast import broadcast_if_few
 
 NEGATION_FACTOR = -0.5
+EXACT = "decimal(18,9)"
 
 
 def sentiment(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, negators: DataFrame | None = None) -> DataFrame:
     """``(id, polarity, subjectivity, n_hits)`` for every input row."""
     require_text_column(df, text_col)
-    lex = lexicon.select(F.lower("token").alias("token"), F.col("polarity").cast("double"), F.col("subjectivity").cast("double"))
-    toks = tokens_with_previous(df.select(id_col, text_col), id_col, text_col)
-    hits = toks.join(broadcast_if_small(lex.dropDuplicates(["token"])), "token")
-    if negators is not None:
-        neg = negators.select(F.lower("token").alias("prev_token")).distinct().withColumn("_neg", F.lit(True))
-        hits = hits.join(broadcast_if_small(neg), "prev_token", "left")
-        pol = F.when(F.col("_neg"), F.col("polarity") * F.lit(NEGATION_FACTOR)).otherwise(F.col("polarity"))
-    else:
-        pol = F.col("polarity")
-    per_doc = hits.groupBy(id_col).agg(
-        F.avg(pol).alias("polarity"), F.avg("subjectivity").alias("subjectivity"), F.count(F.lit(1)).alias("n_hits")
-    )
-    # every input row gets a score; rows without hits score 0.0 / 0.0
-    out = df.select(id_col).join(per_doc, id_col, "left")
-    return out.select(
-        id_col,
-        F.coalesce("polarity", F.lit(0.0)).alias("polarity"),
-        F.coalesce("subjectivity", F.lit(0.0)).alias("subjectivity"),
-        F.coalesce("n_hits", F.lit(0)).cast("bigint").alias("n_hits"),
+    spark = df.sparkSession
+    # of several entries for a token the smallest counts
+    lex = lexicon.select(F.lower("token").alias("token"), F.struct(F.col("polarity").cast(EXACT).alias("p"), F.col("subjectivity").cast(EXACT).alias("s")).alias("e"))
+    lex = lex.groupBy("token").agg(F.min("e").alias("e")).select("token", F.col("e.p").alias("polarity"), F.col("e.s").alias("subjectivity"))
+    if negators is None:
+        negators = spark.createDataFrame([], "token string")
+    neg = negators.select(F.lower("token").alias("prev_token")).distinct().withColumn("_neg", F.lit(True))
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    toks = tokens_with_previous(rows, "_row", "_text", keep=("_id",))
+    hits = toks.join(broadcast_if_few(lex), "token", "left").join(broadcast_if_few(neg), "prev_token", "left")
+    pol = F.when(F.col("_neg"), (F.col("polarity") * F.lit(NEGATION_FACTOR).cast("decimal(2,1)"))).otherwise(F.col("polarity")).cast("decimal(20,10)")
+    # a text's tokens are in one task, so the shuffle carries one partial row a text
+    per_row = hits.groupBy("_row", "_id").agg(F.sum(pol).alias("p"), F.sum("subjectivity").alias("s"), F.count("polarity").alias("n_hits"))
+    mean = lambda c: F.when(F.col("n_hits") > 0, F.col(c).cast("double") / F.col("n_hits")).otherwise(F.lit(0.0))
+    return per_row.select(
+        F.col("_id").alias(id_col), mean("p").alias("polarity"), mean("s").alias("subjectivity"), F.col("n_hits").cast("bigint").alias("n_hits")
     )
 
 

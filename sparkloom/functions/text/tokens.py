@@ -61,14 +61,15 @@ def tokens(df: DataFrame, id_col: str, text_col: str, pattern: str = LETTER_TOKE
     return out
 
 
-def tokens_with_previous(df: DataFrame, id_col: str, text_col: str, pattern: str = LETTER_TOKEN) -> DataFrame:
-    """``(id, pos, token, prev_token)`` without a window: the previous token comes from
-    the same array shifted by one, zipped before exploding (no per-row array copies)."""
+def tokens_with_previous(df: DataFrame, id_col: str, text_col: str, pattern: str = LETTER_TOKEN, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, *keep, pos, token, prev_token)`` without a window: the previous token comes from
+    the same array shifted by one, zipped before exploding (no per-row array copies).  A text
+    without tokens has one row with a null token."""
     toks = token_array(F.col(text_col), pattern)
     prev = F.concat(F.array(F.lit(None).cast("string")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
     zipped = F.arrays_zip(toks.alias("token"), prev.alias("prev_token"))
-    return df.select(F.col(id_col), F.posexplode(zipped).alias("pos", "z")).select(
-        id_col, "pos", F.col("z.token").alias("token"), F.col("z.prev_token").alias("prev_token")
+    return df.select(F.col(id_col), *keep, F.posexplode_outer(zipped).alias("pos", "z")).select(
+        id_col, *keep, "pos", F.col("z.token").alias("token"), F.col("z.prev_token").alias("prev_token")
     )
 
 

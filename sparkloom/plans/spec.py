@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 from sparkloom.errors import ValidationError
 from sparkloom.operators.aggregates import aggregate_column, normalise_name
 
-DEFAULT_LIMIT = 1000
-
 
 @dataclass(frozen=True)
 class Aggregation:
@@ -177,8 +175,8 @@ def dynamic_query(
     conditions: Iterable[str] = (),
     group_by: Iterable[str] = (),
     order_by: Iterable[Any] = (),
-    limit: int = DEFAULT_LIMIT,
+    limit: int = 0,
     aggregations: Iterable[Any] = (),
 ) -> DataFrame:
-    """Direct-parameter form of :func:`apply_spec`; ``limit`` defaults to 1000, ``<= 0`` = all rows."""
+    """Direct-parameter form of :func:`apply_spec`; ``limit`` <= 0, the default, means all rows."""
     return apply_spec(df, QuerySpec.build(selected_columns, conditions, aggregations, group_by, order_by, limit))

@@ -73,6 +73,7 @@ def q_dynamic_query(spark: SparkSession, sf: str) -> DataFrame:
         ["o_orderkey", "o_custkey", "o_totalprice"],
         ["o_orderstatus = 'O'", "o_totalprice > 100000"],
         order_by=[{"column": "o_totalprice", "direction": "DESC"}, {"column": "o_orderkey"}],
+        limit=1000,
     )
 
 
@@ -215,8 +216,8 @@ _pred(
     "pred_scalar_subquery",
     "orders",
     ["o_orderkey", "o_totalprice"],
-    lambda sf: f"o_totalprice > 2 * (SELECT avg(o_totalprice) FROM {_parquet_ref(sf, 'orders')})",
-    "o_totalprice > 2 * (SELECT avg(o_totalprice) FROM orders)",
+    lambda sf: f"o_totalprice > 1.5 * (SELECT avg(o_totalprice) FROM {_parquet_ref(sf, 'orders')})",
+    "o_totalprice > 1.5 * (SELECT avg(o_totalprice) FROM orders)",
 )
 
 
@@ -393,11 +394,12 @@ def q_order_by(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 1000",
 )
 def q_limit(spark: SparkSession, sf: str) -> DataFrame:
-    # default limit (1000) over a total order
+    # a limit over a total order
     return dynamic_query(
         table(spark, sf, "lineitem"),
         ["l_orderkey", "l_linenumber", "l_quantity"],
         order_by=["l_orderkey", "l_linenumber"],
+        limit=1000,
     )
 
 

@@ -6,10 +6,13 @@ Library functions never create a session; they use ``df.sparkSession``.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from sparkloom.errors import ValidationError
+
 # Tuned for local runs; on a cluster these come from the cluster's own config.
 LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,7 +44,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we set one of our own.
+    Only when a local session has none (tests) do we set one of our own, in its
+    temporary folder; on a cluster a folder that all executors see must be configured.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,7 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = os.path.join("/tmp", "sparkloom-checkpoints")
+        if not sc.master.startswith("local"):
+            raise ValidationError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        configured = os.path.join(tempfile.gettempdir(), "sparkloom-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

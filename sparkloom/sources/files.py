@@ -128,12 +128,32 @@ def save_dataset(
         w = w.option(k, v)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    kept = m == "ignore" and _exists(df.sparkSession, path)
     w.save(path)
+    if kept:
+        return dataset  # the data there stay, and so does what is said of them
     if isinstance(dataset, Dataset) and dataset.metadata:
-        write_metadata(df.sparkSession, path, dataset.metadata, "overwrite" if m != "ignore" else "ignore")
+        write_metadata(df.sparkSession, path, dataset.metadata)
+    elif m == "overwrite":
+        _remove(df.sparkSession, sidecar_path(path))
     return dataset
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def filter_dataset(dataset: Dataset, condition: str) -> Dataset:
     """One SQL condition; the result is named ``<name>_filtered`` and keeps the metadata."""
     return Dataset(dataset.df.filter(condition), f"{dataset.name}_filtered", dict(dataset.metadata))

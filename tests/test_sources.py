@@ -69,3 +69,13 @@ def test_parse_json_column(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     out = files.parse_json_column(ev, "props", "k int", into="meta")
     assert out.filter(F.col("meta.k").isNull()).count() == 0
+
+
+def test_sidecar_follows_the_data(spark, tmp_out):
+    src = spark.read.parquet(f"{SF_SMALL}/region.parquet")
+    path = os.path.join(tmp_out, "followed")
+    files.save_dataset(Dataset(src, "a", {"v": 1}), path)
+    files.save_dataset(Dataset(src, "b", {"v": 2}), path, mode="ignore")
+    assert files.read_metadata(spark, path) == {"v": 1}
+    files.save_dataset(src, path)
+    assert files.read_metadata(spark, path) == {}

@@ -140,3 +140,19 @@ def test_batch_inference_and_extractors(spark):
         inference.apply_extractor(df, "nope", "t")
     with pytest.raises(ValidationError):
         tokens.tokens(df.withColumn("n", F.lit(1)), "id", "n")
+
+
+def test_only_kept_matches_suppress(spark):
+    from sparkloom.functions.text import entities
+
+    df = spark.createDataFrame([(1, "host 10.0.0.12 3456 789 end"), (None, "5%")], "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["label"], r["text"]) for r in entities.extract_entities(df, "doc_id", "text").collect())
+    assert got == [(0, "PERCENT", "5%"), (1, "CARDINAL", "3456"), (1, "CARDINAL", "789"), (1, "IP", "10.0.0.12")]
+
+
+def test_topics_read_every_document(spark):
+    from sparkloom.functions.text import topics
+
+    df = spark.createDataFrame([(i, f"aaa{chr(97 + i)} bbb ccc") for i in range(20)], "doc_id long, text string")
+    cv, lda, _ = topics.fit_topics(df, "doc_id", "text", k=2, max_iter=2)
+    assert lda.getSubsamplingRate() == 1.0 and len(cv.vocabulary) == 22
