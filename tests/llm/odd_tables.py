@@ -1,20 +1,7 @@
-import os
-import sys
+"""Tables with every odd case, as fixtures for the tests of this folder."""
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-
-SF = "/root/testdata/sf0.001"
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from sparkloom.session import local_session
-
-    return local_session("*", shuffle_partitions=8, app="sparkloom-tests")
-
 
 @pytest.fixture()
 def odd_docs(spark):

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from sparkloom.llm import arcwarc, editmatch, langid, minhash, quality, queries, sharding, simple8b, surrogates, wfst, winnow
 from sparkloom.llm.common import components
 
+from odd_tables import no_docs, odd_docs  # noqa: F401
+
 SF = "/root/testdata/sf0.001"
 
 

@@ -3,6 +3,8 @@ import public_tokenizers
 import corpus_pipeline
 from sparkloom.llm.editmatch import normalised
 
+from odd_tables import no_docs, odd_docs  # noqa: F401
+
 SF = "/root/testdata/sf0.01"
 
 
