@@ -84,7 +84,8 @@ def test_every_allowed_aggregate_resolves(spark):
 def test_group_keys_only_and_default_limit(lineitem):
     keys = dynamic_query(lineitem, group_by=["l_returnflag", "l_linestatus"], limit=0)
     assert keys.count() == lineitem.select("l_returnflag", "l_linestatus").distinct().count()
-    assert dynamic_query(lineitem).count() == min(1000, lineitem.count())
+    assert dynamic_query(lineitem).count() == lineitem.count()  # no limit that nobody asked for
+    assert dynamic_query(lineitem, limit=1000).count() == min(1000, lineitem.count())
     assert dynamic_query(lineitem, limit=-1).count() == lineitem.count()
 
 
