@@ -163,6 +163,9 @@ def full_style(pixels: DataFrame) -> DataFrame:
 
     ``contrast`` is the GLCM contrast, which is what the style analysis
     reports as its contrast; the plain pixel std stays available as ``pixel_std``.
+    An image one pixel wide has no horizontal pairs: its GLCM is empty and the
+    three texture numbers are 0, the style statistics stay what they are.
     """
-    s = style(pixels).join(texture(pixels), "image_id")
+    s = style(pixels).join(texture(pixels), "image_id", "left")
+    s = s.fillna(0.0, ["texture_contrast", "energy", "homogeneity"])
     return s.withColumn("contrast", F.col("texture_contrast"))

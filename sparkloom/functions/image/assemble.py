@@ -8,11 +8,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkloom.errors import ValidationError
 from sparkloom.functions.image import analysis, palette
 from sparkloom.functions.image.pixels import with_gray
 
+Detector = Callable[[np.ndarray], list[tuple[tuple[float, float, float, float], int, float]]]
+
 ANALYSES = ("COMPOSITION", "COLOR_PALETTE", "OBJECTS", "STYLE", "AESTHETICS")
 DEFAULT_ANALYSES = ("COMPOSITION", "STYLE")
 
@@ -24,16 +27,21 @@ DEFAULTS = {
     "var_r": 0.0, "var_g": 0.0, "var_b": 0.0, "texture_contrast": 0.0, "energy": 0.0, "homogeneity": 0.0,
     "aesthetic_score": 0.0, "sharpness": 0.0, "complexity": 0.0,
 }
+DEFAULT_COLOR = "#000000"
 # Suggestion defaults when an analysis was not run.
 SUGGESTION_DEFAULTS = {"aspect_ratio": 1.0, "orientation": "square", "brightness": 0.5, "contrast": 0.5, "saturation": 0.5}
 
 
-def analyze_images(pixels: DataFrame, analyses: Iterable[str] = DEFAULT_ANALYSES, ids: DataFrame | None = None) -> DataFrame:
+def analyze_images(pixels: DataFrame, analyses: Iterable[str] = DEFAULT_ANALYSES, ids: DataFrame | None = None,
+                   detector: Detector | None = None, channels: str = "GRAY") -> DataFrame:
     """One row per image with the columns of the selected analyses.
 
     With ``ids`` (a frame of ``image_id``), every listed image gets a row and
     images without pixels (undecodable) get the per-analysis defaults.
+    OBJECTS runs ``detector`` (by default the stub) and gives an array
+    ``objects`` of (rank, x1, y1, x2, y2, label, score), empty where it finds none.
     """
+    detector = detector or bright_region_detector
     chosen = [a.upper() for a in analyses]
     bad = [a for a in chosen if a not in ANALYSES]
     if bad:
@@ -51,10 +59,19 @@ def analyze_images(pixels: DataFrame, analyses: Iterable[str] = DEFAULT_ANALYSES
         parts.append(pal.groupBy("image_id").agg(
             F.transform(F.sort_array(F.collect_list(F.struct("rank", "color_hex"))), lambda e: e["color_hex"]).alias("dominant_colors")
         ))
+    if "OBJECTS" in chosen:
+        found = detect_objects(pixels, detector, channels)
+        entry = F.struct(*[c for c in found.columns if c != "image_id"])
+        parts.append(found.groupBy("image_id").agg(F.sort_array(F.collect_list(entry)).alias("objects")))
     for p in parts:
         out = out.join(p, "image_id", "left")
-    fills = {c: v for c, v in DEFAULTS.items() if c in out.columns}
-    return out.fillna(fills)
+    # analyses give every image with pixels a value, so only images without pixels are filled
+    out = out.fillna({c: v for c, v in DEFAULTS.items() if c in out.columns})
+    if "dominant_colors" in out.columns:
+        out = out.withColumn("dominant_colors", F.coalesce("dominant_colors", F.array_repeat(F.lit(DEFAULT_COLOR), palette.DEFAULT_K)))
+    if "objects" in out.columns:
+        out = out.withColumn("objects", F.coalesce("objects", F.array().cast(out.schema["objects"].dataType)))
+    return out
 
 
 def visual_feature_vector(features: DataFrame, analyses: Iterable[str] = DEFAULT_ANALYSES) -> DataFrame:
@@ -101,9 +118,6 @@ def suggested_params(features: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- objects
 
-Detector = Callable[[np.ndarray], list[tuple[tuple[float, float, float, float], int, float]]]
-
-
 def bright_region_detector(img: np.ndarray):
     """Stub detector for tests: one box around pixels with gray > 200, label 1, score = their share."""
     g = img if img.ndim == 2 else img[..., 0]
@@ -113,26 +127,31 @@ def bright_region_detector(img: np.ndarray):
     return [((float(xs.min()), float(ys.min()), float(xs.max() + 1), float(ys.max() + 1)), 1, float(len(xs) / g.size))]
 
 
-OBJECT_SCHEMA = "image_id long, rank int, x1 double, y1 double, x2 double, y2 double, label int, score double"
+OBJECT_COLUMNS = "rank int, x1 double, y1 double, x2 double, y2 double, label int, score double"
 
 
-def detect_objects(pixels: DataFrame, detector: Detector = bright_region_detector) -> DataFrame:
+def detect_objects(pixels: DataFrame, detector: Detector = bright_region_detector, channels: str = "GRAY") -> DataFrame:
     """Run a detector on each image: ``(image_id, rank, x1, y1, x2, y2, label, score)``.
 
     Pixels of one image are grouped into one pandas frame (bounded by the
-    image size) and rebuilt into a gray ``H x W`` array for the detector.
+    image size) and rebuilt for the detector: a gray ``H x W`` array, or with
+    ``channels="RGB"`` an ``H x W x 3`` one.  Image ids may be of any type.
     """
-    g = with_gray(pixels).select("image_id", "x", "y", "gray")
+    if channels not in ("GRAY", "RGB"):
+        raise ValidationError(f"channels must be GRAY or RGB, not {channels!r}")
+    values = ["gray"] if channels == "GRAY" else ["r", "g", "b"]
+    px = (with_gray(pixels) if channels == "GRAY" else pixels).select("image_id", "x", "y", *values)
+    schema = StructType([px.schema["image_id"], *StructType.fromDDL(OBJECT_COLUMNS).fields])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        iid = int(pdf["image_id"].iloc[0])
+        iid = pdf["image_id"].iloc[0]
         w, h = int(pdf["x"].max()) + 1, int(pdf["y"].max()) + 1
-        img = np.zeros((h, w), dtype=np.uint8)
-        img[pdf["y"].to_numpy(), pdf["x"].to_numpy()] = pdf["gray"].to_numpy()
+        img = np.zeros((h, w, len(values)), dtype=np.uint8)
+        img[pdf["y"].to_numpy(), pdf["x"].to_numpy()] = pdf[values].to_numpy()
         rows = [
             (iid, i, b[0], b[1], b[2], b[3], int(label), float(score))
-            for i, (b, label, score) in enumerate(sorted(detector(img), key=lambda d: -d[2]))
+            for i, (b, label, score) in enumerate(sorted(detector(img[..., 0] if channels == "GRAY" else img), key=lambda d: -d[2]))
         ]
-        return pd.DataFrame(rows, columns=["image_id", "rank", "x1", "y1", "x2", "y2", "label", "score"])
+        return pd.DataFrame(rows, columns=schema.names)
 
-    return g.groupBy("image_id").applyInPandas(run, OBJECT_SCHEMA)
+    return px.groupBy("image_id").applyInPandas(run, schema)

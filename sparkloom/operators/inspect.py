@@ -9,16 +9,18 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, FloatType, MapType, StructType
 
+SAMPLE_VALUES = 5
+
 SCHEMA_COLUMNS = "ordinal int, column_name string, data_type string, nullable boolean, metadata string"
 
 
 def schema_rows(df: DataFrame) -> list[tuple]:
     return [
-        (i, f.name, f.dataType.simpleString(), bool(f.nullable), json.dumps(f.metadata, sort_keys=True))
+        (i, f.name, f.dataType.simpleString(), bool(f.nullable), json.dumps(f.metadata, sort_keys=True, ensure_ascii=False))
         for i, f in enumerate(df.schema.fields)
     ]
 
@@ -34,7 +36,7 @@ def schema_hash(df: DataFrame) -> str:
     import hashlib
 
     doc = {f.name: {"type": f.dataType.simpleString(), "nullable": f.nullable, "metadata": f.metadata} for f in df.schema.fields}
-    return hashlib.sha256(json.dumps(doc, sort_keys=True).encode()).hexdigest()
+    return hashlib.sha256(json.dumps(doc, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
 
 
 def _json_string(c: Column) -> Column:
@@ -78,6 +80,11 @@ def schema_drift(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def _column(name: str) -> Column:
+    """A top-level column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _orderable(dt) -> bool:
     return not isinstance(dt, (MapType,)) and not (
         isinstance(dt, (ArrayType, StructType)) and "map<" in dt.simpleString()
@@ -100,7 +107,10 @@ def _distinct_key(c: Column, dt) -> Column:
 
 
 def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05) -> DataFrame:
-    """Per column: non-null count, distinct count, min and max (as text).
+    """Per column: non-null count, distinct count, min and max (as text) and sample values.
+
+    The sample values are the first five distinct ones in the order of their
+    text (fewer if the column has fewer; none with ``approximate``).
 
     Counts, minima and maxima come from one wide aggregate over all columns.
     Exact distinct counts use a long form ``(ordinal, value)``: deduplicated
@@ -112,7 +122,7 @@ def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05)
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
+        c = _column(f.name)
         aggs.append(F.count(c).alias(f"n{i}"))
         if approximate:
             aggs.append(F.approx_count_distinct(c, rsd).alias(f"d{i}"))
@@ -123,24 +133,31 @@ def profile_columns(df: DataFrame, approximate: bool = False, rsd: float = 0.05)
             aggs.append(F.lit(None).cast("string").alias(f"lo{i}"))
             aggs.append(F.lit(None).cast("string").alias(f"hi{i}"))
     wide = df.agg(*aggs)
-    parts = []
-    for i, f in enumerate(fields):
-        d = f"cast(d{i} as bigint)" if approximate else "cast(null as bigint)"
-        parts.append(f"{i}, '{f.name}', '{f.dataType.simpleString()}', cast(n{i} as bigint), {d}, lo{i}, hi{i}")
-    stack = (f"stack({len(fields)}, {', '.join(parts)}) "
-             "as (ordinal, column_name, data_type, total_count, distinct_count, min_value, max_value)")
-    rows = wide.selectExpr(stack)
+    entries = [
+        F.struct(
+            F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.col(f"n{i}").cast("bigint").alias("total_count"),
+            (F.col(f"d{i}") if approximate else F.lit(None)).cast("bigint").alias("distinct_count"),
+            F.col(f"lo{i}").alias("min_value"), F.col(f"hi{i}").alias("max_value"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    rows = wide.select(F.inline(F.array(*entries)))
     if approximate:
         return rows
     pairs = F.array(*[
-        F.struct(F.lit(i).alias("ordinal"), _distinct_key(F.col(f"`{f.name}`"), f.dataType).alias("v"))
+        F.struct(F.lit(i).alias("ordinal"), _distinct_key(_column(f.name), f.dataType).alias("v"))
         for i, f in enumerate(fields)
     ])
-    values = df.select(F.explode(pairs).alias("p")).select("p.ordinal", "p.v").filter(F.col("v").isNotNull())
-    distinct = values.distinct().groupBy("ordinal").agg(F.count(F.lit(1)).alias("nd"))
-    out = rows.drop("distinct_count").join(distinct, "ordinal", "left")
+    values = df.select(F.explode(pairs).alias("p")).select("p.ordinal", "p.v").filter(F.col("v").isNotNull()).distinct()
+    distinct = values.groupBy("ordinal").agg(F.count(F.lit(1)).alias("nd"))
+    # a rank limit is applied by each task before the shuffle, so a column sends a few values a task
+    ranked = values.withColumn("rn", F.row_number().over(Window.partitionBy("ordinal").orderBy("v"))).filter(F.col("rn") <= SAMPLE_VALUES)
+    samples = ranked.groupBy("ordinal").agg(F.sort_array(F.collect_list("v")).alias("samples"))
+    out = rows.drop("distinct_count").join(distinct, "ordinal", "left").join(samples, "ordinal", "left")
     return out.select("ordinal", "column_name", "data_type", "total_count",
-                      F.coalesce("nd", F.lit(0)).cast("bigint").alias("distinct_count"), "min_value", "max_value")
+                      F.coalesce("nd", F.lit(0)).cast("bigint").alias("distinct_count"), "min_value", "max_value",
+                      F.coalesce("samples", F.array().cast("array<string>")).alias("sample_values"))
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:

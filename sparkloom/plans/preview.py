@@ -30,6 +30,8 @@ def _agg_sql(function: str, column: str) -> str:
         return f"count(DISTINCT {col})"
     if name == "sum_distinct":
         return f"sum(DISTINCT {col})"
+    if name == "mode":
+        return f"mode({col}, true)"  # ties: the smallest value, as in the planner
     return f"{name}({col})"
 
 

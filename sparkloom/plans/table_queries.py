@@ -212,6 +212,16 @@ _pred(
     lambda sf: f"NOT EXISTS (SELECT 1 FROM {_parquet_ref(sf, 'orders')} o WHERE o.o_custkey = c_custkey AND o.o_orderstatus = 'F')",
     "NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c_custkey AND o.o_orderstatus = 'F')",
 )
+_pred(
+    "pred_not_in_nulls",
+    "customer",
+    ["c_custkey", "c_nationkey"],
+    # NOT IN itself: a null on the left is never true, nor is any row once the subquery gives a null
+    lambda sf: f"nullif(c_nationkey, 3) NOT IN (SELECT n_nationkey FROM {_parquet_ref(sf, 'nation')} WHERE n_regionkey = 1) "
+    f"OR c_nationkey NOT IN (SELECT nullif(n_nationkey, 7) FROM {_parquet_ref(sf, 'nation')})",
+    "nullif(c_nationkey, 3) NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) "
+    "OR c_nationkey NOT IN (SELECT nullif(n_nationkey, 7) FROM nation)",
+)
 _pred(
     "pred_scalar_subquery",
     "orders",
@@ -243,6 +253,11 @@ def q_pred_udf(spark: SparkSession, sf: str) -> DataFrame:
 _GROUP = ["l_returnflag", "l_linestatus"]
 
 
+def _within_bound(approx: str, exact: str, rsd: float = 0.05):
+    """An approximate distinct count within three standard deviations (at least 1) of the exact one."""
+    return F.abs(F.col(approx) - F.col(exact)) <= F.greatest(F.lit(1.0), F.lit(3 * rsd) * F.col(exact))
+
+
 def _agg(name: str, aggs: list[tuple[str, str, str]], duck_select: str | None, *, group=_GROUP, tbl="lineitem",
          digits: int = 6, prepare=None, post=None, duck_from: str | None = None, sql_full: str | None = None):
     keys = ", ".join(group)
@@ -339,8 +354,9 @@ _agg(
 )
 _agg(
     "agg_approx",
-    [("approx_count_distinct", "l_partkey", "approx_parts"), ("count", "*", "n")],
-    None,
+    [("approx_count_distinct", "l_partkey", "approx_parts"), ("count_distinct", "l_partkey", "n_parts"), ("count", "*", "n")],
+    "count(DISTINCT l_partkey) AS n_parts, true AS within_bound, count(*) AS n",
+    post=lambda d: d.select(*_GROUP, "n_parts", _within_bound("approx_parts", "n_parts").alias("within_bound"), "n"),
 )
 _agg(
     "agg_collect",
@@ -353,15 +369,21 @@ _agg(
 _agg(
     "agg_collect_string",
     [("listagg", "l_returnflag", "flags_text"), ("string_agg", "l_linestatus", "status_text")],
-    None,
+    "string_agg(l_returnflag, '' ORDER BY l_returnflag) AS flags_text, string_agg(l_linestatus, '' ORDER BY l_linestatus) AS status_text",
     group=["l_orderkey"],
+    # a group's rows come in any order; its values are single letters, shown in order
+    post=lambda d: d.select("l_orderkey", *[F.array_join(F.sort_array(F.split(c, "")), "").alias(c) for c in ("flags_text", "status_text")]),
 )
 _agg(
     "agg_pick",
-    [("any_value", "l_linenumber", "any_line"), ("first", "l_quantity", "first_qty"), ("last", "l_quantity", "last_qty"),
-     ("first_value", "l_tax", "first_tax"), ("last_value", "l_tax", "last_tax")],
-    None,
+    [("any_value", "k7", "any_k"), ("first", "k11", "first_k"), ("last", "k13", "last_k"),
+     ("first_value", "odd_key", "first_odd"), ("last_value", "odd_key", "last_odd")],
+    "any_value(l_orderkey % 7) AS any_k, any_value(l_orderkey % 11) AS first_k, any_value(l_orderkey % 13) AS last_k, "
+    "CASE WHEN l_orderkey % 2 = 1 THEN l_orderkey END AS first_odd, CASE WHEN l_orderkey % 2 = 1 THEN l_orderkey END AS last_odd",
     group=["l_orderkey"],
+    # columns constant within a group (one of them null in every other group): whichever row is picked, the result is one
+    prepare=lambda d: d.select("l_orderkey", *[(F.col("l_orderkey") % k).alias(f"k{k}") for k in (7, 11, 13)],
+                               F.when(F.col("l_orderkey") % 2 == 1, F.col("l_orderkey")).alias("odd_key")),
 )
 _agg(
     "agg_try",
@@ -519,21 +541,44 @@ def q_parse_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- inspection
 
+def _profile_sql(tbl: str, columns: dict[str, str], last: str) -> str:
+    """One row per column of ``tbl`` (name -> type): counts, extremes and ``last``, where {c} stands for the column."""
+    return "\nUNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, count({c}) AS total_count, count(DISTINCT {c}) AS distinct_count, "
+        f"cast(min({c}) AS VARCHAR) AS min_value, cast(max({c}) AS VARCHAR) AS max_value, {last.format(c=c)} FROM {tbl}"
+        for i, (c, t) in enumerate(columns.items())
+    )
+
+
 @register(
     "profile_columns",
-    """SELECT 0 AS ordinal, 's_suppkey' AS column_name, 'bigint' AS data_type, count(s_suppkey) AS total_count,
-       count(DISTINCT s_suppkey) AS distinct_count, cast(min(s_suppkey) AS VARCHAR) AS min_value, cast(max(s_suppkey) AS VARCHAR) AS max_value FROM supplier
-UNION ALL SELECT 1, 's_name', 'string', count(s_name), count(DISTINCT s_name), min(s_name), max(s_name) FROM supplier
-UNION ALL SELECT 2, 's_nationkey', 'int', count(s_nationkey), count(DISTINCT s_nationkey), cast(min(s_nationkey) AS VARCHAR), cast(max(s_nationkey) AS VARCHAR) FROM supplier
-UNION ALL SELECT 3, 's_acctbal', 'double', count(s_acctbal), count(DISTINCT s_acctbal), cast(min(s_acctbal) AS VARCHAR), cast(max(s_acctbal) AS VARCHAR) FROM supplier""",
+    _profile_sql(
+        "supplier", {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+        "list_sort(list(DISTINCT cast({c} AS VARCHAR)))[1:5] AS sample_values",
+    ),
 )
 def q_profile_columns(spark: SparkSession, sf: str) -> DataFrame:
     return inspect.profile_columns(table(spark, sf, "supplier"))
 
 
-@register("profile_approx", None)
+@register(
+    "profile_approx",
+    _profile_sql(
+        "orders",
+        {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double",
+         "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"},
+        "true AS within_bound",
+    ),
+)
 def q_profile_approx(spark: SparkSession, sf: str) -> DataFrame:
-    return inspect.profile_columns(table(spark, sf, "orders"), approximate=True)
+    """The approximate profile, its distinct counts held against the exact ones."""
+    orders = table(spark, sf, "orders")
+    approx = inspect.profile_columns(orders, approximate=True).withColumnRenamed("distinct_count", "approx_distinct")
+    exact = inspect.profile_columns(orders).select("ordinal", "distinct_count")
+    return approx.join(exact, "ordinal").select(
+        "ordinal", "column_name", "data_type", "total_count", "distinct_count", "min_value", "max_value",
+        _within_bound("approx_distinct", "distinct_count").alias("within_bound"),
+    )
 
 
 def _drifted_supplier(df: DataFrame) -> DataFrame:

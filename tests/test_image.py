@@ -130,6 +130,36 @@ def test_objects_stub(spark):
     assert np.isclose(r["score"], 6 / 48)
 
 
+def test_narrow_images_through_the_dispatcher(spark):
+    rng = np.random.default_rng(9)
+    images = {i: rng.integers(0, 256, size=s, dtype=np.uint8) for i, s in ((1, (1, 1, 3)), (2, (1, 6, 3)), (3, (6, 1, 3)))}
+    rows = {r["image_id"]: r for r in assemble.analyze_images(raster(spark, images), ("COMPOSITION", "STYLE", "AESTHETICS")).collect()}
+    for i, a in images.items():
+        g = gray_np(a)
+        assert np.isclose(rows[i]["brightness"], a.mean()) and np.isclose(rows[i]["sharpness"], g.std())
+        assert np.isclose(rows[i]["saturation"], a.astype(float).std(axis=2).mean())
+        assert np.isclose(rows[i]["edge_density"], sobel_np(g))
+        texture = glcm_np(g) if a.shape[1] > 1 else (0.0, 0.0, 0.0)
+        assert np.allclose([rows[i][c] for c in ("contrast", "energy", "homogeneity")], texture)
+
+
+def test_objects_and_defaults_through_the_dispatcher(spark):
+    a = np.zeros((6, 8, 3), dtype=np.uint8)
+    a[1:3, 2:5] = 255
+    px = raster(spark, {7: a, 8: np.zeros((3, 3, 3), dtype=np.uint8)}).withColumn("image_id", F.concat(F.lit("dir/"), F.col("image_id"), F.lit(".png")))
+    ids = spark.createDataFrame([("dir/7.png",), ("dir/8.png",), ("dir/broken.png",)], "image_id string")
+    rows = {r["image_id"]: r for r in assemble.analyze_images(px, ("OBJECTS", "COLOR_PALETTE"), ids=ids).collect()}
+    assert [(o["x1"], o["y1"], o["x2"], o["y2"], o["label"]) for o in rows["dir/7.png"]["objects"]] == [(2.0, 1.0, 5.0, 3.0, 1)]
+    assert rows["dir/8.png"]["objects"] == [] and rows["dir/8.png"]["dominant_colors"] == ["#000000"]
+    assert rows["dir/broken.png"]["objects"] == [] and rows["dir/broken.png"]["dominant_colors"] == ["#000000"] * 5
+
+    def red(img):
+        assert img.ndim == 3 and img.shape[2] == 3
+        return [((0.0, 0.0, 1.0, 1.0), 2, float(img[..., 0].mean()))]
+
+    assert {r["image_id"]: r["label"] for r in assemble.detect_objects(px, red, channels="RGB").collect()} == {"dir/7.png": 2, "dir/8.png": 2}
+
+
 def _png(path, arr):
     h, w = arr.shape[:2]
     color = {1: 0, 3: 2, 4: 6}[1 if arr.ndim == 2 else arr.shape[2]]

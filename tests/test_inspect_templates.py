@@ -22,6 +22,19 @@ def test_profile_one_job_with_nulls_and_maps(spark):
     assert approx["i"]["distinct_count"] == 2
 
 
+def test_profile_samples_and_odd_names(spark):
+    df = spark.createDataFrame([(i % 7, None) for i in range(20)], "`it's` int, `a``b.c` string")
+    prof = {r["column_name"]: r for r in inspect.profile_columns(df).collect()}
+    assert prof["it's"]["sample_values"] == ["0", "1", "2", "3", "4"] and prof["it's"]["distinct_count"] == 7
+    assert prof["a`b.c"]["sample_values"] == [] and prof["a`b.c"]["total_count"] == 0
+    assert inspect.profile_columns(df, approximate=True).count() == 2
+
+
+def test_schema_hash_of_names_outside_ascii(spark):
+    df = spark.createDataFrame([(1, "x")], "`größe` int, `名` string")
+    assert inspect.schema_hash(df) == inspect.schema_hash_frame(inspect.schema_frame(df)).first()[0]
+
+
 def test_schema_drift_all_kinds(spark):
     old = spark.createDataFrame([(1, "x", 1.0)], "a int, b string, c double")
     new = spark.createDataFrame([(1, 2.0, 3)], "a bigint, c double, d int")

@@ -114,6 +114,21 @@ def test_observed_stats_and_cache(lineitem):
         observed_query(lineitem, spec, cache="SOMETIMES")
 
 
+def test_observed_input_under_a_limit(lineitem):
+    _, q = run_query(Dataset(lineitem, "lineitem"), QuerySpec.build(where=["l_quantity > 40"], limit=5), "lineitem")
+    assert len(q.result.collect()) == 5
+    st = q.stats()
+    assert st["input_rows"] == lineitem.count() and st["output_rows"] == 5 and st["execution_time"] > 0
+
+
+def test_preview_mode_on_ties(spark):
+    from sparkloom.plans.preview import preview_sql, run_preview_sql
+
+    df = spark.createDataFrame([(1, 9), (1, 9), (1, 2), (1, 2), (1, 5)], "k int, v int")
+    spec = QuerySpec.build(aggregations=[{"function": "mode", "column": "v", "alias": "m"}], group_by=["k"])
+    assert run_preview_sql(df, preview_sql(spec)).first()["m"] == apply_spec(df, spec).first()["m"] == 2
+
+
 def test_approximate_distinct_within_bound(spark):
     li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
     spec = QuerySpec.build(aggregations=[{"function": "approx_count_distinct", "column": "l_partkey", "alias": "a"},
