@@ -16,13 +16,15 @@ itself, all words of one selector at once.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,10 @@ HEAD = struct.Struct("<4sIIIIQQ")
 MAGIC = b"S8B1"
 BLOCK_IDS = 65_536
 BLOCKS_OF_FILE = 64
-MEMO_WORDS = 200_000  # of each memo of a worker
+MEMO_WORDS = 300_000  # of each memo of a worker
+# byte-level tokenizers write a byte without a visible sign as one from 256 on, in order
+_unseen = [*range(33), *range(127, 161), 173]
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(_unseen)}
 _powers = np.array([1 << b for b in range(64)], np.uint64)
 
 
@@ -128,55 +133,93 @@ def blocks_of(content: bytes) -> Iterator[tuple[int, int, list[int | None], list
         raise ValueError("the last block is cut short")
 
 
+# The normalizer and pre-tokenizer that ``Pretokens`` stands for.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def cuts_into_words(spec: dict) -> bool:
+    """Whether a tokenizer file is a BPE model of lower-case pre-tokens by ``PATTERN``, no added token of which lacks ``<|``."""
+    before = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        spec["model"]["type"] == "BPE"
+        and (spec.get("normalizer") or {}).get("normalizers") == NORMALIZER
+        and [x["type"] for x in before] == ["Split", "ByteLevel"]
+        and before[0]["pattern"] == {"Regex": PATTERN}
+        and not before[1]["add_prefix_space"]
+        and all("<|" in t["content"] for t in spec["added_tokens"])
+    )
+
+
+class Pretokens(dict):
+    """Ids (as bytes of unsigned 32-bit integers) by lower-case pre-token; a missing one goes to the library's model, which merges its bytes."""
+
+    def __init__(self, tokenizer):
+        self.model = tokenizer.model
+
+    def __missing__(self, pretoken: str) -> bytes:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        signs = pretoken if pretoken.isascii() else pretoken.encode().decode("latin-1").translate(BYTE_SIGNS)
+        self[pretoken] = found = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return found
+
+
 class WordEncoder:
-    """Whole texts with a tokenizer that cuts at blanks and line feeds in any case: each different word goes to it once."""
+    """Whole texts with the tokenizers library, each different pre-token or word encoded once while a bounded memo holds it.
 
-    # letters, then ASCII marks: the pre-tokenizer cuts between them too
-    parts = regex.compile(r"""(\p{L}+)([!#$%&()*+,\-./:;<=>?@\[\]^_`{|}~"]+)""")
+    Texts of ASCII and Latin-1 letters, which the normalizer only lower-cases,
+    are cut into pre-tokens here.  Others are cut at blanks and line feeds,
+    which no pre-token contains, and words of other letters go to the library
+    as they are.  A tokenizer of another kind gets whole texts.
+    """
+
+    latin = re.compile("[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+    # PATTERN for such texts; what begins with a letter, a digit or an apostrophe can't be the others' start
+    pretoken = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\\[-`{-~]+")
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.words: dict[str, tuple[int, ...]] = {"": ()}
-        self.segments: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, new: set[str]) -> None:
+        self.by_words = cuts_into_words(json.loads(tokenizer_json))
+        self.pretokens = Pretokens(self.tokenizer)
+        self.words: dict[str, bytes] = {}
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def plain(self, text: str) -> bytes | None:
+        """Ids of a text that ``latin`` matches; None for others and where an added token may stand."""
+        if "<|" in text or not self.latin.fullmatch(text):
+            return None
+        return b"".join(map(self.pretokens.__getitem__, self.pretoken.findall(text.lower())))
+
+    def by_word(self, text: str) -> bytes:
+        words = text.replace("\n", " ").split(" ")
+        new = set(words).difference(self.words)
         if len(self.words) + len(new) > MEMO_WORDS:
-            self.words = {"": ()}
-        if len(self.segments) > MEMO_WORDS:
-            self.segments = {}
-        cut = {}
+            self.words, new = {}, set(words)
+        rest = []
         for w in new:
-            m = self.parts.fullmatch(w)
-            head, tail = m.groups() if m else (w, "")
-            cut[w] = head.lower() if head.isascii() and head.isalpha() else head, tail
-        unseen = list({s for pair in cut.values() for s in pair if s}.difference(self.segments))
-        for at in range(0, len(unseen), 4096):
-            part = unseen[at : at + 4096]
-            self.segments.update(zip(part, (tuple(e.ids) for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False))))
-        self.segments[""] = ()
-        for w, (head, tail) in cut.items():
-            self.words[w] = self.segments[head] + self.segments[tail]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        self.words_for(words)
-        known, out = self.words, []
-        for row in words:
-            ids: list[int] = []
-            for w in row:
-                ids += known[w]
-            out.append(ids)
-        return out
-
-    def words_for(self, words: list[list[str]]) -> None:
-        wanted = set().union(*words)
-        if new := wanted.difference(self.words):
-            before = self.words
-            self.learn(new)
-            if before is not self.words and (lost := wanted.difference(self.words)):
-                self.learn(lost)
+            found = self.plain(w)
+            if found is None:
+                rest.append(w)
+            else:
+                self.words[w] = found
+        for at in range(0, len(rest), 4096):
+            self.words.update(zip(rest[at : at + 4096], self.whole(rest[at : at + 4096])))
+        return b"".join(map(self.words.__getitem__, words))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.by_words:
+            ids = []
+            for t in texts:
+                found = self.plain(t)
+                ids.append(self.by_word(t) if found is None else found)
+        else:
+            ids = self.whole(texts)
+        return [np.frombuffer(i, np.uint32) for i in ids]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -197,7 +240,7 @@ def _written(tokenizer, token: str, end_id: int):
                 some = batch.slice(at, 128)
                 for d, row in zip(some.column(0).to_pylist(), _encoders[token].encode([t or "" for t in some.column(1).to_pylist()])):
                     doc_ids.append(d)
-                    ids.append(np.array([*row, end_id], np.uint64))
+                    ids.append(np.append(row, np.uint32(end_id)))
                     held += len(ids[-1])
                     if held >= BLOCK_IDS:
                         yield pa.RecordBatch.from_arrays([pa.array([block_bytes(part, offset, doc_ids, ids)], pa.binary())], names=["block"])
