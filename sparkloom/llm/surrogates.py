@@ -7,10 +7,13 @@ replacement drawn from a keyed hash of its type and canonical form:
 
 * type-consistent and of the same format: separators, letter case, country
   code, card issuer digit and Luhn validity, hexadecimal digits stay as they are;
+* a name is all its parts behind the form of address (inner capitals, apostrophes,
+  hyphens, initials, particles between them); the last part is the surname;
 * given names keep gender (from the form of address) and script, surnames the script;
 * coreference: equal canonical forms have equal surrogates in the whole corpus,
   whatever the separators or case of a mention, and "Ms. Jane Smith" and
-  "Ms. Smith" share the surname's surrogate;
+  "Ms. Smith" share the surname's surrogate; so do a bare "Smith" or "Jane" in
+  the text that has them behind a form of address;
 * distinctness: surrogates are checked against each other and against the
   entities that occur; a clash is drawn anew for all but the smallest form, until
   none is left.
@@ -31,12 +34,21 @@ from sparkloom.llm.common import free_name, staged
 DEFAULT_KEY = "change-me"
 
 # Forms of address by gender, and the name stock by script and gender.
-MALE = ("Mr", "Mister", "Herr", "Señor", "Sr", "Monsieur", "Господин")
-FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа")
+MALE = (
+    "Mr", "MR", "Mister", "Sir", "Lord", "Herrn?", "HERR", "[Ss]eñor", "[Ss]r", "[Dd]on", "[Mm]onsieur", r"(?<!\.)MM?(?=\.)", "[Гг]осподин", "[Гг]-н",
+)
+FEMALE = (
+    "Mrs", "MRS", "Ms", r"MS(?=\.)", "Miss", "Madam", "Lady", "Frau", "FRAU", "Fräulein", "[Ss]eñora", "[Ss]eñorita", "[Ss]ra", "[Ss]rta", "[Dd]oña",
+    "[Dd]octora", "Dra", "[Pp]rofesora", "[Mm]adame", "[Mm]ademoiselle", "Mme", "Mlle", "[Гг]оспожа", "[Гг]-жа",
+)
+LEARNED = ("Dr", "DR", "[Dd]octor", "Doktor", "[Dd]octeur", "Prof", "PROF", "Professor", "[Pp]rofesor", "[Pp]rofesseur")
+NEUTRAL = ("Mx", "Rev", "Reverend", *LEARNED)
 GIVEN = {
     ("latin", "m"): "Adam Boris Carl David Emil Felix Georg Hugo Ivan Jonas Karl Leon Max Noel Oscar Paul Ralf Simon Theo Victor".split(),
+    ("latin", "n"): "Alex Andrea Charlie Chris Dominique Eike Jona Kai Kim Luca Noa Robin Sam Sascha Toni".split(),
     ("latin", "f"): "Alma Berta Clara Diana Elena Flora Greta Hanna Ines Julia Karin Laura Maria Nora Olivia Paula Rosa Sofia Tina Vera".split(),
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Захар Иван Кирилл Лев".split(),
+    ("cyrillic", "n"): "Валя Женя Паша Саша Слава Шура".split(),
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Зоя Инна Кира Лидия Мария".split(),
 }
 SYLLABLES = {
@@ -46,7 +58,24 @@ SYLLABLES = {
 
 SECRET = r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-PERSON = rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+)?"
+# Possessive repeats neither recurse nor end inside a word.
+L, GAP = r"[\p{L}\p{M}]", r"[ \xA0]{1,2}"
+#: Letters with apostrophes and hyphens between them, but no English possessive.
+INNER = rf"(?:{L}|['’](?![sS](?!{L}))(?={L})|[-‐](?={L}))"
+#: A part of a name or an initial.
+PART = rf"(?<!{L})(?:[dl]['’])?\p{{Lu}}{INNER}*+"
+WORD = rf"(?!(?:Jr|Sr|II|III|IV)(?!{L}))(?:[dl]['’])?\p{{Lu}}{INNER}++"
+BEFORE = (
+    rf"(?:(?:van|von|vom|de|del|della|di|da|dos|du|ten|ter|bin|ibn|af|av){GAP}(?:(?:der|den|dem|het|la|las|los|le){GAP})?)?+"
+    rf"(?:\p{{Lu}}\.(?:[ \xA0-]|(?=\p{{Lu}}))|\p{{Lu}}{GAP}(?=\p{{Lu}}))*+"
+)
+NAME = rf"{BEFORE}{WORD}(?:{GAP}{BEFORE}{WORD})*+"
+AFTER = r"(?:\.[ \xA0]{0,2}|[ \xA0]{1,2})"
+ADDRESS = (
+    rf"(?<!{L})(?=[DFHLMPRSdmpsГг])(?:{'|'.join(MALE + FEMALE + NEUTRAL)}){AFTER}"
+    rf"(?:(?:{'|'.join(LEARNED)}){AFTER}|(?:med|phil|jur|ing|habil|rer|nat)\. ?){{0,9}}"
+)
+PERSON = rf"{ADDRESS}{NAME}"
 PATTERN = "|".join([
     SECRET + r"[^\s\"']{6,}",
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -58,7 +87,7 @@ PATTERN = "|".join([
     PERSON,
 ])
 #: Every entity holds one of these; a text without any is left alone at once.
-HINT = rf"[@0-9]|(?i:passw|pwd|secret|token|api)|AKIA|(?:{'|'.join(MALE + FEMALE)})\.? "
+HINT = rf"[@0-9]|(?i:passw|pwd|secret|token|api)|AKIA|{ADDRESS}\p{{L}}"
 
 
 def _digits(c: Column) -> Column:
@@ -73,10 +102,11 @@ def entity_type(m: Column) -> Column:
     )
 
 
-def _person(m: Column) -> tuple[Column, Column, Column, Column]:
-    """Form of address with the blank behind it, given name ('' if none), what is between, surname."""
-    shape = r"^(\p{L}+\.? )(?:(\p{L}+)([ -]))?(\p{L}+)$"
-    return tuple(F.regexp_extract(m, shape, i) for i in (1, 2, 3, 4))
+def _person(m: Column) -> tuple[Column, Column, Column]:
+    """Form of address with what is behind it, the parts of the name (the last is the surname), what is around them."""
+    title = F.regexp_extract(m, rf"^({ADDRESS}){NAME}$", 1)
+    name = F.substr(m, F.length(title) + 1)
+    return title, F.regexp_extract_all(name, F.lit(PART), 0), F.split(name, PART, -1)
 
 
 def _script(word: Column) -> Column:
@@ -84,22 +114,19 @@ def _script(word: Column) -> Column:
 
 
 def units(m: Column) -> Column:
-    """The entities of a mention: an array of (kind, canonical form); a full name has two."""
+    """The entities of a mention: an array of (kind, canonical form); a name has one for each part."""
     kind = entity_type(m)
-    title, given, _, surname = _person(m)
-    gender = F.when(title.rlike(rf"^(?:{'|'.join(FEMALE)})\b"), "f").otherwise("m")
+    title, parts, _ = _person(m)
+    of_gender = lambda forms: title.rlike(rf"(?<!{L})(?:{'|'.join(forms)})(?!{L})")
+    gender = F.when(of_gender(FEMALE), "f").when(of_gender(MALE), "m").otherwise("n")
     form = (
         F.when(kind == "secret", F.regexp_replace(m, "^" + SECRET, "")).when(kind == "email", F.lower(m))
         .when(kind == "phone", F.substring(_digits(m), -10, 10)).when(kind.isin("ssn", "card"), _digits(m)).otherwise(m)
     )
     unit = lambda k, f: F.struct(k.alias("kind"), f.alias("form"))
-    names = F.filter(
-        F.array(
-            unit(F.concat(F.lit("given_"), gender, F.lit("_"), _script(given)), F.lower(given)),
-            unit(F.concat(F.lit("surname_"), _script(surname)), F.lower(surname)),
-        ),
-        lambda u: u["form"] != "",
-    )
+    given = F.transform(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: unit(F.concat(F.lit("given_"), gender, F.lit("_"), _script(p)), F.lower(p)))
+    surname = F.transform(F.slice(parts, -1, 1), lambda p: unit(F.concat(F.lit("surname_"), _script(p)), F.lower(p)))
+    names = F.concat(given, surname)
     return F.when(kind == "person", names).otherwise(F.array(unit(kind, form)))
 
 
@@ -202,13 +229,25 @@ def _filled(mention: Column, core: Column, width: int) -> Column:
     return F.array_join(F.transform(F.split(mention, ""), char), "")
 
 
+def _as_written(part: Column, core: Column) -> Column:
+    """``core`` as a part of a name is written: an initial, in capitals, or plain."""
+    return (
+        F.when(F.length(part) == 1, F.upper(F.substring(core, 1, 1))).when((part == F.upper(part)) & (part != F.lower(part)), F.upper(core)).otherwise(core)
+    )
+
+
+def _woven(gaps: Column, words: Column) -> Column:
+    """The text of n + 1 gaps with n words between them."""
+    return F.array_join(F.zip_with(gaps, F.concat(words, F.array(F.lit(""))), lambda g, w: F.concat(g, w)), "")
+
+
 def rendered(mention: Column, found: Column) -> Column:
     """The text that replaces a mention; ``found`` maps "kind|form" to the surrogate."""
     look = lambda u: F.element_at(found, F.concat_ws("|", u["kind"], u["form"]))
     all_ = units(mention)
     core, kind = look(F.element_at(all_, -1)), entity_type(mention)
-    title, given, between, _ = _person(mention)
-    name = F.when(given != "", F.concat(title, look(F.element_at(all_, 1)), between, core)).otherwise(F.concat(title, core))
+    title, parts, around = _person(mention)
+    name = F.concat(title, _woven(around, F.zip_with(parts, all_, lambda p, u: _as_written(p, look(u)))))
     return (
         F.when(kind == "person", name)
         .when(kind == "secret", F.concat(F.regexp_extract(mention, "^" + SECRET, 0), core))
@@ -219,8 +258,24 @@ def rendered(mention: Column, found: Column) -> Column:
     )
 
 
+def bare_names(found: Column) -> Column:
+    """A pattern of the names in ``found`` where they stand alone, the longest first; null if there is none."""
+    forms = F.transform(F.filter(F.map_keys(found), lambda k: k.rlike(r"^(?:given|surname)_\w+\|..")), lambda k: F.substring_index(k, "|", -1))
+    longest = F.transform(F.sort_array(F.transform(F.array_distinct(forms), lambda f: F.struct(F.length(f), f.alias("f"))), asc=False), lambda x: x["f"])
+    pattern = F.concat(F.lit(rf"(?<!{L})(?=\p{{Lu}}|[dl]['’])(?iu:"), F.array_join(longest, "|"), F.lit(rf")(?!{L})"))
+    return F.when(F.size(forms) > 0, pattern)
+
+
+def _without_bare(gap: Column, pattern: Column, found: Column) -> Column:
+    """``gap`` with the names that ``pattern`` finds replaced."""
+    kinds = [f"surname_{s}" for s in SYLLABLES] + [f"given_{g}_{s}" for s, g in GIVEN]
+    look = lambda w: F.coalesce(*(F.try_element_at(found, F.concat(F.lit(f"{k}|"), F.lower(w))) for k in kinds), w)
+    words = F.transform(F.regexp_extract_all(gap, pattern, 0), lambda w: _as_written(w, look(w)))
+    return F.when(pattern.isNull(), gap).otherwise(_woven(F.split(gap, pattern, -1), words))
+
+
 def with_surrogates(docs: DataFrame, text_col: str = "text", *, key: str = DEFAULT_KEY, count_col: str | None = None) -> DataFrame:
-    """``docs`` with every entity in ``text_col`` replaced; with ``count_col``, that column counts the mentions.
+    """``docs`` with every entity in ``text_col`` replaced; with ``count_col``, that column counts the mentions, bare names included.
 
     All rows and the other columns stay; null and empty texts are as they
     were (count 0); equal texts have equal results.
@@ -237,11 +292,14 @@ def with_surrogates(docs: DataFrame, text_col: str = "text", *, key: str = DEFAU
     pair = F.struct(F.concat_ws("|", "kind", "form"), F.col("surrogate"))
     maps = every.join(table, ["kind", "form"]).groupBy("code").agg(F.map_from_entries(F.collect_set(pair)).alias("found"))
     found = free_name(docs, "found")
-    maps = maps.withColumnRenamed("code", free_name(docs, "code")).withColumnRenamed("found", found)
+    bare = free_name(docs, "bare")
+    maps = maps.select(F.col("code").alias(free_name(docs, "code")), F.col("found").alias(found), bare_names(F.col("found")).alias(bare))
     joined = dirty.join(maps, dirty[code] == maps[free_name(docs, "code")])
     gaps = F.split(text, PATTERN, -1)
     new = F.transform(mentions, lambda m: rendered(m, F.col(found)))
-    whole = F.array_join(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, r: F.concat(g, r)), "")
-    counted = [F.size(mentions).cast("long").alias(count_col)] if count_col else []
+    whole = _woven(F.transform(gaps, lambda g: _without_bare(g, F.col(bare), F.col(found))), new)
+    alone = F.aggregate(gaps, F.lit(0), lambda n, g: n + F.size(F.regexp_extract_all(g, F.col(bare), 0)))
+    n_mentions = F.size(mentions) + F.when(F.col(bare).isNull(), 0).otherwise(alone)
+    counted = [n_mentions.cast("long").alias(count_col)] if count_col else []
     replaced = joined.select(*(whole.alias(c) if c == text_col else F.col(f"`{c}`") for c in cols), *counted)
     return clean.select("*", *([F.lit(0).cast("long").alias(count_col)] if count_col else [])).unionAll(replaced)

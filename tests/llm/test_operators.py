@@ -197,6 +197,37 @@ def test_surrogates(spark, odd_docs, no_docs):
     assert surrogates.with_surrogates(no_docs).count() == 0
 
 
+def test_surrogates_of_whole_names(spark):
+    names = {
+        "Mr. McDonald": 1, "Mr. Jean-Luc Picard": 2, "Frau Anna Maria Schmidt": 3, "Mr. O'Brien": 1, "Dr. Jane Smith": 2, "MR. SMITH": 1,
+        "Prof. Dr. J. R. R. Tolkien": 4, "Herrn Dr. med. Karl Lüdenscheidt": 2, "Mr. John F. Kennedy": 3, "Frau von der Leyen": 1,
+        "la señora María de la Cruz": 2, "M. d’Artagnan": 1, "Mlle Noémie Lefèvre": 2, "Sr. José Núñez": 2, "Господин Иван Петров": 2,
+    }
+    texts = [f"so {n}'s car, then {n}." for n in names]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in surrogates.with_surrogates(rows).orderBy("doc_id").collect()]
+    for (name, parts), new in zip(names.items(), got):
+        for word in name.replace(".", " ").split()[-parts:]:
+            assert len(word) == 1 or word.lower() in ("de", "la", "der") or word.lower() not in new.lower(), (name, new)
+        first, second = new[3:].split("'s car, then ")
+        assert first == second[:-1]
+        assert len(name.split()) == len(first.split()), (name, new)  # format: as many parts, the form of address stays
+        assert first.split()[0] == name.split()[0]
+    assert got[0][3:].split("'s")[0].startswith("Mr. ")
+
+
+def test_surrogates_of_bare_names(spark):
+    text = "Smith wrote. Ms. Jane Smith and Frau Anna Maria Schmidt met; later Jane, SMITH's aunt and Maria Schmidt left, smithy and Janet stayed."
+    other = "Jane Smith alone, mail a@b.example.com, Smith."
+    rows = spark.createDataFrame([(1, text), (2, other)], "doc_id long, text string")
+    one, two = surrogates.with_surrogates(rows, count_col="n").orderBy("doc_id").collect()
+    words = one["text"].replace(";", " ").replace(",", " ").replace("'", " ").replace(".", " ").split()
+    assert words[0] == words[4] and words[4] == words[13].capitalize() and words[13].isupper() and words[3] == words[12]
+    assert words[8:10] == words[17:19] and words[19:] == "left smithy and Janet stayed".split()
+    assert one["n"] == 2 + 5 and not {"Jane", "Smith", "Anna", "Maria", "Schmidt", "SMITH"} & set(words)
+    assert two["n"] == 1 and two["text"].startswith("Jane Smith alone") and two["text"].endswith("Smith.")  # no form of address: not a detected name
+
+
 def test_surrogates_stay_distinct(spark):
     # more given names than the stock has: they clash, and are drawn anew
     names = ["".join(p).capitalize() for p in itertools.product("abcde", "lmnop", "aeiou")]
