@@ -5,6 +5,8 @@ numbers, payment cards, IPv4 addresses, social security numbers, access keys,
 secrets behind a keyword, and names behind a form of address.  Each gets a
 replacement drawn from a keyed hash of its type and canonical form:
 
+* phone numbers are national, or international in any grouping; a card ends with
+  its grouping, so a number behind it doesn't belong to it;
 * type-consistent and of the same format: separators, letter case, country
   code, card issuer digit and Luhn validity, hexadecimal digits stay as they are;
 * a name is all its parts behind the form of address (inner capitals, apostrophes,
@@ -76,14 +78,35 @@ ADDRESS = (
     rf"(?:(?:{'|'.join(LEARNED)}){AFTER}|(?:med|phil|jur|ing|habil|rer|nat)\. ?){{0,9}}"
 )
 PERSON = rf"{ADDRESS}{NAME}"
+#: Country codes by length; a number's country code stays, the rest is exchanged.
+COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[1-9]\d{2})"
+DIGIT = r"(?:\) ?| ?\(| / ?|[ ./-])?\d"  # with the separator before it
+TRUNK = r"(?: ?\(0\))?"
+#: Countries whose numbers have one length end there; the others' have 7 to 15 digits, grouped as they may be.
+INTERNATIONAL = (
+    rf"(?<![\w.+])(?:\+ ?|00 ?)(?:1(?:{DIGIT}){{10}}|7(?:{DIGIT}){{10}}|3[34]{TRUNK}(?:{DIGIT}){{9}}|44{TRUNK}(?:{DIGIT}){{10}}"
+    rf"|[1-9]\d{TRUNK}(?:{DIGIT}){{5,13}})(?!\w)"
+)
+AREA = r"(?<![\w.+])(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
+#: Without a country code: a trunk 0 and pairs or an area code behind it; Spanish groups; 10 digits, 11 with a leading 1, 9 of Spain.
+NATIONAL = (
+    r"(?<![\w.+-])(?:0[1-9](?:[ .-]\d{2}){4}|\(0[1-9]\d{1,4}\) ?\d{3,8}|0[1-9]\d{1,4}(?: ?[/-] ?| )\d{4,8}|[6-9]\d{2}(?:[ -]\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}"
+    r"|0[1-9]\d{7,10}|1?\d{10}|[6-9]\d{8})(?!\w)(?!\.\d)"
+)
+#: A card ends with the grouping it began with; three digits more may belong to it (see ``_card``).
+CARD = r"(?<![\w.])(?:\d{16,19}|\d{4}(?: \d{4}){3}(?: \d{3})?|\d{4}(?:-\d{4}){3}(?:-\d{3})?|3\d{3}[ -]\d{6}[ -]\d{4,5})(?!\w)"
+ODD_CARD = r"(?<![\w.])(?:\d{13,15}|\d(?:[ -]?\d){12,18})(?!\w)"
 PATTERN = "|".join([
     SECRET + r"[^\s\"']{6,}",
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     r"\bAKIA[0-9A-Z]{16}\b",
     rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w)(?!\.\d)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    r"(?<![\w.+])(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)",
-    r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)",
+    CARD,
+    INTERNATIONAL,
+    AREA,
+    NATIONAL,
+    ODD_CARD,
     PERSON,
 ])
 #: Every entity holds one of these; a text without any is left alone at once.
@@ -98,10 +121,25 @@ def entity_type(m: Column) -> Column:
     return (
         F.when(m.rlike("^" + SECRET), "secret").when(m.rlike("^" + PERSON), "person").when(m.contains("@"), "email")
         .when(m.rlike("^AKIA"), "access_key").when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(F.length(_digits(m)) >= 14, "card").when(m.rlike(r"^\d(?:[ -]?\d){12}$"), "card").otherwise("phone")
+        .when(m.rlike(rf"^(?:{CARD})$"), "card").when(m.rlike(rf"^(?:{INTERNATIONAL}|{AREA}|{NATIONAL})$"), "phone").otherwise("card")
     )
 
 
+def _national(m: Column) -> Column:
+    """The digits of a phone number without country code and trunk 0."""
+    abroad = F.regexp_replace(_digits(F.regexp_replace(m, r"\(0\)", "")), "^00", "")
+    home = F.regexp_replace(_digits(m), r"^(?:0|1(?=\d{10}$))", "")
+    return (
+        F.when(m.rlike(rf"^{AREA}$"), F.substring(_digits(m), -10, 10)).when(m.rlike(r"^(?:\+|00)"), F.regexp_replace(abroad, f"^{COUNTRY}", "")).otherwise(home)
+    )
+
+
+def _card(m: Column) -> Column:
+    """The card in a mention: of four groups of four and three digits more, all if only that has a Luhn sum of 0, else the groups of four."""
+    valid = lambda n: _luhn(F.substring(_digits(m), 1, n)) % 10 == 0
+    return F.when(m.rlike(r"^\d{4}(?:[ -]\d{4}){3}[ -]\d{3}$") & (valid(16) | ~valid(19)), F.substring(m, 1, 19)).otherwise(m)
+
+
 def _person(m: Column) -> tuple[Column, Column, Column]:
     """Form of address with what is behind it, the parts of the name (the last is the surname), what is around them."""
     title = F.regexp_extract(m, rf"^({ADDRESS}){NAME}$", 1)
@@ -121,7 +159,7 @@ def units(m: Column) -> Column:
     gender = F.when(of_gender(FEMALE), "f").when(of_gender(MALE), "m").otherwise("n")
     form = (
         F.when(kind == "secret", F.regexp_replace(m, "^" + SECRET, "")).when(kind == "email", F.lower(m))
-        .when(kind == "phone", F.substring(_digits(m), -10, 10)).when(kind.isin("ssn", "card"), _digits(m)).otherwise(m)
+        .when(kind == "phone", _national(m)).when(kind == "card", _digits(_card(m))).when(kind == "ssn", _digits(m)).otherwise(m)
     )
     unit = lambda k, f: F.struct(k.alias("kind"), f.alias("form"))
     given = F.transform(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: unit(F.concat(F.lit("given_"), gender, F.lit("_"), _script(p)), F.lower(p)))
@@ -192,7 +230,7 @@ def drawn(entities: DataFrame, key: str) -> DataFrame:
         .when(kind == "access_key", F.concat(F.lit("AKIA"), F.substr(digits, F.lit(5), F.lit(16))))
         .when(kind == "ip", ip)
         .when(kind == "ssn", F.concat(lead(0), F.substr(digits, F.lit(2), F.lit(8))))
-        .when(kind == "phone", F.concat(lead(0), F.substr(digits, F.lit(2), F.lit(2)), lead(3), F.substr(digits, F.lit(5), F.lit(6))))
+        .when(kind == "phone", F.concat(lead(0), F.substr(digits, F.lit(2), F.lit(2)), F.when(F.length(form) == 10, lead(3)).otherwise(F.substr(digits, F.lit(4), F.lit(1))), F.substr(digits, F.lit(5), F.length(form))))
         .when(kind == "card", F.when(_luhn(form) % 10 == 0, F.concat(body, check)).otherwise(F.concat(F.substring(form, 1, 1), F.substr(digits, F.lit(2), F.length(form)))))
         .otherwise(named)
     )
@@ -218,9 +256,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         now = staged(marked.where("not again").select("kind", "form", "attempt", "surrogate").unionByName(redrawn), "surrogates")
 
 
-def _filled(mention: Column, core: Column, width: int) -> Column:
-    """``mention`` with its last digits exchanged for those of ``core`` (``width`` of them, 0: all)."""
-    skip = F.greatest(F.length(_digits(mention)) - width, F.lit(0)) if width else F.lit(0)
+def _filled(mention: Column, core: Column) -> Column:
+    """``mention`` with its last digits exchanged for those of ``core``."""
+    skip = F.length(_digits(mention)) - F.length(core)
 
     def char(c: Column, i: Column) -> Column:
         before = F.length(_digits(F.substr(mention, F.lit(1), i))) - skip
@@ -251,8 +289,8 @@ def rendered(mention: Column, found: Column) -> Column:
     return (
         F.when(kind == "person", name)
         .when(kind == "secret", F.concat(F.regexp_extract(mention, "^" + SECRET, 0), core))
-        .when(kind == "phone", _filled(mention, core, 10))
-        .when(kind.isin("ssn", "card"), _filled(mention, core, 0))
+        .when(kind.isin("phone", "ssn"), _filled(mention, core))
+        .when(kind == "card", F.concat(_filled(_card(mention), core), F.substr(mention, F.length(_card(mention)) + 1)))
         .when((kind == "email") & (mention == F.upper(mention)), F.upper(core))
         .otherwise(core)
     )

@@ -216,6 +216,25 @@ def test_surrogates_of_whole_names(spark):
     assert got[0][3:].split("'s")[0].startswith("Mr. ")
 
 
+def test_surrogates_of_phones_and_cards(spark):
+    phones = [
+        "+33 6 12 34 56 78", "06 12 34 56 78", "+33612345678", "0033 6 12 34 56 78", "+49 30 1234567", "030 1234567", "+49 (0)30 1234567", "+34 612 345 678",
+        "612345678", "5551234567", "+1 (555) 123-4567", "15551234567", "+352 621 123 456",
+    ]
+    cards = ["7536784127813050 12", "7536784127813050", "7536 7841 2781 3050 12", "7536 7841 2781 3050 123", "7536-7841-2781-3050"]
+    rows = spark.createDataFrame([(i, f"at {x}, or") for i, x in enumerate(phones + cards)], "doc_id long, text string")
+    got = [r["text"][3:-4] for r in surrogates.with_surrogates(rows, count_col="n").where("n = 1").orderBy("doc_id").collect()]
+    assert len(got) == len(phones + cards)
+    shape = lambda x: "".join("0" if c.isdigit() else c for c in x)
+    digits = lambda x: "".join(c for c in x if c.isdigit())
+    for old, new in zip(phones + cards, got):
+        assert old != new and shape(old) == shape(new)
+    same = lambda at, n: len({digits(got[phones.index(p)])[-n:] for p in at})
+    assert same(phones[:4] + ["612345678"], 9) == 1 and same(phones[4:7], 9) == 1 and same(phones[9:12], 10) == 1
+    assert [g[:3] for g, p in zip(got, phones) if p[0] == "+"] == [p[:3] for p in phones if p[0] == "+"]
+    assert len({digits(g)[:16] for g in got[len(phones) :]}) == 1 and [g[-3:] for g in got[len(phones) :]][0:4:2] == [" 12", " 12"] and got[-2].endswith(" 123")
+
+
 def test_surrogates_of_bare_names(spark):
     text = "Smith wrote. Ms. Jane Smith and Frau Anna Maria Schmidt met; later Jane, SMITH's aunt and Maria Schmidt left, smithy and Janet stayed."
     other = "Jane Smith alone, mail a@b.example.com, Smith."
