@@ -5,13 +5,14 @@ Rows are paired by key (an equi-join), never by position.  Vectors are
 
 Cross-attention (``softmax(T Iᵀ) I`` over *all* image rows, no scaling) is an
 N x M x d computation by definition.  It runs as a blocked matrix product:
-image rows are hashed into blocks of at most ``block_rows`` rows, text rows
-are cut into blocks of the same size, every text block meets every image
-block through an equi-join on a replicated block id, and numpy computes one
-dense block product per task.  Each block pair yields a partial softmax
-state per text row (running max, sum of exps, weighted vector sum) that is
-merged exactly with the log-sum-exp rule.  No task ever holds more than one
-text block and one image block.
+image rows are dealt out by row number (never by a key) in blocks of at most
+``block_rows`` rows, text rows are cut into blocks of the same size, every text
+block meets every image block through an equi-join on (text group, image
+group), and numpy computes one dense product per block pair.  Each pair yields
+a partial softmax state per text row (running max, sum of exps, weighted vector
+sum); a task merges the states of an image group as they come, the few that are
+left are merged exactly with the log-sum-exp rule by the text row's own number,
+in one way for any number of blocks, so repeated and null keys keep a row each.
 """
 
 from __future__ import annotations
@@ -20,13 +21,15 @@ import math
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.errors import ValidationError
 
 METHODS = ("CONCAT", "WEIGHTED", "CROSS_ATTENTION")
+IMAGE_GROUPS = 8
 
 
 def l2_norm(v: Column) -> Column:
@@ -95,23 +98,44 @@ def combine_weighted(pairs: DataFrame, text_weight: float = 0.5, image_weight: f
 
 # ------------------------------------------------------------- cross-attention
 
-def _block_partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each (text block, image block) row: per-text softmax partial state."""
-    for pdf in batches:
-        out_ids, out_m, out_s, out_v = [], [], [], []
-        for t_ids, t_vecs, i_vecs in zip(pdf["t_ids"], pdf["t_vecs"], pdf["i_vecs"]):
-            T = np.vstack([np.asarray(v, dtype=np.float64) for v in t_vecs])
-            I = np.vstack([np.asarray(v, dtype=np.float64) for v in i_vecs])
+def _matrix(vecs: pa.ListArray) -> np.ndarray:
+    """Vectors of one length as the rows of a matrix."""
+    if len(widths := pc.list_value_length(vecs).unique()) > 1:
+        raise ValidationError(f"Vectors of one side must have one length, found {sorted(widths.to_pylist())}")
+    return vecs.flatten().to_numpy(zero_copy_only=False).reshape(len(vecs), -1)
+
+
+def _block_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per-text softmax states of (text block, image block) rows; those of one text block in a row are merged here."""
+    rows = state = None
+
+    def done() -> pa.RecordBatch:
+        m, s, V = state
+        return pa.RecordBatch.from_arrays(
+            [rows, ids, pa.array(m), pa.array(s), pa.array(list(V), pa.list_(pa.float64()))], names=["_row", "text_id", "m", "s", "v"]
+        )
+
+    for batch in batches:
+        for t, i_vecs in zip(batch.column("t"), batch.column("i_vecs")):
+            now = t.values.flatten()
+            if rows is None or not now[0].equals(rows):
+                if rows is not None:
+                    yield done()
+                rows, ids = now[:2]
+                T, state = _matrix(now[2]), None
+            I = _matrix(i_vecs.values)
             S = T @ I.T  # (bt, bi)
             m = S.max(axis=1)
+            if state is not None:
+                m = np.maximum(m, state[0])
             E = np.exp(S - m[:, None])
-            s = E.sum(axis=1)
-            V = E @ I  # (bt, d)
-            out_ids.extend(int(x) for x in t_ids)
-            out_m.extend(m.tolist())
-            out_s.extend(s.tolist())
-            out_v.extend(list(V))
-        yield pd.DataFrame({"text_id": out_ids, "m": out_m, "s": out_s, "v": out_v})
+            s, V = E.sum(axis=1), E @ I  # (bt), (bt, d)
+            if state is not None:
+                w = np.exp(state[0] - m)
+                s, V = s + state[1] * w, V + state[2] * w[:, None]
+            state = m, s, V
+    if rows is not None:
+        yield done()
 
 
 def cross_attention(
@@ -126,40 +150,54 @@ def cross_attention(
 ) -> DataFrame:
     """``(text_key, combined)`` with ``combined = softmax(t · Iᵀ) · I`` over all image rows.
 
-    ``image_rows`` (if known) saves one counting job over the image side.
+    One row for every text row, whatever its key; without a vector, ``combined``
+    is null.  Image rows without a vector aren't attended to; without any image
+    row the result is empty.  ``image_rows`` (if known) saves one counting job
+    over the image side.
     """
+    spark = text.sparkSession
     n_img = image_rows if image_rows is not None else image.count()
     k_img = max(1, math.ceil(n_img / block_rows))
-    img = image.select(F.col(image_key).alias("_iid"), F.col(image_vec).cast("array<double>").alias("_iv"))
+    # image blocks form at most IMAGE_GROUPS groups, so many states are left of a text row;
+    # text blocks are dealt out in so many groups that pairs of groups fill the tasks
+    i_groups = min(k_img, IMAGE_GROUPS)
+    t_groups = math.ceil(2 * int(spark.conf.get("spark.sql.shuffle.partitions")) / i_groups)
+    img = image.select(F.col(image_vec).cast("array<double>").alias("_iv")).where("_iv is not null")
+    starts = F.sequence(F.lit(1), F.size("all_vecs"), F.lit(block_rows))
     img_blocks = (
-        img.withColumn("blk", F.pmod(F.xxhash64("_iid"), F.lit(k_img)).cast("int"))
+        img.withColumn("blk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(k_img)).cast("int"))
         .groupBy("blk")
-        .agg(F.collect_list("_iv").alias("i_vecs"))
+        .agg(F.collect_list("_iv").alias("all_vecs"))
+        .select(F.pmod("blk", F.lit(i_groups)).alias("igrp"), F.explode(F.transform(starts, lambda a: F.slice("all_vecs", a, block_rows))).alias("i_vecs"))
+        .withColumn("tgrp", F.explode(F.sequence(F.lit(0), F.lit(t_groups - 1))))
     )
     txt = text.select(F.col(text_key).alias("_tid"), F.col(text_vec).cast("array<double>").alias("_tv"))
     # text blocks: consecutive rows of one input partition, at most block_rows each
     txt_blocks = (
-        txt.withColumn("tblk", F.floor(F.monotonically_increasing_id() / F.lit(block_rows)))
-        .groupBy("tblk")
-        .agg(F.collect_list("_tid").alias("t_ids"), F.collect_list("_tv").alias("t_vecs"))
-        .withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(k_img - 1))))
-    )
-    joined = txt_blocks.join(img_blocks, "blk").select("t_ids", "t_vecs", "i_vecs")
-    partials = joined.mapInPandas(_block_partials, "text_id long, m double, s double, v array<double>")
-    if k_img == 1:
-        out = partials.select(F.col("text_id"), F.transform("v", lambda x: x / F.col("s")).alias("combined"))
-        return out.withColumnRenamed("text_id", text_key)
-    # exact merge of the per-block states: scale each by exp(m - max m)
-    top = partials.groupBy("text_id").agg(F.max("m").alias("mm"))
-    scaled = partials.join(top, "text_id").withColumn("w", F.exp(F.col("m") - F.col("mm")))
-    long = scaled.select("text_id", "w", "s", F.posexplode("v").alias("dim", "val"))
-    sums = long.groupBy("text_id", "dim").agg(
-        F.sum(F.col("val") * F.col("w")).alias("num"), F.sum(F.col("s") * F.col("w")).alias("den")
-    )
-    vec = sums.groupBy("text_id").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("dim", (F.col("num") / F.col("den")).alias("x")))), lambda e: e["x"]).alias("combined")
+        txt.where("_tv is not null")
+        .withColumn("_row", F.monotonically_increasing_id())
+        .groupBy(F.floor(F.col("_row") / F.lit(block_rows)).alias("tblk"))
+        .agg(F.collect_list(F.struct("_row", "_tid", "_tv")).alias("t"))
+        .withColumn("tgrp", F.pmod(F.xxhash64("tblk"), F.lit(t_groups)).cast("int"))
+        .withColumn("igrp", F.explode(F.sequence(F.lit(0), F.lit(i_groups - 1))))
     )
-    return vec.withColumnRenamed("text_id", text_key)
+    joined = txt_blocks.join(img_blocks, ["tgrp", "igrp"]).select("t", "i_vecs")
+    key_type = text.schema[text_key].dataType.simpleString()
+    partials = joined.mapInArrow(_block_partials, f"_row long, text_id {key_type}, m double, s double, v array<double>")
+    # exact merge of a text row's few states, in a fixed order: scale each by exp(m - max m)
+    state = F.struct("m", "s", "v")
+    per_row = partials.groupBy("_row").agg(F.first("text_id").alias(text_key), F.sort_array(F.collect_list(state)).alias("states"))
+    top = F.element_at("states", -1)["m"]  # they're ordered by m
+    weighed = per_row.select(text_key, F.transform("states", lambda x: F.struct(F.exp(x["m"] - top).alias("w"), x["s"].alias("s"), x["v"].alias("v"))).alias("states"))
+    den = F.aggregate("states", F.lit(0.0), lambda a, x: a + x["s"] * x["w"])
+    zeros = F.transform(F.element_at("states", 1)["v"], lambda _: F.lit(0.0))
+    num = F.aggregate("states", zeros, lambda a, x: F.zip_with(a, x["v"], lambda p, q: p + q * x["w"]))
+    vec = weighed.select(text_key, num.alias("num"), den.alias("den"))
+    vec = vec.select(text_key, F.transform("num", lambda x: x / F.col("den")).alias("combined"))
+    without = txt.where("_tv is null").select(F.col("_tid").alias(text_key), F.lit(None).cast("array<double>").alias("combined"))
+    if n_img == 0:
+        without = without.limit(0)
+    return vec.unionAll(without)
 
 
 def combine_features(

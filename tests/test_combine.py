@@ -50,6 +50,26 @@ def test_cross_attention_matches_dense_softmax(spark, block_rows):
     assert np.allclose(out, P @ I)
 
 
+@pytest.mark.parametrize("block_rows", [1024, 3])
+def test_cross_attention_keeps_every_text_row(spark, block_rows):
+    T, I, _, _ = frames(spark, n=9, m=11, d=5, seed=7)
+    keys = ["a", "a", None, None, "b", "a", None, "c", "c"]
+    schema = "id string, vector array<double>"
+    t = spark.createDataFrame([*((k, v.tolist()) for k, v in zip(keys, T)), ("d", None)], schema)
+    im = spark.createDataFrame([(None if i % 2 else "x", v.tolist()) for i, v in enumerate(I)], schema)
+    out = [(r["id"], r["combined"]) for r in combine.cross_attention(t, im, block_rows=block_rows).collect()]
+    P = np.exp(T @ I.T)
+    expect = (P / P.sum(axis=1, keepdims=True)) @ I
+    rounded = lambda rows: sorted((str(k), [] if v is None else [round(x, 9) + 0.0 for x in v]) for k, v in rows)
+    assert rounded(out) == rounded([*zip(keys, expect.tolist()), ("d", None)])
+
+
+def test_cross_attention_spreads_text(spark):
+    _, _, t, im = frames(spark, n=64, m=3)
+    left = combine.cross_attention(t.repartition(4), im, block_rows=2)._jdf.queryExecution().analyzed().toString()
+    assert "(tgrp#" in left and "(igrp#" in left and "text_id" in left
+
+
 def test_pairing_checks(spark):
     _, _, t, im = frames(spark, n=5, m=4)
     with pytest.raises(ValidationError, match="pair 1:1"):
