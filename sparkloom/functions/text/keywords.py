@@ -21,17 +21,19 @@ best-first, skipping any whose Levenshtein similarity
 
 Everything up to the ranking is per-document aggregation and equi-joins on
 ``(doc, term)``; the greedy dedup is sequential per document and runs in
-``applyInPandas`` over that document's candidates (bounded by its length).
+``applyInArrow`` over that document's candidates (bounded by its length).  A
+document is a row: ids may be null or repeated (see ``tokens.by_document``).
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkloom.functions import prompts
-from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column
+from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column, rows_of
 
 # English stop words for candidate boundaries.
 STOP_WORDS = (
@@ -54,42 +56,48 @@ def _shift(arr: Column, offset: int) -> Column:
     return F.concat(F.slice(arr, 2, F.greatest(n - 1, F.lit(0))), pad)
 
 
-def sentence_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, s, ws, lw)``: each non-empty sentence's words, as written and lower-cased."""
+def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     require_text_column(df, text_col)
-    sents = df.select(F.col(id_col), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_SPLIT, -1)).alias("s", "sentence"))
-    words = sents.select(
-        id_col, "s",
+    return by_document(df, id_col, text_col)
+
+
+def sentence_words(docs: DataFrame) -> DataFrame:
+    """``(_doc, s, ws, lw)``: each non-empty sentence's words, as written and lower-cased."""
+    sents = docs.select("_doc", F.posexplode(F.split("text", SENTENCE_SPLIT, -1)).alias("s", "sentence"))
+    # partitioned by document already: every later step is keyed by (_doc, ...)
+    # and reads the one (reused) exchange of the texts
+    return sents.select(
+        "_doc", "s",
         F.regexp_extract_all("sentence", F.lit(LETTER_TOKEN), 0).alias("ws"),
         F.regexp_extract_all(F.lower("sentence"), F.lit(LETTER_TOKEN), 0).alias("lw"),  # aligned with ws
     ).filter(F.size("ws") > 0)
-    # tokenise once, then partition by document: every later step is keyed by
-    # (id, ...) and reads this one (reused) exchange
-    return by_document(words, id_col)
 
 
-def token_rows(df: DataFrame, id_col: str, text_col: str, words: DataFrame | None = None) -> DataFrame:
-    """``(id, s, i, word, term, prev, next, is_stop)``: tokens with sentence index and neighbours."""
-    words = words if words is not None else sentence_words(df, id_col, text_col)
+def token_rows(words: DataFrame) -> DataFrame:
+    """``(_doc, s, i, word, term, prev, next, is_stop)``: tokens with sentence index and neighbours."""
     z = F.arrays_zip(
         F.col("ws").alias("word"), F.col("lw").alias("term"),
         _shift(F.col("lw"), -1).alias("prev"), _shift(F.col("lw"), 1).alias("next"),
     )
-    rows = words.select(id_col, "s", F.posexplode(z).alias("i", "z")).select(
-        id_col, "s", "i", F.col("z.word").alias("word"), F.col("z.term").alias("term"),
+    rows = words.select("_doc", "s", F.posexplode(z).alias("i", "z")).select(
+        "_doc", "s", "i", F.col("z.word").alias("word"), F.col("z.term").alias("term"),
         F.col("z.prev").alias("prev"), F.col("z.next").alias("next"),
     )
     return rows.withColumn("is_stop", F.col("term").isin(STOP_WORDS))
 
 
-def term_scores(df: DataFrame, id_col: str, text_col: str, words: DataFrame | None = None) -> DataFrame:
+def term_scores(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, tf, score)`` for every non-stop term of every document."""
-    words = words if words is not None else sentence_words(df, id_col, text_col)
-    toks = token_rows(df, id_col, text_col, words)
+    docs = _documents(df, id_col, text_col)
+    return rows_of(_term_scores(sentence_words(docs)), docs, id_col)
+
+
+def _term_scores(words: DataFrame) -> DataFrame:
+    toks = token_rows(words)
     t = toks.filter(~F.col("is_stop"))
     acronym = (F.col("word") == F.upper("word")) & (F.length("word") > 1) & (F.col("word") != F.lower("word"))
     capital = (F.substring("word", 1, 1) == F.upper(F.substring("word", 1, 1))) & (F.substring("word", 1, 1) != F.lower(F.substring("word", 1, 1)))
-    stats = t.groupBy(id_col, "term").agg(
+    stats = t.groupBy("_doc", "term").agg(
         F.count(F.lit(1)).alias("tf"),
         F.count_if(acronym).alias("tf_a"),
         F.count_if(capital & ~acronym & (F.col("i") > 0)).alias("tf_u"),
@@ -108,12 +116,12 @@ def term_scores(df: DataFrame, id_col: str, text_col: str, words: DataFrame | No
     # exact integer sums, then fixed float steps: bit-identical on every run, whatever
     # the order in which partial aggregates merge (the ranking compares scores exactly)
     n_t, s1, s2 = F.count(F.lit(1)), F.sum("tf"), F.sum(F.col("tf") * F.col("tf"))
-    doc = stats.groupBy(id_col).agg(
+    doc = stats.groupBy("_doc").agg(
         (s1 / n_t).alias("mean_tf"),
         F.sqrt(F.greatest(s2 / n_t - (s1 / n_t) * (s1 / n_t), F.lit(0.0))).alias("std_tf"),
         F.max("tf").alias("max_tf"),
-    ).join(words.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_sent")).hint("shuffle_hash"), id_col)
-    j = stats.join(doc.hint("shuffle_hash"), id_col)
+    ).join(words.groupBy("_doc").agg(F.count(F.lit(1)).alias("n_sent")).hint("shuffle_hash"), "_doc")
+    j = stats.join(doc.hint("shuffle_hash"), "_doc")
     dl = F.when(F.col("n_left") > 0, F.col("d_left") / F.col("n_left")).otherwise(F.lit(0.0))
     dr = F.when(F.col("n_right") > 0, F.col("d_right") / F.col("n_right")).otherwise(F.lit(0.0))
     case = F.greatest("tf_a", "tf_u") / (F.lit(1.0) + F.log("tf"))
@@ -122,13 +130,17 @@ def term_scores(df: DataFrame, id_col: str, text_col: str, words: DataFrame | No
     rel = F.lit(1.0) + (dl + dr) * F.col("tf") / F.col("max_tf")
     sent = F.col("n_sent_t") / F.col("n_sent")
     score = rel * pos / (case + freq / rel + sent / rel)
-    return j.select(id_col, "term", "tf", score.alias("score"))
+    return j.select("_doc", "term", "tf", score.alias("score"))
 
 
 def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int = MAX_NGRAM) -> DataFrame:
     """``(id, keyword, n, kf, score)`` for every candidate n-gram (before dedup)."""
-    words = sentence_words(df, id_col, text_col)
-    scores = term_scores(df, id_col, text_col, words)
+    docs = _documents(df, id_col, text_col)
+    return rows_of(_candidate_scores(sentence_words(docs), max_ngram), docs, id_col)
+
+
+def _candidate_scores(words: DataFrame, max_ngram: int) -> DataFrame:
+    scores = _term_scores(words)
 
     def ngrams(n: int) -> Column:
         starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("lw"), F.lit(1))), lambda i: i + (n - 1) <= F.size("lw"))
@@ -136,36 +148,36 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
 
     # every n-gram occurrence inside a sentence, straight from the sentence's word array
     all_grams = F.flatten(F.array(*[ngrams(n) for n in range(1, max_ngram + 1)]))
-    occ = words.select(id_col, F.explode(all_grams).alias("g"))
+    occ = words.select("_doc", F.explode(all_grams).alias("g"))
     occ = occ.withColumn("st", F.transform("g", lambda t: t.isin(STOP_WORDS)))
     occ = occ.filter(~F.element_at("st", 1) & ~F.element_at("st", -1))
     occ = occ.withColumn("keyword", F.array_join("g", " "))
-    cands = occ.groupBy(id_col, "keyword").agg(F.count(F.lit(1)).alias("kf"))
+    cands = occ.groupBy("_doc", "keyword").agg(F.count(F.lit(1)).alias("kf"))
     cands = cands.withColumn("g", F.split("keyword", " ")).withColumn("st", F.transform("g", lambda t: t.isin(STOP_WORDS)))
     # component terms: non-stop terms take S(t); an interior stop word takes the bigram factor
-    comp = cands.select(id_col, "keyword", "g", "st", "kf", F.posexplode(F.arrays_zip(F.col("g").alias("t"), F.col("st").alias("stop"))).alias("j", "c"))
-    comp = comp.select(id_col, "keyword", "kf", "j", F.col("c.t").alias("t"), F.col("c.stop").alias("stop"),
+    comp = cands.select("_doc", "keyword", "g", "st", "kf", F.posexplode(F.arrays_zip(F.col("g").alias("t"), F.col("st").alias("stop"))).alias("j", "c"))
+    comp = comp.select("_doc", "keyword", "kf", "j", F.col("c.t").alias("t"), F.col("c.stop").alias("stop"),
                        F.when(F.col("j") > 0, F.try_element_at("g", F.col("j"))).alias("a"),
                        F.try_element_at("g", F.col("j") + 2).alias("b"))
     plain = comp.filter(~F.col("stop")).join(
-        scores.select(id_col, F.col("term").alias("t"), F.col("score").alias("st_score")).hint("shuffle_hash"), [id_col, "t"]
-    ).select(id_col, "keyword", "kf", "j", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
+        scores.select("_doc", F.col("term").alias("t"), F.col("score").alias("st_score")).hint("shuffle_hash"), ["_doc", "t"]
+    ).select("_doc", "keyword", "kf", "j", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
     # interior stop words (only inside 3-grams) take 1 + (1 - P(w|a) P(b|w)); counts over all tokens
     # only pairs touching a stop word can feed a stop-word factor
-    pairs = words.select(id_col, F.explode(ngrams(2)).alias("p")).select(
-        id_col, F.element_at("p", 1).alias("x"), F.element_at("p", 2).alias("y")
+    pairs = words.select("_doc", F.explode(ngrams(2)).alias("p")).select(
+        "_doc", F.element_at("p", 1).alias("x"), F.element_at("p", 2).alias("y")
     ).filter(F.col("x").isin(STOP_WORDS) | F.col("y").isin(STOP_WORDS))
-    big = pairs.groupBy(id_col, "x", "y").agg(F.count(F.lit(1)).alias("cxy"))
-    stop_n = words.select(id_col, F.explode("lw").alias("u")).filter(F.col("u").isin(STOP_WORDS)).groupBy(id_col, "u").agg(
+    big = pairs.groupBy("_doc", "x", "y").agg(F.count(F.lit(1)).alias("cxy"))
+    stop_n = words.select("_doc", F.explode("lw").alias("u")).filter(F.col("u").isin(STOP_WORDS)).groupBy("_doc", "u").agg(
         F.count(F.lit(1)).alias("cu")
     )
     sw = comp.filter(F.col("stop"))
-    sw = sw.join(big.select(id_col, F.col("x").alias("a"), F.col("y").alias("t"), F.col("cxy").alias("c_at")).hint("shuffle_hash"), [id_col, "a", "t"], "left")
-    sw = sw.join(big.select(id_col, F.col("x").alias("t"), F.col("y").alias("b"), F.col("cxy").alias("c_tb")).hint("shuffle_hash"), [id_col, "t", "b"], "left")
-    sw = sw.join(scores.select(id_col, F.col("term").alias("a"), F.col("tf").alias("c_a")).hint("shuffle_hash"), [id_col, "a"], "left")
-    sw = sw.join(stop_n.select(id_col, F.col("u").alias("t"), F.col("cu").alias("c_t")).hint("shuffle_hash"), [id_col, "t"], "left")
+    sw = sw.join(big.select("_doc", F.col("x").alias("a"), F.col("y").alias("t"), F.col("cxy").alias("c_at")).hint("shuffle_hash"), ["_doc", "a", "t"], "left")
+    sw = sw.join(big.select("_doc", F.col("x").alias("t"), F.col("y").alias("b"), F.col("cxy").alias("c_tb")).hint("shuffle_hash"), ["_doc", "t", "b"], "left")
+    sw = sw.join(scores.select("_doc", F.col("term").alias("a"), F.col("tf").alias("c_a")).hint("shuffle_hash"), ["_doc", "a"], "left")
+    sw = sw.join(stop_n.select("_doc", F.col("u").alias("t"), F.col("cu").alias("c_t")).hint("shuffle_hash"), ["_doc", "t"], "left")
     pp = (F.coalesce(F.col("c_at"), F.lit(0)) / F.col("c_a")) * (F.coalesce(F.col("c_tb"), F.lit(0)) / F.col("c_t"))
-    stops = sw.select(id_col, "keyword", "kf", "j", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
+    stops = sw.select("_doc", "keyword", "kf", "j", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
     sc = plain.unionByName(stops)
     # one row per component index: pick each exactly (max over a single value), then add
     # them in index order, so the score never depends on how partial aggregates merge
@@ -173,14 +185,14 @@ def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int =
     for jj in range(max_ngram):
         picks += [F.max(F.when(F.col("j") == jj, F.col("log_f"))).alias(f"l{jj}"),
                   F.max(F.when(F.col("j") == jj, F.col("add"))).alias(f"a{jj}")]
-    per = sc.groupBy(id_col, "keyword", "kf").agg(F.count(F.lit(1)).alias("n"), *picks)
+    per = sc.groupBy("_doc", "keyword", "kf").agg(F.count(F.lit(1)).alias("n"), *picks)
     log_prod, sum_s = F.lit(0.0), F.lit(0.0)
     for jj in range(max_ngram):
         log_prod = log_prod + F.coalesce(F.col(f"l{jj}"), F.lit(0.0))
         sum_s = sum_s + F.coalesce(F.col(f"a{jj}"), F.lit(0.0))
-    per = per.select(id_col, "keyword", "kf", "n", log_prod.alias("log_prod"), sum_s.alias("sum_s"))
+    per = per.select("_doc", "keyword", "kf", "n", log_prod.alias("log_prod"), sum_s.alias("sum_s"))
     score = F.exp("log_prod") / (F.col("kf") * (F.lit(1.0) + F.col("sum_s")))
-    return per.select(id_col, "keyword", "n", "kf", score.alias("score"))
+    return per.select("_doc", "keyword", "n", "kf", score.alias("score"))
 
 
 def _levenshtein(a: str, b: str) -> int:
@@ -204,26 +216,37 @@ def _similar(a: str, b: str) -> float:
 def keywords(df: DataFrame, id_col: str, text_col: str, top: int = TOP, dedup_lim: float = DEDUP_LIM,
              max_ngram: int = MAX_NGRAM) -> DataFrame:
     """``(id, rank, keyword, score)``: up to ``top`` deduplicated keywords per document."""
-    cands = candidate_scores(df, id_col, text_col, max_ngram).select(id_col, "keyword", "score")
-    id_type = df.schema[id_col].dataType.simpleString()
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "keyword"], kind="mergesort")
-        kept: list[tuple[str, float]] = []
-        for kw, s in zip(pdf["keyword"], pdf["score"]):
-            if all(_similar(kw, k) <= dedup_lim for k, _ in kept):
-                kept.append((kw, float(s)))
+    docs = _documents(df, id_col, text_col)
+    return rows_of(_keywords(docs, top, dedup_lim, max_ngram), docs, id_col)
+
+
+def _keywords(docs: DataFrame, top: int = TOP, dedup_lim: float = DEDUP_LIM, max_ngram: int = MAX_NGRAM) -> DataFrame:
+    cands = _candidate_scores(sentence_words(docs), max_ngram).select("_doc", "keyword", "score")
+
+    def pick(doc: pa.Table) -> pa.Table:
+        kept: list[tuple[float, str]] = []
+        for s, kw in sorted(zip(doc["score"].to_pylist(), doc["keyword"].to_pylist())):
+            if all(_similar(kw, k) <= dedup_lim for _, k in kept):
+                kept.append((s, kw))
                 if len(kept) >= top:
                     break
-        doc = pdf[id_col].iloc[0]
-        return pd.DataFrame({id_col: [doc] * len(kept), "rank": list(range(len(kept))),
-                             "keyword": [k for k, _ in kept], "score": [s for _, s in kept]})
+        return pa.table({
+            "_doc": doc["_doc"].take(pa.array([0] * len(kept), pa.int64())), "rank": pa.array(range(len(kept)), pa.int32()),
+            "keyword": pa.array([k for _, k in kept], pa.string()), "score": pa.array([s for s, _ in kept], pa.float64()),
+        })
+
+    schema = StructType([cands.schema["_doc"]]).add("rank", "integer").add("keyword", "string").add("score", "double")  # with the key's own nullability
+    return cands.groupBy("_doc").applyInArrow(pick, schema)
+
 
-    return cands.groupBy(id_col).applyInPandas(pick, f"{id_col} {id_type}, rank int, keyword string, score double")
+def prompts_of(df: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:
+    """``keyword_prompts`` of each document of ``df``, ids null or repeated or not."""
+    docs = _documents(df, id_col, text_col)
+    return rows_of(keyword_prompts(_keywords(docs), "_doc", n), docs, id_col)
 
 
 def keyword_prompts(kw: DataFrame, id_col: str, n: int = 3) -> DataFrame:
-    """``Create content focusing on: k1, k2, k3`` per document (its best ``n`` keywords)."""
+    """``Create content focusing on: k1, k2, k3`` per id (its best ``n`` keywords; documents without an id of their own: ``prompts_of``)."""
     best = kw.filter(F.col("rank") < n).groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("rank", "keyword"))).alias("ks"))
     text = F.array_join(F.transform("ks", lambda e: e["keyword"]), ", ")
     return best.select(id_col, F.concat(F.lit(prompts.KEYWORDS_PREFIX), text).alias("suggestion"))

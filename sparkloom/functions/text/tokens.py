@@ -25,21 +25,32 @@ def require_text_column(df: DataFrame, column: str) -> None:
         raise ValidationError(f"Column '{column}' must contain text data, found {df.schema[column].dataType.simpleString()}")
 
 
-def by_document(df: DataFrame, id_col: str, *cols: str) -> DataFrame:
-    """Hash-partition the input by document id, once.
+def by_document(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(_doc, text, copies)``: each distinct (id, text) once, hash-partitioned by ``_doc``.
+
+    ``_doc`` (id and hash of the text) is never null, so documents without an id
+    stay, and documents that share an id (or have none) stay apart.  It follows
+    from the rows alone: jobs that read the input in several branches find the
+    same key in each, which a row number doesn't promise.  Copies are counted
+    map-side; ``rows_of`` gives each its rows again.
 
     Every later aggregate or join in the text features is keyed by
-    ``(id, ...)``, which this partitioning already satisfies, so the whole
+    ``(_doc, ...)``, which this partitioning already satisfies, so the whole
     feature job needs this one shuffle of the raw text instead of several
-    shuffles of exploded tokens (which are larger than the text).  All
-    branches read the same exchange, which Spark reuses rather than
-    recomputing the regex work.  Documents are bounded in length, so one
-    document never overloads a task.
+    shuffles of exploded tokens (which are larger than the text).
+    Documents are bounded in length, so one document never overloads a task.
     """
-    keep = [id_col, *cols] if cols else df.columns
-    # the explicit null filter keeps every branch's plan identical (joins would
-    # otherwise infer it for some branches only and defeat exchange reuse)
-    return df.select(*keep).filter(F.col(id_col).isNotNull()).repartition(id_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.struct(F.col(id_col).alias("id"), F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("hash"))
+    return df.select(key.alias("_doc"), text.alias("text")).groupBy("_doc").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+
+
+def rows_of(out: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """``out`` keyed by the ``_doc`` of ``docs`` (see ``by_document``) as rows of the id, once for every copy."""
+    rest = [c for c in out.columns if c != "_doc"]
+    copies = out.join(docs.select("_doc", "copies").hint("shuffle_hash"), "_doc")
+    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return copies.select(F.col("_doc.id").alias(id_col), *rest)
 
 
 def token_array(text: Column, pattern: str = LETTER_TOKEN, lower: bool = True) -> Column:

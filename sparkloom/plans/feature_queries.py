@@ -634,7 +634,7 @@ def q_text_keywords(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("prompt_keywords", None)
 def q_prompt_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return kw.keyword_prompts(kw.keywords(_docs(spark, sf), "doc_id", "text"), "doc_id")
+    return kw.prompts_of(_docs(spark, sf), "doc_id", "text")
 
 
 # ---------------------------------------------------------------- sample data and summaries

@@ -121,6 +121,20 @@ def test_keyword_candidates_on_literal_text(spark):
     assert prompts.startswith("Create content focusing on: ")
 
 
+def test_keywords_of_null_and_repeated_ids(spark):
+    texts = ["Spark jobs run fast. The Spark engine runs jobs of the cluster.", "Rivers carry water to the sea. Water is life.", "Old castles stand on hills."]
+    alone = {t: spark.createDataFrame([(1, t)], "id long, t string") for t in texts}
+    df = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (None, texts[1]), (2, texts[2]), (2, texts[0]), (3, None)], "id long, t string")
+    jobs = [
+        lambda d: keywords.term_scores(d, "id", "t"), lambda d: keywords.candidate_scores(d, "id", "t"),
+        lambda d: keywords.keywords(d, "id", "t"), lambda d: keywords.prompts_of(d, "id", "t"),
+    ]
+    for job in jobs:
+        one = {t: [tuple(r)[1:] for r in job(d).collect()] for t, d in alone.items()}
+        expect = [(i, *r) for i, t in ((None, 0), (None, 1), (None, 1), (2, 2), (2, 0)) for r in one[texts[t]]]
+        assert sorted(map(str, map(tuple, job(df).collect()))) == sorted(map(str, expect))
+
+
 def test_topics(spark, docs):
     en = docs.filter(F.col("lang") == "en")
     bow = topics.bag_of_words(en, "doc_id", "text")
