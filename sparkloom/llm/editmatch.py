@@ -17,10 +17,10 @@ from __future__ import annotations
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_rows, arrow_schema, free_name
+from sparkloom.llm.common import arrow_rows, arrow_schema, free_name, staged
 
 CHARS_PER_EDIT = 20
 BLOCK_CHARS = 8_000_000
@@ -133,15 +133,47 @@ def _matched(items, token: str, schema: pa.Schema):
     return arrow_rows(run, schema)
 
 
-def item_blocks(spark: SparkSession, benchmark: DataFrame, id_col: str, text_col: str):
-    """The distinct normalised test items with an id and any text, in blocks of about ``BLOCK_CHARS`` characters."""
-    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null")
+def _normalised_items(items: DataFrame) -> DataFrame:
+    """``items(i, t)`` with distinct normalised texts that aren't empty, computed in the tasks."""
+    of_id = items.schema["i"].dataType.simpleString()
+    schema = f"i {of_id}, t string"
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = batch.columns
+            yield pa.RecordBatch.from_arrays([ids, pa.array([normalised(t.as_py()) for t in texts], pa.string())], names=["i", "t"])
+
+    return items.mapInArrow(run, schema).where("t <> ''").distinct()
+
+
+def item_blocks(benchmark: DataFrame, id_col: str | None, text_col: str):
+    """The distinct normalised test items with any text, in blocks of at most ``BLOCK_CHARS`` characters (or one item).
+
+    With ``id_col`` items are pairs of an id (not null) and a text; without,
+    distinct texts.  Rows are numbered by a hash of id and text, and blocks cut
+    by the characters that lie before; a block's size is checked before it is handed on.
+    """
+    chosen = F.col(id_col) if id_col else F.lit(0)
+    items = benchmark.select(chosen.alias("i"), F.col(text_col).cast("string").alias("t")).where("i is not null and t is not null")
+    items = staged(_normalised_items(items).withColumn("h", F.xxhash64("i", "t")), "items")
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    blocks = total // BLOCK_CHARS + 1
-    for b in range(blocks):
-        got = items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b).distinct().toLocalIterator()
-        found = sorted({(r["i"], normalised(r["t"])) for r in got})
-        yield [x for x in found if x[1]]
+    parts = 2 * (total // BLOCK_CHARS) + 1  # so that a part is seldom over the bound
+
+    def cut(rows):
+        block, chars = [], 0
+        for r in rows:
+            if block and chars + len(r["t"]) > BLOCK_CHARS:
+                yield sorted(block)
+                block, chars = [], 0
+            block.append((r["i"], r["t"]))
+            chars += len(r["t"])
+        if block:
+            yield sorted(block)
+
+    for p in range(parts if total else 0):
+        yield from cut(items.where(F.pmod("h", F.lit(parts)) == p).toLocalIterator())
+    if not total:
+        yield []
 
 
 def benchmark_matches(
@@ -159,7 +191,7 @@ def benchmark_matches(
     ddl = f"id {of_id}, item_id {of_item}, match_start long, match_end long, distance int"
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
     out = None
-    for items in item_blocks(spark, benchmark, item_col, item_text):
+    for items in item_blocks(benchmark, item_col, item_text):
         shared = spark.sparkContext.broadcast(items)
         token = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
         part = rows.mapInArrow(_matched(shared, token, arrow_schema(ddl)), ddl)
@@ -168,13 +200,13 @@ def benchmark_matches(
 
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a test item; columns as before.
+    """``docs`` without the documents that hold a test item, with an id or not; columns as before.
 
     The decision is made in the documents' own pass, so nothing is shuffled.
     """
     spark, leak = docs.sparkSession, free_name(docs, "leak")
     out = docs.withColumn(leak, F.lit(False))
-    for items in item_blocks(spark, benchmark, "item_id", "text"):
+    for items in item_blocks(benchmark, None, "text"):
         shared = spark.sparkContext.broadcast(items)
         token = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
         out = out.mapInArrow(_flagged(shared, token, text_col), out.schema)

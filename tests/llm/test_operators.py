@@ -470,3 +470,15 @@ def test_matches_odd(spark, odd_docs, no_docs, monkeypatch):
         assert left.columns == odd_docs.columns and left.count() == 4
     assert editmatch.benchmark_matches(no_docs, bench).count() == 0
     assert editmatch.without_matches(odd_docs, bench.limit(0)).count() == 9
+
+
+def test_items_without_an_id_and_blocks_under_one_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "so the quick brown fox jumps over it"), (2, "nothing of the kind is said here")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "The quick  brown fox jumps"), (None, None)], "item_id long, text string")
+    assert [r["doc_id"] for r in editmatch.without_matches(docs, bench).collect()] == [2]
+    assert editmatch.benchmark_matches(docs, bench).count() == 0  # a match names its item's id
+    monkeypatch.setattr(editmatch, "BLOCK_CHARS", 100)
+    hot = spark.createDataFrame([(7, f"passage {i} of the one item with all texts") for i in range(40)], "item_id long, text string")
+    for id_col in ("item_id", None):
+        blocks = list(editmatch.item_blocks(hot.union(hot), id_col, "text"))
+        assert sum(map(len, blocks)) == 40 and all(sum(len(t) for _, t in b) <= 100 for b in blocks)
