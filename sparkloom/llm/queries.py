@@ -65,4 +65,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_minhash, op7_langid, op8_winnowing, op9_simple8b, op10_decontaminate,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+#: op3: a digest is SHA-1; of equal payloads of at least 1000 bytes the largest page id is the response.
+ORACLE_SQL: dict[str, str] = {
+    "op3_arc_to_warc": """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h, n) ELSE page_id END AS lead FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> lead THEN lead END AS refers_to
+FROM r""",
+}

@@ -482,3 +482,16 @@ def test_items_without_an_id_and_blocks_under_one_id(spark, monkeypatch):
     for id_col in ("item_id", None):
         blocks = list(editmatch.item_blocks(hot.union(hot), id_col, "text"))
         assert sum(map(len, blocks)) == 40 and all(sum(len(t) for _, t in b) <= 100 for b in blocks)
+
+
+# SQL
+
+
+def test_arc_to_warc_as_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    columns = "page_id, payload_bytes, payload_digest, record_type, refers_to"
+    expect = con.sql(f"SELECT {columns} FROM ({queries.ORACLE_SQL['op3_arc_to_warc']})").fetchall()
+    got = queries.op3_arc_to_warc(spark, SF).selectExpr(*columns.split(", ")).collect()
+    assert expect and sorted(map(str, map(tuple, got))) == sorted(map(str, expect))
