@@ -484,6 +484,14 @@ def test_items_without_an_id_and_blocks_under_one_id(spark, monkeypatch):
         assert sum(map(len, blocks)) == 40 and all(sum(len(t) for _, t in b) <= 100 for b in blocks)
 
 
+def test_edited_texts_share_a_print_from_86_code_points_on():
+    rnd = random.Random(8)
+    text = lambda n: "".join(rnd.choices("abcdefgh ", k=n))
+    for n in [*range(86, 130), 500]:
+        old = text(n)
+        assert winnow.likeness(*(np.unique(winnow.fingerprint(t)[0]) for t in (old, winnow.edited(old, text(n))))) > 0
+
+
 # SQL
 
 
