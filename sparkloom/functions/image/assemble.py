@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sparkloom.errors import ValidationError
-from sparkloom.functions.image import analysis, palette
+from sparkloom.functions.image import analysis, palette, raster
 from sparkloom.functions.image.pixels import with_gray
 
 Detector = Callable[[np.ndarray], list[tuple[tuple[float, float, float, float], int, float]]]
@@ -26,6 +26,7 @@ DEFAULTS = {
     "brightness": 0.0, "contrast": 0.0, "pixel_std": 0.0, "saturation": 0.0,
     "var_r": 0.0, "var_g": 0.0, "var_b": 0.0, "texture_contrast": 0.0, "energy": 0.0, "homogeneity": 0.0,
     "aesthetic_score": 0.0, "sharpness": 0.0, "complexity": 0.0,
+    "mean_r": 0.0, "mean_g": 0.0, "mean_b": 0.0, "std_r": 0.0, "std_g": 0.0, "std_b": 0.0, "color_diversity": 0.0,
 }
 DEFAULT_COLOR = "#000000"
 # Suggestion defaults when an analysis was not run.
@@ -33,19 +34,23 @@ SUGGESTION_DEFAULTS = {"aspect_ratio": 1.0, "orientation": "square", "brightness
 
 
 def analyze_images(pixels: DataFrame, analyses: Iterable[str] = DEFAULT_ANALYSES, ids: DataFrame | None = None,
-                   detector: Detector | None = None, channels: str = "GRAY") -> DataFrame:
+                   detector: Detector | None = None, channels: str = "GRAY", palette_size: tuple[int, int] | None = None) -> DataFrame:
     """One row per image with the columns of the selected analyses.
 
+    ``pixels`` is a pixel relation, or rasters (``raster``, ``sources.png``), which are analysed
+    where they're read; ``palette_size`` resamples these before their palette.
     With ``ids`` (a frame of ``image_id``), every listed image gets a row and
     images without pixels (undecodable) get the per-analysis defaults.
     OBJECTS runs ``detector`` (by default the stub) and gives an array
     ``objects`` of (rank, x1, y1, x2, y2, label, score), empty where it finds none.
     """
-    detector = detector or bright_region_detector
     chosen = [a.upper() for a in analyses]
     bad = [a for a in chosen if a not in ANALYSES]
     if bad:
         raise ValidationError(f"Unknown analysis types {bad}; expected {ANALYSES}")
+    if "rgb" in pixels.columns:
+        return _analyze_rasters(pixels, chosen, ids, detector, channels, palette_size)
+    detector = detector or bright_region_detector
     out = ids.select("image_id").distinct() if ids is not None else pixels.select("image_id").distinct()
     parts = []
     if "COMPOSITION" in chosen:
@@ -63,12 +68,45 @@ def analyze_images(pixels: DataFrame, analyses: Iterable[str] = DEFAULT_ANALYSES
         found = detect_objects(pixels, detector, channels)
         entry = F.struct(*[c for c in found.columns if c != "image_id"])
         parts.append(found.groupBy("image_id").agg(F.sort_array(F.collect_list(entry)).alias("objects")))
+    return _with_defaults(out, parts)
+
+
+#: Columns of ``raster.measures`` by analysis.
+MEASURES = {
+    "COMPOSITION": ("width", "height", "aspect_ratio", "orientation", "edge_density", "focal_x", "focal_y"),
+    "STYLE": ("brightness", "pixel_std", "saturation", "var_r", "var_g", "var_b", "texture_contrast", "energy", "homogeneity", "contrast"),
+    "AESTHETICS": ("aesthetic_score", "sharpness", "complexity"),
+}
+
+
+def _analyze_rasters(rasters: DataFrame, chosen: list[str], ids: DataFrame | None, detector: Detector | None, channels: str, size: tuple[int, int] | None) -> DataFrame:
+    """``analyze_images`` of rasters: all statistics from one pass, palette with its statistics from another, no shuffle of pixels.
+
+    Images without pixels have the defaults, whether ``ids`` lists them or a raster row does.
+    """
+    out = (rasters if ids is None else ids).select("image_id").distinct()
+    parts = []
+    columns = [c for a, cs in MEASURES.items() if a in chosen for c in cs]
+    if columns:
+        parts.append(raster.measures(rasters).select("image_id", *columns))
+    if "COLOR_PALETTE" in chosen:
+        parts.append(raster.color_stats(rasters, size=size))
+    if "OBJECTS" in chosen:
+        found = raster.detect_objects(rasters, detector or raster.bright_regions, channels)
+        entry = F.struct(*[c for c in found.columns if c != "image_id"])
+        parts.append(found.groupBy("image_id").agg(F.sort_array(F.collect_list(entry)).alias("objects")))
+    return _with_defaults(out, parts)
+
+
+def _with_defaults(out: DataFrame, parts: list[DataFrame]) -> DataFrame:
     for p in parts:
         out = out.join(p, "image_id", "left")
     # analyses give every image with pixels a value, so only images without pixels are filled
     out = out.fillna({c: v for c, v in DEFAULTS.items() if c in out.columns})
     if "dominant_colors" in out.columns:
         out = out.withColumn("dominant_colors", F.coalesce("dominant_colors", F.array_repeat(F.lit(DEFAULT_COLOR), palette.DEFAULT_K)))
+    if "color_weights" in out.columns:
+        out = out.withColumn("color_weights", F.coalesce("color_weights", F.array_repeat(F.lit(0.0), palette.DEFAULT_K)))
     if "objects" in out.columns:
         out = out.withColumn("objects", F.coalesce("objects", F.array().cast(out.schema["objects"].dataType)))
     return out

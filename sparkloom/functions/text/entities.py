@@ -5,26 +5,30 @@ with end-exclusive character offsets.  Overlaps are resolved by rule
 priority: a match is dropped when it overlaps a kept match of a higher-priority
 rule.  That test is a sweep over the matches of one document ordered by
 start offset (two running window aggregates per priority level, one in each
-direction), linear in the matches.  Statistical NER is available only through
-``batch_model_inference`` with a user-supplied model.
+direction), linear in the matches.  All rules read a text in one scan.
+
+Matches belong to a row, numbered in the scan, not to an id: rows that share
+an id, or have none, keep their own offsets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import (
-    LETTER_TOKEN, match_offsets, match_steps, offsets_from_steps, require_text_column,
+    LETTER_TOKEN, offsets_from_steps, require_text_column, rule_steps,
 )
 from sparkloom.operators.broadcast import broadcast_if_small
 
 # Entity rules in priority order (first wins on overlap; the
 # more specific DATE pattern outranks the looser PHONE one).
+# Repeated groups are bounded (a host has at most ten labels of 63 characters): the
+# regex engine recurses for each repeat.
 # No \b: word boundaries differ between Java and RE2 next to non-ASCII letters.
 ENTITY_RULES: tuple[tuple[str, str], ...] = (
-    ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    ("EMAIL", r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,63}"),
     ("URL", r"https?://[A-Za-z0-9._~:/?#@!$&'*+,;=%-]+"),
     ("IP", r"(?:\d{1,3}\.){3}\d{1,3}"),
     ("DATE", r"\d{4}-\d{2}-\d{2}"),
@@ -50,46 +54,42 @@ RULE_REQUIRES: dict[str, str] = {
 GAZETTEER_LABEL_PRIORITY = len(ENTITY_RULES)
 
 
-def _may_match(text_col: str, label: str) -> F.Column:
+def _may_match(text: Column, label: str) -> Column:
     need = RULE_REQUIRES.get(label)
     if need is None:
         return F.lit(True)
-    if need.startswith("["):
-        return F.col(text_col).rlike(need)
-    return F.instr(F.col(text_col), need) > 0
+    return text.rlike(need) if need.startswith("[") else F.instr(text, need) > 0
 
 
-def _labelled_steps(df: DataFrame, id_col: str, text_col: str, rules) -> DataFrame:
-    parts = [
-        match_steps(df.filter(_may_match(text_col, label)), id_col, text_col, pattern)
-        .withColumn("priority", F.lit(prio)).withColumn("label", F.lit(label))
-        for prio, (label, pattern) in enumerate(rules)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(_row, _id, _text)``: every input row with a number of its own."""
+    return df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
-def rule_matches(df: DataFrame, id_col: str, text_col: str, rules=ENTITY_RULES) -> DataFrame:
-    """All matches of all rules: ``(id, start, end, label, text, priority)`` (overlaps kept).
+def rule_matches(rows: DataFrame, rules=ENTITY_RULES, tokens_as: int | None = None) -> DataFrame:
+    """All matches of all rules in ``numbered`` rows: ``(_row, _id, start, end, label, text, priority)`` (overlaps kept).
 
-    The match rows of every rule are hash-partitioned by document once; the
-    offset window ``(id, priority)`` and the overlap window ``(id)`` both run
-    on that partitioning, so entity extraction shuffles only once.
+    One scan finds the matches of every rule, and of letter tokens as
+    priority ``tokens_as``; the offset window ``(_row, priority)`` and the overlap
+    window ``(_row)`` both run on one shuffle of matches by row.
     """
-    steps = _labelled_steps(df, id_col, text_col, rules).repartition(id_col)
-    m = offsets_from_steps(steps, id_col, ("priority",))
-    return m.select(id_col, "start", "end", "label", F.col("match").alias("text"), "priority")
+    labelled = [(prio, label, pattern) for prio, (label, pattern) in enumerate(rules)]
+    if tokens_as is not None:
+        labelled.append((tokens_as, None, LETTER_TOKEN))
+    text = F.col("_text")
+    steps = rule_steps(rows, [(prio, label, pattern, _may_match(text, label)) for prio, label, pattern in labelled], ("_row", "_id"))
+    m = offsets_from_steps(steps.repartition("_row"), "_row", ("priority",))
+    return m.select("_row", "_id", "start", "end", "label", F.col("match").alias("text"), "priority")
 
 
-def gazetteer_matches(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame,
-                      priority: int = GAZETTEER_LABEL_PRIORITY) -> DataFrame:
-    """Letter tokens whose lower-case form is in ``gazetteer(token, label)`` (broadcast, size-checked)."""
-    toks = match_offsets(df, id_col, text_col, LETTER_TOKEN).withColumn("token", F.lower("match"))
-    gz = gazetteer.select(F.lower("token").alias("token"), "label").dropDuplicates(["token"])
-    hits = toks.join(broadcast_if_small(gz), "token")
-    return hits.select(id_col, "start", "end", "label", F.col("match").alias("text"), F.lit(priority).alias("priority"))
+def _in_gazetteer(matches: DataFrame, gazetteer: DataFrame, priority: int) -> DataFrame:
+    """``matches`` without the letter tokens (of ``priority``) that ``gazetteer(token, label)`` lacks, the others labelled by it
+    (broadcast, size-checked).  A join, not a union of two scans: row numbers hold within one scan."""
+    gz = gazetteer.select(F.lower("token").alias("_token"), F.col("label").alias("_label")).dropDuplicates(["_token"])
+    token = F.when(F.col("priority") == priority, F.lower("text"))
+    joined = matches.withColumn("_word", token).join(broadcast_if_small(gz), F.col("_word") == F.col("_token"), "left")
+    kept = joined.where((F.col("priority") != priority) | F.col("_label").isNotNull())
+    return kept.withColumn("label", F.coalesce("label", "_label")).select(matches.columns)
 
 
 def resolve_overlaps(matches: DataFrame, id_col: str, n_levels: int) -> DataFrame:
@@ -112,15 +112,16 @@ def resolve_overlaps(matches: DataFrame, id_col: str, n_levels: int) -> DataFram
 
 def extract_entities(df: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame | None = None,
                      rules=ENTITY_RULES) -> DataFrame:
-    """``(id, start, end, label, text)`` for every kept entity."""
+    """``(id, start, end, label, text)`` for every kept entity of every row; ids may be null or repeat."""
     require_text_column(df, text_col)
-    src = df.select(id_col, text_col)
-    m = rule_matches(src, id_col, text_col, rules)
     levels = len(rules)
-    if gazetteer is not None:
-        m = m.unionByName(gazetteer_matches(src, id_col, text_col, gazetteer, levels))
+    rows = numbered(df, id_col, text_col)
+    if gazetteer is None:
+        m = rule_matches(rows, rules)
+    else:
+        m = _in_gazetteer(rule_matches(rows, rules, tokens_as=levels), gazetteer, levels)
         levels += 1
-    return resolve_overlaps(m, id_col, levels).select(id_col, "start", "end", "label", "text")
+    return resolve_overlaps(m, "_row", levels).select(F.col("_id").alias(id_col), "start", "end", "label", "text")
 
 
 def entity_prompts(entities: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from sparkloom.errors import ValidationError
 from sparkloom.functions.text import entities, keywords, sentiment, topics, vectors
 from sparkloom.functions.text.tokens import require_text_column
 
+# Names of the extraction types.
 EXTRACTION_TYPES = ("SEMANTIC_VECTORS", "KEYWORDS", "ENTITIES", "SENTIMENT", "TOPICS")
 
 
@@ -34,7 +35,7 @@ def extract_text_features(df: DataFrame, id_col: str, text_col: str, extraction_
             return batch_model_inference(df.select(id_col, text_col), text_col, model, "vector",
                                          batch_size=options.get("batch_size", 32)).select(id_col, "vector")
         n = options.get("n_features", vectors.DEFAULT_FEATURES)
-        return vectors.dense(vectors.hashed_tfidf(df, id_col, text_col, n), id_col, n)
+        return vectors.dense_tfidf(df, id_col, text_col, n)
     if kind == "KEYWORDS":
         return keywords.keywords(df, id_col, text_col, top=options.get("top", keywords.TOP))
     if kind == "ENTITIES":

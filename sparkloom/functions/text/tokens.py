@@ -91,16 +91,28 @@ def sentences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out.filter(F.length(F.trim("sentence")) > 0)
 
 
-def match_steps(df: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
-    """``(id, idx, match, step)`` before offsets: ``step`` = gap before the match + match length."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    m = F.regexp_extract_all(text, F.lit(pattern), 0)
-    g = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(g, 1, F.size(m)).alias("gap"), m.alias("match"))
-    return df.select(F.col(id_col), F.posexplode(pairs).alias("idx", "p")).select(
-        id_col, "idx", F.col("p.match").alias("match"), (F.length("p.gap") + F.length("p.match")).alias("step")
+def rule_steps(df: DataFrame, rules: list, keep: tuple[str, ...], text_col: str = "_text") -> DataFrame:
+    """``(*keep, priority, label, idx, match, step)`` of all ``rules`` (priority, label, pattern, guard) in one scan of the
+    text: ``step`` = gap before the match + match length; texts that fail a rule's guard skip it."""
+    text = F.col(text_col)
+    found = df.select(
+        *keep,
+        *(F.when(guard, F.regexp_extract_all(text, F.lit(pattern), 0)).alias(f"_m{n}") for n, (_, _, pattern, guard) in enumerate(rules)),
+        *(F.when(guard, F.split(text, pattern, -1)).alias(f"_g{n}") for n, (_, _, pattern, guard) in enumerate(rules)),
     )
 
+    def steps(n: int, priority: int, label: str | None) -> Column:
+        matches = F.coalesce(F.col(f"_m{n}"), F.array().cast("array<string>"))
+        gaps = F.coalesce(F.col(f"_g{n}"), F.array().cast("array<string>"))
+        pairs = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("match"))
+        return F.transform(pairs, lambda p, i: F.struct(
+            F.lit(priority).alias("priority"), F.lit(label).cast("string").alias("label"), i.alias("idx"), p["match"].alias("match"),
+            (F.length(p["gap"]) + F.length(p["match"])).alias("step"),
+        ))
+
+    every = F.concat(*(steps(n, priority, label) for n, (priority, label, _, _) in enumerate(rules)))
+    return found.select(*keep, F.explode(every).alias("_s")).select(*keep, "_s.*")
+
 
 def offsets_from_steps(steps: DataFrame, id_col: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Running sum of steps per ``(id, *keys)`` ordered by match index -> ``start``/``end``."""
@@ -116,18 +128,9 @@ def match_offsets(df: DataFrame, id_col: str, text_col: str, pattern: str) -> Da
     Spark has no all-matches position function, so offsets are rebuilt from
     the matches and the gaps between them: with ``m = regexp_extract_all``
     and ``g = split`` on the same pattern, ``start_i = sum(len g_k, k <= i) +
-    sum(len m_k, k < i)``.  The running sum is a window per document (ordered
-    by match index); a document's matches are bounded by its length.
+    sum(len m_k, k < i)``.  The running sum is a window per row (ordered
+    by match index), whatever its id; a row's matches are bounded by its length.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    m = F.regexp_extract_all(text, F.lit(pattern), 0)
-    g = F.split(text, pattern, -1)
-    # pair each match with the gap that precedes it
-    pairs = F.arrays_zip(F.slice(g, 1, F.size(m)).alias("gap"), m.alias("match"))
-    rows = df.select(F.col(id_col), F.posexplode(pairs).alias("idx", "p")).select(
-        id_col, "idx", F.col("p.match").alias("match"), (F.length("p.gap") + F.length("p.match")).alias("step")
-    )
-    w = Window.partitionBy(id_col).orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("end", F.sum("step").over(w).cast("int"))
-    rows = rows.withColumn("start", (F.col("end") - F.length("match")).cast("int"))
-    return rows.filter(F.length("match") > 0).select(id_col, "idx", "start", "end", "match")
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    steps = rule_steps(rows, [(0, None, pattern, F.lit(True))], ("_row", "_id"))
+    return offsets_from_steps(steps, "_row").select(F.col("_id").alias(id_col), "idx", "start", "end", "match")

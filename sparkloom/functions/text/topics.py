@@ -27,11 +27,13 @@ def preprocess(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def bag_of_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, term, count)``: the sparse document-term matrix in long form."""
+    """``(id, term, count)``: the sparse document-term matrix in long form, a row's terms each once; ids may be null or repeat."""
     require_text_column(df, text_col)
-    toks = df.select(F.col(id_col), F.explode(token_array(F.col(text_col))).alias("term"))
+    # numbered before the explode, in a projection of its own
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    toks = rows.select("_row", "_id", F.explode(token_array(F.col("_text"))).alias("term"))
     kept = toks.filter((F.length("term") >= MIN_TOKEN) & (F.length("term") <= MAX_TOKEN))
-    return kept.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("count"))
+    return kept.groupBy("_row", "_id", "term").agg(F.count(F.lit(1)).alias("count")).select(F.col("_id").alias(id_col), "term", "count")
 
 
 def fit_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int = 20, seed: int = 7,
@@ -52,13 +54,10 @@ def describe_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, terms
                     max_iter: int = 20) -> DataFrame:
     """``(topic_id, rank, term, weight)`` for the top ``terms`` terms of each topic."""
     cv, lda, _ = fit_topics(df, id_col, text_col, k=k, seed=seed, max_iter=max_iter)
-    spark = df.sparkSession
-    vocab = spark.createDataFrame([(i, t) for i, t in enumerate(cv.vocabulary)], "term_index int, term string")
-    top = lda.describeTopics(terms).select(
-        F.col("topic").alias("topic_id"),
-        F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "z"),
-    ).select("topic_id", "rank", F.col("z.termIndices").alias("term_index"), F.col("z.termWeights").alias("weight"))
-    return top.join(vocab, "term_index").select("topic_id", "rank", "term", "weight")
+    top = lda.describeTopics(terms).collect()  # at most k rows of ``terms`` indices
+    vocabulary = cv._java_obj.vocabulary()
+    rows = [(r["topic"], n, vocabulary[i], w) for r in top for n, (i, w) in enumerate(zip(r["termIndices"], r["termWeights"]))]
+    return df.sparkSession.createDataFrame(rows, "topic_id int, rank int, term string, weight double")
 
 
 def topic_prompts(topics: DataFrame) -> DataFrame:

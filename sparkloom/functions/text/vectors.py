@@ -15,41 +15,47 @@ from pyspark.sql import functions as F
 from sparkloom.functions.text.tokens import LETTER_TOKEN, require_text_column, token_array
 
 DEFAULT_FEATURES = 256
+BROADCAST_FEATURES = 1 << 18  # rows of 12 bytes
 
 
 def hash_bucket(term: Column, n_features: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("bigint"), F.lit(n_features)).cast("int")
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str, pattern: str = LETTER_TOKEN) -> DataFrame:
-    """``(id, term, tf)``; counted per document before any shuffle."""
+def _weights(df: DataFrame, id_col: str, text_col: str, n_features: int) -> DataFrame:
+    """``(_row, _id, bucket, value)``: rows are numbered in the scan, so those that share an id, or have none, stay apart."""
     require_text_column(df, text_col)
-    t = df.select(F.col(id_col), F.explode(token_array(F.col(text_col), pattern)).alias("term"))
-    return t.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # numbered before the explode, in a projection of its own
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    toks = rows.select("_row", "_id", F.explode(token_array(F.col("_text"))).alias("term"))
+    tf = toks.groupBy("_row", "_id", hash_bucket(F.col("term"), n_features).alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    n_docs = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
+    dfreq = tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))  # <= n_features rows
+    idf = dfreq.select("bucket", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
+    # idf has at most n_features rows: a broadcast of proven size while that is small
+    w = tf.join(F.broadcast(idf) if n_features <= BROADCAST_FEATURES else idf, "bucket").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("_row")))
+    return w.select("_row", "_id", "bucket", (F.col("w") / norm).alias("value"))
 
 
 def hashed_tfidf(df: DataFrame, id_col: str, text_col: str, n_features: int = DEFAULT_FEATURES) -> DataFrame:
-    """Sparse long form ``(id, bucket, value)`` of the L2-normalised TF-IDF vector.
+    """Sparse long form ``(id, bucket, value)`` of every row's L2-normalised TF-IDF vector.
 
-    Tokens go straight to buckets and are counted per ``(id, bucket)``; a
+    Tokens go straight to buckets and are counted per ``(row, bucket)``; a
     document sits in one input row, so the partial aggregate is already
     complete per document and the shuffle moves at most ``n_features`` rows
-    per document.  The norm is a window sum per document.
+    per document.  The norm is a window sum per row.
     """
-    require_text_column(df, text_col)
-    toks = df.select(F.col(id_col), F.explode(token_array(F.col(text_col))).alias("term"))
-    tf = toks.groupBy(id_col, hash_bucket(F.col("term"), n_features).alias("bucket")).agg(F.count(F.lit(1)).cast("double").alias("tf"))
-    n_docs = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
-    dfreq = tf.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))  # <= n_features rows
-    idf = dfreq.select("bucket", (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
-    # idf has at most n_features rows: a proven bound, so broadcast it
-    w = tf.join(F.broadcast(idf), "bucket").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "bucket", (F.col("w") / norm).alias("value"))
+    return _weights(df, id_col, text_col, n_features).select(F.col("_id").alias(id_col), "bucket", "value")
+
+
+def dense_tfidf(df: DataFrame, id_col: str, text_col: str, n_features: int = DEFAULT_FEATURES) -> DataFrame:
+    """Dense ``(id, vector ARRAY<DOUBLE>)``, one for each row that holds a term; ids may be null or repeat."""
+    return dense(_weights(df, id_col, text_col, n_features), "_row", n_features, ("_id",)).select(F.col("_id").alias(id_col), "vector")
 
 
-def dense(long: DataFrame, id_col: str, n_features: int = DEFAULT_FEATURES) -> DataFrame:
-    """Dense ``(id, vector ARRAY<DOUBLE>)`` from sparse long form (bounded: n_features per row)."""
-    pairs = long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "value"))).alias("m"))
+def dense(long: DataFrame, id_col: str, n_features: int = DEFAULT_FEATURES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Dense ``(id, *keep, vector ARRAY<DOUBLE>)`` from sparse long form (bounded: n_features per row); ids must be unique."""
+    pairs = long.groupBy(id_col, *keep).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "value"))).alias("m"))
     vec = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)), lambda b: F.coalesce(F.element_at("m", b), F.lit(0.0)))
-    return pairs.select(id_col, vec.alias("vector"))
+    return pairs.select(id_col, *keep, vec.alias("vector"))

@@ -153,6 +153,8 @@ SENTIMENT_LEXICON = [
     ("ble", -0.2, 0.3),
 ]
 SENTIMENT_NEGATORS = ["th", "nd"]
+# Test lexicon over function words of the four languages, so that the mean is far from 0.
+TONE_LEXICON = [(t, 0.9, 0.5) for t in ("the", "of", "to", "and", "der", "die", "und", "de", "la", "que", "le", "et")]
 
 
 def _lexicon(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -169,9 +171,10 @@ def _duck_values(rows, cols: str) -> str:
     return f"(VALUES {body}) AS v({cols})"
 
 
-_DUCK_SENTIMENT = f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS toks FROM documents),
+def _duck_sentiment(lexicon) -> str:
+    return f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS toks FROM documents),
 t AS (SELECT doc_id, unnest(toks) AS token, unnest(list_concat([NULL], toks[1:len(toks) - 1])) AS prev FROM d),
-lex AS (SELECT * FROM {_duck_values(SENTIMENT_LEXICON, "token, polarity, subjectivity")}),
+lex AS (SELECT * FROM {_duck_values(lexicon, "token, polarity, subjectivity")}),
 neg AS (SELECT * FROM {_duck_values(SENTIMENT_NEGATORS, "ntoken")}),
 h AS (SELECT t.doc_id, CASE WHEN neg.ntoken IS NOT NULL THEN lex.polarity * -0.5 ELSE lex.polarity END AS pol,
              lex.subjectivity AS subj
@@ -182,6 +185,9 @@ SELECT d.doc_id, round(coalesce(a.polarity, 0.0), 6) AS polarity, round(coalesce
 FROM d LEFT JOIN a USING (doc_id)"""
 
 
+_DUCK_SENTIMENT = _duck_sentiment(SENTIMENT_LEXICON)
+
+
 def _sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     lex, neg = _lexicon(spark)
@@ -196,14 +202,15 @@ def q_text_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "prompt_sentiment",
-    f"""WITH s AS ({_DUCK_SENTIMENT})
-SELECT CASE WHEN avg(polarity) > 0.0 THEN '{prompts.POSITIVE_TONE}'
-            WHEN avg(polarity) < 0.0 THEN '{prompts.SERIOUS_TONE}' END AS suggestion
+    f"""WITH s AS ({_duck_sentiment(TONE_LEXICON)})
+SELECT CASE WHEN avg(polarity) > {prompts.TONE_THRESHOLDS[0]} THEN '{prompts.POSITIVE_TONE}'
+            WHEN avg(polarity) < {prompts.TONE_THRESHOLDS[1]} THEN '{prompts.SERIOUS_TONE}' END AS suggestion
 FROM s HAVING suggestion IS NOT NULL""",
 )
 def q_prompt_sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    # the mean is near 0 on these tables; thresholds of 0 give a row
-    return sentiment.sentiment_prompt(_sentiment_scores(spark, sf), positive=0.0, negative=0.0)
+    neg = _lexicon(spark)[1]
+    lex = spark.createDataFrame(TONE_LEXICON, "token string, polarity double, subjectivity double")
+    return sentiment.sentiment_prompt(sentiment.sentiment(table(spark, sf, "documents"), "doc_id", "text", lex, neg))
 
 
 @register(
@@ -337,8 +344,9 @@ def q_prompt_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- images
 # Every part row is one synthetic raster image (fixture formula in pixels.synthetic_raster).
-from sparkloom.functions.image import analysis, assemble, palette  # noqa: E402
+from sparkloom.functions.image import analysis, assemble, raster  # noqa: E402
 from sparkloom.functions.image.pixels import DUCK_GRAY, duck_raster, synthetic_raster  # noqa: E402
+from sparkloom.sources import png  # noqa: E402
 
 _IMG = f"""p AS {duck_raster("SELECT p_partkey AS image_id FROM part")},
 g AS (SELECT *, {DUCK_GRAY} AS gray FROM p),
@@ -392,6 +400,10 @@ def _pixels(spark: SparkSession, sf: str) -> DataFrame:
     return synthetic_raster(table(spark, sf, "part"), "p_partkey")
 
 
+def _rasters(spark: SparkSession, sf: str) -> DataFrame:
+    return raster.synthetic(table(spark, sf, "part"), "p_partkey")
+
+
 def _r(c: str, digits: int = 6):
     return F.round(F.col(c), digits).alias(c)
 
@@ -426,13 +438,13 @@ def q_image_style(spark: SparkSession, sf: str) -> DataFrame:
 round(homogeneity, 6) AS homogeneity FROM tex""",
 )
 def q_image_texture(spark: SparkSession, sf: str) -> DataFrame:
-    t = analysis.texture(_pixels(spark, sf))
+    t = raster.measures(_rasters(spark, sf))
     return t.select("image_id", _r("texture_contrast"), _r("energy"), _r("homogeneity"))
 
 
 @register("image_edge_density", f"WITH {_IMG} SELECT image_id, round(edge_density, 6) AS edge_density FROM edges")
 def q_image_edge_density(spark: SparkSession, sf: str) -> DataFrame:
-    return analysis.edge_density(_pixels(spark, sf)).select("image_id", _r("edge_density"))
+    return raster.measures(_rasters(spark, sf)).select("image_id", _r("edge_density"))
 
 
 @register("image_focal_point", f"WITH {_IMG} SELECT image_id, round(focal_x, 6) AS focal_x, round(focal_y, 6) AS focal_y FROM focal")
@@ -446,13 +458,13 @@ def q_image_focal_point(spark: SparkSession, sf: str) -> DataFrame:
 round(complexity, 6) AS complexity FROM aes""",
 )
 def q_image_aesthetics(spark: SparkSession, sf: str) -> DataFrame:
-    a = analysis.aesthetics(_pixels(spark, sf))
+    a = raster.measures(_rasters(spark, sf))
     return a.select("image_id", _r("aesthetic_score"), _r("sharpness"), _r("complexity"))
 
 
-def _duck_kmeans(k: int = 5, rounds: int = 5) -> str:
+def _duck_kmeans(k: int = 5, rounds: int = 5, source: str = "p") -> str:
     ctes = [
-        "colors AS (SELECT image_id, r, g, b, count(*) AS cnt FROM p GROUP BY ALL)",
+        f"colors AS (SELECT image_id, r, g, b, count(*) AS cnt FROM {source} GROUP BY ALL)",
         """bins AS (SELECT image_id, (r >> 5) * 64 + (g >> 5) * 8 + (b >> 5) AS bin, sum(cnt) AS n,
                  sum(cnt * r) / sum(cnt) AS cr, sum(cnt * g) / sum(cnt) AS cg, sum(cnt * b) / sum(cnt) AS cb
           FROM colors GROUP BY ALL)""",
@@ -491,7 +503,7 @@ _PAL = f"WITH {_IMG},\n{_duck_kmeans()}"
 
 @register("image_color_palette", f"{_PAL} SELECT image_id, rank, color_hex, round(weight, 6) AS weight FROM pal")
 def q_image_color_palette(spark: SparkSession, sf: str) -> DataFrame:
-    p = palette.color_palette(_pixels(spark, sf))
+    p = raster.color_palette(_rasters(spark, sf))
     return p.select("image_id", "rank", "color_hex", _r("weight"))
 
 
@@ -505,7 +517,7 @@ SELECT image_id, round(avg(r), 6) AS mean_r, round(avg(g), 6) AS mean_g, round(a
 FROM p JOIN div USING (image_id) GROUP BY image_id""",
 )
 def q_image_color_stats(spark: SparkSession, sf: str) -> DataFrame:
-    s = palette.color_stats(_pixels(spark, sf))
+    s = raster.color_stats(_rasters(spark, sf))
     return s.select("image_id", *[_r(c) for c in ("mean_r", "mean_g", "mean_b", "std_r", "std_g", "std_b", "color_diversity")])
 
 
@@ -524,7 +536,7 @@ _VEC = f"""WITH {_IMG}, v AS (
 def q_visual_feature_vector(spark: SparkSession, sf: str) -> DataFrame:
     from sparkloom.operators.combine import long_form
 
-    f = assemble.analyze_images(_pixels(spark, sf), _ALL)
+    f = assemble.analyze_images(_rasters(spark, sf), _ALL)
     return long_form(assemble.visual_feature_vector(f, _ALL), "image_id", "visual_features", 4)
 
 
@@ -535,7 +547,7 @@ def q_visual_feature_vector(spark: SparkSession, sf: str) -> DataFrame:
 def q_style_vector(spark: SparkSession, sf: str) -> DataFrame:
     from sparkloom.operators.combine import long_form
 
-    f = assemble.analyze_images(_pixels(spark, sf), ("STYLE",))
+    f = assemble.analyze_images(_rasters(spark, sf), ("STYLE",))
     return long_form(assemble.style_vector(f), "image_id", "style_vector", 6)
 
 
@@ -546,7 +558,7 @@ round(texture_contrast, 6) AS contrast, round(saturation, 6) AS saturation, roun
 round(sharpness, 6) AS sharpness FROM dims JOIN sty USING (image_id) JOIN tex USING (image_id) JOIN aes USING (image_id)""",
 )
 def q_suggested_params(spark: SparkSession, sf: str) -> DataFrame:
-    f = assemble.analyze_images(_pixels(spark, sf), _ALL)
+    f = assemble.analyze_images(_rasters(spark, sf), _ALL)
     s = assemble.suggested_params(f)
     return s.select(
         "image_id", F.round("composition.aspect_ratio", 6).alias("aspect_ratio"), F.col("composition.orientation").alias("orientation"),
@@ -556,20 +568,42 @@ def q_suggested_params(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@register(
-    "image_objects",
-    f"""WITH {_IMG} SELECT image_id, 0 AS rank, min(x)::DOUBLE AS x1, min(y)::DOUBLE AS y1, (max(x) + 1)::DOUBLE AS x2,
-(max(y) + 1)::DOUBLE AS y2, 1 AS label, round(count(*) / any_value(n), 6) AS score
-FROM g JOIN (SELECT image_id, count(*) AS n FROM g GROUP BY image_id) USING (image_id) WHERE gray > 200 GROUP BY image_id""",
-)
+_DUCK_BOXES = f"""WITH RECURSIVE {_IMG},
+n AS (SELECT image_id, count(*) AS n FROM g GROUP BY image_id),
+lit AS (SELECT image_id, x, y, y * 4096 + x AS id FROM g WHERE gray > {raster.BRIGHT}),
+near AS (SELECT a.image_id, a.id AS a, b.id AS b FROM lit a JOIN lit b
+  ON a.image_id = b.image_id AND ((a.x = b.x AND abs(a.y - b.y) = 1) OR (a.y = b.y AND abs(a.x - b.x) = 1))),
+reach AS (SELECT image_id, id, id AS seen FROM lit UNION SELECT r.image_id, r.id, e.b FROM reach r JOIN near e ON r.image_id = e.image_id AND r.seen = e.a),
+part_of AS (SELECT image_id, id, min(seen) AS root FROM reach GROUP BY image_id, id),
+box AS (SELECT l.image_id, min(x) AS x1, min(y) AS y1, max(x) + 1 AS x2, max(y) + 1 AS y2, count(*) AS pixels
+  FROM lit l JOIN part_of p ON l.image_id = p.image_id AND l.id = p.id GROUP BY l.image_id, p.root HAVING count(*) >= {raster.LEAST_PIXELS}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY pixels DESC, y1, x1) AS place FROM box),
+over AS (SELECT b.image_id, b.place, a.place AS better FROM ranked b JOIN ranked a ON a.image_id = b.image_id AND a.place < b.place
+  WHERE greatest(0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0, least(a.y2, b.y2) - greatest(a.y1, b.y1)) * (1 + {raster.OVERLAP})
+        > {raster.OVERLAP} * ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1))),
+settled AS (SELECT image_id, place, 0 AS step, [place] AS kept FROM ranked WHERE place = 1
+  UNION ALL SELECT s.image_id, r.place, s.step + 1,
+    CASE WHEN EXISTS (SELECT 1 FROM over o WHERE o.image_id = r.image_id AND o.place = r.place AND list_contains(s.kept, o.better)) THEN s.kept
+         ELSE list_append(s.kept, r.place) END
+  FROM settled s JOIN ranked r ON r.image_id = s.image_id AND r.place = s.place + 1),
+final AS (SELECT image_id, unnest(kept) AS place FROM (SELECT image_id, arg_max(kept, place) AS kept FROM settled GROUP BY image_id))
+SELECT r.image_id, CAST(row_number() OVER (PARTITION BY r.image_id ORDER BY r.place) - 1 AS INTEGER) AS rank, x1::DOUBLE AS x1, y1::DOUBLE AS y1,
+       x2::DOUBLE AS x2, y2::DOUBLE AS y2, 1 AS label, round(pixels / n.n, 6) AS score
+FROM ranked r JOIN final f ON r.image_id = f.image_id AND r.place = f.place JOIN n ON n.image_id = r.image_id"""
+
+
+@register("image_objects", _DUCK_BOXES)
 def q_image_objects(spark: SparkSession, sf: str) -> DataFrame:
-    o = assemble.detect_objects(_pixels(spark, sf))
-    return o.withColumn("score", F.round("score", 6))
+    return raster.detect_objects(_rasters(spark, sf)).withColumn("score", F.round("score", 6))
 
 
-@register(
-    "image_default_on_error",
-    f"""WITH {_IMG}, ok AS (SELECT p_partkey AS image_id FROM part WHERE p_size <= 45),
+@register("image_bytes_pixels", f"WITH {_IMG} SELECT image_id, x, y, r, g, b FROM p")
+def q_image_bytes_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    # the rasters as PNG bytes in a column (every row filter), decoded again
+    return raster.pixels(png.rasters(png.encoded(_rasters(spark, sf)), "image_id"))
+
+
+_DUCK_DEFAULTS = f"""WITH {_IMG}, ok AS (SELECT p_partkey AS image_id FROM part WHERE p_size <= 45),
 ids AS (SELECT p_partkey AS image_id FROM part)
 SELECT ids.image_id, coalesce(round(d.aspect_ratio, 6), 1.0) AS aspect_ratio, coalesce(d.orientation, 'unknown') AS orientation,
        coalesce(round(e.edge_density, 6), 0.0) AS edge_density, coalesce(round(f.focal_x, 6), 0.5) AS focal_x,
@@ -577,17 +611,64 @@ SELECT ids.image_id, coalesce(round(d.aspect_ratio, 6), 1.0) AS aspect_ratio, co
 FROM ids LEFT JOIN (SELECT * FROM dims WHERE image_id IN (SELECT image_id FROM ok)) d USING (image_id)
 LEFT JOIN (SELECT * FROM edges WHERE image_id IN (SELECT image_id FROM ok)) e USING (image_id)
 LEFT JOIN (SELECT * FROM focal WHERE image_id IN (SELECT image_id FROM ok)) f USING (image_id)
-LEFT JOIN (SELECT * FROM sty WHERE image_id IN (SELECT image_id FROM ok)) s USING (image_id)""",
-)
+LEFT JOIN (SELECT * FROM sty WHERE image_id IN (SELECT image_id FROM ok)) s USING (image_id)"""
+
+
+@register("image_default_on_error", _DUCK_DEFAULTS)
 def q_image_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     # parts with p_size > 45 stand for files that failed to decode: listed, but without pixels
-    decoded = synthetic_raster(part.filter(F.col("p_size") <= 45), "p_partkey")
+    decoded = raster.synthetic(part.filter(F.col("p_size") <= 45), "p_partkey")
     ids = part.select(F.col("p_partkey").alias("image_id"))
     f = assemble.analyze_images(decoded, ("COMPOSITION", "STYLE"), ids=ids)
     return f.select("image_id", _r("aspect_ratio"), "orientation", _r("edge_density"), _r("focal_x"), _r("brightness"))
 
 
+@register("image_bytes_default_on_error", _DUCK_DEFAULTS)
+def q_image_bytes_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
+    # the PNG bytes of parts with p_size > 45 are cut short
+    part = table(spark, sf, "part").select(F.col("p_partkey").cast("bigint").alias("image_id"), "p_size")
+    images = png.encoded(raster.synthetic(part, "image_id")).join(part, "image_id")
+    cut = F.when(F.col("p_size") > 45, F.substring("image_data", 1, 40)).otherwise(F.col("image_data"))
+    f = assemble.analyze_images(png.rasters(images.withColumn("image_data", cut), "image_id"), ("COMPOSITION", "STYLE"))
+    return f.select("image_id", _r("aspect_ratio"), "orientation", _r("edge_density"), _r("focal_x"), _r("brightness"))
+
+
+def _duck_weights(size_col: str, target: int) -> str:
+    """Bicubic weights (target place i, source place j, fixed-point weight) for the sizes in ``size_col`` of ``sizes``."""
+    centre, wide = f"((i + 0.5) * {size_col} / {target}.0)", f"greatest({size_col} / {target}.0, 1.0)"
+    return f"""(SELECT {size_col}, i, j, CAST(CASE WHEN v < 0 THEN ceil(v * {1 << raster.FRACTION} - 0.5) ELSE floor(v * {1 << raster.FRACTION} + 0.5) END AS BIGINT) AS k
+  FROM (SELECT {size_col}, i, j, wt / sum(wt) OVER (PARTITION BY {size_col}, i) AS v FROM (
+    SELECT {size_col}, i, j, CASE WHEN d < 1 THEN (1.5 * d - 2.5) * d * d + 1.0 WHEN d < 2 THEN ((-0.5 * d + 2.5) * d - 4.0) * d + 2.0 ELSE 0.0 END AS wt
+    FROM (SELECT {size_col}, i, j, abs((j - {centre} + 0.5) / {wide}) AS d
+      FROM (SELECT {size_col}, i, unnest(range({size_col})) AS j FROM (SELECT DISTINCT {size_col} FROM sizes), (SELECT unnest(range({target})) AS i))
+      WHERE j >= CAST(trunc({centre} - 2.0 * {wide} + 0.5) AS BIGINT) AND j < CAST(trunc({centre} + 2.0 * {wide} + 0.5) AS BIGINT)))))"""
+
+
+def _duck_resized(source: str, width: int, height: int) -> str:
+    half = 1 << (raster.FRACTION - 1)
+    cut = lambda c, t: f"greatest(0, least(255, (CAST(sum({t}.k * {c}) AS BIGINT) + {half}) >> {raster.FRACTION})) AS {c}"
+    return f"""sizes AS (SELECT image_id, max(x) + 1 AS w, max(y) + 1 AS h FROM {source} GROUP BY image_id),
+wx AS {_duck_weights("w", width)}, wy AS {_duck_weights("h", height)},
+across AS (SELECT image_id, wx.i AS x, y, {", ".join(cut(c, "wx") for c in "rgb")} FROM {source} JOIN sizes USING (image_id) JOIN wx ON wx.w = sizes.w AND wx.j = x GROUP BY ALL),
+small AS (SELECT image_id, x, wy.i AS y, {", ".join(cut(c, "wy") for c in "rgb")} FROM across JOIN sizes USING (image_id) JOIN wy ON wy.h = sizes.h AND wy.j = y GROUP BY ALL)"""
+
+
+@register("image_resize", f"WITH {_IMG}, {_duck_resized('p', 10, 9)} SELECT image_id, x, y, r, g, b FROM small")
+def q_image_resize(spark: SparkSession, sf: str) -> DataFrame:
+    # the rasters are small, so the target is smaller than the default of 150 x 150
+    return raster.pixels(raster.resized(_rasters(spark, sf), 10, 9))
+
+
+@register(
+    "image_color_palette_resized",
+    f"WITH {_IMG}, {_duck_resized('p', 10, 9)},\n{_duck_kmeans(source='small')} SELECT image_id, rank, color_hex, round(weight, 6) AS weight FROM pal",
+)
+def q_image_color_palette_resized(spark: SparkSession, sf: str) -> DataFrame:
+    p = raster.color_palette(_rasters(spark, sf), size=(10, 9))
+    return p.select("image_id", "rank", "color_hex", _r("weight"))
+
+
 # ---------------------------------------------------------------- keywords
 from sparkloom.functions.text import keywords as kw  # noqa: E402
 

@@ -312,7 +312,11 @@ def test_near_duplicates_odd(spark, odd_docs, no_docs):
     assert got == sorted(map(str, [(1, 3, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True), (5, 3, 1, False), (5, 3, 1, False), (None, 3, None, True), (6, 977, 6, True), (7, 1, 7, True)]))
     assert minhash.near_duplicates(no_docs).count() == 0
     kept = minhash.keep_one(odd_docs)
-    assert kept.columns == odd_docs.columns and kept.count() == 7
+    # copies count as such whatever their ids: of ids 1, 5, 5 and null one row stays
+    assert kept.columns == odd_docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 6, 7]
+    some = spark.createDataFrame([(i, "a b c d e f g", x) for i, x in ((1, "p"), (None, "q"), (1, "r"), (None, "s"))], "doc_id long, text string, group string")
+    assert [r["doc_id"] for r in minhash.keep_one(some).collect()] == [1]
+    assert minhash.keep_one(some.where("doc_id is null")).count() == 1
 
 
 # 7 languages
