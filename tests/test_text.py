@@ -170,3 +170,33 @@ def test_topics_read_every_document(spark):
     df = spark.createDataFrame([(i, f"aaa{chr(97 + i)} bbb ccc") for i in range(20)], "doc_id long, text string")
     cv, lda, _ = topics.fit_topics(df, "doc_id", "text", k=2, max_iter=2)
     assert lda.getSubsamplingRate() == 1.0 and len(cv.vocabulary) == 22
+
+
+def test_entities_of_long_hosts_and_numbers(spark):
+    n = 100_000
+    texts = [
+        "a@" + "b." * n + "b", "a@" + "bb." * n + "com", "a" * n + "@b.com", "a.b" * n, "https://" + "a/" * n, "1." * n, "1.2.3." * n, "1 " * n + "2",
+        "2024-01-02" * n, "$1,2" * n, "1.1%" * (n // 10), "@" * n, "-" * n + "@",
+    ]
+    df = spark.createDataFrame([(i, t[:300_000]) for i, t in enumerate(texts)], "id long, t string")
+    got = entities.extract_entities(df, "id", "t")
+    assert got.where("id in (1, 2)").where("label = 'EMAIL'").count() == 2
+    bad = got.join(df, "id").where(F.expr("substring(t, start + 1, end - start)") != F.col("text"))
+    assert bad.count() == 0
+
+
+def test_entities_of_null_and_repeated_ids(spark):
+    rows = [(1, "a 12 b"), (1, "xxxxxxxx 345"), (None, "12 a"), (None, "zzz 9"), (1, "a 12 b"), (2, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = sorted((r["id"] or 0, r["start"], r["end"], r["text"]) for r in entities.extract_entities(df, "id", "t").collect())
+    assert got == [(0, 0, 2, "12"), (0, 4, 5, "9"), (1, 2, 4, "12"), (1, 2, 4, "12"), (1, 9, 12, "345")]
+    gz = spark.createDataFrame([("zzz", "GPE")], "token string, label string")
+    assert [(r["id"], r["start"]) for r in entities.extract_entities(df, "id", "t", gz).where("label = 'GPE'").collect()] == [(None, 0)]
+
+
+def test_vectors_and_bags_of_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(1, "aa bb"), (1, "cc"), (1, "aa bb"), (None, "aa"), (None, "dd ee")], "id long, t string")
+    dense = vectors.dense_tfidf(df, "id", "t", 16).collect()
+    assert len(dense) == 5 and all(math.isclose(np.linalg.norm(r["vector"]), 1.0) for r in dense)
+    bags = sorted((r["id"] or 0, r["term"], r["count"]) for r in topics.bag_of_words(df, "id", "t").collect())
+    assert bags == sorted([(0, "aa", 1), (0, "dd", 1), (0, "ee", 1), (1, "aa", 1), (1, "aa", 1), (1, "bb", 1), (1, "bb", 1), (1, "cc", 1)])
