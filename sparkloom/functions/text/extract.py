@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.errors import ValidationError
-from sparkloom.functions.text import entities, keywords, sentiment, topics, vectors
+from sparkloom.functions.text import entities, keywords, semantic, sentiment, tagger, topics, vectors
 from sparkloom.functions.text.tokens import require_text_column
 
 # Names of the extraction types.
@@ -20,7 +20,9 @@ def extract_text_features(df: DataFrame, id_col: str, text_col: str, extraction_
     """Run one extraction type; every result is keyed by ``id_col``.
 
     SEMANTIC_VECTORS uses ``options['model']`` (a ``make_predict_fn`` for
-    ``batch_model_inference``) when given, else hashed TF-IDF vectors.
+    ``batch_model_inference``) when given, learnt vectors of that many dimensions
+    with ``options['learnt']``, else hashed TF-IDF vectors.  ENTITIES uses ``options['tagger']``
+    (a fitted ``tagger.Tagger``) when given, else rules and ``options['gazetteer']``.
     SENTIMENT needs ``options['lexicon']`` (and optionally ``negators``).
     """
     require_text_column(df, text_col)
@@ -34,10 +36,14 @@ def extract_text_features(df: DataFrame, id_col: str, text_col: str, extraction_
 
             return batch_model_inference(df.select(id_col, text_col), text_col, model, "vector",
                                          batch_size=options.get("batch_size", 32)).select(id_col, "vector")
+        if options.get("learnt"):
+            return semantic.semantic_vectors(df, id_col, text_col, k=options["learnt"])
         n = options.get("n_features", vectors.DEFAULT_FEATURES)
         return vectors.dense_tfidf(df, id_col, text_col, n)
     if kind == "KEYWORDS":
         return keywords.keywords(df, id_col, text_col, top=options.get("top", keywords.TOP))
+    if kind == "ENTITIES" and options.get("tagger") is not None:
+        return tagger.tagged(df, id_col, text_col, options["tagger"])
     if kind == "ENTITIES":
         return entities.extract_entities(df, id_col, text_col, gazetteer=options.get("gazetteer"))
     if kind == "SENTIMENT":

@@ -110,7 +110,7 @@ def q_feature_summary_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- text
 from sparkloom.functions import inference, prompts  # noqa: E402
-from sparkloom.functions.text import entities, sentiment, topics, vectors  # noqa: E402
+from sparkloom.functions.text import entities, semantic, sentiment, tagger, topics, vectors  # noqa: E402
 from sparkloom.functions.text.entities import ENTITY_RULES  # noqa: E402
 
 _DUCK_TOKENS = r"unnest(regexp_extract_all(lower(coalesce(text, '')), '\p{L}+'))"
@@ -140,6 +140,12 @@ def q_text_vectors_hashing(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("value", F.round("value", 6))
 
 
+@register("text_vectors_learnt", None)
+def q_text_vectors_learnt(spark: SparkSession, sf: str) -> DataFrame:
+    out = semantic.semantic_vectors(table(spark, sf, "documents"), "doc_id", "text", k=32)
+    return out.select("doc_id", F.posexplode("vector").alias("dim", "value")).withColumn("value", F.round("value", 6))
+
+
 # Test lexicon over invented tokens that occur in `documents`
 # (token, polarity, subjectivity), and the negator tokens.
 SENTIMENT_LEXICON = [
@@ -311,6 +317,15 @@ def q_prompt_entities(spark: SparkSession, sf: str) -> DataFrame:
     return entities.entity_prompts(entities.extract_entities(table(spark, sf, "documents"), "doc_id", "text"))
 
 
+@register("text_entities_tagged", None)
+def q_text_entities_tagged(spark: SparkSession, sf: str) -> DataFrame:
+    # learnt from the rules' spans in a sample, then tagged in every document
+    docs = table(spark, sf, "documents")
+    model = tagger.fit(tagger.labelled_by_rules(docs, "doc_id", "text"))
+    e = tagger.tagged(docs, "doc_id", "text", model)
+    return e.select("doc_id", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"), "label", "text")
+
+
 @register(
     "batch_model_inference",
     """SELECT doc_id, CAST(length(coalesce(text, '')) AS DOUBLE) AS length_feature,
