@@ -21,8 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
-from sparkloom.llm.common import staged
+from sparkloom.llm.common import free_name, staged
 
 FEATURES = 256
 RIDGE = 1e-2
@@ -144,21 +145,23 @@ def _sums(rows: DataFrame, make) -> dict[int, np.ndarray]:
     return _summed(rows.mapInArrow(_per_partition(make), "part int, k int, values array<double>"))
 
 
-def _described(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            x = [statistics(t) for t in part.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), part.column(1), part.column(2)], names=["x", "y", "fold"])
+@F.pandas_udf(ArrayType(DoubleType()))
+def statistics_of(texts: pd.Series) -> pd.Series:
+    return texts.map(statistics)
 
 
-def fit(labelled: DataFrame, text_col: str, label_col: str, fold: Column) -> Model:
-    """Fit on ``labelled`` rows; rows whose ``fold`` is 0 are for calibration, the others for the regression.
+def described(docs: DataFrame, text_col: str = "text", name: str = "statistics") -> DataFrame:
+    """``docs`` with the statistics of every whole text (null: of the empty one) in a column ``name``; all columns stay."""
+    return docs.withColumn(name, statistics_of(F.col(f"`{text_col}`").cast("string")))
+
+
+def fit(rows: DataFrame, x_col: str, label_col: str, fold: Column) -> Model:
+    """Fit on ``rows`` with statistics and a label; rows whose ``fold`` is 0 are for calibration, the others for the regression.
 
     Rows without a label aren't used.  With no labelled row the model scores 0.5.
     """
-    rows = labelled.select(F.col(text_col).cast("string").alias("t"), F.col(label_col).cast("double").alias("y"), fold.cast("int").alias("fold")).where("y is not null")
-    rows = staged(rows.mapInArrow(_described, "x array<double>, y double, fold int"), "statistics")
+    rows = rows.select(F.col(x_col).alias("x"), F.col(label_col).cast("double").alias("y"), fold.cast("int").alias("fold")).where("y is not null")
+    rows = staged(rows, "labelled")
     d = len(statistics(""))
     main, held = rows.where("fold <> 0 or fold is null"), rows.where("fold = 0")
     s = _sums(main, lambda x, y: np.vstack([np.hstack([[len(x)], np.zeros(d - 1)]), x.sum(0), (x * x).sum(0)]))
@@ -202,10 +205,14 @@ def quality_of(model: Model) -> object:
     return score
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Texts (t) of ``docs`` with their label (y) and id (i); a document with several labels counts once, with the smallest."""
-    y = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where("i is not null and y is not null").groupBy("i").agg(F.min("y").alias("y"))
-    return docs.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).join(y, "i")
+def score_of(model: Model) -> object:
+    """An Arrow UDF: the score of a column of statistics (see ``described``)."""
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack(x.to_list())) if len(x) else [], dtype=float)
+
+    return score
 
 
 def fold_of(column: str, modulus: int, salt: str = "") -> Column:
@@ -213,7 +220,37 @@ def fold_of(column: str, modulus: int, salt: str = "") -> Column:
     return F.pmod(F.crc32(F.concat(F.lit(salt), F.col(column).cast("string")).cast("binary")), F.lit(modulus))
 
 
-def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """The model of ``labels.quality``, learnt from rows whose crc32 of the id modulo 5 isn't 0; a quarter of these calibrates."""
-    rows = labelled(docs, labels, "quality", id_col, text_col).where(fold_of("i", 5) != 0)
-    return fit(rows, "t", "y", fold_of("i", 4, "calibrate"))
+def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", *, x_col: str | None = None) -> Model:
+    """The model of ``labels``, learnt from rows whose crc32 of the id modulo 5 isn't 0; a quarter of these calibrates.
+
+    With ``x_col`` the statistics are read from that column of ``docs`` (see ``described``); else they are computed
+    here, for all rows.  Only statistics are joined with labels: no text is shuffled.  A document with
+    several labels counts once, with the smallest; rows without an id or label, and ids without a
+    row, aren't learnt from; rows that share an id are learnt from one by one.  Other columns aren't read.
+    """
+    y = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where("i is not null and y is not null").groupBy("i").agg(F.min("y").alias("y"))
+    x = docs if x_col else described(docs.select(id_col, text_col), text_col, x_col := free_name(docs.select(id_col, text_col), "statistics"))
+    rows = x.select(F.col(id_col).alias("i"), F.col(x_col).alias("x")).where(fold_of("i", 5) != 0)
+    return fit(rows.join(y, "i"), "x", "y", fold_of("i", 4, "calibrate"))
+
+
+def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, held_out, score and predicted of every row: statistics are computed once, in the scan, and staged with the id."""
+    own = docs.select(id_col, text_col)
+    name = free_name(own, "statistics")
+    x = staged(described(own, text_col, name).select(id_col, name), "statistics")
+    model = fit_on_labels(x, labels, id_col, x_col=name)
+    held = F.coalesce(fold_of(id_col, 5) == 0, F.lit(False))
+    out = x.select(F.col(id_col), held.alias("held_out"), score_of(model)(name).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that the classifier rejects (score under ``THRESHOLD``); columns as before.
+
+    Documents are staged once with their statistics, which serve for learning and for scoring.
+    """
+    name = free_name(docs, "statistics")
+    x = staged(described(docs, text_col, name), "statistics")
+    model = fit_on_labels(x, labels, id_col, x_col=name)
+    return x.where(score_of(model)(name) >= THRESHOLD).drop(name)

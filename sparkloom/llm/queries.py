@@ -16,10 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", F.coalesce(quality.fold_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), quality.quality_of(model)("text").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
