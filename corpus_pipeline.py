@@ -24,12 +24,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score at least ``quality.THRESHOLD``)."""
-    model = quality.fit_on_labels(docs, _table(spark, sf_dir, "labels"))
-    return docs.where(quality.quality_of(model)(F.col("text")) >= quality.THRESHOLD)
+    return quality.accepted(docs, _table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (that with the smallest id) of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One row (that with the smallest id) of each group of near copies: five-word shingles, similarity 0.8 or more."""
     ship_package(spark)
     return minhash.keep_one(docs, percent=80)
 
