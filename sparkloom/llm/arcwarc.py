@@ -7,11 +7,16 @@ ISO timestamps, a type (warcinfo for version blocks, response for HTTP, revisit
 for a payload that another record holds, resource for the rest), and SHA-1
 digests of block and payload.
 
-Files are written with Spark's text writer, a record's bytes a row, and read
-as binary files, so they may lie in any store that Spark reaches; a file is at
-most some tens of records or segments.  Which record holds a payload is found from
-digests alone, summed map-side; payloads are shuffled once, by the place
-of their record.
+Every record is a gzip member of its own, as such archives are kept.  Files are
+written with Spark's text writer, a file's bytes a row (the zero byte behind it is
+padding to gzip), and read as binary files, so they may lie in any store that Spark
+reaches; a file holds records of at most ``FILE_BYTES`` (or one record), whatever their number.
+
+Scale.  Which record holds a payload is found from digests alone, summed map-side.
+The converter reads the files once more, beside a list of each file's revisits:
+that list is broadcast if it's under ``BROADCAST_ROWS`` rows, else files and lists are joined
+by path, which moves compressed files, never a payload on its own.  The memory of a
+task follows the file.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ import base64
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
@@ -27,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_schema, fresh_path, staged
+from sparkloom.llm.common import arrow_schema, dropped, fresh_path, staged
 
-SEGMENT_BYTES = 2_000_000
-SEGMENTS_OF_FILE = 4
-RECORDS_OF_FILE = 1000
+FILE_BYTES = 16_000_000  # of records before compression
+BROADCAST_ROWS = 100_000
+READ_BYTES = 1 << 14
+GZIP = 31  # zlib's window bits for gzip members
 LEAST_REVISIT = 1000
 START = datetime(2000, 1, 1, tzinfo=timezone.utc)
 
@@ -64,30 +71,76 @@ def plain_url(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else "unknown:"
 
 
+def member(data: bytes) -> bytes:
+    """A gzip member."""
+    packer = zlib.compressobj(3, zlib.DEFLATED, GZIP)
+    return packer.compress(data) + packer.flush()
+
+
+def members(content: bytes) -> Iterator[tuple[int, bytes]]:
+    """(place, data) of each gzip member; zero bytes behind one are padding."""
+    view, at = memoryview(content), 0
+    while at < len(content):
+        if not content[at]:
+            at += 1
+            continue
+        begin, unpacker, parts = at, zlib.decompressobj(GZIP), []
+        while not unpacker.eof:
+            if at >= len(content):
+                raise ValueError(f"the member at byte {begin} is cut short")
+            parts.append(unpacker.decompress(view[at : at + READ_BYTES]))
+            at += len(view[at : at + READ_BYTES])
+        at -= len(unpacker.unused_data)
+        yield begin, b"".join(parts)
+
+
 # ARC
 
 
-def arc_segment(records: list[tuple[int | None, str | None, bytes]], version: int, name: str) -> bytes:
-    """A version block and the records (page id, URL, payload) behind it."""
+def arc_version_block(version: int, name: str) -> bytes:
+    """The record that opens a file and says how the lines behind it read."""
     title = f"{version} 0 sparkloom\n{' '.join(ARC_FIELDS[version])}\n".encode()
     stamp = START.strftime("%Y%m%d%H%M%S")
-    out = [f"filedesc://{name} 0.0.0.0 {stamp} text/plain{' 200 - - 0 ' + name if version == 2 else ''} {len(title)}\n".encode(), title, b"\n"]
-    at = sum(map(len, out))
+    line = f"filedesc://{name} 0.0.0.0 {stamp} text/plain{' 200 - - 0 ' + name if version == 2 else ''} {len(title)}\n"
+    return line.encode() + title + b"\n"
+
+
+def arc_record(page_id: int | None, url: str | None, payload: bytes, version: int, name: str, at: int) -> bytes:
+    """A page as a record of a file ``name``, at byte ``at`` of it."""
+    own = b"" if page_id is None else f"X-Page-Id: {page_id}\r\n".encode()
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own + f"Content-Length: {len(payload)}\r\n\r\n".encode() + payload
+    seconds = (page_id or 0) % (1 << 30)
+    date = (START + timedelta(seconds=seconds)).strftime("%Y%m%d%H%M%S")
+    middle = f" 200 {sha1_hex(payload)[:8]} - {at} {name}" if version == 2 else ""
+    return f"{plain_url(url)} 0.0.0.0 {date} text/html{middle} {len(block)}\n".encode() + block + b"\n"
+
+
+def arc_segment(records: list[tuple[int | None, str | None, bytes]], version: int, name: str) -> bytes:
+    """A version block and the records (page id, URL, payload) behind it, uncompressed."""
+    out = [arc_version_block(version, name)]
+    at = len(out[0])
     for page_id, url, payload in records:
-        own = b"" if page_id is None else f"X-Page-Id: {page_id}\r\n".encode()
-        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + own + f"Content-Length: {len(payload)}\r\n\r\n".encode() + payload
-        seconds = (page_id or 0) % (1 << 30)
-        date = (START + timedelta(seconds=seconds)).strftime("%Y%m%d%H%M%S")
-        middle = f" 200 {sha1_hex(payload)[:8]} - {at} {name}" if version == 2 else ""
-        line = f"{plain_url(url)} 0.0.0.0 {date} text/html{middle} {len(block)}\n".encode()
-        out += [line, block, b"\n"]
-        at += len(line) + len(block) + 1
+        out.append(arc_record(page_id, url, payload, version, name, at))
+        at += len(out[-1])
     return b"".join(out)
 
 
-def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """(place, fields, block) of each record; a version block sets the fields of the lines behind it."""
-    at, version = 0, 1
+def unpacked(content: bytes) -> Iterator[tuple[int, bytes]]:
+    """(place, bytes) of each gzip member of a file, or of the whole file if it isn't compressed."""
+    return members(content) if content[:2] == b"\x1f\x8b" else iter([(0, content)])
+
+
+def arc_file_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """``arc_records`` of a file with or without compression; a place counts members' bytes, then those inside."""
+    version = [1]
+    for place, data in unpacked(content):
+        for at, fields, block in arc_records(data, version):
+            yield place + at, fields, block
+
+
+def arc_records(content: bytes, state: list[int] | None = None) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """(place, fields, block) of each record; a version block sets the fields of the lines behind it (and ``state``)."""
+    at, state = 0, state or [1]
     while at < len(content):
         if content[at : at + 1] == b"\n":  # the line feed that ends a record
             at += 1
@@ -100,12 +153,12 @@ def arc_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         if len(block) != length:
             raise ValueError(f"the record at byte {at} is cut short")
         if line.startswith("filedesc:"):
-            version = int(block.split(b" ", 1)[0])
+            state[0] = int(block.split(b" ", 1)[0])
             fields = dict(zip(ARC_FIELDS[1], values[:4] + values[-1:]))
-        elif len(values) != len(ARC_FIELDS[version]):
-            raise ValueError(f"the header line at byte {at} has {len(values)} fields, version {version} has {len(ARC_FIELDS[version])}")
+        elif len(values) != len(ARC_FIELDS[state[0]]):
+            raise ValueError(f"the header line at byte {at} has {len(values)} fields, version {state[0]} has {len(ARC_FIELDS[state[0]])}")
         else:
-            fields = dict(zip(ARC_FIELDS[version], values))
+            fields = dict(zip(ARC_FIELDS[state[0]], values))
         yield at, fields, block
         at = end + 1 + length
 
@@ -179,36 +232,50 @@ def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at += 4
 
 
-# Spark
+def warc_file_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """``warc_records`` of a file with or without compression."""
+    for _, data in unpacked(content):
+        yield from warc_records(data)
 
 
-def _segments(batches):
-    """One ARC segment a row; versions 1 and 2 in turn."""
-    from pyspark import TaskContext
+# Spark
 
-    part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
 
-    def made():
-        name = f"pages-{part:05d}-{number:05d}.arc"
-        return pa.RecordBatch.from_arrays([pa.array([arc_segment(held, 1 + number % 2, name)], pa.binary())], names=["arc"])
+def _arc_files(batches):
+    """One ARC file a row, each record a gzip member; versions 1 and 2 in turn."""
+    from pyspark import TaskContext
 
+    part, number, out, size = TaskContext.get().partitionId(), 0, [], 0
     for batch in batches:
         for i in range(batch.num_rows):
             page_id, url, html = (c[i].as_py() for c in batch.columns)
-            payload = (html or "").encode("utf-8", "surrogatepass")
-            held.append((page_id, url, payload))
-            size += len(payload)
-            if size >= SEGMENT_BYTES:
-                yield made()
-                number, held, size = number + 1, [], 0
-    if held:
-        yield made()
+            version, name = 1 + number % 2, f"pages-{part:05d}-{number:05d}.arc"
+            if not out:
+                block = arc_version_block(version, name)
+                out, size = [member(block)], len(block)
+            record = arc_record(page_id, url, (html or "").encode("utf-8", "surrogatepass"), version, name, size)
+            out.append(member(record))
+            size += len(record)
+            if size >= FILE_BYTES:
+                yield _one(b"".join(out), "arc")
+                number, out = number + 1, []
+    if out:
+        yield _one(b"".join(out), "arc")
+
+
+def _one(data: bytes, name: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=[name])
+
+
+def _write_files(files: DataFrame, path: str) -> None:
+    """Each row of the one binary column as a file; the text writer's line end is a zero byte, which gzip takes as padding."""
+    files.select(F.col(files.columns[0]).cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Write pages as ARC files; a null html is an empty payload, a null id isn't named."""
     rows = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string"))
-    rows.mapInArrow(_segments, "arc binary").select(F.col("arc").cast("string")).write.option("maxRecordsPerFile", SEGMENTS_OF_FILE).text(path)
+    _write_files(rows.mapInArrow(_arc_files, "arc binary"), path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -220,12 +287,12 @@ def _found(schema: pa.Schema):
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = []
-                for at, fields, block in arc_records(content.as_py()):
+                for at, fields, block in arc_file_records(content.as_py()):
                     parts = http_parts(block)
                     if parts:
                         page = http_field(parts[0], "X-Page-Id")
                         rows.append({
-                            "uid": f"{path}:{at}", "page_id": None if page is None else int(page), "digest": sha1_hex(parts[1]), "bytes": len(parts[1]),
+                            "path": path, "at": at, "page_id": None if page is None else int(page), "digest": sha1_hex(parts[1]), "bytes": len(parts[1]),
                             "record": own_id(fields, block), "uri": fields["URL"], "date": warc_date(fields["Archive-date"]),
                         })
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -233,27 +300,21 @@ def _found(schema: pa.Schema):
     return run
 
 
-def _parsed(schema: pa.Schema):
-    def run(batches):
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = []
-                for at, fields, block in arc_records(content.as_py()):
-                    rows.append({"uid": f"{path}:{at}", "fields": [fields[f] for f in ARC_FIELDS[1]], "block": block})
-                    if len(rows) == 256:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
-    return run
-
-
-def _converted(batches):
+def _warc_files(batches):
+    """WARC files, each record a gzip member, of ARC files (content, revisits); a revisit names the place of its record and what it refers to."""
     for batch in batches:
-        out = []
-        for fields, block, *refers in zip(*(c.to_pylist() for c in batch.columns)):
-            out.append(warc_record(dict(zip(ARC_FIELDS[1], fields)), block, None if refers[0] is None else tuple(refers)))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["warc"])
+        for content, revisits in zip(*batch.columns):
+            refers = {r["at"]: (r["record"], r["uri"], r["date"]) for r in revisits.as_py() or ()}
+            out, size = [], 0
+            for at, fields, block in arc_file_records(content.as_py()):
+                record = warc_record(fields, block, refers.get(at)) + b"\r\n\r\n"
+                out.append(member(record))
+                size += len(record)
+                if size >= FILE_BYTES:
+                    yield _one(b"".join(out), "warc")
+                    out, size = [], 0
+            if out:
+                yield _one(b"".join(out), "warc")
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEAST_REVISIT) -> None:
@@ -262,15 +323,19 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = LEA
     Of the records with equal payloads of at least ``least`` bytes, that with the largest page id is
     the response (a null id is the smallest; then the last place decides), the others revisit it.
     """
-    ddl = "uid string, page_id long, digest string, bytes long, record string, uri string, date string"
+    ddl = "path string, at long, page_id long, digest string, bytes long, record string, uri string, date string"
     found = staged(_files(spark, arc_path).mapInArrow(_found(arrow_schema(ddl)), ddl), "arc-records")
-    rank = F.struct(F.coalesce("page_id", F.lit(-(2**63))), F.col("uid"))
-    held = found.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max_by(F.struct("uid", "record", "uri", "date"), rank).alias("r"), F.count("*").alias("n")).where("n > 1")
-    refers = found.join(held.select("digest", "bytes", "r"), ["digest", "bytes"]).where("uid <> r.uid").select("uid", "r.record", "r.uri", "r.date")
-    parsed = _files(spark, arc_path).mapInArrow(_parsed(arrow_schema("uid string, fields array<string>, block binary")), "uid string, fields array<string>, block binary")
-    joined = parsed.join(refers, "uid", "left").select("fields", "block", "record", "uri", "date")
-    records = joined.mapInArrow(_converted, "warc binary").select(F.col("warc").cast("string"))
-    records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_OF_FILE).text(warc_path)
+    place = F.struct("path", "at")
+    rank = F.struct(F.coalesce("page_id", F.lit(-(2**63))), place)
+    of_payload = found.where(F.col("bytes") >= least).groupBy("digest", "bytes")
+    held = of_payload.agg(F.max_by(F.struct("path", "at", "record", "uri", "date"), rank).alias("r"), F.count("*").alias("n")).where("n > 1")
+    refers = found.join(held.select("digest", "bytes", "r"), ["digest", "bytes"]).where((F.col("path") != F.col("r.path")) | (F.col("at") != F.col("r.at")))
+    # a file holds a bounded number of bytes, so a bounded number of revisits of ``least`` bytes or more
+    revisits = staged(refers.groupBy("path").agg(F.collect_list(F.struct("at", "r.record", "r.uri", "r.date")).alias("revisits")), "revisits")
+    rows = revisits.agg(F.sum(F.size("revisits"))).first()[0] or 0
+    files = _files(spark, arc_path)
+    joined = files.join(F.broadcast(revisits) if rows <= BROADCAST_ROWS else revisits, "path", "left").select("content", "revisits")
+    _write_files(joined.mapInArrow(_warc_files, "warc binary"), warc_path)
 
 
 def _read(schema: pa.Schema):
@@ -278,7 +343,7 @@ def _read(schema: pa.Schema):
         for batch in batches:
             for content in batch.column(1):
                 rows = []
-                for fields, block in warc_records(content.as_py()):
+                for fields, block in warc_file_records(content.as_py()):
                     parts = http_parts(block)
                     if fields["WARC-Type"] not in ("response", "revisit"):
                         continue
@@ -312,4 +377,5 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     arc, warc = fresh_path(spark, "arc"), fresh_path(spark, "warc")
     write_arc(pages, arc, id_col, url_col, html_col)
     convert(spark, arc, warc)
+    dropped(spark, arc)  # the WARC files are committed
     return read_warc(spark, warc).withColumnRenamed("page_id", id_col)

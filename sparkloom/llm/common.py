@@ -23,6 +23,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of ``fresh_path`` that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: cuts the lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, label)
