@@ -21,8 +21,9 @@ replacement drawn from a keyed hash of its type and canonical form:
   none is left.
 
 Scale.  Only texts with entities (a narrow test) meet the surrogate table:
-(text hash, entity) pairs are made distinct before the join, so copies and
-entities that occur everywhere cost a row per task, and a map per text
+(text hash, mention) pairs are made distinct before the join, so copies and
+entities that occur everywhere cost a row per task.  A mention is taken apart and
+replaced once for the whole corpus, from staged columns, and a map of mentions per text
 hash goes back to its documents.  Other texts are never shuffled.
 """
 
@@ -88,17 +89,23 @@ INTERNATIONAL = (
     rf"|[1-9]\d{TRUNK}(?:{DIGIT}){{5,13}})(?!\w)"
 )
 AREA = r"(?<![\w.+])(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"
-#: Without a country code: a trunk 0 and pairs or an area code behind it; Spanish groups; 10 digits, 11 with a leading 1, 9 of Spain.
+#: Words before an unseparated number that say it's something else.
+NO_PHONE = (
+    r"(?<!\b(?i:order|invoice|item|article|ref|reference|ticket|case|account|customer|serial|isbn|id|no|nr|num|number|bestellung|bestellnummer|rechnung|kundennummer"
+    r"|commande|facture|pedido|factura|cuenta|referencia)[ .:#]{0,3})(?<![#№] ?)"
+)
+#: Without a country code: a trunk 0 and pairs or an area code behind it; Spanish groups; unseparated, 10 digits with a
+#: North American area code (11 with a leading 1) or 9 with a Spanish one, unless the word before says otherwise.
 NATIONAL = (
     r"(?<![\w.+-])(?:0[1-9](?:[ .-]\d{2}){4}|\(0[1-9]\d{1,4}\) ?\d{3,8}|0[1-9]\d{1,4}(?: ?[/-] ?| )\d{4,8}|[6-9]\d{2}(?:[ -]\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}"
-    r"|0[1-9]\d{7,10}|1?\d{10}|[6-9]\d{8})(?!\w)(?!\.\d)"
+    rf"|0[1-9]\d{{7,10}}|{NO_PHONE}(?:1?[2-9][0-8]\d{{8}}|[67]\d{{8}}|[89][1-8]\d{{7}}))(?!\w)(?!\.\d)"
 )
 #: A card ends with the grouping it began with; three digits more may belong to it (see ``_card``).
 CARD = r"(?<![\w.])(?:\d{16,19}|\d{4}(?: \d{4}){3}(?: \d{3})?|\d{4}(?:-\d{4}){3}(?:-\d{3})?|3\d{3}[ -]\d{6}[ -]\d{4,5})(?!\w)"
 ODD_CARD = r"(?<![\w.])(?:\d{13,15}|\d(?:[ -]?\d){12,18})(?!\w)"
 PATTERN = "|".join([
     SECRET + r"[^\s\"']{6,}",
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     r"\bAKIA[0-9A-Z]{16}\b",
     rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w)(?!\.\d)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -140,32 +147,30 @@ def _card(m: Column) -> Column:
     return F.when(m.rlike(r"^\d{4}(?:[ -]\d{4}){3}[ -]\d{3}$") & (valid(16) | ~valid(19)), F.substring(m, 1, 19)).otherwise(m)
 
 
-def _person(m: Column) -> tuple[Column, Column, Column]:
-    """Form of address with what is behind it, the parts of the name (the last is the surname), what is around them."""
-    title = F.regexp_extract(m, rf"^({ADDRESS}){NAME}$", 1)
-    name = F.substr(m, F.length(title) + 1)
-    return title, F.regexp_extract_all(name, F.lit(PART), 0), F.split(name, PART, -1)
-
-
 def _script(word: Column) -> Column:
     return F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
 
-def units(m: Column) -> Column:
-    """The entities of a mention: an array of (kind, canonical form); a name has one for each part."""
-    kind = entity_type(m)
-    title, parts, _ = _person(m)
-    of_gender = lambda forms: title.rlike(rf"(?<!{L})(?:{'|'.join(forms)})(?!{L})")
-    gender = F.when(of_gender(FEMALE), "f").when(of_gender(MALE), "m").otherwise("n")
+def described(mentions: DataFrame) -> DataFrame:
+    """``mentions(mention)`` with what the later steps need, once a mention: kind; the form of address, the parts of the name and
+    what is around them; the card in it; units, an array of (kind, canonical form), one for each part of a name."""
+    m, kind = F.col("mention"), F.col("kind")
+    person = kind == "person"
+    title = F.when(person, F.regexp_extract(m, rf"^({ADDRESS}){NAME}$", 1))
+    df = mentions.withColumn("kind", entity_type(m))
+    df = staged(df.withColumn("title", title).withColumn("card", F.when(kind == "card", _card(m))), "mentions")
+    name = F.when(person, F.substr(m, F.length("title") + 1))
+    df = df.withColumn("parts", F.regexp_extract_all(name, F.lit(PART), 0)).withColumn("around", F.split(name, PART, -1))
+    of_gender = lambda forms: F.col("title").rlike(rf"(?<!{L})(?:{'|'.join(forms)})(?!{L})")
+    df = staged(df.withColumn("gender", F.when(of_gender(FEMALE), "f").when(of_gender(MALE), "m").otherwise("n")), "mentions")
     form = (
         F.when(kind == "secret", F.regexp_replace(m, "^" + SECRET, "")).when(kind == "email", F.lower(m))
-        .when(kind == "phone", _national(m)).when(kind == "card", _digits(_card(m))).when(kind == "ssn", _digits(m)).otherwise(m)
+        .when(kind == "phone", _national(m)).when(kind == "card", _digits(F.col("card"))).when(kind == "ssn", _digits(m)).otherwise(m)
     )
     unit = lambda k, f: F.struct(k.alias("kind"), f.alias("form"))
-    given = F.transform(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: unit(F.concat(F.lit("given_"), gender, F.lit("_"), _script(p)), F.lower(p)))
-    surname = F.transform(F.slice(parts, -1, 1), lambda p: unit(F.concat(F.lit("surname_"), _script(p)), F.lower(p)))
-    names = F.concat(given, surname)
-    return F.when(kind == "person", names).otherwise(F.array(unit(kind, form)))
+    given = F.transform(F.slice("parts", 1, F.greatest(F.size("parts") - 1, F.lit(0))), lambda p: unit(F.concat(F.lit("given_"), F.col("gender"), F.lit("_"), _script(p)), F.lower(p)))
+    surname = F.transform(F.slice("parts", -1, 1), lambda p: unit(F.concat(F.lit("surname_"), _script(p)), F.lower(p)))
+    return staged(df.withColumn("units", F.when(person, F.concat(given, surname)).otherwise(F.array(unit(kind, form)))), "mentions")
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -279,26 +284,28 @@ def _woven(gaps: Column, words: Column) -> Column:
     return F.array_join(F.zip_with(gaps, F.concat(words, F.array(F.lit(""))), lambda g, w: F.concat(g, w)), "")
 
 
-def rendered(mention: Column, found: Column) -> Column:
-    """The text that replaces a mention; ``found`` maps "kind|form" to the surrogate."""
-    look = lambda u: F.element_at(found, F.concat_ws("|", u["kind"], u["form"]))
-    all_ = units(mention)
-    core, kind = look(F.element_at(all_, -1)), entity_type(mention)
-    title, parts, around = _person(mention)
-    name = F.concat(title, _woven(around, F.zip_with(parts, all_, lambda p, u: _as_written(p, look(u)))))
-    return (
+def rendered(mentions: DataFrame, table: DataFrame) -> DataFrame:
+    """(mention, new, names) of ``described`` mentions: the text that replaces each, and for names (kind|form, surrogate) of the parts."""
+    one = mentions.select("mention", F.posexplode("units").alias("at", "u")).select("mention", "at", "u.kind", "u.form")
+    core = one.join(table, ["kind", "form"]).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("at", F.concat_ws("|", "kind", "form").alias("unit"), "surrogate"))).alias("cores"))
+    df = mentions.join(core, "mention")
+    m, kind, last = F.col("mention"), F.col("kind"), F.element_at("cores", -1)["surrogate"]
+    name = F.concat("title", _woven(F.col("around"), F.zip_with("parts", "cores", lambda p, c: _as_written(p, c["surrogate"]))))
+    new = (
         F.when(kind == "person", name)
-        .when(kind == "secret", F.concat(F.regexp_extract(mention, "^" + SECRET, 0), core))
-        .when(kind.isin("phone", "ssn"), _filled(mention, core))
-        .when(kind == "card", F.concat(_filled(_card(mention), core), F.substr(mention, F.length(_card(mention)) + 1)))
-        .when((kind == "email") & (mention == F.upper(mention)), F.upper(core))
-        .otherwise(core)
+        .when(kind == "secret", F.concat(F.regexp_extract(m, "^" + SECRET, 0), last))
+        .when(kind.isin("phone", "ssn"), _filled(m, last))
+        .when(kind == "card", F.concat(_filled(F.col("card"), last), F.substr(m, F.length("card") + 1)))
+        .when((kind == "email") & (m == F.upper(m)), F.upper(last))
+        .otherwise(last)
     )
+    names = F.when(kind == "person", F.transform("cores", lambda c: F.struct(c["unit"].alias("unit"), c["surrogate"].alias("surrogate"))))
+    return staged(df.select("mention", new.alias("new"), names.alias("names")), "rendered")
 
 
 def bare_names(found: Column) -> Column:
     """A pattern of the names in ``found`` where they stand alone, the longest first; null if there is none."""
-    forms = F.transform(F.filter(F.map_keys(found), lambda k: k.rlike(r"^(?:given|surname)_\w+\|..")), lambda k: F.substring_index(k, "|", -1))
+    forms = F.filter(F.transform(F.map_keys(found), lambda k: F.substring_index(k, "|", -1)), lambda f: F.length(f) > 1)
     longest = F.transform(F.sort_array(F.transform(F.array_distinct(forms), lambda f: F.struct(F.length(f), f.alias("f"))), asc=False), lambda x: x["f"])
     pattern = F.concat(F.lit(rf"(?<!{L})(?=\p{{Lu}}|[dl]['’])(?iu:"), F.array_join(longest, "|"), F.lit(rf")(?!{L})"))
     return F.when(F.size(forms) > 0, pattern)
@@ -319,23 +326,24 @@ def with_surrogates(docs: DataFrame, text_col: str = "text", *, key: str = DEFAU
     were (count 0); equal texts have equal results.
     """
     cols = docs.columns
-    mentions, code = free_name(docs, "mentions"), free_name(docs, "text_hash")
+    mentions, gaps, code, found, new, bare = (free_name(docs, n) for n in ("mentions", "gaps", "text_hash", "found", "new", "bare"))
     text = F.col(f"`{text_col}`")
     hit = F.coalesce(text.rlike(HINT) & text.rlike(PATTERN), F.lit(False))
     clean = docs.where(~hit)
     dirty = docs.where(hit).withColumn(mentions, F.regexp_extract_all(text, F.lit(PATTERN), 0)).withColumn(code, F.xxhash64(text))
-    every = dirty.select(F.col(code).alias("code"), F.explode(F.flatten(F.transform(mentions, units))).alias("u"))
-    every = staged(every.select("code", "u.kind", "u.form").distinct(), "mentions")
-    table = surrogate_table(every.select("kind", "form").distinct(), key)
-    pair = F.struct(F.concat_ws("|", "kind", "form"), F.col("surrogate"))
-    maps = every.join(table, ["kind", "form"]).groupBy("code").agg(F.map_from_entries(F.collect_set(pair)).alias("found"))
-    found = free_name(docs, "found")
-    bare = free_name(docs, "bare")
-    maps = maps.select(F.col("code").alias(free_name(docs, "code")), F.col("found").alias(found), bare_names(F.col("found")).alias(bare))
-    joined = dirty.join(maps, dirty[code] == maps[free_name(docs, "code")])
-    gaps = F.split(text, PATTERN, -1)
-    new = F.transform(mentions, lambda m: rendered(m, F.col(found)))
-    whole = _woven(F.transform(gaps, lambda g: _without_bare(g, F.col(bare), F.col(found))), new)
+    pairs = staged(dirty.select(F.col(code).alias("code"), F.explode(mentions).alias("mention")).distinct(), "pairs")
+    every = described(pairs.select("mention").distinct())
+    table = surrogate_table(every.select(F.explode("units").alias("u")).select("u.kind", "u.form").distinct(), key)
+    of_text = pairs.join(rendered(every, table), "mention").groupBy("code").agg(
+        F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("new"),
+        F.map_from_entries(F.array_distinct(F.flatten(F.collect_list("names")))).alias("found"),
+    )
+    other = free_name(docs, "code")
+    maps = of_text.select(F.col("code").alias(other), F.col("new").alias(new), F.col("found").alias(found), bare_names(F.col("found")).alias(bare))
+    maps = staged(maps, "replacements")
+    joined = dirty.join(maps, dirty[code] == maps[other]).withColumn(gaps, F.split(text, PATTERN, -1))
+    words = F.transform(mentions, lambda m: F.element_at(F.col(new), m))
+    whole = _woven(F.transform(gaps, lambda g: _without_bare(g, F.col(bare), F.col(found))), words)
     alone = F.aggregate(gaps, F.lit(0), lambda n, g: n + F.size(F.regexp_extract_all(g, F.col(bare), 0)))
     n_mentions = F.size(mentions) + F.when(F.col(bare).isNull(), 0).otherwise(alone)
     counted = [n_mentions.cast("long").alias(count_col)] if count_col else []
