@@ -1,10 +1,8 @@
 """Dominant colours: deterministic k-means for all images at once.
 
 Pixels are first reduced to distinct colours with counts (a map-side
-combined aggregate), since k-means only needs colour weights.  Large images
-are best grid-sampled where the pixels are produced (``struct_to_pixels``
-and ``synthetic_raster`` take ``max_side``), since the width and height are
-known there; ``grid_sample`` does it afterwards at the cost of a join.
+combined aggregate), since k-means only needs colour weights.  This is the form for a
+pixel relation; ``raster.color_palette`` clusters an image where its raster is read.
 
 Initial centres: colour channels quantised by ``div 32``; the ``k`` most
 frequent bins of each image (ties by bin id) with their weighted mean
@@ -17,7 +15,6 @@ checkpointed to the cluster's checkpoint directory to cut the lineage.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,16 +24,6 @@ DEFAULT_K = 5
 DEFAULT_ROUNDS = 5
 
 
-def grid_sample(pixels: DataFrame, max_side: int = 150) -> DataFrame:
-    """Keep a regular grid of at most ``max_side`` columns and rows per image."""
-    dims = pixels.groupBy("image_id").agg((F.max("x") + 1).alias("w"), (F.max("y") + 1).alias("h"))
-    sx = F.greatest(F.lit(1), F.ceil(F.col("w") / F.lit(max_side)))
-    sy = F.greatest(F.lit(1), F.ceil(F.col("h") / F.lit(max_side)))
-    steps = dims.select("image_id", sx.alias("sx"), sy.alias("sy"))
-    p = pixels.join(steps, "image_id")
-    return p.filter((F.col("x") % F.col("sx") == 0) & (F.col("y") % F.col("sy") == 0)).drop("sx", "sy")
-
-
 def color_counts(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("image_id", "r", "g", "b").agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -101,8 +88,7 @@ def update(assigned: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     return assigned.groupBy("image_id").agg(*aggs)
 
 
-def kmeans_colors(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_ROUNDS, max_side: int | None = None,
-                  checkpoint_every: int = 10) -> tuple[DataFrame, DataFrame]:
+def kmeans_colors(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_ROUNDS, checkpoint_every: int = 10) -> tuple[DataFrame, DataFrame]:
     """Returns ``(centres, assigned colours)`` after ``rounds`` rounds (lazy).
 
     Each round is one join (colours with their image's centre row) and one
@@ -110,11 +96,8 @@ def kmeans_colors(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_R
     long runs the centres are checkpointed every ``checkpoint_every`` rounds
     to the shared ``spark.checkpoint.dir`` to cut the lineage.
     """
-    px = grid_sample(pixels, max_side) if max_side else pixels
-    colors = color_counts(px)
-    if rounds > checkpoint_every:
-        ensure_checkpoint_dir(pixels.sparkSession)
-        colors = colors.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(pixels.sparkSession)
+    colors = color_counts(pixels)
     centres = initial_centres(colors, k)
     for i in range(rounds):
         centres = update(assign(colors, centres, k), k)
@@ -133,9 +116,9 @@ def _hex2(c) -> F.Column:
     return F.lpad(F.lower(F.hex(F.floor(c).cast("int"))), 2, "0")
 
 
-def color_palette(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_ROUNDS, max_side: int | None = None) -> DataFrame:
+def color_palette(pixels: DataFrame, k: int = DEFAULT_K, rounds: int = DEFAULT_ROUNDS) -> DataFrame:
     """``(image_id, rank, color_hex, weight)``: clusters by share (rank 0 = largest)."""
-    centres, assigned = kmeans_colors(pixels, k, rounds, max_side)
+    centres, assigned = kmeans_colors(pixels, k, rounds)
     shares = assigned.groupBy("image_id", "k").agg(F.sum("cnt").alias("n"))
     j = shares.join(centres_long(centres, k), ["image_id", "k"])
     total = F.sum("n").over(Window.partitionBy("image_id"))

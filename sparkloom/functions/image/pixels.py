@@ -53,23 +53,9 @@ def _byte_at(data: Column, offset: Column) -> Column:
     return F.conv(F.hex(F.substring(data, offset + 1, 1)), 16, 10).cast("int")
 
 
-def _grid_positions(width, height, max_side: int | None):
-    """Row-major pixel positions; with ``max_side``, a regular grid of at most max_side per axis."""
-    if not max_side:
-        return F.sequence(F.lit(0), width * height - 1)
-    sx = F.greatest(F.lit(1), F.ceil(width / F.lit(max_side))).cast("int")
-    sy = F.greatest(F.lit(1), F.ceil(height / F.lit(max_side))).cast("int")
-    ys = F.sequence(F.lit(0), height - 1, sy)
-    xs = F.sequence(F.lit(0), width - 1, sx)
-    return F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: y * width + x)))
-
-
-def struct_to_pixels(info: DataFrame, id_col: str = "image_id", max_side: int | None = None,
-                     partition_by_image: bool = False) -> DataFrame:
+def struct_to_pixels(info: DataFrame, id_col: str = "image_id", partition_by_image: bool = False) -> DataFrame:
     """Explode decoded images into pixels; BGR(A) -> RGB, alpha dropped, gray -> r = g = b.
 
-    ``max_side`` keeps only a regular grid of at most that many columns and
-    rows (sampling before exploding, so skipped pixels never exist as rows).
     ``partition_by_image`` hash-partitions the per-image rows by id *before*
     exploding (see :func:`_place_images`).
     """
@@ -78,7 +64,7 @@ def struct_to_pixels(info: DataFrame, id_col: str = "image_id", max_side: int |
         ok = _place_images(ok, id_col)
     px = ok.select(
         id_col, "width", "n_channels", "data",
-        F.explode(_grid_positions(F.col("width"), F.col("height"), max_side)).alias("pos"),
+        F.explode(F.sequence(F.lit(0), F.col("width") * F.col("height") - 1)).alias("pos"),
     )
     base = F.col("pos") * F.col("n_channels")
     is_gray = F.col("n_channels") < 3

@@ -53,14 +53,24 @@ def extract_text_features(df: DataFrame, id_col: str, text_col: str, extraction_
     return topics.describe_topics(df, id_col, text_col, k=options.get("k", 5), terms=options.get("terms", 10))
 
 
-def text_feature_summary(df: DataFrame, text_col: str, extraction_type: str, started: float | None = None) -> DataFrame:
-    """One row: extraction type, number of texts, non-empty texts, max keywords and elapsed time."""
+def text_feature_summary(df: DataFrame, text_col: str, extraction_type: str, started: float | None = None, *,
+                         features: DataFrame | None = None, model: str | None = None) -> DataFrame:
+    """One row about a run: extraction type, number of texts, non-empty texts, max keywords and elapsed time; with the
+    run's ``features``, the rows and columns of its vectors (and the ``model``'s name) or its number of topics."""
+    kind = extraction_type.upper()
     elapsed = None if started is None else time.time() - started
+    n_rows = n_columns = n_topics = F.lit(None)
+    if features is not None and kind == "SEMANTIC_VECTORS":
+        n_rows, n_columns = features.agg(F.count(F.lit(1))).scalar(), features.agg(F.max(F.size("vector"))).scalar()
+    if features is not None and kind == "TOPICS":
+        n_topics = features.agg(F.count_distinct("topic_id")).scalar()
     return df.agg(
         F.count(F.lit(1)).alias("num_texts"),
         F.count_if(F.length(F.coalesce(F.col(text_col), F.lit(""))) > 0).alias("non_empty_texts"),
     ).select(
-        F.lit(extraction_type.upper()).alias("extraction_type"), "num_texts", "non_empty_texts",
-        F.lit(keywords.TOP if extraction_type.upper() == "KEYWORDS" else None).cast("int").alias("max_keywords"),
+        F.lit(kind).alias("extraction_type"), "num_texts", "non_empty_texts",
+        F.lit(keywords.TOP if kind == "KEYWORDS" else None).cast("int").alias("max_keywords"),
+        n_rows.cast("bigint").alias("shape_rows"), n_columns.cast("int").alias("shape_columns"),
+        F.lit(model if kind == "SEMANTIC_VECTORS" else None).cast("string").alias("model"), n_topics.cast("bigint").alias("num_topics"),
         F.lit(elapsed).cast("double").alias("processing_time"),
     )

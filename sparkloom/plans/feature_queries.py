@@ -770,14 +770,27 @@ def q_generate_sample(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_DUCK_SUMMARY = """SELECT '{kind}' AS extraction_type, count(*) AS num_texts, count_if(length(coalesce(text, '')) > 0) AS non_empty_texts,
+       CAST({keywords} AS INTEGER) AS max_keywords, CAST({rows} AS BIGINT) AS shape_rows, CAST({columns} AS INTEGER) AS shape_columns,
+       CAST({model} AS VARCHAR) AS model, CAST(NULL AS BIGINT) AS num_topics FROM documents"""
+
+
 @register(
     "feature_summary",
-    """SELECT 'SENTIMENT' AS extraction_type, count(*) AS num_texts, count_if(length(coalesce(text, '')) > 0) AS non_empty_texts,
-       CAST(NULL AS INTEGER) AS max_keywords FROM documents""",
+    "\nUNION ALL\n".join([
+        _DUCK_SUMMARY.format(kind="SENTIMENT", keywords="NULL", rows="NULL", columns="NULL", model="NULL"),
+        _DUCK_SUMMARY.format(kind="KEYWORDS", keywords=10, rows="NULL", columns="NULL", model="NULL"),
+        _DUCK_SUMMARY.format(kind="SEMANTIC_VECTORS", keywords="NULL", rows=r"count_if(regexp_matches(coalesce(text, ''), '\p{L}'))", columns=256, model="'hashed-tfidf'"),
+    ]),
 )
 def q_feature_summary(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    return text_feature_summary(docs, "text", "SENTIMENT").drop("processing_time")
+    dense = vectors.dense_tfidf(docs, "doc_id", "text", 256)
+    parts = [
+        text_feature_summary(docs, "text", "SENTIMENT"), text_feature_summary(docs, "text", "KEYWORDS"),
+        text_feature_summary(docs, "text", "SEMANTIC_VECTORS", features=dense, model="hashed-tfidf"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("processing_time")
 
 
 _DUCK_CANDIDATES = (

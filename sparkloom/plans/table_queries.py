@@ -222,6 +222,14 @@ _pred(
     "nullif(c_nationkey, 3) NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) "
     "OR c_nationkey NOT IN (SELECT nullif(n_nationkey, 7) FROM nation)",
 )
+_pred(
+    "pred_not_in_subquery",
+    "customer",
+    ["c_custkey", "c_nationkey"],
+    # NOT IN on its own is planned as a null-aware anti join
+    lambda sf: f"nullif(c_nationkey, 3) NOT IN (SELECT n_nationkey FROM {_parquet_ref(sf, 'nation')} WHERE n_regionkey = 1)",
+    "nullif(c_nationkey, 3) NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)",
+)
 _pred(
     "pred_scalar_subquery",
     "orders",

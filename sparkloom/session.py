@@ -53,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster runs executors of its own
             raise ValidationError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = os.path.join(tempfile.gettempdir(), "sparkloom-checkpoints")
     sc.setCheckpointDir(configured)

@@ -21,6 +21,22 @@ def test_registry_contract():
     assert all(callable(f) for f in qs.values())
 
 
+def test_core_queries_without_the_training_data_operators(monkeypatch):
+    import sys
+
+    every = set(E.queries())
+    monkeypatch.setitem(sys.modules, "sparkloom.llm.queries", None)  # importing it raises ImportError
+    monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    core = E.queries()
+    assert {n for n in every if not n.startswith("op") and n != "pipeline"} == {n for n in core if n != "pipeline"} and set(E.oracle_sql()) <= set(core)
+
+
+def test_not_in_is_a_null_aware_anti_join(spark):
+    df = E.queries()["pred_not_in_subquery"](spark, SF_SMALL)
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "NestedLoop" not in plan
+
+
 @pytest.mark.parametrize("name", ["run_query_spec", "pred_exists", "agg_median_mode", "schema_drift", "combine_weighted",
                                   "text_entities", "text_sentiment", "image_texture", "generate_sample"])
 def test_oracle_on_small_scale(spark, name):
