@@ -24,6 +24,8 @@ AGGREGATE_FAMILIES: dict[str, tuple[str, ...]] = {
     "collect": ("collect_list", "collect_set", "array_agg", "listagg", "string_agg"),
     "pick": ("any_value", "first", "last", "first_value", "last_value"),
     "try": ("try_sum", "try_avg"),
+    # binary states; ``sketches`` merges and reads them
+    "sketch": ("hll_sketch_agg", "hll_union_agg", "theta_sketch_agg", "theta_union_agg", "kll_sketch_agg_double", "bitmap_construct_agg", "bitmap_or_agg"),
 }
 
 ALLOWED_AGGREGATES: frozenset[str] = frozenset(n for names in AGGREGATE_FAMILIES.values() for n in names)

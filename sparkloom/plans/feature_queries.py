@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.operators import combine
+from sparkloom.operators import combine, numbering
 from sparkloom.plans.registry import register, table
 
 # ---------------------------------------------------------------- vectors
@@ -33,6 +33,20 @@ def q_pair_features(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("pair_id", F.size("text_vec").alias("text_dim"), F.size("image_vec").alias("image_dim"))
 
 
+@register(
+    "pair_by_position",
+    """WITH t AS (SELECT vec_id, row_number() OVER (ORDER BY label, vec_id) - 1 AS position FROM embeddings WHERE vec_id % 2 = 0),
+i AS (SELECT vec_id AS image_id, row_number() OVER (ORDER BY label DESC, vec_id) - 1 AS position FROM embeddings WHERE vec_id % 2 = 1)
+SELECT position, vec_id AS text_id, image_id FROM t JOIN i USING (position)""",
+)
+def q_pair_by_position(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings").select("vec_id", "label")
+    t = e.where("vec_id % 2 = 0").select(F.col("vec_id").alias("text_id"), F.col("label").alias("text_label"))
+    i = e.where("vec_id % 2 = 1").select(F.col("vec_id").alias("image_id"), F.col("label").alias("image_label"))
+    p = numbering.pair_by_position(t, i, ["text_label", "text_id"], [F.desc("image_label"), "image_id"])
+    return p.select("position", "text_id", "image_id")
+
+
 @register(
     "pairing_report",
     f"""WITH {_DUCK_SIDES}, tk AS (SELECT pair_id, count(*) AS nt FROM t GROUP BY pair_id),

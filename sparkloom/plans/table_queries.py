@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from sparkloom.dataset import Dataset
-from sparkloom.operators import inspect
+from sparkloom.operators import inspect, sketches
 from sparkloom.plans.preview import preview_sql, run_preview_sql
 from sparkloom.plans.registry import register, table
 from sparkloom.plans.spec import QuerySpec, apply_spec, dynamic_query
@@ -489,6 +489,28 @@ def q_query_template(spark: SparkSession, sf: str) -> DataFrame:
     return run_template(table(spark, sf, "customer"), "group_sum_above", {"key": "c_mktsegment", "value": "c_acctbal", "threshold": 1000.0})
 
 
+@register(
+    "agg_sketches",
+    """SELECT l_returnflag, TRUE AS hll_near, TRUE AS theta_near, TRUE AS median_near, count(DISTINCT l_partkey) AS parts
+FROM lineitem GROUP BY l_returnflag""",
+)
+def q_agg_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    # states of small groups are stored, merged over one key and read; estimates are held against exact values
+    li, keys, few = table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], ["l_returnflag"]
+    exact = li.groupBy(*few).agg(F.count_distinct("l_partkey").alias("n"))
+    for kind, column in (("HLL", "l_partkey"), ("THETA", "l_partkey"), ("QUANTILES", "l_extendedprice"), ("BITMAP", "l_partkey")):
+        path = staging_path(spark, kind.lower())
+        sketches.sketch(li, kind, column, keys).write.parquet(path)
+        merged = sketches.union(spark.read.parquet(path), kind, few)
+        exact = exact.join(sketches.estimate(merged, kind, few, name=kind), "l_returnflag")
+    below = li.join(exact, "l_returnflag").groupBy(*few).agg(F.avg((F.col("l_extendedprice") <= F.col("QUANTILES")).cast("double")).alias("share"))
+    near = lambda c: F.abs(F.col(c) - F.col("n")) <= 0.1 * F.col("n")
+    return exact.join(below, "l_returnflag").select(
+        "l_returnflag", near("HLL").alias("hll_near"), near("THETA").alias("theta_near"), (F.abs(F.col("share") - 0.5) < 0.04).alias("median_near"),
+        F.col("BITMAP").alias("parts"),
+    )
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 @register("load_parquet", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")
@@ -497,6 +519,20 @@ def q_load_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return ds.df.select("s_suppkey", "s_name", "s_nationkey")
 
 
+@register(
+    "load_merged",
+    """SELECT s_suppkey, s_name, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE) AS s_acctbal, CAST(NULL AS INTEGER) AS s_nationkey FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL BY NAME SELECT s_nationkey, s_suppkey, s_acctbal, s_name FROM supplier WHERE s_suppkey % 2 = 1""",
+)
+def q_load_merged(spark: SparkSession, sf: str) -> DataFrame:
+    # an old version of supplier (narrow types, no nation) and a new one, read as one dataset
+    src, base = table(spark, sf, "supplier"), staging_path(spark, "versions")
+    old = src.where("s_suppkey % 2 = 0").selectExpr("cast(s_suppkey AS int) AS s_suppkey", "s_name", "cast(s_acctbal AS float) AS s_acctbal")
+    files.save_dataset(old, f"{base}/v1")
+    files.save_dataset(src.where("s_suppkey % 2 = 1").select("s_nationkey", "s_suppkey", "s_acctbal", "s_name"), f"{base}/v2")
+    return files.load_merged(spark, [f"{base}/v1", f"{base}/v2"])
+
+
 @register("read_table", "SELECT n_nationkey, n_name FROM nation")
 def q_read_table(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_table(spark, _parquet_ref(sf, "nation")).select("n_nationkey", "n_name")

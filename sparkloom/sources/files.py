@@ -8,12 +8,15 @@ Hadoop-compatible file system.  The sidecar is a one-row JSON dataset at
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from typing import Any, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, DataType, DecimalType, DoubleType, IntegerType, LongType, NullType, ShortType, StringType, StructField, StructType, TimestampType,
+)
 
 from sparkloom.dataset import Dataset
 from sparkloom.errors import ValidationError
@@ -95,6 +98,83 @@ def load_parquet(spark: SparkSession, path: str, **options: Any) -> DataFrame:
     return load_dataset(spark, path, "parquet", options, with_metadata=False).df
 
 
+# Numeric types from narrow to wide.
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _wider(a: DataType, b: DataType, where: str) -> DataType:
+    """The type that holds the values of both; ``ValidationError`` if there's none."""
+    if a == b:
+        return a
+    if isinstance(a, NullType) or isinstance(b, NullType):
+        return b if isinstance(a, NullType) else a
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        return merged_schema([a, b], where + ".")
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(_wider(a.elementType, b.elementType, where + "[]"), a.containsNull or b.containsNull)
+    names = {a.simpleString(), b.simpleString()}
+    if names <= set(_INTEGERS):
+        return LongType() if "bigint" in names else IntegerType() if "int" in names else ShortType()
+    if names == {"float", "double"} or (names & {"float", "double"} and names & {"tinyint", "smallint", "int"}):
+        return DoubleType()
+    if names == {"date", "timestamp"}:
+        return TimestampType()
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        if whole + scale <= 38:
+            return DecimalType(whole + scale, scale)
+    raise ValidationError(f"Column {where!r} is {a.simpleString()} in one version and {b.simpleString()} in another")
+
+
+def merged_schema(schemas: Sequence[StructType], prefix: str = "") -> StructType:
+    """All columns of ``schemas`` by name, in order of appearance, each in the type that holds every version's values."""
+    fields: dict[str, StructField] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            old = fields.get(f.name)
+            if old is None:
+                fields[f.name] = f
+            else:
+                fields[f.name] = StructField(f.name, _wider(old.dataType, f.dataType, prefix + f.name), old.nullable or f.nullable)
+    return StructType([StructField(f.name, f.dataType, f.nullable or any(f.name not in s.fieldNames() for s in schemas)) for f in fields.values()])
+
+
+def _conformed(value: Column, have: DataType, want: DataType) -> Column:
+    """``value`` in the wider type ``want``; fields that a struct lacks are null."""
+    if have == want:
+        return value
+    if isinstance(have, StructType) and isinstance(want, StructType):
+        known = {f.name: f.dataType for f in have.fields}
+        fields = [(_conformed(value[f.name], known[f.name], f.dataType) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, ArrayType) and isinstance(want, ArrayType):
+        return F.transform(value, lambda x: _conformed(x, have.elementType, want.elementType))
+    return value.cast(want)
+
+
+def load_merged(spark: SparkSession, paths: Sequence[str], format: str = "parquet", options: Mapping[str, Any] | None = None) -> DataFrame:
+    """The rows of several versions of a dataset as one: columns by name, added ones null where a version lacks them,
+    types widened (integers, float to double, date to timestamp, decimals, inside structs and arrays too).
+
+    A clash of types, or no path, is a ``ValidationError``.  Each version is read with its own schema (files of a
+    version with the reader's ``mergeSchema``), so filters and column pruning still reach every scan.
+    """
+    if not paths:
+        raise ValidationError("load_merged needs at least one path")
+    opts = {"mergeSchema": "true", **(options or {})} if format.lower() in ("parquet", "orc") else options
+    versions = [reader(spark, format, opts).load(p) for p in paths]
+    schema = merged_schema([v.schema for v in versions])
+    out = None
+    for v in versions:
+        have = {f.name: f.dataType for f in v.schema.fields}
+        row = v.select(*(
+            (_conformed(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields
+        ))
+        out = row if out is None else out.unionAll(row)
+    return out
+
+
 def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, **options: Any) -> DataFrame:
     """CSV with a header; give ``schema`` at scale, since inference costs a full extra pass."""
     opts = {"header": "true", **options}
