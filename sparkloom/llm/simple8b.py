@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_schema, fresh_path
+from sparkloom.llm.common import arrow_schema, fresh_path, staged
 
 # Fixed values: (values of a word, bits of each) by selector; selector 0 is the escape.
 SELECTORS = [(1, 0), (240, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
@@ -36,7 +36,7 @@ HEAD = struct.Struct("<4sIIIIQQ")
 MAGIC = b"S8B1"
 BLOCK_IDS = 65_536
 BLOCKS_OF_FILE = 64
-MEMO_WORDS = 300_000  # of each memo of a worker
+MEMO_WORDS = 450_000  # of each memo of a worker; the first ones stay, since frequent words come early
 # byte-level tokenizers write a byte without a visible sign as one from 256 on, in order
 _unseen = [*range(33), *range(127, 161), 173]
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(_unseen)}
@@ -100,13 +100,13 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
-def block_bytes(part: int, offset: int, doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-    flat = np.concatenate(ids).astype(np.uint64) if ids else np.empty(0, np.uint64)
-    words, escapes = pack(flat)
+def block_bytes(part: int, offset: int, doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
+    """A block of documents: their ``ids`` one after the other, ``counts`` of each."""
+    words, escapes = pack(ids.astype(np.uint64))
     return b"".join([
-        HEAD.pack(MAGIC, part, len(ids), len(words), len(escapes), len(flat), offset),
+        HEAD.pack(MAGIC, part, len(counts), len(words), len(escapes), len(ids), offset),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), bytes(d is not None for d in doc_ids),
-        np.array([len(i) for i in ids], "<u8").tobytes(), words.astype("<u8").tobytes(), escapes.astype("<u8").tobytes(),
+        np.array(counts, "<u8").tobytes(), words.astype("<u8").tobytes(), escapes.astype("<u8").tobytes(),
     ])
 
 
@@ -158,10 +158,10 @@ class Pretokens(dict):
         self.model = tokenizer.model
 
     def __missing__(self, pretoken: str) -> bytes:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
         signs = pretoken if pretoken.isascii() else pretoken.encode().decode("latin-1").translate(BYTE_SIGNS)
-        self[pretoken] = found = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        found = array("I", [t.id for t in self.model.tokenize(signs)]).tobytes()
+        if len(self) < MEMO_WORDS:
+            self[pretoken] = found
         return found
 
 
@@ -178,11 +178,11 @@ class WordEncoder:
     # PATTERN for such texts; what begins with a letter, a digit or an apostrophe can't be the others' start
     pretoken = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\\[-`{-~]+")
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, by_words: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.by_words = cuts_into_words(json.loads(tokenizer_json))
+        self.by_words = by_words  # see ``cuts_into_words``
         self.pretokens = Pretokens(self.tokenizer)
         self.words: dict[str, bytes] = {}
 
@@ -211,21 +211,21 @@ class WordEncoder:
             self.words.update(zip(rest[at : at + 4096], self.whole(rest[at : at + 4096])))
         return b"".join(map(self.words.__getitem__, words))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.by_words:
-            ids = []
-            for t in texts:
-                found = self.plain(t)
-                ids.append(self.by_word(t) if found is None else found)
-        else:
-            ids = self.whole(texts)
-        return [np.frombuffer(i, np.uint32) for i in ids]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes of unsigned 32-bit integers."""
+        if not self.by_words:
+            return self.whole(texts)
+        ids = []
+        for t in texts:
+            found = self.plain(t)
+            ids.append(self.by_word(t) if found is None else found)
+        return ids
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
-def _written(tokenizer, token: str, end_id: int):
+def _written(tokenizer, token: str, by_words: bool, end_id: int):
     def run(batches):
         import os
 
@@ -233,20 +233,28 @@ def _written(tokenizer, token: str, end_id: int):
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if token not in _encoders:
-            _encoders[token] = WordEncoder(tokenizer.value)
-        part, offset, doc_ids, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
+            _encoders.clear()  # a worker holds one encoder
+            _encoders[token] = WordEncoder(tokenizer.value, by_words)
+        part, end, offset, doc_ids, counts, ids = TaskContext.get().partitionId(), np.uint32(end_id).tobytes(), 0, [], [], bytearray()
+
+        def block():
+            raw = block_bytes(part, offset, doc_ids, counts, np.frombuffer(bytes(ids), np.uint32))
+            return pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["block"])
+
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                some = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
                 for d, row in zip(some.column(0).to_pylist(), _encoders[token].encode([t or "" for t in some.column(1).to_pylist()])):
                     doc_ids.append(d)
-                    ids.append(np.append(row, np.uint32(end_id)))
-                    held += len(ids[-1])
-                    if held >= BLOCK_IDS:
-                        yield pa.RecordBatch.from_arrays([pa.array([block_bytes(part, offset, doc_ids, ids)], pa.binary())], names=["block"])
-                        offset, doc_ids, ids, held = offset + held, [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array([block_bytes(part, offset, doc_ids, ids)], pa.binary())], names=["block"])
+                    counts.append(len(row) // 4 + 1)
+                    ids += row
+                    ids += end
+                    if len(ids) >= 4 * BLOCK_IDS:
+                        yield block()
+                        offset += len(ids) // 4
+                        doc_ids, counts, ids = [], [], bytearray()
+        if counts:
+            yield block()
 
     return run
 
@@ -254,15 +262,17 @@ def _written(tokenizer, token: str, end_id: int):
 def write_ids(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of every text (null: none) and ``end_id`` behind each to files in ``path``, in ascending order of id.
 
-    Rows are dealt out by ranges of the id, so a task holds a block at a time;
-    null ids come first, rows with equal ids stay together.
+    Rows are dealt out by ranges of the id and, among equal or null ids, of the place they were read
+    from, so a task holds a block at a time and no id is too many for one; null ids come first.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        tokenizer = spark.sparkContext.broadcast(f.read())
+        content = f.read()
+    by_words = cuts_into_words(json.loads(content))
+    tokenizer = spark.sparkContext.broadcast(content)
     token = f"{spark.sparkContext.applicationId}-{tokenizer._jbroadcast.id()}"
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    blocks = rows.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(_written(tokenizer, token, end_id), "block binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    blocks = rows.repartitionByRange("id", "row").sortWithinPartitions("id", "row").select("id", "text").mapInArrow(_written(tokenizer, token, by_words, end_id), "block binary")
     # the text writer puts a row's bytes as they are, on any file system that Spark reaches
     blocks.select(F.col("block").cast("string")).write.option("maxRecordsPerFile", BLOCKS_OF_FILE).text(path)
 
@@ -292,10 +302,9 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
     ids_crc32 (of the ids as little-endian unsigned 32-bit integers) and, if wanted, ids."""
     ddl = "part int, doc_id long, within long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
-    rows = files.mapInArrow(_read(with_ids, arrow_schema(ddl)), ddl)
+    rows = staged(files.mapInArrow(_read(with_ids, arrow_schema(ddl)), ddl), "token-rows")  # one scan of the files
     # parts are as many as the write had tasks: their totals are a row each
-    totals = spark.read.format("binaryFile").load(path).where("length > 0").select("content").mapInArrow(_totals, "part int, n long")
-    found = sorted((r["part"], r["n"]) for r in totals.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    found = sorted((r["part"], r["n"]) for r in rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     before, offsets = 0, []
     for part, n in found:
         offsets.append((part, before))
@@ -305,18 +314,6 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
     return rows.join(F.broadcast(offsets), "part").select("doc_id", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *extra)
 
 
-def _totals(batches):
-    """The ids of each file by part, from the blocks' heads alone."""
-    for batch in batches:
-        for content in batch.column(0):
-            raw, at, found = content.as_buffer().to_pybytes(), 0, {}
-            while at < len(raw):
-                _, part, docs, words, escapes, total, _ = HEAD.unpack_from(raw, at)
-                found[part] = found.get(part, 0) + total
-                at += HEAD.size + 17 * docs + 8 * (words + escapes) + 1
-            yield pa.RecordBatch.from_pylist([{"part": p, "n": n} for p, n in found.items()], schema=pa.schema([("part", pa.int32()), ("n", pa.int64())]))
-
-
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the ids to files in the shared folder and read them back; see ``write_ids`` and ``read_ids``."""
     path = fresh_path(docs.sparkSession, "token-ids")
