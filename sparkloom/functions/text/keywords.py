@@ -27,10 +27,8 @@ document is a row: ids may be null or repeated (see ``tokens.by_document``).
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column, rows_of
@@ -45,6 +43,7 @@ STOP_WORDS = (
 MAX_NGRAM = 3
 TOP = 10
 DEDUP_LIM = 0.3
+RANK_DIGITS = 10  # of a score; equal ones are ranked by the keyword
 
 
 def _shift(arr: Column, offset: int) -> Column:
@@ -195,22 +194,9 @@ def _candidate_scores(words: DataFrame, max_ngram: int) -> DataFrame:
     return per.select("_doc", "keyword", "n", "kf", score.alias("score"))
 
 
-def _levenshtein(a: str, b: str) -> int:
-    if a == b:
-        return 0
-    if len(a) < len(b):
-        a, b = b, a
-    prev = list(range(len(b) + 1))
-    for i, ca in enumerate(a, 1):
-        cur = [i]
-        for j, cb in enumerate(b, 1):
-            cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
-        prev = cur
-    return prev[-1]
-
-
-def _similar(a: str, b: str) -> float:
-    return 1.0 - _levenshtein(a, b) / max(len(a), len(b), 1)
+def similarity(a: Column, b: Column) -> Column:
+    """1 less the edit distance over the longer length (in code points)."""
+    return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
 def keywords(df: DataFrame, id_col: str, text_col: str, top: int = TOP, dedup_lim: float = DEDUP_LIM,
@@ -221,22 +207,13 @@ def keywords(df: DataFrame, id_col: str, text_col: str, top: int = TOP, dedup_li
 
 
 def _keywords(docs: DataFrame, top: int = TOP, dedup_lim: float = DEDUP_LIM, max_ngram: int = MAX_NGRAM) -> DataFrame:
-    cands = _candidate_scores(sentence_words(docs), max_ngram).select("_doc", "keyword", "score")
-
-    def pick(doc: pa.Table) -> pa.Table:
-        kept: list[tuple[float, str]] = []
-        for s, kw in sorted(zip(doc["score"].to_pylist(), doc["keyword"].to_pylist())):
-            if all(_similar(kw, k) <= dedup_lim for _, k in kept):
-                kept.append((s, kw))
-                if len(kept) >= top:
-                    break
-        return pa.table({
-            "_doc": doc["_doc"].take(pa.array([0] * len(kept), pa.int64())), "rank": pa.array(range(len(kept)), pa.int32()),
-            "keyword": pa.array([k for _, k in kept], pa.string()), "score": pa.array([s for s, _ in kept], pa.float64()),
-        })
-
-    schema = StructType([cands.schema["_doc"]]).add("rank", "integer").add("keyword", "string").add("score", "double")  # with the key's own nullability
-    return cands.groupBy("_doc").applyInArrow(pick, schema)
+    cands = _candidate_scores(sentence_words(docs), max_ngram).select("_doc", F.struct(F.round("score", RANK_DIGITS).alias("score"), "keyword").alias("c"))
+    # a document's candidates, best first, bounded by its length; the chosen ones are an array of at most ``top``
+    ordered = cands.groupBy("_doc").agg(F.sort_array(F.collect_list("c")).alias("cs"))
+    none = F.array().cast("array<struct<score:double,keyword:string>>")
+    fits = lambda kept, x: (F.size(kept) < top) & F.forall(kept, lambda k: similarity(x["keyword"], k["keyword"]) <= dedup_lim)
+    kept = F.aggregate("cs", none, lambda acc, x: F.when(fits(acc, x), F.concat(acc, F.array(x))).otherwise(acc))
+    return ordered.select("_doc", F.posexplode(kept).alias("rank", "k")).select("_doc", "rank", "k.keyword", "k.score")
 
 
 def prompts_of(df: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered feature queries: text, image and vector features (with oracles)."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.operators import combine, numbering
@@ -737,16 +737,6 @@ def q_text_keyword_terms(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("doc_id", "term", "tf", F.round("score", 6).alias("score"))
 
 
-@register("text_keywords", None)
-def q_text_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return kw.keywords(_docs(spark, sf), "doc_id", "text")
-
-
-@register("prompt_keywords", None)
-def q_prompt_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    return kw.prompts_of(_docs(spark, sf), "doc_id", "text")
-
-
 # ---------------------------------------------------------------- sample data and summaries
 from sparkloom.functions.text.extract import text_feature_summary  # noqa: E402
 from sparkloom.sources import sample  # noqa: E402
@@ -841,3 +831,61 @@ SELECT doc_id, keyword, kf, round(exp(sum(log_f)) / (kf * (1.0 + sum(addv))), 8)
 def q_text_keyword_candidates(spark: SparkSession, sf: str) -> DataFrame:
     c = kw.candidate_scores(_docs(spark, sf), "doc_id", "text")
     return c.select("doc_id", "keyword", "kf", F.round("score", 8).alias("score"))
+
+
+# Letters beyond ASCII in ``documents``; the oracle's edit distance counts bytes, so each gets a capital letter (keywords are lower-case).
+_LETTERS = "áéíóúüñàâçèêëîïôûùœäöß"
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[: len(_LETTERS)]
+
+
+def _duck_keywords() -> str:
+    """Up to ``TOP`` picks: after each, the candidates behind it that aren't similar to it are left."""
+    plain = f"translate(keyword, '{_LETTERS}', '{_CAPITALS}')"
+    head = _DUCK_CANDIDATES.replace("round(exp(sum(log_f)) / (kf * (1.0 + sum(addv))), 8)", f"round(exp(sum(log_f)) / (kf * (1.0 + sum(addv))), {kw.RANK_DIGITS})")
+    before, last = head.rsplit("SELECT doc_id, keyword, kf, round(", 1)
+    steps = [
+        f"cand AS (SELECT doc_id, keyword, kf, round({last})",
+        f"rest0 AS MATERIALIZED (SELECT doc_id, keyword, score, {plain} AS word, row_number() OVER (PARTITION BY doc_id ORDER BY score, keyword) AS n FROM cand)",
+    ]
+    for i in range(kw.TOP):
+        steps.append(f"pick{i} AS MATERIALIZED (SELECT * FROM rest{i} JOIN (SELECT doc_id, min(n) AS n FROM rest{i} GROUP BY doc_id) USING (doc_id, n))")
+        steps.append(
+            f"""rest{i + 1} AS MATERIALIZED (SELECT r.doc_id, r.keyword, r.score, r.word, r.n FROM rest{i} r JOIN pick{i} p USING (doc_id)
+  WHERE r.n > p.n AND 1.0 - levenshtein(r.word, p.word) / greatest(length(r.word), length(p.word), 1) <= {kw.DEDUP_LIM})"""
+        )
+    picks = "\nUNION ALL ".join(f"SELECT doc_id, {i} AS rank, keyword, score FROM pick{i}" for i in range(kw.TOP))
+    return f"{before.rstrip()},\n" + ",\n".join(steps) + f",\npicks AS ({picks})"
+
+
+@register("text_keywords", f"{_duck_keywords()} SELECT doc_id, CAST(rank AS INTEGER) AS rank, keyword, score FROM picks")
+def q_text_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return kw.keywords(_docs(spark, sf), "doc_id", "text")
+
+
+@register(
+    "prompt_keywords",
+    f"""{_duck_keywords()} SELECT doc_id, '{prompts.KEYWORDS_PREFIX}' || string_agg(keyword, ', ' ORDER BY rank) AS suggestion
+FROM picks WHERE rank < 3 GROUP BY doc_id""",
+)
+def q_prompt_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return kw.prompts_of(_docs(spark, sf), "doc_id", "text")
+
+
+_DUCK_TOPICS_TRUE = "TRUE AS known, TRUE AS ordered, TRUE AS weight_ok"
+
+
+@register(
+    "text_topics_checked",
+    f"SELECT t AS topic_id, r AS rank, {_DUCK_TOPICS_TRUE} FROM (SELECT unnest(range(5)) AS t), (SELECT unnest(range(10)) AS r)",
+)
+def q_text_topics_checked(spark: SparkSession, sf: str) -> DataFrame:
+    # what must hold for any topics: terms of the documents, once a topic, weights that fall and are shares
+    docs = table(spark, sf, "documents")
+    found = topics.describe_topics(docs, "doc_id", "text", k=5, terms=10, seed=7, max_iter=3)
+    terms = topics.bag_of_words(docs, "doc_id", "text").select("term").distinct().withColumn("known", F.lit(True))
+    by_rank, by_term = Window.partitionBy("topic_id").orderBy("rank"), Window.partitionBy("topic_id", "term")
+    checked = found.join(terms, "term", "left").withColumn("before", F.lag("weight").over(by_rank)).withColumn("times", F.count("*").over(by_term))
+    return checked.select(
+        F.col("topic_id").cast("bigint").alias("topic_id"), F.col("rank").cast("bigint").alias("rank"), (F.coalesce("known", F.lit(False)) & (F.col("times") == 1)).alias("known"),
+        F.coalesce(F.col("before") >= F.col("weight"), F.lit(True)).alias("ordered"), F.col("weight").between(0.0, 1.0).alias("weight_ok"),
+    )

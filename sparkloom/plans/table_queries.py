@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from sparkloom.dataset import Dataset
-from sparkloom.operators import inspect, sketches
+from sparkloom.operators import inspect, refresh, sketches
 from sparkloom.plans.preview import preview_sql, run_preview_sql
 from sparkloom.plans.registry import register, table
 from sparkloom.plans.spec import QuerySpec, apply_spec, dynamic_query
@@ -519,6 +519,28 @@ def q_load_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return ds.df.select("s_suppkey", "s_name", "s_nationkey")
 
 
+@register(
+    "refreshed_profile",
+    "SELECT 's_suppkey' AS column_name, 2 AS files, count(*) AS n_rows, count(*) - count(s_suppkey) AS nulls, CAST(CAST(min(s_suppkey) AS DOUBLE) AS VARCHAR) AS least, "
+    "CAST(CAST(max(s_suppkey) AS DOUBLE) AS VARCHAR) AS greatest, TRUE AS near FROM supplier WHERE s_suppkey % 3 > 0 "
+    "UNION ALL SELECT 's_name', 2, count(*), count(*) - count(s_name), min(s_name), max(s_name), TRUE FROM supplier WHERE s_suppkey % 3 > 0",
+)
+def q_refreshed_profile(spark: SparkSession, sf: str) -> DataFrame:
+    # a dataset of two files is inspected; one is replaced and one added; the refreshed profile is that of what is there
+    src, base = table(spark, sf, "supplier").select("s_suppkey", "s_name"), staging_path(spark, "inspected")
+    part = lambda n: src.where(F.col("s_suppkey") % 3 == n).coalesce(1)
+    files.save_dataset(part(0), f"{base}/data/a")
+    files.save_dataset(part(1), f"{base}/data/b")
+    refresh.refresh(spark, f"{base}/data", f"{base}/state")
+    files.save_dataset(part(2), f"{base}/data/a")  # overwritten
+    state = refresh.refresh(spark, f"{base}/data", f"{base}/state")
+    p = refresh.merged_profile(state)
+    n = F.col("rows") - F.col("nulls")
+    return p.select(
+        F.col("column").alias("column_name"), "files", F.col("rows").alias("n_rows"), "nulls", "least", "greatest", (F.abs(F.col("approx_distinct") - n) <= 0.1 * n).alias("near")
+    )
+
+
 @register(
     "load_merged",
     """SELECT s_suppkey, s_name, CAST(CAST(s_acctbal AS FLOAT) AS DOUBLE) AS s_acctbal, CAST(NULL AS INTEGER) AS s_nationkey FROM supplier WHERE s_suppkey % 2 = 0

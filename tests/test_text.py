@@ -91,6 +91,31 @@ def test_hashed_tfidf_brute_force(spark):
     assert all(len(r["vector"]) == 16 and math.isclose(np.linalg.norm(r["vector"]), 1.0) for r in dense)
 
 
+def similar(a, b):
+    """1 less the edit distance over the longer length, by the plain table."""
+    table = [[i + j if i * j == 0 else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            table[i][j] = min(table[i - 1][j] + 1, table[i][j - 1] + 1, table[i - 1][j - 1] + (x != y))
+    return 1.0 - table[-1][-1] / max(len(a), len(b), 1)
+
+
+def test_keywords_are_the_greedy_choice(spark, docs):
+    some = docs.orderBy("doc_id").limit(12)
+    cands = {}
+    for r in keywords.candidate_scores(some, "doc_id", "text").collect():
+        cands.setdefault(r["doc_id"], []).append((round(r["score"], keywords.RANK_DIGITS), r["keyword"]))
+    got = {}
+    for r in keywords.keywords(some, "doc_id", "text").orderBy("doc_id", "rank").collect():
+        got.setdefault(r["doc_id"], []).append((r["score"], r["keyword"]))
+    for i, found in cands.items():
+        kept = []
+        for score, word in sorted(found):
+            if len(kept) < keywords.TOP and all(similar(word, k) <= keywords.DEDUP_LIM for _, k in kept):
+                kept.append((score, word))
+        assert [k for _, k in got[i]] == [k for _, k in kept]
+
+
 def test_keywords_invariants(spark, docs):
     en = docs.filter(F.col("lang") == "en")
     kw = keywords.keywords(en, "doc_id", "text").collect()
@@ -106,7 +131,7 @@ def test_keywords_invariants(spark, docs):
         words = [r["keyword"] for r in rows]
         for i, a in enumerate(words):
             for b in words[:i]:
-                assert keywords._similar(a, b) <= 0.3
+                assert similar(a, b) <= 0.3
             assert a.split()[0] not in keywords.STOP_WORDS and a.split()[-1] not in keywords.STOP_WORDS
 
 
