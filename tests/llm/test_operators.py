@@ -507,3 +507,123 @@ def test_arc_to_warc_as_sql(spark):
     expect = con.sql(f"SELECT {columns} FROM ({queries.ORACLE_SQL['op3_arc_to_warc']})").fetchall()
     got = queries.op3_arc_to_warc(spark, SF).selectExpr(*columns.split(", ")).collect()
     assert expect and sorted(map(str, map(tuple, got))) == sorted(map(str, expect))
+
+
+# 5 surrogates: long texts
+
+
+def test_surrogates_of_long_repeats(spark):
+    n = 100_000
+    parts = [
+        "a@" + "b." * n + "b", "x@" + "ab." * n + "com", "a" * n + "@", "1." * n, "1 " * n, "1-" * n, "(1) " * (n // 4), "Mr. " * (n // 10), "Mr. " + "A. " * n, "Mr. " + "Ab" * n,
+        "Mr. Jane" + "-Jane" * n, "Mr. " + "von der " * (n // 10), "password=" * (n // 10), "password=" + "a" * n, "+1 " * n, "0" * n, "1234 " * (n // 5), "AKIA" * (n // 4),
+        "Dr. med. " * (n // 10), "D'" * n, "token = " * (n // 10), "1.2.3." * (n // 6),
+    ]
+    rows = spark.createDataFrame(list(enumerate(parts)), "doc_id long, text string").repartition(len(parts), "doc_id")
+    got = surrogates.with_surrogates(rows, count_col="n").collect()
+    assert len(got) == len(parts) and {r["doc_id"]: r["n"] for r in got}[1] == 1
+
+
+def test_order_numbers_stay(spark):
+    kept = ["order 5551234567", "invoice no. 6123456789", "Rechnung Nr. 612345678", "item #9876543210", "1199999999 units", "190000000 euros"]
+    found = ["call 5551234567", "at 612345678"]
+    rows = spark.createDataFrame(list(enumerate(kept + found)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in surrogates.with_surrogates(rows, count_col="n").collect()}
+    assert [got[i]["n"] for i in range(len(got))] == [0] * len(kept) + [1] * len(found)
+    assert [got[i]["text"] for i in range(len(kept))] == kept
+
+
+def scan(text):
+    """Plain entities of a text by a scanner of its own: e-mail, IPv4, card with a valid Luhn sum, token in quotes."""
+    import re
+
+    out = []
+    for word in re.findall(r"token = \"[0-9a-f]{16,}\"|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|(?<![\w.])\d+(?:\.\d+){3}(?![\w.])|(?<![\w.])\d{16}(?!\w)", text):
+        if word.startswith("token"):
+            word = word[9:-1]
+        elif word.isdigit():
+            d = [int(c) for c in reversed(word)]
+            if sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10:
+                continue
+        elif "@" not in word and not all(int(p) < 256 for p in word.split(".")):
+            continue
+        out.append(word)
+    return out
+
+
+def test_planted_entities_against_a_scanner(spark):
+    rng = random.Random(7)
+    plain = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    clean = [t for t in plain if not any(c.isdigit() or c in "@|" for c in t) and "oken" not in t][:60]
+    rows, planted = [], {}
+    for i, t in enumerate(clean):
+        words = t.split(" ")
+        own = []
+        for _ in range(i % 4):
+            card = [rng.randrange(1, 10), *(rng.randrange(10) for _ in range(14))]
+            card.append(-sum((x * 2 - 9 * (x > 4)) if k % 2 == 0 else x for k, x in enumerate(card)) % 10)
+            one = rng.choice([f"u{rng.randrange(9)}@mail{rng.randrange(9)}.example.com", "10.{}.3.{}".format(rng.randrange(99), rng.randrange(256)), "".join(map(str, card)), f'token = "{rng.randrange(16**15, 16**16):x}"'])
+            own.append(one)
+            words.insert(rng.randrange(len(words) + 1), one)
+        planted[i] = own
+        rows.append((i, " ".join(words)))
+    got = surrogates.with_surrogates(spark.createDataFrame(rows, "doc_id long, text string"), count_col="n").collect()
+    names: dict[str, set[str]] = {}
+    for r in got:
+        before, after = scan(dict(rows)[r["doc_id"]]), scan(r["text"])
+        assert len(before) == len(after) == r["n"] == len(planted[r["doc_id"]])
+        for a, b in zip(before, after):
+            assert a != b
+            names.setdefault(a, set()).add(b)
+        if not before:
+            assert r["text"] == dict(rows)[r["doc_id"]]
+    assert all(len(x) == 1 for x in names.values()) and len({next(iter(x)) for x in names.values()}) == len(names)  # coreference, distinctness
+
+
+# 1, 2, 7: brute force
+
+
+def test_quality_fit_equals_a_dense_solve(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.fit_on_labels(docs, labels)
+    y = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    main, held = [], []
+    for r in docs.select("doc_id", "text").collect():
+        if r["doc_id"] in y and zlib.crc32(str(r["doc_id"]).encode()) % 5:
+            (held if zlib.crc32(f"calibrate{r['doc_id']}".encode()) % 4 == 0 else main).append((quality.statistics(r["text"]), y[r["doc_id"]]))
+    x, t = np.array([a for a, _ in main]), np.array([b for _, b in main], float)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.sqrt(np.maximum(x.var(0), 1e-8)))
+    z = model.fourier(x)
+    weights = np.linalg.solve(z.T @ z + quality.RIDGE * len(x) / quality.FEATURES * np.eye(z.shape[1]), z.T @ t)
+    assert np.abs(weights - model.weights).max() < 1e-6
+    # a textbook isotonic fit: the greatest lower mean of every stretch that ends here, over all stretches that start here
+    raw, ones = model.raw(np.array([a for a, _ in held])), np.array([b for _, b in held], float)
+    at = np.clip((raw + 0.5) / 2 * quality.BINS, 0, quality.BINS - 1).astype(int)
+    used = np.unique(at)
+    n, s = np.array([(at == u).sum() for u in used]), np.array([ones[at == u].sum() for u in used])
+    fitted = [max(min(s[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(used))) for a in range(i + 1)) for i in range(len(used))]
+    pools = {}
+    for f, a, b in zip(fitted, n, s):
+        p = pools.setdefault(round(f, 12), [0, 0])
+        p[0], p[1] = p[0] + a, p[1] + b
+    smooth = np.maximum.accumulate([(pools[round(f, 12)][1] + 0.5) / (pools[round(f, 12)][0] + 1) for f in fitted])
+    centre = -0.5 + (used + 0.5) * 2 / quality.BINS
+    assert np.allclose(np.interp(centre, model.edges, model.levels), smooth)
+
+
+def test_differencing_equals_plain_karmarkar_karp():
+    rng = random.Random(4)
+    for shards in (2, 4):
+        weights = [rng.randint(1, 10**6) for _ in range(60)]
+        # the plain method: vectors with sums ascending, the two of largest spread joined in opposite order
+        parts = [(tuple([0] * (shards - 1) + [w])) for w in weights]
+        while len(parts) > 1:
+            parts.sort(key=lambda p: p[-1] - p[0])
+            a, b = parts.pop(), parts.pop()
+            parts.append(tuple(sorted(x + y for x, y in zip(a, reversed(b)))))
+        sums, places = sharding.difference([[w, *[0] * (shards - 1)] for w in weights])
+        back = [0] * shards
+        for w, p in zip(weights, places):
+            back[p[0]] += w
+        assert sorted(back) == sorted(sums) == list(parts[0])
