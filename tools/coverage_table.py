@@ -17,7 +17,7 @@ from sparkloom.plans.registry import all_queries  # noqa: E402
 
 # keys covered by functions and tests rather than a registered query of their own
 PARTS = {
-    "load_images": "sparkloom/functions/image/pixels.py `load_images`, `struct_to_pixels`; tests/test_image.py::test_load_png_files",
+    "load_images": "sparkloom/functions/image/pixels.py `load_images`, `struct_to_pixels`; tests/test_image.py::test_load_png_files, tests/test_raster.py (against the PNG decoder)",
 }
 
 
