@@ -98,7 +98,7 @@ NO_PHONE = (
 #: North American area code (11 with a leading 1) or 9 with a Spanish one, unless the word before says otherwise.
 NATIONAL = (
     r"(?<![\w.+-])(?:0[1-9](?:[ .-]\d{2}){4}|\(0[1-9]\d{1,4}\) ?\d{3,8}|0[1-9]\d{1,4}(?: ?[/-] ?| )\d{4,8}|[6-9]\d{2}(?:[ -]\d{3}){2}|[6-9]\d{2}(?:[ -]\d{2}){3}"
-    rf"|0[1-9]\d{{7,10}}|{NO_PHONE}(?:1?[2-9][0-8]\d{{8}}|[67]\d{{8}}|[89][1-8]\d{{7}}))(?!\w)(?!\.\d)"
+    rf"|0[1-9]\d{{7,10}}|(?=\d{{9}}){NO_PHONE}(?:1?[2-9][0-8]\d{{8}}|[67]\d{{8}}|[89][1-8]\d{{7}}))(?!\w)(?!\.\d)"
 )
 #: A card ends with the grouping it began with; three digits more may belong to it (see ``_card``).
 CARD = r"(?<![\w.])(?:\d{16,19}|\d{4}(?: \d{4}){3}(?: \d{3})?|\d{4}(?:-\d{4}){3}(?:-\d{3})?|3\d{3}[ -]\d{6}[ -]\d{4,5})(?!\w)"
