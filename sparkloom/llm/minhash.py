@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import arrow_schema, components, free_name, staged
@@ -32,6 +32,7 @@ from sparkloom.llm.shingles import mix, shingle_set
 
 BANDS, ROWS = 32, 6
 BLOCK_SHINGLES = 400_000  # of a task; more are dealt out to several
+PACKS_OF_RANGE = 64
 CHUNK_SHINGLES = 200_000
 EMPTY = np.uint64(2**64 - 1)
 
@@ -175,17 +176,26 @@ def near_duplicates(
     sizes = members.groupBy(F.col("label").alias("cluster")).agg(F.sum("n").alias("total"))
     sizes = staged(sizes.withColumn("blocks", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")), "sizes")
     small = sizes.where("blocks = 1").agg(F.sum("total")).first()[0] or 0
-    packs = 2 * small // BLOCK_SHINGLES + 1  # clusters of one block share a task with others
-    dealt = coarse.join(sizes, coarse["label"] == sizes["cluster"]).select(
-        "id",
-        "cluster",
-        "blocks",
-        F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))).otherwise(F.lit(0)).cast("int").alias("block"),
-        F.when(F.col("blocks") > 1, F.lit(-1)).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(packs))).cast("long").alias("pack"),
+    # clusters of one block share a task: packs are cut by the running size within a range of hashes, so none is over two blocks
+    span = F.pmod(F.xxhash64("cluster"), F.lit(small // (PACKS_OF_RANGE * BLOCK_SHINGLES) + 1))
+    before = F.sum("total").over(Window.partitionBy("span").orderBy("cluster").rowsBetween(Window.unboundedPreceding, -1))
+    packed = sizes.where("blocks = 1").withColumn("span", span).withColumn("pack", F.floor(F.coalesce(before, F.lit(0)) / BLOCK_SHINGLES))
+    packed = packed.select("cluster", "blocks", (F.shiftleft("span", 32) + F.col("pack")).alias("pack"))
+    spread = sizes.where("blocks > 1").select("cluster", "blocks", F.lit(-1).cast("long").alias("pack"))
+    placed = packed.unionByName(spread)
+    dealt = coarse.join(placed, coarse["label"] == placed["cluster"]).select(
+        "id", "cluster", "blocks", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks"))).otherwise(F.lit(0)).cast("int").alias("block"), "pack"
     )
     set_schema = f"id {of_id}, cluster {of_id}, blocks int, block int, pack long, shingles array<long>"
     arrow_sets = arrow_schema(set_schema)
-    with_text = dealt.join(rows_in.where("id is not null"), "id").select("id", "cluster", "blocks", "block", "pack", "text")
+    # an id that repeats brings each of its different texts once
+    known = rows_in.where("id is not null")
+    repeated = staged(found.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id"), "repeated")
+    single = known.join(dealt.join(repeated, "id", "left_anti"), "id")
+    several = dealt.join(repeated, "id", "left_semi")
+    texts = known.join(several, "id", "left_semi").withColumn("h", F.md5(F.col("text").cast("binary"))).dropDuplicates(["id", "h"])
+    columns = ["id", "cluster", "blocks", "block", "pack", "text"]
+    with_text = single.select(*columns).unionByName(texts.join(several, "id").select(*columns))
     sets = staged(with_text.mapInArrow(_sets(arrow_sets, words), set_schema), "sets")
 
     link_schema = f"a {of_id}, b {of_id}"
@@ -224,17 +234,35 @@ def _large(large: DataFrame, links: DataFrame, link, link_schema: str, classes:
     ids = large.select("id").join(now, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
     keyed = classes.select(F.col("rep").alias("id"), F.explode("keys").alias("key")).join(ids, "id")
     apart = keyed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    open_ = staged(keyed.join(apart, "key", "left_semi").select("id").distinct(), "open")
-    meet = large.join(open_, "id", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block")
-    pairs = meet.select(
-        "id", "cluster", "shingles", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-    )
+    placed = keyed.join(apart, "key", "left_semi").join(large.select("id", "cluster", "block").distinct(), "id")
+    # blocks that share an open key meet; few different sets of blocks stand for many keys
+    sets = placed.groupBy("cluster", "key").agg(F.sort_array(F.collect_set("block")).alias("blocks")).select("cluster", "blocks").distinct()
+    two = F.flatten(F.transform("blocks", lambda p: F.transform(F.filter("blocks", lambda q: q > p), lambda q: F.struct(p.alias("p"), q.alias("q")))))
+    both = staged(sets.select("cluster", F.explode(two).alias("two")).select("cluster", "two.p", "two.q").distinct(), "open")
+    open_ = large.join(placed.select("id").distinct(), "id", "left_semi").select("id", "cluster", "shingles", "block")
+    sides = [open_.withColumnRenamed("block", mine).join(both, ["cluster", mine]).withColumn("side", F.lit(n)) for n, mine in enumerate("pq")]
+    pairs = sides[0].unionByName(sides[1])
     return staged(links.union(pairs.groupBy("cluster", "p", "q").applyInPandas(link, link_schema)), "links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """``docs`` without the near copies: of each group the document with the smallest id stays; columns as before."""
-    gone = free_name(docs, "dropped")
-    dropped = near_duplicates(docs, id_col, text_col, **params).where("not kept").select(F.col(id_col).alias(gone)).distinct()
-    return docs.join(dropped, docs[id_col] == dropped[gone], "left_anti")
+    """``docs`` without the near copies: of each group one row stays, that with the smallest id (null last); columns as before.
+
+    Groups are found by text, so copies without an id or with one id count
+    as any others; of rows that agree in id and text one stays.  Texts
+    without words are in no group.  Names that clash with other columns don't matter.
+    """
+    key, group, row, copies = (free_name(docs, n) for n in ("text_key", "group", "row_id", "copies"))
+    keyed = docs.withColumn(key, F.unhex(F.md5(F.col(f"`{text_col}`").cast("string").cast("binary"))))
+    of_row = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.col(key).alias("key"))
+    found = near_duplicates(keyed.select(key, f"`{text_col}`"), key, text_col, **params).where("n_shingles > 0")
+    groups = staged(found.select(F.col(key), F.col("component_id").alias(group)).distinct(), "groups")
+    distinct = keyed.select(F.col(key), of_row.alias(row)).groupBy(key, row).agg(F.count("*").alias(copies))
+    members = staged(distinct.join(groups, key), "members")
+    best = members.groupBy(group).agg(F.min_by(F.struct(row, copies), row).alias("best"), F.sum(copies).alias("rows")).where("rows > 1")
+    best = best.select(group, F.col(f"best.{row}").alias(row), F.col(f"best.{copies}").alias(copies))
+    verdict = staged(groups.join(best, group).select(key, row, copies), "verdicts")
+    rows = keyed.join(verdict, key, "left")
+    alone = rows.where(F.col(row).isNull() | ((F.col(row) == of_row) & (F.col(copies) == 1)))
+    several = rows.where((F.col(row) == of_row) & (F.col(copies) > 1)).dropDuplicates([row])
+    return alone.select(*(f"`{c}`" for c in docs.columns)).unionAll(several.select(*(f"`{c}`" for c in docs.columns)))
