@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import staged
+from sparkloom.llm.common import free_name, staged
 from sparkloom.llm.quality import fold_of
 
 PER_LANGUAGE = 1500
+SAMPLE_PARTS = 8
 BINS = 4096
 ROUNDS = 40
 RIDGE = 1e-4
@@ -148,6 +149,8 @@ def fit(rows: DataFrame, text_col: str, lang_col: str, key: Column, per_language
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(int(min(1.0, per_language / n) * (1 << 30)))).otherwise(share)
     sample = staged(known.where(F.col("h") < share).select("t", "lang").mapInArrow(_vectors, "at array<int>, value array<float>, lang string"), "lang-sample")
+    # the sample's size doesn't follow the corpus, so neither do its parts: a round brings a fixed number of matrices to the driver
+    sample = staged(sample.coalesce(SAMPLE_PARTS), "lang-sample")
     families = sorted({family(x) for x in languages})
     pairs = [(a, b) for a in languages for b in languages if a < b and family(a) == family(b)]
     targets = {
@@ -157,7 +160,7 @@ def fit(rows: DataFrame, text_col: str, lang_col: str, key: Column, per_language
     weights = np.zeros((len(families) + len(pairs), BINS + 1))
     ahead, momentum = weights, 1.0
     for _ in range(ROUNDS):
-        parts = sample.mapInArrow(_gradient(ahead, targets), "k int, values array<double>").collect()  # a matrix for each partition
+        parts = sample.mapInArrow(_gradient(ahead, targets), "k int, values array<double>").collect()  # a matrix for each of SAMPLE_PARTS parts
         sums = np.zeros((len(weights), BINS + 2))
         for r in parts:
             sums[r["k"]] += r["values"]
@@ -169,18 +172,28 @@ def fit(rows: DataFrame, text_col: str, lang_col: str, key: Column, per_language
 
 
 def predicted(docs: DataFrame, model: Model, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its score; `und` and 0 for texts without a letter."""
+    """``docs`` with the predicted language and its score; `und` and 0 for null texts and texts without a letter.
+
+    Rows are treated one by one, so ids, null or repeated, don't matter.
+    Columns of the two names are replaced, all others stay.
+    """
 
     @F.pandas_udf("lang string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(grams(t)) for t in texts], columns=["lang", "score"])
 
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*cols, predict(F.col(text_col).cast("string")).alias("__p")).select(*cols, F.col("__p.lang").alias(lang_name), F.col("__p.score").alias(score_name))
+    found = free_name(docs, "found")
+    cols = [F.col(f"`{c}`") for c in docs.columns if c not in (lang_name, score_name)]
+    out = docs.select(*docs.columns, predict(F.col(f"`{text_col}`").cast("string")).alias(found))
+    return out.select(*cols, F.col(f"{found}.lang").alias(lang_name), F.col(f"{found}.score").alias(score_name))
 
 
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per document: id, held_out (crc32 of the id modulo 4 is 2: never learnt from), lang_pred, score."""
+    """One row per document: id, held_out (crc32 of the id modulo 4 is 2: never learnt from), lang_pred, score.
+
+    Rows without an id aren't held out and are learnt from; equal rows get equal results; rows
+    without a language are only predicted; other columns aren't read.
+    """
     held = F.coalesce(fold_of(id_col, 4) == 2, F.lit(False))
     model = fit(docs.where(~held), text_col, lang_col, F.col(id_col))
     return predicted(docs.select(F.col(id_col), F.col(text_col), held.alias("held_out")), model, text_col).select(id_col, "held_out", "lang_pred", "score")
