@@ -96,13 +96,19 @@ def _place_images(images: DataFrame, id_col: str) -> DataFrame:
     return images.repartition(F.col(id_col))
 
 
+def dealt(ids: DataFrame) -> DataFrame:
+    """Rows that each stand for an image, dealt over tasks: a file of many ids is small, what they stand for isn't."""
+    spark = ids.sparkSession
+    tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return ids.repartition(tasks)
+
+
 def synthetic_raster(ids: DataFrame, id_col: str, partition_by_image: bool = False) -> DataFrame:
     """Deterministic test raster per id: width ``16 + id % 4``, height 12 (fixture formula)."""
     shapes = ids.select(F.col(id_col).cast("bigint").alias("image_id")).select(
         "image_id", (F.lit(16) + F.pmod(F.col("image_id"), F.lit(4))).cast("int").alias("width"), F.lit(12).alias("height")
     )
-    if partition_by_image:
-        shapes = _place_images(shapes, "image_id")
+    shapes = _place_images(shapes, "image_id") if partition_by_image else dealt(shapes)
     px = shapes.select("image_id", "width", F.explode(F.sequence(F.lit(0), F.col("width") * F.col("height") - 1)).alias("pos"))
     px = px.select("image_id", (F.col("pos") % F.col("width")).cast("int").alias("x"),
                    F.floor(F.col("pos") / F.col("width")).cast("int").alias("y"))

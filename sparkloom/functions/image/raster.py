@@ -10,15 +10,17 @@ at most ``BAND_PIXELS``, so memory follows the image's bytes alone.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
-from sparkloom.functions.image.pixels import LUMA_B, LUMA_G, LUMA_R, LUMA_ROUND
+from sparkloom.functions.image.pixels import LUMA_B, LUMA_G, LUMA_R, LUMA_ROUND, dealt
 
 BAND_PIXELS = 1 << 18
 PIXEL_ROWS = 1 << 16
@@ -41,62 +43,90 @@ def _bands(height: int, width: int) -> Iterator[tuple[int, int]]:
         yield y, min(y + rows, height)
 
 
-def _sums(image: np.ndarray) -> list:
-    """The values of ``SUMS`` for height x width x 3 bytes."""
-    height, width = image.shape[:2]
-    ints, spread, pair, closeness, cells, sobel = np.zeros(10, np.int64), 0.0, np.zeros(3, np.int64), 0.0, np.zeros(1 << 16, np.int64), 0.0
-    brightest = (-1, 0, 0)
-    for y, end in _bands(height, width):
-        v = image[y:end].astype(np.int64).reshape(-1, 3)
-        gray = gray_of(image[max(y - 1, 0) : min(end + 1, height)])
-        own = gray[min(y, 1) : min(y, 1) + end - y]
-        ints += [v.sum(), (v * v).sum(), *v.sum(0), *(v * v).sum(0), own.sum(), (own * own).sum()]
-        s1, s2 = v.sum(1), (v * v).sum(1)
-        spread += float(np.sqrt(np.maximum(s2 / 3.0 - (s1 / 3.0) * (s1 / 3.0), 0)).sum())
-        a, b = own[:, :-1].ravel(), own[:, 1:].ravel()
+def _stack_sums(images: np.ndarray) -> list[list]:
+    """The values of ``SUMS`` for each of n x height x width x 3 bytes."""
+    n, height, width = images.shape[:3]
+    ints, spread, pair, closeness, sobel = np.zeros((10, n), np.int64), np.zeros(n), np.zeros((3, n), np.int64), np.zeros(n), np.zeros(n)
+    light, focal = np.full(n, -1), np.zeros(n, np.int64)
+    codes, times = np.empty(0, np.int64), np.empty(0)
+    for y, end in _bands(height, width * n):
+        v = images[:, y:end].astype(np.int64).reshape(n, -1, 3)
+        gray = gray_of(images[:, max(y - 1, 0) : min(end + 1, height)])
+        own = gray[:, min(y, 1) : min(y, 1) + end - y]
+        ints += [v.sum((1, 2)), (v * v).sum((1, 2)), *v.sum(1).T, *(v * v).sum(1).T, own.sum((1, 2)), (own * own).sum((1, 2))]
+        s1, s2 = v.sum(2), (v * v).sum(2)
+        spread += np.sqrt(np.maximum(s2 / 3.0 - (s1 / 3.0) * (s1 / 3.0), 0)).sum(1)
+        a, b = own[..., :-1].reshape(n, -1), own[..., 1:].reshape(n, -1)
         d = (b - a) ** 2
-        pair += [len(d), np.abs(b - a).sum(), d.sum()]
-        closeness += float((1.0 / (1.0 + d)).sum())
-        cells += np.bincount(a << 8 | b, minlength=1 << 16) + np.bincount(b << 8 | a, minlength=1 << 16)
+        pair += [np.full(n, d.shape[1]), np.abs(b - a).sum(1), d.sum(1)]
+        closeness += (1.0 / (1.0 + d)).sum(1)
+        # (image, lower gray, higher gray) with counts, joined to those of the bands before
+        code = (np.arange(n)[:, None] << 16 | np.minimum(a, b) << 8 | np.maximum(a, b)).ravel()
+        codes, of = np.unique(np.concatenate([codes, code]), return_inverse=True)
+        times = np.bincount(of, np.concatenate([times, np.ones(len(code))]), len(codes))
         # borders repeat the edge pixel; a band sees one row more on each side
-        padded = np.pad(gray, ((0 if y else 1, 0 if end < height else 1), (1, 1)), mode="edge")
-        dx, sx = padded[:, 2:] - padded[:, :-2], padded[:, :-2] + 2 * padded[:, 1:-1] + padded[:, 2:]
-        gx, gy = dx[:-2] + 2 * dx[1:-1] + dx[2:], sx[2:] - sx[:-2]
-        sobel += float(np.sqrt((gx * gx + gy * gy).astype(float)).sum())
-        at = int(own.argmax())
-        if own.ravel()[at] > brightest[0]:
-            brightest = (int(own.ravel()[at]), at % width, y + at // width)
-    return [
-        width, height, width * height, *ints[:2].tolist(), spread, *ints[2:].tolist(), *pair.tolist(), closeness, float((cells.astype(float) ** 2).sum()),
-        sobel, *brightest[1:],
-    ]
+        padded = np.pad(gray, ((0, 0), (0 if y else 1, 0 if end < height else 1), (1, 1)), mode="edge")
+        dx, sx = padded[..., 2:] - padded[..., :-2], padded[..., :-2] + 2 * padded[..., 1:-1] + padded[..., 2:]
+        gx, gy = dx[:, :-2] + 2 * dx[:, 1:-1] + dx[:, 2:], sx[:, 2:] - sx[:, :-2]
+        sobel += np.sqrt((gx * gx + gy * gy).astype(float)).sum((1, 2))
+        flat = own.reshape(n, -1)
+        at = flat.argmax(1)
+        value = flat[np.arange(n), at]
+        focal = np.where(value > light, at + y * width, focal)
+        light = np.maximum(light, value)
+    # the symmetric joint histogram: a pair of two grays stands in two cells, one of equal grays twice in its cell
+    cells2 = np.bincount(codes >> 16, times * times * np.where(codes >> 8 & 255 == codes & 255, 4, 2), n)
+    columns = [*ints[:2], spread, *ints[2:], *pair, closeness, cells2, sobel, focal % width, focal // width]
+    return [[width, height, width * height, *row] for row in zip(*(c.tolist() for c in columns))]
+
+
+def _sums(image: np.ndarray) -> list:
+    """The values of ``SUMS`` for height x width x 3 bytes."""
+    return _stack_sums(image[None])[0]
 
 
 def _image(width: int, height: int, rgb: bytes) -> np.ndarray:
     return np.frombuffer(rgb, np.uint8).reshape(height, width, 3)
 
 
-def per_image(rasters: DataFrame, make: Callable[[np.ndarray], list[list]], ddl: str) -> DataFrame:
-    """``image_id`` and the columns ``ddl`` of the rows that ``make`` gives for each raster with pixels (height x width x 3 bytes)."""
+def _stacks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(ids, n x height x width x 3 bytes) of a batch's rasters: those of one size together, ``BAND_PIXELS`` at most or one image."""
+    width, height = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+    for w, h in sorted(set(zip(width.tolist(), height.tolist()))):
+        here = np.flatnonzero((width == w) & (height == h))
+        most = max(1, BAND_PIXELS // (w * h))
+        for at in range(0, len(here), most):
+            some = pa.array(here[at : at + most])
+            raw = batch.column(3).take(some) if len(here) < batch.num_rows or len(some) < len(here) else batch.column(3)
+            yield batch.column(0).take(some), np.stack([_image(w, h, r.as_buffer()) for r in raw])
+
+
+def per_stack(rasters: DataFrame, make: Callable[[np.ndarray], list[list[list]]], ddl: str) -> DataFrame:
+    """``image_id`` and the columns ``ddl`` of the rows that ``make`` gives for each of n rasters of one size (n x height x width x 3 bytes)."""
     of_id = rasters.schema["image_id"].dataType
     schema = StructType([StructField("image_id", of_id), *StructType.fromDDL(ddl).fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for image_id, width, height, rgb in zip(*batch.columns):
-                for row in make(_image(width.as_py(), height.as_py(), rgb.as_py())):
-                    rows.append((image_id.as_py(), *row))
-            columns = list(zip(*rows)) if rows else [()] * len(arrow)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            for ids, images in _stacks(batch):
+                found = make(images)
+                rows = [row for of_image in found for row in of_image]
+                columns = list(zip(*rows)) if rows else [()] * (len(arrow) - 1)
+                which = ids.take(pa.array(np.repeat(np.arange(len(ids)), [len(x) for x in found])))
+                yield pa.RecordBatch.from_arrays([which.cast(arrow.field(0).type), *(pa.array(c, f.type) for c, f in zip(columns, list(arrow)[1:]))], schema=arrow)
 
     return rasters.where("width > 0 and height > 0 and rgb is not null").select("image_id", "width", "height", "rgb").mapInArrow(run, schema)
 
 
+def per_image(rasters: DataFrame, make: Callable[[np.ndarray], list[list]], ddl: str) -> DataFrame:
+    """``image_id`` and the columns ``ddl`` of the rows that ``make`` gives for each raster with pixels (height x width x 3 bytes)."""
+    return per_stack(rasters, lambda images: [make(image) for image in images], ddl)
+
+
 def measures(rasters: DataFrame) -> DataFrame:
     """Every statistic of COMPOSITION, STYLE and AESTHETICS, from one pass over each raster; images without pixels have no row."""
-    s = per_image(rasters, lambda image: [_sums(image)], SUMS)
+    s = per_stack(rasters, lambda images: [[sums] for sums in _stack_sums(images)], SUMS)
     n, n3 = F.col("n"), F.col("n") * 3.0
     mean = F.col("s1") / n3
     of_pairs = lambda c: F.when(F.col("pairs") > 0, c).otherwise(F.lit(0.0))
@@ -118,30 +148,50 @@ def measures(rasters: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- palette
 
 
-def _palette(image: np.ndarray, k: int, rounds: int) -> list[list]:
-    """[centre, pixels] of each cluster that has pixels, the largest first: k-means of colours from the most frequent bins."""
-    colours, count = np.unique(image.reshape(-1, 3).astype(np.int64) @ [1 << 16, 1 << 8, 1], return_counts=True)
-    v = np.stack([colours >> 16, colours >> 8 & 255, colours & 255], axis=1)
-    bins, of = np.unique((v[:, 0] >> 5) * 64 + (v[:, 1] >> 5) * 8 + (v[:, 2] >> 5), return_inverse=True)
+def _palette(images: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(centres, pixels) of the clusters of each of n x height x width x 3 bytes, n x k x 3 and n x k, the largest first (0 pixels: no cluster).
+
+    k-means of colours from the most frequent bins.
+    """
+    total = len(images)
+    code = images.reshape(total, -1, 3).astype(np.int64) @ [1 << 16, 1 << 8, 1]
+    colours, count = np.unique(np.arange(total)[:, None] << 24 | code, return_counts=True)
+    owner = colours >> 24
+    colours_of = np.bincount(owner, minlength=total)
+    v = np.stack([colours >> 16 & 255, colours >> 8 & 255, colours & 255], axis=1)
+    bins, of = np.unique(owner * 512 + (v[:, 0] >> 5) * 64 + (v[:, 1] >> 5) * 8 + (v[:, 2] >> 5), return_inverse=True)
 
     def means(label: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
         n = np.bincount(label, count, m)
         sums = np.stack([np.bincount(label, count * v[:, c], m) for c in range(3)], axis=1)
         return n, sums / np.maximum(n, 1)[:, None]
 
-    n, centre = means(of, len(bins))
-    centre = centre[np.lexsort((bins, -n))[:k]]
+    n, middle = means(of, len(bins))
+    best = np.lexsort((bins, -n, bins // 512))
+    place = np.arange(len(bins)) - np.searchsorted(bins // 512, bins // 512)  # within its image
+    centre = np.full((total, k, 3), np.inf)  # an image of fewer bins has fewer centres
+    first = best[place < k]
+    centre[bins[first] // 512, place[place < k]] = middle[first]
 
     def nearest() -> np.ndarray:
-        d = sum((v[:, c, None] - centre[None, :, c]) * (v[:, c, None] - centre[None, :, c]) for c in range(3))
-        return d.argmin(axis=1)  # the first of equal ones
+        d = np.zeros((len(v), k))
+        for c in range(3):
+            apart = v[:, c, None] - np.repeat(np.ascontiguousarray(centre[..., c]), colours_of, axis=0)
+            d += np.multiply(apart, apart, out=apart)
+        return owner * k + d.argmin(axis=1)  # the first of equal ones
 
     for _ in range(rounds):
-        n, new = means(nearest(), len(centre))
-        centre = np.where((n > 0)[:, None], new, centre)
-    n = np.bincount(nearest(), count, len(centre))
-    order = np.lexsort((np.arange(len(n)), -n))
-    return [[centre[j], int(n[j])] for j in order if n[j] > 0]
+        n, new = means(nearest(), total * k)
+        centre = np.where((n > 0).reshape(total, k, 1), new.reshape(total, k, 3), centre)
+    n = np.bincount(nearest(), count, total * k).astype(np.int64).reshape(total, k)
+    order = np.argsort(-n, axis=1, kind="stable")
+    return np.take_along_axis(centre, order[..., None], 1), np.take_along_axis(n, order, 1)
+
+
+def _hex(centres: np.ndarray, pixels: np.ndarray) -> list[list[str]]:
+    """``#rrggbb`` of each image's clusters."""
+    whole = np.where(pixels[..., None] > 0, centres, 0).astype(np.int64) @ [1 << 16, 1 << 8, 1]
+    return [[f"#{c:06x}" for c in row[:used]] for row, used in zip(whole.tolist(), (pixels > 0).sum(1).tolist())]
 
 
 def color_palette(rasters: DataFrame, k: int = 5, rounds: int = 5, size: tuple[int, int] | None = None) -> DataFrame:
@@ -151,12 +201,13 @@ def color_palette(rasters: DataFrame, k: int = 5, rounds: int = 5, size: tuple[i
     With ``size`` (width, height) the image is resampled to it first (see ``resized``).
     """
 
-    def make(image: np.ndarray) -> list[list]:
-        image = _resized(image, *size) if size else image
-        total = image.shape[0] * image.shape[1]
-        return [[rank, "#" + "".join(f"{int(x):02x}" for x in c), n / total] for rank, (c, n) in enumerate(_palette(image, k, rounds))]
+    def make(images: np.ndarray) -> list[list[list]]:
+        images = _resized(images, *size) if size else images
+        centres, pixels = _palette(images, k, rounds)
+        weights = (pixels / (images.shape[1] * images.shape[2])).tolist()
+        return [[[rank, *row] for rank, row in enumerate(zip(c, w))] for c, w in zip(_hex(centres, pixels), weights)]
 
-    return per_image(rasters, make, "rank int, color_hex string, weight double")
+    return per_stack(rasters, make, "rank int, color_hex string, weight double")
 
 
 def color_stats(rasters: DataFrame, k: int = 5, rounds: int = 5, size: tuple[int, int] | None = None) -> DataFrame:
@@ -166,20 +217,21 @@ def color_stats(rasters: DataFrame, k: int = 5, rounds: int = 5, size: tuple[int
     With ``size`` (width, height) the image is resampled to it first (see ``resized``).
     """
 
-    def make(image: np.ndarray) -> list[list]:
-        image = _resized(image, *size) if size else image
-        found = _palette(image, k, rounds)
-        total = image.shape[0] * image.shape[1]
-        weight = np.array([n for _, n in found]) / total
-        rank = np.arange(len(found))
-        diversity = float(np.sqrt(max((weight * rank * rank).sum() - (weight * rank).sum() ** 2, 0.0)))
-        v = image.reshape(-1, 3)
-        s1, s2 = v.sum(0, dtype=np.int64), (v.astype(np.int64) ** 2).sum(0)
+    def make(images: np.ndarray) -> list[list[list]]:
+        images = _resized(images, *size) if size else images
+        centres, pixels = _palette(images, k, rounds)
+        total = images.shape[1] * images.shape[2]
+        weight, rank = pixels / total, np.arange(k)
+        diversity = np.sqrt(np.maximum((weight * rank * rank).sum(1) - (weight * rank).sum(1) ** 2, 0.0))
+        v = images.reshape(len(images), total, 3)
+        s1 = v.sum(1, dtype=np.int64)
+        s2 = np.stack([sum((v[:, at : at + BAND_PIXELS, c].astype(np.int64) ** 2).sum(1) for at in range(0, total, BAND_PIXELS)) for c in range(3)], axis=1)
         std = np.sqrt(np.maximum(s2 / total - (s1 / total) ** 2, 0.0))
-        return [[*(s1 / total).tolist(), *std.tolist(), diversity, ["#" + "".join(f"{int(x):02x}" for x in c) for c, _ in found], weight.tolist()]]
+        rows = zip((s1 / total).tolist(), std.tolist(), diversity.tolist(), _hex(centres, pixels), weight.tolist())
+        return [[[*m, *s, d, colours, w[: len(colours)]]] for m, s, d, colours, w in rows]
 
     numbers = ", ".join(f"{s}_{c} double" for s in ("mean", "std") for c in "rgb")
-    return per_image(rasters, make, f"{numbers}, color_diversity double, dominant_colors array<string>, color_weights array<double>")
+    return per_stack(rasters, make, f"{numbers}, color_diversity double, dominant_colors array<string>, color_weights array<double>")
 
 
 # ---------------------------------------------------------------- resize
@@ -220,8 +272,8 @@ def _table(size: int, target: int) -> list:
     return _tables[size, target]
 
 
-def _resized(image: np.ndarray, width: int, height: int) -> np.ndarray:
-    """Separable bicubic resampling, columns first; sums are rounded and cut to 0..255 after each direction."""
+def _resized(images: np.ndarray, width: int, height: int) -> np.ndarray:
+    """Separable bicubic resampling of n x height x width x 3 bytes, columns first; sums are rounded and cut to 0..255 after each direction."""
 
     def along(values: np.ndarray, target: int) -> np.ndarray:  # the first axis
         out = np.empty((target, *values.shape[1:]), np.uint8)
@@ -230,8 +282,8 @@ def _resized(image: np.ndarray, width: int, height: int) -> np.ndarray:
             out[i] = np.clip(total >> FRACTION, 0, 255)
         return out
 
-    wide = np.swapaxes(along(np.swapaxes(image, 0, 1), width), 0, 1) if image.shape[1] != width else image
-    return along(wide, height) if image.shape[0] != height else wide
+    wide = np.moveaxis(along(np.moveaxis(images, 2, 0), width), 0, 2) if images.shape[2] != width else images
+    return np.moveaxis(along(np.moveaxis(wide, 1, 0), height), 0, 1) if images.shape[1] != height else wide
 
 
 def resized(rasters: DataFrame, width: int = 150, height: int = 150) -> DataFrame:
@@ -241,14 +293,17 @@ def resized(rasters: DataFrame, width: int = 150, height: int = 150) -> DataFram
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for image_id, w, h, rgb in zip(*(c.to_pylist() for c in batch.columns)):
-                rows.append((image_id, width, height, _resized(_image(w, h, rgb), width, height).tobytes()) if rgb and w > 0 else (image_id, w, h, rgb))
-                if len(rows) == 64:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            w, rgb = batch.column("width"), batch.column("rgb")
+            known = pc.fill_null(pc.and_(pc.greater(w, 0), pc.greater(pc.binary_length(rgb), 0)), False)
+            for ids, images in _stacks(batch.filter(known)):
+                images = np.ascontiguousarray(_resized(images, width, height))
+                n = len(images)
+                for at in range(0, n, 64):
+                    some = [image.tobytes() for image in images[at : at + 64]]
+                    sizes = [pa.array([x] * len(some), pa.int32()) for x in (width, height)]
+                    yield pa.RecordBatch.from_arrays([ids.slice(at, 64).cast(schema.field(0).type), *sizes, pa.array(some, pa.binary())], schema=schema)
+            rest = batch.filter(pc.invert(known))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(rest.columns, schema)], schema=schema)
 
     return rasters.select("image_id", "width", "height", "rgb").mapInArrow(run, f"image_id {of_id.simpleString()}, width int, height int, rgb binary")
 
@@ -343,16 +398,18 @@ def pixels(rasters: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for image_id, width, height, rgb in zip(*batch.columns):
-                w, image = width.as_py(), _image(width.as_py(), height.as_py(), rgb.as_py())
-                rows = max(1, PIXEL_ROWS // w)
-                for y in range(0, len(image), rows):
-                    part = image[y : y + rows]
-                    n = part.shape[0] * w
-                    places = np.arange(n, dtype=np.int32)
-                    columns = [pa.array([image_id.as_py()] * n, to_arrow_type(of_id)), pa.array(places % w), pa.array(places // w + np.int32(y))]
-                    columns += [pa.array(part[..., c].ravel().astype(np.int32)) for c in range(3)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["image_id", "x", "y", "r", "g", "b"])
+            for ids, images in _stacks(batch):
+                n, _, w = images.shape[:3]
+                flat = images.reshape(n, -1, 3)
+                rows = max(1, PIXEL_ROWS // flat.shape[1])
+                for i in range(0, n, rows):
+                    for at in range(0, flat.shape[1], PIXEL_ROWS):
+                        part = flat[i : i + rows, at : at + PIXEL_ROWS].astype(np.int32)
+                        places = np.tile(np.arange(at, at + part.shape[1], dtype=np.int32), len(part))
+                        which = pa.array(np.repeat(np.arange(i, i + len(part)), part.shape[1]))
+                        columns = [ids.take(which).cast(to_arrow_type(of_id)), pa.array(places % w), pa.array(places // w)]
+                        columns += [pa.array(part[..., c].ravel()) for c in range(3)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["image_id", "x", "y", "r", "g", "b"])
 
     return rasters.where("width > 0 and height > 0 and rgb is not null").select("image_id", "width", "height", "rgb").mapInArrow(run, ddl)
 
@@ -376,6 +433,11 @@ def from_struct(info: DataFrame, id_col: str = "image_id") -> DataFrame:
     return source.mapInArrow(run, f"image_id {of_id.simpleString()}, width int, height int, rgb binary")
 
 
+@cache
+def _grid(height: int, width: int) -> np.ndarray:
+    return np.mgrid[:height, :width].astype(np.int64)
+
+
 def synthetic(ids: DataFrame, id_col: str, width: int | None = None, height: int = 12) -> DataFrame:
     """The fixture of ``pixels.synthetic_raster`` as rasters: width ``16 + id % 4`` unless given."""
     schema = pa.schema([("image_id", pa.int64()), ("width", pa.int32()), ("height", pa.int32()), ("rgb", pa.binary())])
@@ -386,9 +448,9 @@ def synthetic(ids: DataFrame, id_col: str, width: int | None = None, height: int
                 rows = []
                 for i in batch.column(0).slice(at, 256).to_pylist():
                     w = width or 16 + i % 4
-                    y, x = np.mgrid[:height, :w].astype(np.int64)
+                    y, x = _grid(height, w)
                     v = np.stack([(x * x * 7 + y * 13 * x + i * 31) % 256, (x * 5 + y * y * 3 + i * 17) % 256, (x * y * 11 + i * 7) % 256], axis=2)
                     rows.append((i, w, height, v.astype(np.uint8).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return ids.select(F.col(id_col).cast("bigint").alias("image_id")).mapInArrow(run, "image_id bigint, width int, height int, rgb binary")
+    return dealt(ids.select(F.col(id_col).cast("bigint").alias("image_id"))).mapInArrow(run, "image_id bigint, width int, height int, rgb binary")

@@ -181,3 +181,35 @@ def test_resize_of_a_300_by_200_image(spark):
     assert set(bytes(row[1]["rgb"])) == {91}
     same = raster.resized(some_rasters(spark, {1: a}), 300, 200).first()
     assert bytes(same["rgb"]) == a.tobytes()
+
+
+def test_images_of_one_size_are_analysed_together(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    images = {i: rng.integers(0, 256, ((5, 7, 3), (1, 4, 3), (6, 1, 3))[i % 3], dtype=np.uint8) // (1 + i % 2 * 63) for i in range(40)}
+    sizes = []
+    whole = raster._stack_sums
+    monkeypatch.setattr(raster, "_stack_sums", lambda x: sizes.append(len(x)) or whole(x))
+    stacks = [raster._stack_sums(np.stack([a for i, a in images.items() if i % 3 == s])) for s in range(3)]
+    assert sizes == [14, 13, 13]
+    for s, found in enumerate(stacks):
+        for row, a in zip(found, [a for i, a in images.items() if i % 3 == s]):
+            assert row == pytest.approx(raster._sums(a))
+    for s in range(3):
+        some = np.stack([a for i, a in images.items() if i % 3 == s])
+        centres, pixels = raster._palette(some, 5, 5)
+        for n, a in enumerate(some):
+            own, count = raster._palette(a[None], 5, 5)
+            assert (count[0] == pixels[n]).all() and (own[0][count[0] > 0] == centres[n][pixels[n] > 0]).all()
+            assert (raster._resized(some, 9, 4)[n] == raster._resized(a[None], 9, 4)[0]).all()
+    r = some_rasters(spark, images)
+    got = {(p["image_id"], p["x"], p["y"]): (p["r"], p["g"], p["b"]) for p in raster.pixels(r).collect()}
+    assert got == {(i, x, y): tuple(a[y, x]) for i, a in images.items() for y in range(a.shape[0]) for x in range(a.shape[1])}
+
+
+def test_rasters_of_one_small_file_are_made_in_many_tasks(spark):
+    from sparkloom.functions.image.pixels import synthetic_raster
+
+    ids = spark.range(0, 3000, 1, 1)
+    for made in (raster.synthetic(ids, "id"), synthetic_raster(ids, "id")):
+        rows = made.select("image_id", F.spark_partition_id().alias("task")).distinct().groupBy("task").count().collect()
+        assert len(rows) >= 8 and sum(r["count"] for r in rows) == 3000 and max(r["count"] for r in rows) < 600
