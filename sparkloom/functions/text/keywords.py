@@ -19,19 +19,27 @@ factor ``1 + (1 - P(w|a) P(b|w))`` to the product and subtracts
 best-first, skipping any whose Levenshtein similarity
 ``1 - lev / max(len)`` to an already kept one exceeds ``dedup_lim``.
 
-Everything up to the ranking is per-document aggregation and equi-joins on
-``(doc, term)``; the greedy dedup is sequential per document and runs in
-``applyInArrow`` over that document's candidates (bounded by its length).  A
-document is a row: ids may be null or repeated (see ``tokens.by_document``).
+A document is a row, whatever its id.  Spark cuts it into sentences and words and
+marks how they are written; the counts by (document, term) and (document,
+candidate) are taken with numpy in the task that holds the rows, some
+``CHUNK_WORDS`` words at a time, so nothing is shuffled or spilled.  The
+greedy choice runs over an array of the document's candidates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.types import StructType
 
 from sparkloom.functions import prompts
-from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, by_document, require_text_column, rows_of
+from sparkloom.functions.text.tokens import LETTER_TOKEN, SENTENCE_SPLIT, require_text_column
 
 # English stop words for candidate boundaries.
 STOP_WORDS = (
@@ -44,154 +52,169 @@ MAX_NGRAM = 3
 TOP = 10
 DEDUP_LIM = 0.3
 RANK_DIGITS = 10  # of a score; equal ones are ranked by the keyword
+CHUNK_WORDS = 200_000  # counted at a time, or one document
 
 
-def _shift(arr: Column, offset: int) -> Column:
-    """``arr`` shifted by ``offset`` (-1: previous element, +1: next), padded with null."""
-    n = F.size(arr)
-    pad = F.array(F.lit(None).cast("string"))
-    if offset < 0:
-        return F.concat(pad, F.slice(arr, 1, F.greatest(n - 1, F.lit(0))))
-    return F.concat(F.slice(arr, 2, F.greatest(n - 1, F.lit(0))), pad)
-
-
-def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sentence_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(_id, words, kinds, sizes)`` of every row: its lower-cased words, how each is written (2: acronym, 1: capitalised
+    inside a sentence, else 0) and the number of words of each sentence."""
     require_text_column(df, text_col)
-    return by_document(df, id_col, text_col)
-
-
-def sentence_words(docs: DataFrame) -> DataFrame:
-    """``(_doc, s, ws, lw)``: each non-empty sentence's words, as written and lower-cased."""
-    sents = docs.select("_doc", F.posexplode(F.split("text", SENTENCE_SPLIT, -1)).alias("s", "sentence"))
-    # partitioned by document already: every later step is keyed by (_doc, ...)
-    # and reads the one (reused) exchange of the texts
-    return sents.select(
-        "_doc", "s",
-        F.regexp_extract_all("sentence", F.lit(LETTER_TOKEN), 0).alias("ws"),
-        F.regexp_extract_all(F.lower("sentence"), F.lit(LETTER_TOKEN), 0).alias("lw"),  # aligned with ws
-    ).filter(F.size("ws") > 0)
-
-
-def token_rows(words: DataFrame) -> DataFrame:
-    """``(_doc, s, i, word, term, prev, next, is_stop)``: tokens with sentence index and neighbours."""
-    z = F.arrays_zip(
-        F.col("ws").alias("word"), F.col("lw").alias("term"),
-        _shift(F.col("lw"), -1).alias("prev"), _shift(F.col("lw"), 1).alias("next"),
+    sentences = df.select(F.col(id_col).alias("_id"), F.split(F.coalesce(F.col(text_col), F.lit("")), SENTENCE_SPLIT, -1).alias("sents"))
+    found = sentences.select(
+        "_id",
+        F.transform("sents", lambda s: F.regexp_extract_all(s, F.lit(LETTER_TOKEN), 0)).alias("ws"),
+        F.transform("sents", lambda s: F.regexp_extract_all(F.lower(s), F.lit(LETTER_TOKEN), 0)).alias("lw"),  # aligned with ws
     )
-    rows = words.select("_doc", "s", F.posexplode(z).alias("i", "z")).select(
-        "_doc", "s", "i", F.col("z.word").alias("word"), F.col("z.term").alias("term"),
-        F.col("z.prev").alias("prev"), F.col("z.next").alias("next"),
-    )
-    return rows.withColumn("is_stop", F.col("term").isin(STOP_WORDS))
+
+    def kind(w: Column, i: Column) -> Column:
+        first = F.substring(w, 1, 1)
+        acronym = (w == F.upper(w)) & (F.length(w) > 1)
+        capital = (first == F.upper(first)) & (first != F.lower(first))
+        return F.when(w == F.lower(w), 0).when(acronym, 2).when(capital & (i > 0), 1).otherwise(0)
+
+    kinds = F.zip_with("ws", "lw", lambda ws, lw: F.zip_with(F.transform(ws, kind), lw, lambda k, _: F.coalesce(k, F.lit(0))))
+    return found.select("_id", F.flatten("lw").alias("words"), F.flatten(kinds).alias("kinds"), F.transform("lw", F.size).alias("sizes"))
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of ``sentence_words`` with ``CHUNK_WORDS`` words at most, or one row."""
+    words = np.cumsum(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(words, (words[at - 1] if at else 0) + CHUNK_WORDS, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _distinct(key: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows (key, *more), numbers below 2^31: (place of the first, number of its group, rows of the group) as ``np.unique``."""
+    for m in more:
+        key = np.unique(key, return_inverse=True)[1].astype(np.int64) << 32 | m
+    return np.unique(key, return_index=True, return_inverse=True, return_counts=True)[1:]
+
+
+class _Chunk:
+    """Words of some documents as numbers, with the scores of their terms."""
+
+    def __init__(self, chunk: pa.RecordBatch):
+        words = chunk.column(1).flatten().dictionary_encode()
+        self.names, self.word = words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        kinds, sizes = (chunk.column(i).flatten().to_numpy(zero_copy_only=False) for i in (2, 3))
+        self.documents = chunk.num_rows
+        self.doc = np.repeat(np.arange(chunk.num_rows), chunk.column(1).value_lengths().to_numpy(zero_copy_only=False))
+        per_doc = chunk.column(3).value_lengths().to_numpy(zero_copy_only=False)
+        first = np.cumsum(per_doc) - per_doc  # a document's first sentence
+        sentence = np.repeat(np.arange(len(sizes)), sizes)
+        s = sentence - first[self.doc]
+        self.left = np.arange(len(self.word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # words before and after it in its sentence
+        self.right = np.repeat(sizes, sizes) - 1 - self.left
+        self.stop = pc.is_in(self.names, pa.array(STOP_WORDS)).to_numpy(zero_copy_only=False)[self.word] if len(self.word) else np.zeros(0, bool)
+
+        t = np.flatnonzero(~self.stop)
+        at, of, self.tf = _distinct(self.doc[t], self.word[t])
+        self.at, n = t[at], len(at)
+        self.term = np.full(len(self.word), -1)  # the term at each word that isn't a stop word
+        self.term[t] = of
+        count = lambda here: np.bincount(of[here], minlength=n)
+        n_left, n_right = count(self.left[t] > 0), count(self.right[t] > 0)
+
+        def kinds_of(here: np.ndarray, other: np.ndarray) -> np.ndarray:
+            first_of = _distinct(of[here], other)[0]
+            return np.bincount(of[here][first_of], minlength=n)
+
+        left, right = np.flatnonzero(self.left[t] > 0), np.flatnonzero(self.right[t] > 0)
+        d_left, d_right = kinds_of(left, self.word[t[left] - 1]), kinds_of(right, self.word[t[right] + 1])
+        n_sent_t = kinds_of(np.arange(len(t)), s[t])
+        ordered, start = s[t][np.lexsort((s[t], of))], np.cumsum(self.tf) - self.tf
+        med = (ordered[start + (self.tf - 1) // 2] + ordered[start + self.tf // 2]) / 2.0
+
+        doc = self.doc[self.at]
+        n_t, s1, s2 = (np.bincount(doc, x, self.documents) for x in (None, self.tf, self.tf * self.tf))
+        most = np.zeros(self.documents, np.int64)
+        np.maximum.at(most, doc, self.tf)
+        n_sent = np.bincount(np.repeat(np.arange(self.documents), per_doc), sizes > 0, self.documents)
+        tf, mean = self.tf, (s1 / np.maximum(n_t, 1))[doc]
+        std = np.sqrt(np.maximum(s2 / np.maximum(n_t, 1) - (s1 / np.maximum(n_t, 1)) ** 2, 0.0))[doc]
+        case = np.maximum(count(kinds[t] == 2), count(kinds[t] == 1)) / (1.0 + np.log(tf))
+        pos, freq = np.log(np.log(3.0 + med)), tf / (mean + std)
+        rel = 1.0 + (d_left / np.maximum(n_left, 1) + d_right / np.maximum(n_right, 1)) * tf / most[doc]
+        self.score = rel * pos / (case + freq / rel + n_sent_t / n_sent[doc] / rel)
+
+    def terms(self) -> tuple[np.ndarray, list[pa.Array]]:
+        return self.doc[self.at], [self.names.take(pa.array(self.word[self.at])), pa.array(self.tf), pa.array(self.score)]
+
+    def candidates(self, max_ngram: int) -> tuple[np.ndarray, list[pa.Array]]:
+        """Each candidate's document, and its keyword, number of words, frequency and score."""
+        found: list[list] = [[], [], [], [], []]
+        used = _distinct(self.doc, self.word)
+        n_word = used[2][used[1]] if len(self.word) else np.zeros(0, np.int64)  # how often its document holds the word
+        pair = np.flatnonzero(self.right > 0)
+        _, of, times = _distinct(self.doc[pair], self.word[pair], self.word[pair + 1]) if len(pair) else (None, pair, pair)
+        n_pair = np.zeros(len(self.word), np.int64)  # and the pair that starts at it
+        n_pair[pair] = times[of]
+        for n in range(1, max_ngram + 1):
+            at = np.flatnonzero(self.right >= n - 1)
+            at = at[~self.stop[at] & ~self.stop[at + n - 1]]
+            if not len(at):
+                continue
+            first, _, kf = _distinct(self.doc[at], *(self.word[at + j] for j in range(n)))
+            at = at[first]
+            log_prod, sum_s = np.zeros(len(at)), np.zeros(len(at))
+            for j in range(n):
+                w = at + j
+                own = self.score[self.term[w]]
+                if 0 < j < n - 1:
+                    # an interior stop word; next to another one it counts nothing
+                    a_plain = ~self.stop[w - 1]
+                    pp = np.where(a_plain, (n_pair[w - 1] / n_word[w - 1]) * (n_pair[w] / n_word[w]), 1.0)
+                    log_prod += np.where(self.stop[w], np.log(2.0 - pp), np.log(own))
+                    sum_s += np.where(self.stop[w], pp - 1.0, own)
+                else:
+                    log_prod, sum_s = log_prod + np.log(own), sum_s + own
+            parts = [self.names.take(pa.array(self.word[at + j])) for j in range(n)]
+            values = [pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0], np.full(len(at), n), kf, np.exp(log_prod) / (kf * (1.0 + sum_s))]
+            for column, x in zip(found, [self.doc[at], *values]):
+                column.append(x)
+        if not found[0]:
+            return np.zeros(0, np.int64), [pa.array([], t) for t in (pa.string(), pa.int64(), pa.int64(), pa.float64())]
+        doc, n, kf, score = (np.concatenate(found[i]) for i in (0, 2, 3, 4))
+        return doc, [pa.concat_arrays(found[1]), pa.array(n), pa.array(kf), pa.array(score)]
+
+
+def _per_row(df: DataFrame, id_col: str, text_col: str, find: Callable[[_Chunk], tuple[np.ndarray, list[pa.Array]]], ddl: str) -> DataFrame:
+    """``(id, found ARRAY<STRUCT<ddl>>)`` of every row, from what ``find`` gives for some of them."""
+    words = sentence_words(df, id_col, text_col)
+    item = StructType.fromDDL(ddl)
+    schema = StructType([words.schema["_id"], *StructType.fromDDL(f"found array<{item.simpleString()}>").fields])
+    arrow = to_arrow_schema(schema)
+    fields = [pa.field(f.name, to_arrow_type(f.dataType)) for f in item.fields]
+
+    def run(batches):
+        for batch in batches:
+            for chunk in _chunks(batch):
+                doc, columns = find(_Chunk(chunk))
+                order = pa.array(np.argsort(doc, kind="stable"))
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=chunk.num_rows))]).astype(np.int32)
+                items = pa.StructArray.from_arrays([c.take(order).cast(f.type) for c, f in zip(columns, fields)], fields=fields)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), items)
+                yield pa.RecordBatch.from_arrays([chunk.column(0).cast(arrow.field(0).type), lists.cast(arrow.field(1).type)], schema=arrow)
+
+    return words.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
 def term_scores(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, term, tf, score)`` for every non-stop term of every document."""
-    docs = _documents(df, id_col, text_col)
-    return rows_of(_term_scores(sentence_words(docs)), docs, id_col)
-
-
-def _term_scores(words: DataFrame) -> DataFrame:
-    toks = token_rows(words)
-    t = toks.filter(~F.col("is_stop"))
-    acronym = (F.col("word") == F.upper("word")) & (F.length("word") > 1) & (F.col("word") != F.lower("word"))
-    capital = (F.substring("word", 1, 1) == F.upper(F.substring("word", 1, 1))) & (F.substring("word", 1, 1) != F.lower(F.substring("word", 1, 1)))
-    stats = t.groupBy("_doc", "term").agg(
-        F.count(F.lit(1)).alias("tf"),
-        F.count_if(acronym).alias("tf_a"),
-        F.count_if(capital & ~acronym & (F.col("i") > 0)).alias("tf_u"),
-        F.median("s").alias("med_s"),
-        # distinct counts via sets: a (doc, term) group is bounded by the document, and
-        # several count_distinct in one aggregate would expand every row once per column
-        F.size(F.collect_set("s")).alias("n_sent_t"),
-        F.count(F.col("prev")).alias("n_left"),
-        F.size(F.collect_set("prev")).alias("d_left"),
-        F.count(F.col("next")).alias("n_right"),
-        F.size(F.collect_set("next")).alias("d_right"),
-    )
-    # every side below is already hash-partitioned by document (see sentence_words):
-    # shuffle-hash joins run in place, where a broadcast would ship derived tables
-    # whose size the planner underestimates through the driver
-    # exact integer sums, then fixed float steps: bit-identical on every run, whatever
-    # the order in which partial aggregates merge (the ranking compares scores exactly)
-    n_t, s1, s2 = F.count(F.lit(1)), F.sum("tf"), F.sum(F.col("tf") * F.col("tf"))
-    doc = stats.groupBy("_doc").agg(
-        (s1 / n_t).alias("mean_tf"),
-        F.sqrt(F.greatest(s2 / n_t - (s1 / n_t) * (s1 / n_t), F.lit(0.0))).alias("std_tf"),
-        F.max("tf").alias("max_tf"),
-    ).join(words.groupBy("_doc").agg(F.count(F.lit(1)).alias("n_sent")).hint("shuffle_hash"), "_doc")
-    j = stats.join(doc.hint("shuffle_hash"), "_doc")
-    dl = F.when(F.col("n_left") > 0, F.col("d_left") / F.col("n_left")).otherwise(F.lit(0.0))
-    dr = F.when(F.col("n_right") > 0, F.col("d_right") / F.col("n_right")).otherwise(F.lit(0.0))
-    case = F.greatest("tf_a", "tf_u") / (F.lit(1.0) + F.log("tf"))
-    pos = F.log(F.log(F.lit(3.0) + F.col("med_s")))
-    freq = F.col("tf") / (F.col("mean_tf") + F.col("std_tf"))
-    rel = F.lit(1.0) + (dl + dr) * F.col("tf") / F.col("max_tf")
-    sent = F.col("n_sent_t") / F.col("n_sent")
-    score = rel * pos / (case + freq / rel + sent / rel)
-    return j.select("_doc", "term", "tf", score.alias("score"))
+    found = _per_row(df, id_col, text_col, lambda c: c.terms(), "term string, tf long, score double")
+    return found.select(id_col, F.explode("found").alias("_f")).select(id_col, "_f.*")
+
+
+def _candidates(df: DataFrame, id_col: str, text_col: str, max_ngram: int) -> DataFrame:
+    return _per_row(df, id_col, text_col, lambda c: c.candidates(max_ngram), "keyword string, n long, kf long, score double")
 
 
 def candidate_scores(df: DataFrame, id_col: str, text_col: str, max_ngram: int = MAX_NGRAM) -> DataFrame:
     """``(id, keyword, n, kf, score)`` for every candidate n-gram (before dedup)."""
-    docs = _documents(df, id_col, text_col)
-    return rows_of(_candidate_scores(sentence_words(docs), max_ngram), docs, id_col)
-
-
-def _candidate_scores(words: DataFrame, max_ngram: int) -> DataFrame:
-    scores = _term_scores(words)
-
-    def ngrams(n: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("lw"), F.lit(1))), lambda i: i + (n - 1) <= F.size("lw"))
-        return F.transform(starts, lambda i: F.slice("lw", i, n))
-
-    # every n-gram occurrence inside a sentence, straight from the sentence's word array
-    all_grams = F.flatten(F.array(*[ngrams(n) for n in range(1, max_ngram + 1)]))
-    occ = words.select("_doc", F.explode(all_grams).alias("g"))
-    occ = occ.withColumn("st", F.transform("g", lambda t: t.isin(STOP_WORDS)))
-    occ = occ.filter(~F.element_at("st", 1) & ~F.element_at("st", -1))
-    occ = occ.withColumn("keyword", F.array_join("g", " "))
-    cands = occ.groupBy("_doc", "keyword").agg(F.count(F.lit(1)).alias("kf"))
-    cands = cands.withColumn("g", F.split("keyword", " ")).withColumn("st", F.transform("g", lambda t: t.isin(STOP_WORDS)))
-    # component terms: non-stop terms take S(t); an interior stop word takes the bigram factor
-    comp = cands.select("_doc", "keyword", "g", "st", "kf", F.posexplode(F.arrays_zip(F.col("g").alias("t"), F.col("st").alias("stop"))).alias("j", "c"))
-    comp = comp.select("_doc", "keyword", "kf", "j", F.col("c.t").alias("t"), F.col("c.stop").alias("stop"),
-                       F.when(F.col("j") > 0, F.try_element_at("g", F.col("j"))).alias("a"),
-                       F.try_element_at("g", F.col("j") + 2).alias("b"))
-    plain = comp.filter(~F.col("stop")).join(
-        scores.select("_doc", F.col("term").alias("t"), F.col("score").alias("st_score")).hint("shuffle_hash"), ["_doc", "t"]
-    ).select("_doc", "keyword", "kf", "j", F.log("st_score").alias("log_f"), F.col("st_score").alias("add"))
-    # interior stop words (only inside 3-grams) take 1 + (1 - P(w|a) P(b|w)); counts over all tokens
-    # only pairs touching a stop word can feed a stop-word factor
-    pairs = words.select("_doc", F.explode(ngrams(2)).alias("p")).select(
-        "_doc", F.element_at("p", 1).alias("x"), F.element_at("p", 2).alias("y")
-    ).filter(F.col("x").isin(STOP_WORDS) | F.col("y").isin(STOP_WORDS))
-    big = pairs.groupBy("_doc", "x", "y").agg(F.count(F.lit(1)).alias("cxy"))
-    stop_n = words.select("_doc", F.explode("lw").alias("u")).filter(F.col("u").isin(STOP_WORDS)).groupBy("_doc", "u").agg(
-        F.count(F.lit(1)).alias("cu")
-    )
-    sw = comp.filter(F.col("stop"))
-    sw = sw.join(big.select("_doc", F.col("x").alias("a"), F.col("y").alias("t"), F.col("cxy").alias("c_at")).hint("shuffle_hash"), ["_doc", "a", "t"], "left")
-    sw = sw.join(big.select("_doc", F.col("x").alias("t"), F.col("y").alias("b"), F.col("cxy").alias("c_tb")).hint("shuffle_hash"), ["_doc", "t", "b"], "left")
-    sw = sw.join(scores.select("_doc", F.col("term").alias("a"), F.col("tf").alias("c_a")).hint("shuffle_hash"), ["_doc", "a"], "left")
-    sw = sw.join(stop_n.select("_doc", F.col("u").alias("t"), F.col("cu").alias("c_t")).hint("shuffle_hash"), ["_doc", "t"], "left")
-    pp = (F.coalesce(F.col("c_at"), F.lit(0)) / F.col("c_a")) * (F.coalesce(F.col("c_tb"), F.lit(0)) / F.col("c_t"))
-    stops = sw.select("_doc", "keyword", "kf", "j", F.log(F.lit(2.0) - pp).alias("log_f"), (pp - F.lit(1.0)).alias("add"))
-    sc = plain.unionByName(stops)
-    # one row per component index: pick each exactly (max over a single value), then add
-    # them in index order, so the score never depends on how partial aggregates merge
-    picks = []
-    for jj in range(max_ngram):
-        picks += [F.max(F.when(F.col("j") == jj, F.col("log_f"))).alias(f"l{jj}"),
-                  F.max(F.when(F.col("j") == jj, F.col("add"))).alias(f"a{jj}")]
-    per = sc.groupBy("_doc", "keyword", "kf").agg(F.count(F.lit(1)).alias("n"), *picks)
-    log_prod, sum_s = F.lit(0.0), F.lit(0.0)
-    for jj in range(max_ngram):
-        log_prod = log_prod + F.coalesce(F.col(f"l{jj}"), F.lit(0.0))
-        sum_s = sum_s + F.coalesce(F.col(f"a{jj}"), F.lit(0.0))
-    per = per.select("_doc", "keyword", "kf", "n", log_prod.alias("log_prod"), sum_s.alias("sum_s"))
-    score = F.exp("log_prod") / (F.col("kf") * (F.lit(1.0) + F.col("sum_s")))
-    return per.select("_doc", "keyword", "n", "kf", score.alias("score"))
+    return _candidates(df, id_col, text_col, max_ngram).select(id_col, F.explode("found").alias("_f")).select(id_col, "_f.*")
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -199,31 +222,35 @@ def similarity(a: Column, b: Column) -> Column:
     return F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
+def _chosen(df: DataFrame, id_col: str, text_col: str, top: int, dedup_lim: float, max_ngram: int) -> DataFrame:
+    """``(id, kept)`` of every row: its deduplicated keywords, best first."""
+    found = _candidates(df, id_col, text_col, max_ngram)
+    # a document's candidates, best first, bounded by its length; the chosen ones are an array of at most ``top``
+    ranked = F.sort_array(F.transform("found", lambda c: F.struct(F.round(c["score"], RANK_DIGITS).alias("score"), c["keyword"].alias("keyword"))))
+    none = F.array().cast("array<struct<score:double,keyword:string>>")
+    fits = lambda kept, x: (F.size(kept) < top) & F.forall(kept, lambda k: similarity(x["keyword"], k["keyword"]) <= dedup_lim)
+    kept = F.aggregate(ranked, none, lambda acc, x: F.when(fits(acc, x), F.concat(acc, F.array(x))).otherwise(acc))
+    return found.select(id_col, kept.alias("kept"))
+
+
 def keywords(df: DataFrame, id_col: str, text_col: str, top: int = TOP, dedup_lim: float = DEDUP_LIM,
              max_ngram: int = MAX_NGRAM) -> DataFrame:
     """``(id, rank, keyword, score)``: up to ``top`` deduplicated keywords per document."""
-    docs = _documents(df, id_col, text_col)
-    return rows_of(_keywords(docs, top, dedup_lim, max_ngram), docs, id_col)
+    kept = _chosen(df, id_col, text_col, top, dedup_lim, max_ngram)
+    return kept.select(id_col, F.posexplode("kept").alias("rank", "_k")).select(id_col, "rank", "_k.keyword", "_k.score")
 
 
-def _keywords(docs: DataFrame, top: int = TOP, dedup_lim: float = DEDUP_LIM, max_ngram: int = MAX_NGRAM) -> DataFrame:
-    cands = _candidate_scores(sentence_words(docs), max_ngram).select("_doc", F.struct(F.round("score", RANK_DIGITS).alias("score"), "keyword").alias("c"))
-    # a document's candidates, best first, bounded by its length; the chosen ones are an array of at most ``top``
-    ordered = cands.groupBy("_doc").agg(F.sort_array(F.collect_list("c")).alias("cs"))
-    none = F.array().cast("array<struct<score:double,keyword:string>>")
-    fits = lambda kept, x: (F.size(kept) < top) & F.forall(kept, lambda k: similarity(x["keyword"], k["keyword"]) <= dedup_lim)
-    kept = F.aggregate("cs", none, lambda acc, x: F.when(fits(acc, x), F.concat(acc, F.array(x))).otherwise(acc))
-    return ordered.select("_doc", F.posexplode(kept).alias("rank", "k")).select("_doc", "rank", "k.keyword", "k.score")
+def _suggestion(best: Column) -> Column:
+    return F.concat(F.lit(prompts.KEYWORDS_PREFIX), F.array_join(F.transform(best, lambda e: e["keyword"]), ", ")).alias("suggestion")
 
 
 def prompts_of(df: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:
     """``keyword_prompts`` of each document of ``df``, ids null or repeated or not."""
-    docs = _documents(df, id_col, text_col)
-    return rows_of(keyword_prompts(_keywords(docs), "_doc", n), docs, id_col)
+    kept = _chosen(df, id_col, text_col, TOP, DEDUP_LIM, MAX_NGRAM).where(F.size("kept") > 0)
+    return kept.select(id_col, _suggestion(F.slice("kept", 1, n)))
 
 
 def keyword_prompts(kw: DataFrame, id_col: str, n: int = 3) -> DataFrame:
     """``Create content focusing on: k1, k2, k3`` per id (its best ``n`` keywords; documents without an id of their own: ``prompts_of``)."""
     best = kw.filter(F.col("rank") < n).groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("rank", "keyword"))).alias("ks"))
-    text = F.array_join(F.transform("ks", lambda e: e["keyword"]), ", ")
-    return best.select(id_col, F.concat(F.lit(prompts.KEYWORDS_PREFIX), text).alias("suggestion"))
+    return best.select(id_col, _suggestion(F.col("ks")))

@@ -225,3 +225,26 @@ def test_vectors_and_bags_of_null_and_repeated_ids(spark):
     assert len(dense) == 5 and all(math.isclose(np.linalg.norm(r["vector"]), 1.0) for r in dense)
     bags = sorted((r["id"] or 0, r["term"], r["count"]) for r in topics.bag_of_words(df, "id", "t").collect())
     assert bags == sorted([(0, "aa", 1), (0, "dd", 1), (0, "ee", 1), (1, "aa", 1), (1, "aa", 1), (1, "bb", 1), (1, "bb", 1), (1, "cc", 1)])
+
+
+def test_keywords_shuffle_nothing_and_count_any_chunk_alike(spark, monkeypatch):
+    texts = ["Big cats of the world. NASA and big cats; the cats of Rome!", "", None, "and the of", "One\nOne two. one TWO three", "x " * 50 + "Yes."] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").coalesce(1)
+    ways = [lambda: keywords.term_scores(df, "id", "t"), lambda: keywords.candidate_scores(df, "id", "t"), lambda: keywords.keywords(df, "id", "t"), lambda: keywords.prompts_of(df, "id", "t")]
+    for way in ways:
+        plan = way()._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    batch = keywords.sentence_words(df, "id", "t").toArrow().combine_chunks().to_batches()[0]
+
+    def found(size):
+        monkeypatch.setattr(keywords, "CHUNK_WORDS", size)
+        chunks = list(keywords._chunks(batch))
+        rows = []
+        for first, chunk in zip(np.cumsum([0, *(c.num_rows for c in chunks)]), chunks):
+            doc, columns = keywords._Chunk(chunk).candidates(3)
+            rows += list(zip((doc + first).tolist(), *(c.to_pylist() for c in columns)))
+        return len(chunks), sorted(rows)
+
+    one, many = found(10**6), found(5)
+    assert one[0] == 1 and many[0] > 3 and one[1] == many[1] and {r[0] for r in one[1]} == {0, 4, 5, 6, 10, 11}
+    assert ("big cats", 2, 2) in {(k, n, kf) for d, k, n, kf, _ in one[1] if d == 0} and ("world", 1, 1) in {(k, n, kf) for d, k, n, kf, _ in one[1] if d == 0}
