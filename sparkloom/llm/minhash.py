@@ -231,10 +231,13 @@ def _large(large: DataFrame, links: DataFrame, link, link_schema: str, classes:
     links = staged(links.union(reps.groupBy("cluster", again.alias("block")).applyInPandas(link, link_schema)), "links")
     # band keys whose members are still apart: these members meet in pairs of blocks
     now = components(links, "links")
-    ids = large.select("id").join(now, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
-    keyed = classes.select(F.col("rep").alias("id"), F.explode("keys").alias("key")).join(ids, "id")
+    ids = large.select("id", "cluster", "block").distinct().join(now, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    # a key's members are in one cluster, so clusters that are one group by now have no such key; keys of the others alone are looked at
+    several = ids.groupBy("cluster").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("cluster")
+    left = staged(ids.join(several, "cluster", "left_semi").join(classes.select(F.col("rep").alias("id"), "keys"), "id"), "left")
+    keyed = left.select("id", "cluster", "block", "label", F.explode("keys").alias("key"))
     apart = keyed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    placed = keyed.join(apart, "key", "left_semi").join(large.select("id", "cluster", "block").distinct(), "id")
+    placed = staged(keyed.join(apart, "key", "left_semi").select("id", "cluster", "block", "key"), "placed")
     # blocks that share an open key meet; few different sets of blocks stand for many keys
     sets = placed.groupBy("cluster", "key").agg(F.sort_array(F.collect_set("block")).alias("blocks")).select("cluster", "blocks").distinct()
     two = F.flatten(F.transform("blocks", lambda p: F.transform(F.filter("blocks", lambda q: q > p), lambda q: F.struct(p.alias("p"), q.alias("q")))))

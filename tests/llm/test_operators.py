@@ -307,6 +307,23 @@ def test_clusters_of_many_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, 85)
 
 
+def test_only_keys_of_large_clusters_are_looked_at_again(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 2000)
+    base = [f"u{i}" for i in range(400)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(20)]  # a cluster of several blocks
+    rows += [(100 + i, " ".join([*(f"s{i // 2}w{j}" for j in range(100)), f"end{i}"])) for i in range(20)]  # pairs
+    staged, seen = minhash.staged, {}
+
+    def watched(df, label):
+        seen[label] = staged(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(minhash, "staged", watched)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: 0 if i < 20 else i - i % 2 for i, _ in rows}
+    assert seen["left"].where("id >= 100").count() == 0 and seen["left"].count() <= 20
+
+
 def test_near_duplicates_odd(spark, odd_docs, no_docs):
     got = sorted(map(str, ((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(odd_docs).collect())))
     assert got == sorted(map(str, [(1, 3, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True), (5, 3, 1, False), (5, 3, 1, False), (None, 3, None, True), (6, 977, 6, True), (7, 1, 7, True)]))
