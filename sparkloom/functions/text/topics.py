@@ -1,21 +1,42 @@
-"""Topics with ``pyspark.ml``: bag of words, then LDA (distributed EM/online).
+"""Topics: bag of words, then latent Dirichlet allocation by online variational Bayes.
 
 Preprocessing keeps lower-cased letter tokens of 2 to 15 characters (longer
 tokens are dropped, not split).  ``describe_topics`` gives the top terms of
 each topic with their weights, in long form.
+
+Scale.  Vocabularies of real texts grow with them, so neither the terms nor the
+topics-by-terms matrix is whole anywhere.  Documents are packed into blocks of about
+``BLOCK_TOKENS`` tokens, terms dealt into buckets by hash.  A round is two
+exchanges: a block gets its terms' weights and learns its documents' topics (E step),
+a bucket gets its blocks' shares and makes the next weights (M step).  An exchange
+moves a block's distinct terms, not its tokens; the driver sees a few numbers a topic.
+``fit_topics`` gives models of ``pyspark.ml``, which keep all terms on the driver:
+for bounded vocabularies.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import require_text_column, token_array
+from sparkloom.session import staging_path
 
 MIN_TOKEN, MAX_TOKEN = 2, 15
+BLOCK_TOKENS = 1 << 21
+BUCKET_TERMS = 100_000  # terms of blocks in a bucket, about
+PASS_PAIRS = 1 << 16  # (document, term) pairs that the E step holds at a time, or one document's
+
+# Fixed values, as in ``pyspark.ml``: the shape of the first weights, the learning rate's offset and decay, the change at which a document has settled.
+SHAPE, TAU, KAPPA, SETTLED = 100.0, 1024.0, 0.51, 1e-3
 
 
 def preprocess(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -50,14 +71,243 @@ def fit_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter:
     return cv, lda, vectors
 
 
+def _digamma(x: np.ndarray) -> np.ndarray:
+    x, low = np.array(x, float), 0.0
+    for _ in range(6):
+        small = x < 6
+        low = low - np.where(small, 1 / x, 0)
+        x = x + small
+    f = 1 / (x * x)
+    return low + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
+
+
+def _trigamma(x: np.ndarray) -> np.ndarray:
+    x, low = np.array(x, float), 0.0
+    for _ in range(6):
+        small = x < 6
+        low = low + np.where(small, 1 / (x * x), 0)
+        x = x + small
+    f = 1 / (x * x)
+    return low + 1 / x + f / 2 + f / x * (1 / 6 - f * (1 / 30 - f * (1 / 42 - f / 30)))
+
+
+def first_weights(terms: list[str], k: int, seed: int) -> np.ndarray:
+    """Terms x k, about Gamma(100, 1/100), from the term and the seed alone: Wilson and Hilferty's cube of a normal."""
+    key = pd.util.hash_array(np.array(terms, dtype=object), categorize=False)[:, None] + np.arange(2 * k, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        key = key + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            key = (key ^ (key >> np.uint64(shift))) * np.uint64(factor)
+    u = ((key >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+    z = np.sqrt(-2 * np.log(u[:, :k])) * np.cos(2 * np.pi * u[:, k:])
+    return (1 - 1 / (9 * SHAPE) + z / (3 * np.sqrt(SHAPE))) ** 3
+
+
+def _blocks(words: DataFrame) -> DataFrame:
+    """``(block, terms, size, code, count)``: documents with words, packed; the distinct terms, then each document's number of distinct terms, their places in ``terms`` and counts."""
+
+    def packed(block: int, docs: list[pa.Array]) -> pa.RecordBatch:
+        lengths = np.concatenate([d.value_lengths().to_numpy(zero_copy_only=False) for d in docs])
+        flat = pa.concat_arrays([d.flatten() for d in docs]).dictionary_encode()
+        width = max(len(flat.dictionary), 1)
+        pairs, count = np.unique(np.repeat(np.arange(len(lengths)), lengths) * width + flat.indices.to_numpy(), return_counts=True)
+        sizes = np.bincount(pairs // width, minlength=len(lengths))
+        columns = [sizes.astype(np.int32), (pairs % width).astype(np.int32), count.astype(np.int32)]
+        arrays = [pa.array([block]), pa.array([flat.dictionary.to_pylist()], pa.list_(pa.string()))] + [pa.array([c.tobytes()], pa.binary()) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=["block", "terms", "size", "code", "count"])
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        block, docs, held = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            rows = batch.column(0)
+            ends = np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(rows):
+                before = int(ends[at - 1]) if at else 0
+                end = max(at + 1, int(np.searchsorted(ends, before + BLOCK_TOKENS - held, side="right")))
+                docs.append(rows.slice(at, end - at))
+                held += int(ends[end - 1]) - before
+                at = end
+                if held >= BLOCK_TOKENS:
+                    yield packed(block, docs)
+                    block, docs, held = block + 1, [], 0
+        if docs:
+            yield packed(block, docs)
+
+    return words.where(F.size("words") > 0).select("words").mapInArrow(run, "block long, terms array<string>, size binary, code binary, count binary")
+
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = staging_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _topics_of(size: np.ndarray, code: np.ndarray, count: np.ndarray, beta: np.ndarray, alpha: np.ndarray, gamma: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """E step of some documents, from ``gamma`` (k x documents) on: (terms x k expected counts before the factor beta, sum over documents of E[log topic share], gamma).
+
+    Every third step goes on along the last two (squared extrapolation); a document has settled when a plain step changes little.
+    """
+    k, stats, shares = len(alpha), np.zeros_like(beta), np.zeros(len(alpha))
+    final = np.ones((k, len(size))) if gamma is None else gamma.copy()
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    first = 0
+    while first < len(size):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + PASS_PAIRS, side="right")) - 1)
+        own = slice(int(bounds[first]), int(bounds[last]))
+        terms, n, lengths = code[own], count[own].astype(float), size[first:last]
+        local = np.ascontiguousarray(beta[terms].T)  # k x pairs
+        gamma, live, here, times, past = final[:, first:last], np.arange(len(lengths)), local, n, []
+        while len(live):
+            starts = np.concatenate([[0], np.cumsum(lengths[live])[:-1]])
+            theta = np.exp(_digamma(gamma) - _digamma(gamma.sum(0)))
+            wide = np.repeat(theta, lengths[live], axis=1)
+            ratio = times / (np.einsum("kp,kp->p", wide, here) + 1e-100)
+            new = theta * np.add.reduceat(here * ratio, starts, axis=1) + alpha[:, None]
+            more = np.abs(new - gamma).mean(0) > SETTLED
+            past = [*past, gamma]
+            if not more.all():
+                final[:, first + live[~more]] = new[:, ~more]
+                keep = np.repeat(more, lengths[live])
+                here, times, live, new, past = here[:, keep], times[keep], live[more], new[:, more], [p[:, more] for p in past]
+            if len(past) == 2:
+                step, turn = past[1] - past[0], new - 2 * past[1] + past[0]
+                far = np.maximum(np.sqrt((step**2).sum(0) / np.maximum((turn**2).sum(0), 1e-300)), 1.0)
+                new, past = np.maximum(past[0] + 2 * far * step + far**2 * turn, alpha[:, None]), []
+            gamma = new
+        log_theta = _digamma(final[:, first:last]) - _digamma(final[:, first:last].sum(0))
+        shares += log_theta.sum(1)
+        wide = np.repeat(np.exp(log_theta), lengths, axis=1)
+        ratio = n / (np.einsum("kp,kp->p", wide, local) + 1e-100)
+        for j in range(k):
+            stats[:, j] += np.bincount(terms, wide[j] * ratio, len(beta))
+        first = last
+    return stats, shares, final
+
+
+_STATE = "bucket long, block long, pos binary, weights binary, total array<double>"
+
+
+@dataclass(frozen=True)
+class Topics:
+    """Learnt topics: ``weights`` has a row a bucket of terms, ``terms`` their names in the same order."""
+
+    terms: DataFrame  # (bucket, terms array<string>)
+    weights: DataFrame  # (bucket, weights binary: float64, terms x k)
+    totals: np.ndarray  # the sum of each topic's weights
+    alpha: np.ndarray
+
+
+def learn(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int = 20, seed: int = 7) -> Topics:
+    """Online variational Bayes over all documents in each round, with every term; document concentration is learnt as well."""
+    spark = df.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = _staged(_blocks(preprocess(df, id_col, text_col)), "topics-blocks")
+    seen = packed.agg(F.count(F.lit(1)), F.sum(F.size("terms")), F.sum(F.length("size") / 4)).first()
+    buckets, docs = max(1, -(-(seen[1] or 0) // BUCKET_TERMS)), int(seen[2] or 0)
+    by_block, by_bucket = (min(max(tasks, n), 3 * n) for n in (max(1, seen[0]), buckets))
+
+    # terms are numbered within their bucket, once; a link says where a block's terms stand in the bucket and in the block
+    def numbered(rows: pd.DataFrame) -> pd.DataFrame:
+        pos, terms = pd.factorize(rows["term"], sort=True)
+        bucket = int(rows["bucket"].iloc[0])
+        rows = rows.assign(pos=pos.astype(np.int32)).sort_values(["block", "pos"])
+        out = [(b, r["pos"].to_numpy(np.int32).tobytes(), r["at"].to_numpy(np.int32).tobytes(), None) for b, r in rows.groupby("block")]
+        out = pd.DataFrame([*out, (None, None, None, list(terms))], columns=["block", "pos", "at", "terms"])
+        return out.assign(block=out["block"].astype("Int64"), bucket=bucket)[["bucket", "block", "pos", "at", "terms"]]
+
+    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("long").alias("bucket")
+    entries = packed.select("block", F.posexplode("terms").alias("at", "term")).select("block", "at", "term", bucket).repartition(by_bucket, "bucket")
+    links = _staged(entries.groupBy("bucket").applyInPandas(numbered, "bucket long, block long, pos binary, at binary, terms array<string>"), "topics-links")
+    names = links.where("block is null").select("bucket", "terms")
+
+    # a block's terms in the order of buckets, and of places in a bucket
+    def ordered(block: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        at = np.frombuffer(b"".join(own.sort_values("bucket")["at"]), np.int32)
+        place = np.empty(len(at), np.int32)
+        place[at] = np.arange(len(at), dtype=np.int32)
+        code = place[np.frombuffer(block["code"].iloc[0], np.int32)]
+        return block[["block", "size", "count"]].assign(code=[code.tobytes()])[["block", "size", "code", "count"]]
+
+    parts = [packed.select("block", "size", "code", "count"), links.where("block is not null").select("block", "bucket", "at")]
+    parts = [p.repartition(by_block, "block").groupBy("block") for p in parts]
+    blocks = _staged(parts[0].cogroup(parts[1]).applyInPandas(ordered, "block long, size binary, code binary, count binary"), "topics-documents")
+
+    def state(bucket: int, weights: np.ndarray, own: pd.DataFrame) -> pd.DataFrame:
+        """A bucket's row, and one for each of its blocks with the weights of that block's terms."""
+        rows = [(bucket, None, None, weights.tobytes(), weights.sum(axis=0))]
+        short = weights.astype(np.float32)
+        rows += [(bucket, b, p, short[np.frombuffer(p, np.int32)].tobytes(), None) for b, p in zip(own["block"], own["pos"])]
+        out = pd.DataFrame(rows, columns=["bucket", "block", "pos", "weights", "total"])
+        return out.assign(block=out["block"].astype("Int64"))
+
+    def started(own: pd.DataFrame) -> pd.DataFrame:
+        whole = own["block"].isna()
+        return state(int(own["bucket"].iloc[0]), first_weights(list(own["terms"][whole].iloc[0]), k, seed), own[~whole].astype({"block": "int64"}))
+
+    now = _staged(links.select("bucket", "block", "pos", "terms").repartition(by_bucket, "bucket").groupBy("bucket").applyInPandas(started, _STATE), "topics-weights")
+    sums = [F.sum(F.get("total", F.lit(j))) for j in range(k)]
+    totals = lambda frame, which: np.array(frame.where(which).agg(*sums).first(), float)
+    total, alpha = totals(now, "block is null"), np.full(k, 1.0 / k)
+    for step in range(1, max_iter + 1 if docs else 1):
+        rate = (TAU + step) ** -KAPPA
+
+        def expect(block: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            own = own.sort_values("bucket")
+            before = [np.frombuffer(w, float).reshape(k, -1) for w in own["weights"][own["bucket"] < 0]]
+            own = own[own["bucket"] >= 0]
+            raw = [np.frombuffer(w, np.float32).reshape(-1, k) for w in own["weights"]]
+            beta = np.exp(_digamma(np.concatenate(raw)) - _digamma(total))
+            stats, shares, gamma = _topics_of(*(np.frombuffer(block[c].iloc[0], np.int32) for c in ("size", "code", "count")), beta, alpha, *before)
+            stats = np.split((stats * beta).astype(np.float32), np.cumsum([len(r) for r in raw])[:-1])
+            number = int(block["block"].iloc[0])
+            rows = [(b, number, p, s.tobytes(), None) for b, p, s in zip(own["bucket"], own["pos"], stats)]
+            return pd.DataFrame([*rows, (-1 - number, number, None, gamma.tobytes(), shares)], columns=["bucket", "block", "pos", "weights", "total"])
+
+        def maximise(old: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            if not len(old):  # a block's own state and its sums for the concentration
+                return own
+            own = own.sort_values("block")
+            weights = np.frombuffer(old["weights"].iloc[0], float).reshape(-1, k)
+            new = np.zeros_like(weights)
+            for pos, stats in zip(own["pos"], own["weights"]):
+                new[np.frombuffer(pos, np.int32)] += np.frombuffer(stats, np.float32).reshape(-1, k)
+            return state(int(old["bucket"].iloc[0]), (1 - rate) * weights + rate * (new + 1.0 / k), own)
+
+        given = now.where("block is not null").select("block", "bucket", "pos", "weights").repartition(by_block, "block").groupBy("block")
+        found = blocks.repartition(by_block, "block").groupBy("block").cogroup(given).applyInPandas(expect, _STATE)
+        old = now.where("block is null").select("bucket", "weights").repartition(by_bucket, "bucket").groupBy("bucket")
+        now = _staged(old.cogroup(found.repartition(by_bucket, "bucket").groupBy("bucket")).applyInPandas(maximise, _STATE), "topics-weights")
+        total, alpha = totals(now, "block is null"), _concentration(alpha, totals(now, "bucket < 0") / docs, docs, rate)
+    return Topics(names, now.where("block is null").select("bucket", "weights"), total, alpha)
+
+
+def _concentration(alpha: np.ndarray, mean: np.ndarray, docs: int, rate: float) -> np.ndarray:
+    """One Newton step of the documents' Dirichlet parameter; the old one, if the step would leave the positive."""
+    slope = docs * (_digamma(alpha.sum()) - _digamma(alpha) + mean)
+    c, q = docs * _trigamma(alpha.sum()), -docs * _trigamma(alpha)
+    new = alpha - rate * (slope - (slope / q).sum() / (1 / c + (1 / q).sum())) / q
+    return new if (new > 0).all() else alpha
+
+
 def describe_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, terms: int = 10, seed: int = 7,
                     max_iter: int = 20) -> DataFrame:
     """``(topic_id, rank, term, weight)`` for the top ``terms`` terms of each topic."""
-    cv, lda, _ = fit_topics(df, id_col, text_col, k=k, seed=seed, max_iter=max_iter)
-    top = lda.describeTopics(terms).collect()  # at most k rows of ``terms`` indices
-    vocabulary = cv._java_obj.vocabulary()
-    rows = [(r["topic"], n, vocabulary[i], w) for r in top for n, (i, w) in enumerate(zip(r["termIndices"], r["termWeights"]))]
-    return df.sparkSession.createDataFrame(rows, "topic_id int, rank int, term string, weight double")
+    model = learn(df, id_col, text_col, k=k, max_iter=max_iter, seed=seed)
+    totals = model.totals
+
+    def top(names: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
+        share = np.frombuffer(weights["weights"].iloc[0], float).reshape(-1, k) / totals
+        own = names["terms"].iloc[0]
+        best = np.argsort(-share, axis=0, kind="stable")[:terms]
+        return pd.DataFrame([(j, own[i], share[i, j]) for j in range(k) for i in best[:, j]], columns=["topic_id", "term", "weight"])
+
+    each = model.terms.groupBy("bucket").cogroup(model.weights.groupBy("bucket")).applyInPandas(top, "topic_id int, term string, weight double")
+    by_weight = Window.partitionBy("topic_id").orderBy(F.desc("weight"), "term")
+    ranked = each.withColumn("rank", F.row_number().over(by_weight) - 1).where(F.col("rank") < terms)  # at most ``terms`` of a bucket and topic
+    return ranked.select("topic_id", "rank", "term", "weight")
 
 
 def topic_prompts(topics: DataFrame) -> DataFrame:

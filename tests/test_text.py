@@ -248,3 +248,34 @@ def test_keywords_shuffle_nothing_and_count_any_chunk_alike(spark, monkeypatch):
     one, many = found(10**6), found(5)
     assert one[0] == 1 and many[0] > 3 and one[1] == many[1] and {r[0] for r in one[1]} == {0, 4, 5, 6, 10, 11}
     assert ("big cats", 2, 2) in {(k, n, kf) for d, k, n, kf, _ in one[1] if d == 0} and ("world", 1, 1) in {(k, n, kf) for d, k, n, kf, _ in one[1] if d == 0}
+
+
+def test_topics_of_any_blocks_and_buckets(spark, monkeypatch):
+    import numpy as np
+
+    sides = [["apple", "pear", "plum", "fig"], ["bolt", "nut", "screw", "nail"]]
+    texts = [" ".join(sides[i % 2][(i + j * j) % 4] for j in range(30)) + f" rare{chr(97 + i % 26)}" for i in range(60)] + [None, "", "7 a"]
+    found = []
+    for parts, terms in ((1, 100), (5, 3)):
+        monkeypatch.setattr(topics, "BUCKET_TERMS", terms)
+        df = spark.createDataFrame([(None if i % 9 == 0 else i % 7, t) for i, t in enumerate(texts)], "doc_id int, text string").repartition(parts)
+        model = topics.learn(df, "doc_id", "text", k=2, max_iter=4)
+        assert (model.terms.count() > 1) == (terms == 3)
+        names = [t for r in model.terms.collect() for t in r["terms"]]
+        assert sorted(names) == sorted({w for t in texts for w in (t or "").split() if len(w) > 1})
+        weights = {r["bucket"]: np.frombuffer(r["weights"], float).reshape(-1, 2) for r in model.weights.collect()}
+        assert np.allclose(sum(w.sum(axis=0) for w in weights.values()), model.totals)
+        # a round moves the weights towards the documents' counts, all of them
+        rate, total = [(topics.TAU + s) ** -topics.KAPPA for s in range(1, 5)], topics.first_weights(names, 2, 7).sum()
+        for r in rate:
+            total = (1 - r) * total + r * (60 * 31 + len(names))
+        assert abs(model.totals.sum() - total) < 1e-3
+        rows = topics.describe_topics(df, "doc_id", "text", k=2, terms=4, max_iter=4).collect()
+        assert [(r["topic_id"], r["rank"]) for r in sorted(rows)] == [(t, n) for t in range(2) for n in range(4)]
+        found.append({(r["topic_id"], r["term"]): r["weight"] for r in rows})
+    assert found[0].keys() == found[1].keys() and all(abs(found[0][x] - found[1][x]) < 1e-4 for x in found[0])
+
+
+def test_topics_without_terms(spark):
+    df = spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string")
+    assert topics.describe_topics(df, "doc_id", "text", k=2, max_iter=2).collect() == []
