@@ -5,12 +5,12 @@ Rows are paired by key (an equi-join), never by position.  Vectors are
 
 Cross-attention (``softmax(T Iᵀ) I`` over *all* image rows, no scaling) is an
 N x M x d computation by definition.  It runs as a blocked matrix product:
-image rows are dealt out by row number (never by a key) in blocks of at most
-``block_rows`` rows, text rows are cut into blocks of the same size, every text
-block meets every image block through an equi-join on (text group, image
-group), and numpy computes one dense product per block pair.  Each pair yields
+rows of both sides are dealt by row number (never by a key) into groups of about
+``GROUP_ROWS`` rows at most, every text group meets every image group in a cogroup that holds
+each row once (never pairs of blocks), and numpy computes one dense product per
+pair of blocks of ``block_rows`` rows.  Each pair yields
 a partial softmax state per text row (running max, sum of exps, weighted vector
-sum); a task merges the states of an image group as they come, the few that are
+sum); the states of an image group are merged as they come, the few that are
 left are merged exactly with the log-sum-exp rule by the text row's own number,
 in one way for any number of blocks, so repeated and null keys keep a row each.
 """
@@ -18,7 +18,7 @@ in one way for any number of blocks, so repeated and null keys keep a row each.
 from __future__ import annotations
 
 import math
-from typing import Iterator
+from typing import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,7 @@ from sparkloom.errors import ValidationError
 
 METHODS = ("CONCAT", "WEIGHTED", "CROSS_ATTENTION")
 IMAGE_GROUPS = 8
+GROUP_ROWS = 1 << 15
 
 
 def l2_norm(v: Column) -> Column:
@@ -105,37 +106,36 @@ def _matrix(vecs: pa.ListArray) -> np.ndarray:
     return vecs.flatten().to_numpy(zero_copy_only=False).reshape(len(vecs), -1)
 
 
-def _block_partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per-text softmax states of (text block, image block) rows; those of one text block in a row are merged here."""
-    rows = state = None
-
-    def done() -> pa.RecordBatch:
-        m, s, V = state
-        return pa.RecordBatch.from_arrays(
-            [rows, ids, pa.array(m), pa.array(s), pa.array(list(V), pa.list_(pa.float64()))], names=["_row", "text_id", "m", "s", "v"]
-        )
-
-    for batch in batches:
-        for t, i_vecs in zip(batch.column("t"), batch.column("i_vecs")):
-            now = t.values.flatten()
-            if rows is None or not now[0].equals(rows):
-                if rows is not None:
-                    yield done()
-                rows, ids = now[:2]
-                T, state = _matrix(now[2]), None
-            I = _matrix(i_vecs.values)
-            S = T @ I.T  # (bt, bi)
-            m = S.max(axis=1)
-            if state is not None:
-                m = np.maximum(m, state[0])
-            E = np.exp(S - m[:, None])
-            s, V = E.sum(axis=1), E @ I  # (bt), (bt, d)
-            if state is not None:
-                w = np.exp(state[0] - m)
-                s, V = s + state[1] * w, V + state[2] * w[:, None]
-            state = m, s, V
-    if rows is not None:
-        yield done()
+def _group_partials(block_rows: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Softmax states of a text group's rows over an image group, a block of each at a time."""
+    names = ["_row", "text_id", "m", "s", "v"]
+    one = pa.list_(pa.float64())
+
+    def run(text: pa.Table, image: pa.Table) -> pa.Table:
+        text = text.slice(0, len(text) if len(image) else 0)
+        I = _matrix(image["_iv"].combine_chunks()) if len(text) else None
+        parts = []
+        for at in range(0, len(text), block_rows):
+            T, state = _matrix(text["_tv"].slice(at, block_rows).combine_chunks()), None
+            for first in range(0, len(I), block_rows):
+                block = I[first : first + block_rows]
+                S = T @ block.T  # (bt, bi)
+                m = S.max(axis=1)
+                if state is not None:
+                    m = np.maximum(m, state[0])
+                E = np.exp(np.subtract(S, m[:, None], out=S), out=S)
+                s, V = E.sum(axis=1), E @ block  # (bt), (bt, d)
+                if state is not None:
+                    w = np.exp(state[0] - m)
+                    s, V = s + state[1] * w, V + state[2] * w[:, None]
+                state = m, s, V
+            parts.append(state)
+        m, s = (pa.array(np.concatenate([p[i] for p in parts]) if parts else [], pa.float64()) for i in (0, 1))
+        V = np.concatenate([p[2] for p in parts]) if parts else np.empty((0, 0))
+        v = pa.ListArray.from_arrays(pa.array(np.arange(len(V) + 1) * V.shape[1], pa.int32()), pa.array(V.ravel())).cast(one)
+        return pa.Table.from_arrays([text["_row"], text["_tid"], m, s, v], names=names)
+
+    return run
 
 
 def cross_attention(
@@ -157,33 +157,28 @@ def cross_attention(
     """
     spark = text.sparkSession
     n_img = image_rows if image_rows is not None else image.count()
-    k_img = max(1, math.ceil(n_img / block_rows))
-    # image blocks form at most IMAGE_GROUPS groups, so many states are left of a text row;
-    # text blocks are dealt out in so many groups that pairs of groups fill the tasks
-    i_groups = min(k_img, IMAGE_GROUPS)
-    t_groups = math.ceil(2 * int(spark.conf.get("spark.sql.shuffle.partitions")) / i_groups)
-    img = image.select(F.col(image_vec).cast("array<double>").alias("_iv")).where("_iv is not null")
-    starts = F.sequence(F.lit(1), F.size("all_vecs"), F.lit(block_rows))
-    img_blocks = (
-        img.withColumn("blk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(k_img)).cast("int"))
-        .groupBy("blk")
-        .agg(F.collect_list("_iv").alias("all_vecs"))
-        .select(F.pmod("blk", F.lit(i_groups)).alias("igrp"), F.explode(F.transform(starts, lambda a: F.slice("all_vecs", a, block_rows))).alias("i_vecs"))
+    # a text row is left with a state for each image group, so these are few; there are so many
+    # text groups that pairs of groups fill the tasks; no group grows with the rows
+    i_groups = max(1, min(math.ceil(n_img / block_rows), IMAGE_GROUPS), math.ceil(n_img / GROUP_ROWS))
+    t_groups = max(math.ceil(2 * int(spark.conf.get("spark.sql.shuffle.partitions")) / i_groups), math.ceil(text.count() / GROUP_ROWS))
+    img = (
+        image.select(F.col(image_vec).cast("array<double>").alias("_iv")).where("_iv is not null")
+        .withColumn("igrp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(i_groups)))
         .withColumn("tgrp", F.explode(F.sequence(F.lit(0), F.lit(t_groups - 1))))
+        .select("_iv", (F.col("tgrp") + F.col("igrp") * t_groups).alias("pair"))
     )
     txt = text.select(F.col(text_key).alias("_tid"), F.col(text_vec).cast("array<double>").alias("_tv"))
-    # text blocks: consecutive rows of one input partition, at most block_rows each
-    txt_blocks = (
+    rows = (
         txt.where("_tv is not null")
         .withColumn("_row", F.monotonically_increasing_id())
-        .groupBy(F.floor(F.col("_row") / F.lit(block_rows)).alias("tblk"))
-        .agg(F.collect_list(F.struct("_row", "_tid", "_tv")).alias("t"))
-        .withColumn("tgrp", F.pmod(F.xxhash64("tblk"), F.lit(t_groups)).cast("int"))
+        .withColumn("tgrp", F.pmod(F.xxhash64("_row"), F.lit(t_groups)))
         .withColumn("igrp", F.explode(F.sequence(F.lit(0), F.lit(i_groups - 1))))
+        .select("_row", "_tid", "_tv", (F.col("tgrp") + F.col("igrp") * t_groups).alias("pair"))
     )
-    joined = txt_blocks.join(img_blocks, ["tgrp", "igrp"]).select("t", "i_vecs")
+    pairs = i_groups * t_groups
+    sides = [side.repartition(pairs, "pair").groupBy("pair") for side in (rows, img)]
     key_type = text.schema[text_key].dataType.simpleString()
-    partials = joined.mapInArrow(_block_partials, f"_row long, text_id {key_type}, m double, s double, v array<double>")
+    partials = sides[0].cogroup(sides[1]).applyInArrow(_group_partials(block_rows), f"_row long, text_id {key_type}, m double, s double, v array<double>")
     # exact merge of a text row's few states, in a fixed order: scale each by exp(m - max m)
     state = F.struct("m", "s", "v")
     per_row = partials.groupBy("_row").agg(F.first("text_id").alias(text_key), F.sort_array(F.collect_list(state)).alias("states"))

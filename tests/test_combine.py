@@ -85,3 +85,14 @@ def test_vector_summary(spark):
     c = combine.combine_features(t, im, "CONCAT")
     rows = {r["side"]: (r["n_rows"], r["dim"]) for r in combine.vector_summary(t, im, c, "concat").collect()}
     assert rows == {"text": (4, 3), "image": (4, 3), "combined": (4, 6)}
+
+
+def test_cross_attention_groups_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(combine, "GROUP_ROWS", 4)
+    T, I, t, im = frames(spark, n=30, m=41, d=3, seed=5)
+    made = combine.cross_attention(t, im, block_rows=2)
+    P = np.exp(T @ I.T)
+    assert np.allclose(as_matrix(made), (P / P.sum(axis=1, keepdims=True)) @ I)
+    # no row holds a block: text and image rows meet in groups of about GROUP_ROWS rows, 8 x 11 of them
+    plan = made._jdf.queryExecution().analyzed().toString()
+    assert "collect_list(_iv" not in plan and "sequence(0, 10" in plan.replace("Some(Etc/UTC)", "")
