@@ -23,6 +23,7 @@ from pyspark.sql.types import StructField, StructType
 from sparkloom.functions.image.pixels import LUMA_B, LUMA_G, LUMA_R, LUMA_ROUND, dealt
 
 BAND_PIXELS = 1 << 18
+STACK_PIXELS = 1 << 16  # small images are analysed together, as many as a core's cache holds
 PIXEL_ROWS = 1 << 16
 
 SUMS = (
@@ -90,11 +91,11 @@ def _image(width: int, height: int, rgb: bytes) -> np.ndarray:
 
 
 def _stacks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(ids, n x height x width x 3 bytes) of a batch's rasters: those of one size together, ``BAND_PIXELS`` at most or one image."""
+    """(ids, n x height x width x 3 bytes) of a batch's rasters: those of one size together, ``STACK_PIXELS`` at most or one image."""
     width, height = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
     for w, h in sorted(set(zip(width.tolist(), height.tolist()))):
         here = np.flatnonzero((width == w) & (height == h))
-        most = max(1, BAND_PIXELS // (w * h))
+        most = max(1, STACK_PIXELS // (w * h))
         for at in range(0, len(here), most):
             some = pa.array(here[at : at + most])
             raw = batch.column(3).take(some) if len(here) < batch.num_rows or len(some) < len(here) else batch.column(3)

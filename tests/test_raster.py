@@ -3,6 +3,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +214,18 @@ def test_rasters_of_one_small_file_are_made_in_many_tasks(spark):
     for made in (raster.synthetic(ids, "id"), synthetic_raster(ids, "id")):
         rows = made.select("image_id", F.spark_partition_id().alias("task")).distinct().groupBy("task").count().collect()
         assert len(rows) >= 8 and sum(r["count"] for r in rows) == 3000 and max(r["count"] for r in rows) < 600
+
+
+def test_small_images_in_stacks_that_fit_a_cache(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    images = {i: rng.integers(0, 256, (6, 7, 3), dtype=np.uint8) for i in range(40)}
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(list(images)), pa.array([7] * 40, pa.int32()), pa.array([6] * 40, pa.int32()), pa.array([a.tobytes() for a in images.values()])],
+        names=["image_id", "width", "height", "rgb"],
+    )
+    monkeypatch.setattr(raster, "STACK_PIXELS", 42 * 9)
+    stacks = list(raster._stacks(batch))
+    assert [len(s) for _, s in stacks] == [9, 9, 9, 9, 4]
+    together = raster._palette(np.stack(list(images.values())), 5, 5)
+    apart = [raster._palette(s, 5, 5) for _, s in stacks]
+    assert all(np.array_equal(together[i], np.concatenate([a[i] for a in apart])) for i in (0, 1))
