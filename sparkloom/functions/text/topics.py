@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
@@ -145,6 +146,14 @@ def _staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _dropped(frame: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more."""
+    spark = frame.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(file)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _topics_of(size: np.ndarray, code: np.ndarray, count: np.ndarray, beta: np.ndarray, alpha: np.ndarray, gamma: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """E step of some documents, from ``gamma`` (k x documents) on: (terms x k expected counts before the factor beta, sum over documents of E[log topic share], gamma).
 
@@ -235,6 +244,8 @@ def learn(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int =
     parts = [p.repartition(by_block, "block").groupBy("block") for p in parts]
     blocks = _staged(parts[0].cogroup(parts[1]).applyInPandas(ordered, "block long, size binary, code binary, count binary"), "topics-documents")
 
+    dealt = blocks.repartition(by_block, "block").persist(StorageLevel.DISK_ONLY)  # documents are dealt once, not in each round
+
     def state(bucket: int, weights: np.ndarray, own: pd.DataFrame) -> pd.DataFrame:
         """A bucket's row, and one for each of its blocks with the weights of that block's terms."""
         rows = [(bucket, None, None, weights.tobytes(), weights.sum(axis=0))]
@@ -277,10 +288,12 @@ def learn(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int =
             return state(int(old["bucket"].iloc[0]), (1 - rate) * weights + rate * (new + 1.0 / k), own)
 
         given = now.where("block is not null").select("block", "bucket", "pos", "weights").repartition(by_block, "block").groupBy("block")
-        found = blocks.repartition(by_block, "block").groupBy("block").cogroup(given).applyInPandas(expect, _STATE)
+        found = dealt.groupBy("block").cogroup(given).applyInPandas(expect, _STATE)
         old = now.where("block is null").select("bucket", "weights").repartition(by_bucket, "bucket").groupBy("bucket")
-        now = _staged(old.cogroup(found.repartition(by_bucket, "bucket").groupBy("bucket")).applyInPandas(maximise, _STATE), "topics-weights")
+        before, now = now, _staged(old.cogroup(found.repartition(by_bucket, "bucket").groupBy("bucket")).applyInPandas(maximise, _STATE), "topics-weights")
+        _dropped(before)
         total, alpha = totals(now, "block is null"), _concentration(alpha, totals(now, "bucket < 0") / docs, docs, rate)
+    dealt.unpersist()
     return Topics(names, now.where("block is null").select("bucket", "weights"), total, alpha)
 
 
