@@ -35,6 +35,7 @@ DIMENSIONS = 64
 MORE = 16  # columns beyond the wanted ones
 ROUNDS = 4
 SEED = 20240311
+TILE_ROWS = 128  # multiplied together; their dense form has at most BINS columns
 GROUP = 16  # factors that a merge takes at a time
 LETTERS = re.compile(r"[^\W\d_]+")
 MEMO_WORDS = 200_000
@@ -53,10 +54,10 @@ def _bin(word: str) -> int:
 
 def sparse_row(text: str | None, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
     """(columns, values) of a text's row, columns ascending; of no length without letters."""
-    counts = Counter(map(_bin, LETTERS.findall((text or "").lower())))
+    counts = Counter(LETTERS.findall((text or "").lower()))
     if not counts:
         return np.empty(0, np.int32), np.empty(0)
-    at = np.fromiter(counts, np.int64, len(counts)) % bins
+    at = np.fromiter(map(_bin, counts), np.int64, len(counts)) % bins
     columns, of = np.unique(at, return_inverse=True)
     values = 1 + np.log(np.bincount(of, np.fromiter(counts.values(), float, len(counts))))
     return columns.astype(np.int32), values / np.sqrt((values**2).sum())
@@ -92,14 +93,34 @@ def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.repeat(np.arange(batch.num_rows), size), at.flatten().to_numpy().astype(np.int64), value.flatten().to_numpy()
 
 
+def _tiles(batch: pa.RecordBatch, bins: int):
+    """(first row, columns, dense values) of every ``TILE_ROWS`` rows: the columns they use, and their values in these."""
+    for first in range(0, batch.num_rows, TILE_ROWS):
+        part = batch.slice(first, TILE_ROWS)
+        row, column, value = _entries(part)
+        place = np.zeros(bins, np.int64)
+        place[column] = 1
+        columns = np.flatnonzero(place)
+        place[columns] = np.arange(len(columns))
+        tile = np.zeros((part.num_rows, len(columns)))
+        tile[row, place[column]] = value  # a row has a column once
+        yield first, columns, tile
+
+
 def _product(batch: pa.RecordBatch, table: np.ndarray) -> np.ndarray:
     """Rows of the batch times ``table``."""
-    row, column, value = _entries(batch)
     out = np.zeros((batch.num_rows, table.shape[1]))
-    np.add.at(out, row, value[:, None] * table[column])
+    for first, columns, tile in _tiles(batch, len(table)):
+        out[first : first + len(tile)] = tile @ table[columns]
     return out
 
 
+def _add_back(total: np.ndarray, batch: pa.RecordBatch, table: np.ndarray) -> None:
+    """Add the transposed batch times (the batch times ``table``) to ``total``."""
+    for _, columns, tile in _tiles(batch, len(table)):
+        total[columns] += tile.T @ (tile @ table[columns])
+
+
 def _back(rows: DataFrame, table: np.ndarray) -> np.ndarray:
     """The transposed matrix times (the matrix times ``table``): partial products added by column."""
     shared = rows.sparkSession.sparkContext.broadcast(table)
@@ -108,10 +129,7 @@ def _back(rows: DataFrame, table: np.ndarray) -> np.ndarray:
     def run(batches):
         total = np.zeros(table_shape)
         for batch in batches:
-            for first in range(0, batch.num_rows, 1024):
-                part = batch.slice(first, 1024)
-                row, column, value = _entries(part)
-                np.add.at(total, column, value[:, None] * _product(part, shared.value)[row])
+            _add_back(total, batch, shared.value)
         used = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(list(total[used]), pa.list_(pa.float64()))], names=["bin", "sums"])
 
