@@ -38,6 +38,8 @@ PARTS = 4
 ROUNDS = 12
 PLAIN_SENTENCES = 4  # of sentences without an entity, one in so many is learnt from
 MINIBATCH = 16
+WORDS_AT_ONCE = 4096  # scored together; a longer sentence alone
+SLACK = 1e-3  # far above what rounding changes in a path's score
 MEMO_WORDS = 200_000
 WORD_FEATURES = 4
 NEIGHBOURS = (-2, -1, 0, 1, 2)
@@ -59,33 +61,38 @@ def _word_hashes(word: str) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "replace")) for x in ("w" + low, "s" + shape(word), "b" + low[:3], "e" + low[-3:])]
 
 
-_memo: dict[str, list[int]] = {}
-
-
-def _hashes(words: list[str]) -> np.ndarray:
-    out = []
-    for w in words:
-        found = _memo.get(w)
-        if found is None:
-            found = _word_hashes(w)
-            if len(_memo) < MEMO_WORDS:
-                _memo[w] = found
-        out.append(found)
-    return np.array(out, np.uint64).reshape(-1, WORD_FEATURES)
-
-
-def features(words: list[str]) -> np.ndarray:
-    """A row of feature bins for each word of a sentence; beyond its ends lies an edge mark."""
-    own = _hashes(words)
+_memo: dict[str | None, int] = {}  # a word's row in ``_bins``; None stands for what lies beyond a sentence's ends
+_bins = np.empty((0, len(NEIGHBOURS) * WORD_FEATURES), np.int64)
+
+
+def _rows_of(words: list[str | None]) -> np.ndarray:
+    """Rows of ``_bins``: for each neighbour's place, the bins of the word's features there.  A full memo starts anew."""
+    global _bins
+    new = [w for w in dict.fromkeys(words) if w not in _memo]
+    if new and len(_memo) + len(new) > MEMO_WORDS:
+        _memo.clear()
+        new = list(dict.fromkeys(words))
+    if new:
+        edge = np.arange(1, WORD_FEATURES + 1, dtype=np.uint64)
+        own = np.array([edge if w is None else _word_hashes(w) for w in new], np.uint64)
+        h = [(own + edge * SPREAD[0] + SPREAD[n + 1]) * SPREAD[0] for n in range(len(NEIGHBOURS))]
+        first, last = len(_memo), len(_memo) + len(new)
+        if last > len(_bins):
+            _bins = np.vstack([_bins[:first], np.empty((2 * last - first, _bins.shape[1]), np.int64)])
+        _bins[first:last] = (np.hstack(h) >> np.uint64(32)) % np.uint64(BINS)
+        _memo.update(zip(new, range(first, last)))
+    return np.fromiter(map(_memo.__getitem__, words), np.int64, len(words))
+
+
+def features(words: list[str], sizes: np.ndarray | None = None) -> np.ndarray:
+    """A row of feature bins for each word of a sentence, or of sentences of ``sizes`` words; beyond a sentence's ends lies an edge mark."""
+    sizes = np.array([len(words)]) if sizes is None else sizes
     reach = max(map(abs, NEIGHBOURS))
-    edge = np.arange(1, WORD_FEATURES + 1, dtype=np.uint64)
-    padded = np.vstack([np.tile(edge, (reach, 1)), own, np.tile(edge, (reach, 1))])
-    columns = []
-    for n, shift in enumerate(NEIGHBOURS):
-        h = padded[reach + shift : reach + shift + len(own)]
-        h = (h + edge * SPREAD[0] + SPREAD[n + 1]) * SPREAD[0]
-        columns.append(((h >> np.uint64(32)) % np.uint64(BINS)).astype(np.int64))
-    return np.hstack(columns)
+    rows = _rows_of([None, *words])
+    padded = np.full(len(words) + 2 * reach * len(sizes), rows[0])
+    at = np.arange(len(words)) + reach + 2 * reach * np.repeat(np.arange(len(sizes)), sizes)
+    padded[at] = rows[1:]
+    return np.hstack([_bins[padded[at + shift], n * WORD_FEATURES : (n + 1) * WORD_FEATURES] for n, shift in enumerate(NEIGHBOURS)])
 
 
 def tokens_of(text: str) -> list[list[tuple[str, int, int]]]:
@@ -94,11 +101,12 @@ def tokens_of(text: str) -> list[list[tuple[str, int, int]]]:
     current: list[tuple[str, int, int]] = []
     last = 0
     for m in TOKEN.finditer(text):
-        if current and ("\n" in text[last : m.start()] or (m.start() > last and current[-1][0] in ".!?")):
+        start, end = m.span()
+        if start > last and current and (current[-1][0] in ".!?" or text.find("\n", last, start) >= 0):
             out.append(current)
             current = []
-        current.append((m[0], m.start(), m.end()))
-        last = m.end()
+        current.append((m[0], start, end))
+        last = end
     return [*out, current] if current else out
 
 
@@ -139,18 +147,71 @@ class Tagger:
     weights: np.ndarray  # BINS x labels
     transitions: np.ndarray  # labels x labels
 
-    def emissions(self, words: list[str]) -> np.ndarray:
-        return self.weights[features(words)].sum(axis=1)
+    def emissions(self, words: list[str], sizes: np.ndarray | None = None) -> np.ndarray:
+        bins = features(words, sizes)
+        out = self.weights[bins[:, 0]]
+        for column in bins.T[1:]:
+            out += self.weights[column]
+        return out
+
+    def _entity_possible(self, scores: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """False for sentences (of ``sizes`` words) whose best path is surely O throughout.
+
+        What a path gains over it is a sum over its words beyond O: the label's score over that of O,
+        and what the steps around the word gain over O to O (half of a step between two such words).
+        If that is negative for each word and label, no path gains.
+        """
+        if len(self.labels) == 1:
+            return np.zeros(len(sizes), bool)
+        steps = self.transitions - self.transitions[0, 0]
+        into = np.maximum(steps[0, 1:], steps[1:, 1:].max(axis=0) / 2)
+        out_of = np.maximum(steps[1:, 0], steps[1:, 1:].max(axis=1) / 2)
+        gain = scores[:, 1:] - scores[:, :1]
+        inner = np.ones((2, len(scores), 1))
+        first = np.cumsum(sizes) - sizes
+        inner[0, first] = inner[1, first + sizes - 1] = 0
+        gain += inner[0] * into + inner[1] * out_of
+        return np.maximum.reduceat(gain.max(axis=1), first) > -SLACK
+
+    def _found(self, sentences: list[list[tuple[str, int, int]]]) -> list[list[tuple[int, int, str]]]:
+        """The entities of each sentence."""
+        sizes = np.array([len(s) for s in sentences])
+        scores = self.emissions([w for s in sentences for w, _, _ in s], sizes)
+        out: list[list[tuple[int, int, str]]] = [[] for _ in sentences]
+        open_ = np.flatnonzero(self._entity_possible(scores, sizes))
+        ends = np.cumsum(sizes)
+        for i, best in zip(open_, viterbi([scores[ends[i] - sizes[i] : ends[i]] for i in open_], self.transitions)):
+            out[i] = _spans(sentences[i], [self.labels[x] for x in best])
+        return out
+
+    def spans_of(self, texts: Iterable[str]) -> list[list[tuple[int, int, str]]]:
+        """(start, end, type) of the entities in each of the whole texts; sentences of several texts are scored together."""
+        out: list[list[tuple[int, int, str]]] = []
+        some: list[list[tuple[str, int, int]]] = []
+        owners: list[int] = []
+        words = 0
+
+        def flush() -> None:
+            for owner, found in zip(owners, self._found(some) if some else []):
+                out[owner] += found
+            some.clear()
+            owners.clear()
+
+        for n, text in enumerate(texts):
+            out.append([])
+            for sentence in tokens_of(text):
+                if words + len(sentence) > WORDS_AT_ONCE:
+                    flush()
+                    words = 0
+                some.append(sentence)
+                owners.append(n)
+                words += len(sentence)
+        flush()
+        return out
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, type) of the entities in a whole text."""
-        sentences = tokens_of(text)
-        out: list[tuple[int, int, str]] = []
-        for at in range(0, len(sentences), 512):
-            some = sentences[at : at + 512]
-            for sentence, best in zip(some, viterbi([self.emissions([w for w, _, _ in s]) for s in some], self.transitions)):
-                out += _spans(sentence, [self.labels[i] for i in best])
-        return out
+        return self.spans_of([text])[0]
 
 
 def _spans(sentence: list[tuple[str, int, int]], labels: Iterable[str]) -> list[tuple[int, int, str]]:
@@ -190,7 +251,10 @@ def _part(rows: pd.DataFrame, weights: np.ndarray, transitions: np.ndarray, labe
             own = [s for s in spans[at : at + len(sentence) + 1] if s[0] < sentence[-1][2]]
             words = [w for w, _, _ in sentence]
             if own or zlib.crc32(" ".join(words).encode("utf-8", "replace")) % PLAIN_SENTENCES == 0:
-                examples.append((features(words), bio(sentence, own, number)))
+                examples.append((words, bio(sentence, own, number)))
+    sizes = np.array([len(words) for words, _ in examples], np.int64)
+    bins = features([w for words, _ in examples for w in words], sizes)
+    examples = [(bins[end - size : end], y) for (_, y), size, end in zip(examples, sizes, np.cumsum(sizes))]
     table = np.vstack([weights, transitions])
     late = np.zeros_like(table)  # each change times the step it came at
     step = 1
@@ -274,9 +338,9 @@ def tagged(df: DataFrame, id_col: str, text_col: str, tagger: Tagger) -> DataFra
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
-                rows = []
-                for key, text in zip(*(c.to_pylist() for c in batch.slice(at, 128).columns)):
-                    rows += [(key, a, b, kind, text[a:b]) for a, b, kind in shared.value.spans(text or "")]
+                keys, texts = (c.to_pylist() for c in batch.slice(at, 128).columns)
+                found = shared.value.spans_of(t or "" for t in texts)
+                rows = [(key, a, b, kind, text[a:b]) for key, text, spans in zip(keys, texts, found) for a, b, kind in spans]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

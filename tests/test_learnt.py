@@ -95,3 +95,39 @@ def test_learnt_vectors_of_odd_rows(spark):
     got = extract.extract_text_features(df, "id", "t", learnt=2).collect()
     assert len(got) == 5 and sorted(round(float(np.linalg.norm(r["vector"])), 6) for r in got) == [0, 0, 1, 1, 1]
     assert semantic.semantic_vectors(df.limit(0), "id", "t", k=2).count() == 0
+
+
+def test_sentences_of_many_texts_at_once_equal_each_alone(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    labels = ["O", "B-P", "I-P", "B-Q", "I-Q"]
+    texts = [" ".join(rng.choice(["aa", "Bb", "c7", "12", ".", "!", "\n"], int(rng.integers(0, 40)))) for _ in range(60)]
+    for lead in (0, 2, 6):  # of O: no sentence, some, nearly all have the best path O throughout
+        weights = rng.normal(size=(tagger.BINS, len(labels)))
+        weights[:, 0] += lead / 4
+        model = tagger.Tagger(labels, weights, rng.normal(size=(len(labels), len(labels))))
+        alone = []
+        for text in texts:
+            alone.append([])
+            for s in tagger.tokens_of(text):
+                best = tagger.viterbi([weights[tagger.features([w for w, _, _ in s])].sum(axis=1)], model.transitions)[0]
+                alone[-1] += tagger._spans(s, [labels[i] for i in best])
+        assert model.spans_of(texts) == alone == [model.spans(t) for t in texts]
+        monkeypatch.setattr(tagger, "WORDS_AT_ONCE", 7)
+        monkeypatch.setattr(tagger, "MEMO_WORDS", 3)
+        assert model.spans_of(texts) == alone
+        monkeypatch.undo()
+
+
+def test_products_of_tiles_equal_dense(monkeypatch):
+    import pyarrow as pa
+
+    rows = [semantic.sparse_row(t, 64) for t in ("a b c a", "", "b", "c d e f g", None, "é a")]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows]) for i in (0, 1)], names=["at", "value"])
+    dense = np.zeros((len(rows), 64))
+    for i, (at, value) in enumerate(rows):
+        dense[i, at] = value
+    table = np.random.default_rng(3).normal(size=(64, 5))
+    monkeypatch.setattr(semantic, "TILE_ROWS", 4)
+    total = np.ones((64, 5))
+    semantic._add_back(total, batch, table)
+    assert np.allclose(total, 1 + dense.T @ dense @ table) and np.allclose(semantic._product(batch, table), dense @ table)
