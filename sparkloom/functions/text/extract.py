@@ -61,7 +61,9 @@ def text_feature_summary(df: DataFrame, text_col: str, extraction_type: str, sta
     elapsed = None if started is None else time.time() - started
     n_rows = n_columns = n_topics = F.lit(None)
     if features is not None and kind == "SEMANTIC_VECTORS":
-        n_rows, n_columns = features.agg(F.count(F.lit(1))).scalar(), features.agg(F.max(F.size("vector"))).scalar()
+        # one subquery for both, so the vectors are made once
+        shape = features.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.max(F.size("vector")).alias("columns"))).scalar()
+        n_rows, n_columns = shape["rows"], shape["columns"]
     if features is not None and kind == "TOPICS":
         n_topics = features.agg(F.count_distinct("topic_id")).scalar()
     return df.agg(

@@ -41,3 +41,28 @@ def test_sample_is_deterministic_and_in_range(spark):
         p = m["style_params"]
         assert 0.5 <= p["strength"] < 1.0 and 0.1 <= p["noise"] < 0.5 and 0.8 <= p["contrast"] < 1.2
         assert len(m["tags"]) == 3 and len(set(m["tags"])) == 3 and set(m["tags"]) <= set(sample.TAGS)
+
+
+def test_summary_makes_the_vectors_once(spark):
+    df = spark.createDataFrame([(i, "aa bb") for i in range(20)], "id long, t string")
+    made = spark.sparkContext.accumulator(0)
+
+    def vectors(batches):
+        for batch in batches:
+            made.add(len(batch))
+            batch["vector"] = [[0.0, 1.0]] * len(batch)
+            yield batch[["id", "vector"]]
+
+    s = text_feature_summary(df, "t", "SEMANTIC_VECTORS", features=df.mapInPandas(vectors, "id long, vector array<double>")).first()
+    assert (s["shape_rows"], s["shape_columns"], made.value) == (20, 2, 20)
+
+
+def test_hashed_vectors_exchange_no_row(spark):
+    from sparkloom.functions.text import vectors
+
+    df = spark.createDataFrame([(1, "Aa aa b"), (1, "c"), (None, None), (None, "b 1 É")], "id long, t string")
+    long = vectors.hashed_tfidf(df, "id", "t", 8)
+    assert "Exchange" not in long._jdf.queryExecution().executedPlan().toString()
+    dense = vectors.dense_tfidf(df, "id", "t", 8).collect()
+    assert sorted((r["id"] or 0) for r in dense) == [0, 1, 1] and all(abs(sum(x * x for x in r["vector"]) - 1) < 1e-9 for r in dense)
+    assert vectors.dense_tfidf(df.limit(0), "id", "t", 8).count() == 0
