@@ -82,6 +82,29 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return labels
 
 
+BIT_BLOCK = 32768  # bits of a row of Spark's bitmaps
+MARKED_BITS = 1 << 26  # at most, 8 MB
+
+
+def marked(df: DataFrame, column: str, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` with a boolean ``name``: false only where ``column`` is no ``key`` of ``keys``, and true for about a sixteenth of the others.
+
+    A hash of the key is looked up in a broadcast bitmap of 16 bits a key, up to ``MARKED_BITS`` (beyond, more others are true), so rows that
+    have no partner need not be shuffled; the join that follows decides.  ``keys`` is read twice.
+    """
+    blocks = min(max(-(-16 * keys.count() // BIT_BLOCK), 1), MARKED_BITS // BIT_BLOCK)
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks * BIT_BLOCK))
+    block, bits = free_name(df, "bit_block"), free_name(df, "bits")
+    at = keys.where(F.col(key).isNotNull()).select(F.floor(place(F.col(key)) / BIT_BLOCK).cast("int").alias(block), F.pmod(place(F.col(key)), F.lit(BIT_BLOCK)).alias("bit"))
+    table = at.repartition(block).groupBy(block).agg(F.bitmap_construct_agg("bit").alias(bits))
+    of_row = place(F.col(f"`{column}`"))
+    joined = df.withColumn(block, F.floor(of_row / BIT_BLOCK).cast("int")).join(F.broadcast(table), block, "left")
+    bit = F.pmod(of_row, F.lit(BIT_BLOCK)).cast("int")
+    octet = F.conv(F.hex(F.substring(bits, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = octet.bitwiseAND(F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), F.pmod(bit, F.lit(8)) + 1)) != 0
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce(hit & F.col(f"`{column}`").isNotNull(), F.lit(False)).alias(name))
+
+
 def crc_of(column: str, modulus: int) -> Column:
     """crc32 of a column as text, modulo ``modulus`` (null: null)."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))

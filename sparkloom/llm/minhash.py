@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_schema, components, free_name, staged
+from sparkloom.llm.common import arrow_schema, components, free_name, marked, staged
 from sparkloom.llm.shingles import mix, shingle_set
 
 BANDS, ROWS = 32, 6
@@ -170,7 +170,9 @@ def near_duplicates(
     classes = staged(found.groupBy("content").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
     keyed = classes.select("rep", F.explode("keys").alias("key"))
     leads = keyed.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("members")).where("members > 1").select("key", "lead")
-    coarse = components(keyed.join(leads, "key").where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")), "coarse")
+    leads = staged(leads, "leads")
+    shared = marked(keyed, "key", leads, "key", "shared").where("shared").drop("shared")
+    coarse = components(shared.join(leads, "key").where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")), "coarse")
 
     members = coarse.join(classes.select(F.col("rep").alias("id"), "n"), "id")
     sizes = members.groupBy(F.col("label").alias("cluster")).agg(F.sum("n").alias("total"))
@@ -189,7 +191,8 @@ def near_duplicates(
     set_schema = f"id {of_id}, cluster {of_id}, blocks int, block int, pack long, shingles array<long>"
     arrow_sets = arrow_schema(set_schema)
     # an id that repeats brings each of its different texts once
-    known = rows_in.where("id is not null")
+    # most texts are in no cluster, and stay where they are
+    known = marked(rows_in, "id", coarse, "id", "close").where("close").drop("close")
     repeated = staged(found.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id"), "repeated")
     single = known.join(dealt.join(repeated, "id", "left_anti"), "id")
     several = dealt.join(repeated, "id", "left_semi")
@@ -265,7 +268,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     best = members.groupBy(group).agg(F.min_by(F.struct(row, copies), row).alias("best"), F.sum(copies).alias("rows")).where("rows > 1")
     best = best.select(group, F.col(f"best.{row}").alias(row), F.col(f"best.{copies}").alias(copies))
     verdict = staged(groups.join(best, group).select(key, row, copies), "verdicts")
-    rows = keyed.join(verdict, key, "left")
+    # a row that is in no group passes where it is; verdicts grow with the input, so the others meet them in a shuffle at every size
+    may = free_name(docs, "may_be_grouped")
+    looked_up = marked(keyed, key, verdict, key, may)
+    rows = looked_up.where(may).drop(may).join(verdict.hint("merge"), key, "left")
+    passed = looked_up.where(~F.col(may)).drop(may)
     alone = rows.where(F.col(row).isNull() | ((F.col(row) == of_row) & (F.col(copies) == 1)))
     several = rows.where((F.col(row) == of_row) & (F.col(copies) > 1)).dropDuplicates([row])
-    return alone.select(*(f"`{c}`" for c in docs.columns)).unionAll(several.select(*(f"`{c}`" for c in docs.columns)))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return passed.select(*own).unionAll(alone.select(*own)).unionAll(several.select(*(f"`{c}`" for c in docs.columns)))

@@ -644,3 +644,25 @@ def test_differencing_equals_plain_karmarkar_karp():
         for w, p in zip(weights, places):
             back[p[0]] += w
         assert sorted(back) == sorted(sums) == list(parts[0])
+
+
+def test_marked_rows_are_all_that_have_a_partner_and_few_others(spark):
+    from sparkloom.llm.common import marked
+
+    df = spark.range(20000).select(F.when(F.col("id") % 1000 != 7, F.col("id").cast("string")).alias("bits"), F.col("id").alias("n"))
+    keys = df.where("n % 4 = 0").select(F.col("bits").alias("k")).union(spark.createDataFrame([(None,)], "k string"))
+    got = marked(df, "bits", keys, "k", "m").collect()
+    assert len(got) == 20000 and all(r["m"] for r in got if r["n"] % 4 == 0)
+    assert not any(r["m"] for r in got if r["bits"] is None) and sum(r["m"] for r in got) < 5000 + 0.15 * 15000
+    assert marked(df, "bits", keys.limit(0), "k", "m").where("m").count() == 0
+
+
+def test_rows_in_no_group_are_not_shuffled(spark):
+    from sparkloom.llm import minhash
+
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(f"{w}x{i}" for w in words)) for i in range(6)] + [(9, " ".join(words)), (8, " ".join([*words, "end"])), (None, None), (None, "")]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), percent=80)
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in kept.collect()) == [-1, -1, 0, 1, 2, 3, 4, 5, 8]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("may_be_grouped") >= 3  # the rows that pass, and the others, are told apart before the join
