@@ -82,6 +82,39 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return labels
 
 
+BATCH_BYTES = 4 << 20  # of an Arrow batch of whole texts
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` (or one row) in this session from now on; a smaller bound that the user has set stays.
+
+    Spark's own bound is 10,000 rows or 64 MB: a task's whole input as one batch, which the JVM holds outside its heap while
+    buffers double, and the Python worker holds as Arrow and as strings.  Tasks are planned when the result is written, so
+    the bound is the session's.  No row depends on the batch it is in.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    jvm = spark.sparkContext._jvm
+    now = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+_held: dict[str, object] = {}
+
+
+def held(token: str, make: Callable[[], object]):
+    """What ``make`` returns, kept by a Python worker under ``token``; one thing at a time."""
+    if token not in _held:
+        _held.clear()
+        _held[token] = make()
+    return _held[token]
+
+
+def let_go() -> None:
+    """Free what ``held`` keeps: workers outlive a stage and serve the next one, which has no use for it."""
+    _held.clear()
+
+
 BIT_BLOCK = 32768  # bits of a row of Spark's bitmaps
 MARKED_BITS = 1 << 26  # at most, 8 MB
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_rows, arrow_schema, free_name, staged
+from sparkloom.llm.common import arrow_rows, arrow_schema, bounded_batches, free_name, held, staged
 
 CHARS_PER_EDIT = 20
 BLOCK_CHARS = 8_000_000
@@ -116,18 +116,13 @@ class Matcher:
         return sorted(set(out))
 
 
-_built: dict[tuple, Matcher] = {}
-
-
 def _matched(items, token: str, schema: pa.Schema):
     def run(rows: list[dict]) -> list[dict]:
-        if token not in _built:
-            _built.clear()  # a worker holds one block's automaton
-            _built[token] = Matcher(items.value)
+        matcher = held(token, lambda: Matcher(items.value))  # a worker holds one block's automaton
         return [
             {"id": r["id"], "item_id": i, "match_start": a, "match_end": b, "distance": d}
             for r in rows
-            for i, a, b, d in _built[token].matches(normalised(r["text"]))
+            for i, a, b, d in matcher.matches(normalised(r["text"]))
         ]
 
     return arrow_rows(run, schema)
@@ -187,6 +182,7 @@ def benchmark_matches(
     ``CHARS_PER_EDIT`` characters must occur exactly.  Other columns aren't read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     of_id, of_item = (d.schema[c].dataType.simpleString() for d, c in ((docs, id_col), (benchmark, item_col)))
     ddl = f"id {of_id}, item_id {of_item}, match_start long, match_end long, distance int"
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text <> ''")
@@ -205,6 +201,7 @@ def without_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     The decision is made in the documents' own pass, so nothing is shuffled.
     """
     spark, leak = docs.sparkSession, free_name(docs, "leak")
+    bounded_batches(spark)
     out = docs.withColumn(leak, F.lit(False))
     for items in item_blocks(benchmark, None, "text"):
         shared = spark.sparkContext.broadcast(items)
@@ -216,12 +213,10 @@ def without_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 def _flagged(items, token: str, text_col: str):
     def run(batches):
         for batch in batches:
-            if token not in _built:
-                _built.clear()
-                _built[token] = Matcher(items.value)
+            matcher = held(token, lambda: Matcher(items.value))
             *rest, leak = batch.columns
             texts = batch.column(batch.schema.get_field_index(text_col))
-            found = [old or bool(_built[token].matches(normalised(t.as_py()))) for t, old in zip(texts, leak.to_pylist())]
+            found = [old or bool(matcher.matches(normalised(t.as_py()))) for t, old in zip(texts, leak.to_pylist())]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(found, pa.bool_())], names=batch.schema.names)
 
     return run

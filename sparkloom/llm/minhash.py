@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_schema, components, free_name, marked, staged
+from sparkloom.llm.common import arrow_schema, bounded_batches, components, free_name, let_go, marked, staged
 from sparkloom.llm.shingles import mix, shingle_set
 
 BANDS, ROWS = 32, 6
@@ -68,6 +68,7 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _sketched(schema: pa.Schema, words: int, bands: int, rows: int):
     def run(batches):
+        let_go()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             at = 0
@@ -160,6 +161,7 @@ def near_duplicates(
     similarity s is a candidate with probability 1 - (1 - s^rows)^bands
     (0.9999997 at 0.85).  Other columns aren't read.
     """
+    bounded_batches(docs.sparkSession)
     of_id = docs.schema[id_col].dataType.simpleString()
     rows_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"id {of_id}, n long, content binary, keys array<long>"

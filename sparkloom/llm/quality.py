@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from sparkloom.llm.common import free_name, staged
+from sparkloom.llm.common import bounded_batches, free_name, let_go, staged
 
 FEATURES = 256
 RIDGE = 1e-2
@@ -147,11 +147,13 @@ def _sums(rows: DataFrame, make) -> dict[int, np.ndarray]:
 
 @F.pandas_udf(ArrayType(DoubleType()))
 def statistics_of(texts: pd.Series) -> pd.Series:
+    let_go()
     return texts.map(statistics)
 
 
 def described(docs: DataFrame, text_col: str = "text", name: str = "statistics") -> DataFrame:
     """``docs`` with the statistics of every whole text (null: of the empty one) in a column ``name``; all columns stay."""
+    bounded_batches(docs.sparkSession)
     return docs.withColumn(name, statistics_of(F.col(f"`{text_col}`").cast("string")))
 
 

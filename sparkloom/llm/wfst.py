@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import arrow_schema
+from sparkloom.llm.common import arrow_schema, bounded_batches, held
 
 BLANK = "▁"
 NORMAL, UNKNOWN, USER, UNUSED, BYTE = 1, 2, 4, 5, 6
@@ -400,15 +400,9 @@ def decoded_text(raw: bytes) -> str:
     return raw.decode("utf-8", "replace").removeprefix(" ")
 
 
-_compiled: dict[str, Transducer] = {}
-
-
 def transducer(model, token: str) -> Transducer:
     """A worker's transducer for a broadcast model."""
-    if token not in _compiled:
-        _compiled.clear()  # a worker holds one
-        _compiled[token] = Transducer(model.value)
-    return _compiled[token]
+    return held(token, lambda: Transducer(model.value))
 
 
 def read_model(path: str) -> bytes:
@@ -447,6 +441,7 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     before; other columns aren't read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(read_model(model_path))
     token = f"{spark.sparkContext.applicationId}-{model._jbroadcast.id()}"
     ddl = f"id {docs.schema[id_col].dataType.simpleString()}, ids array<int>, n_ids long, round_trip boolean"

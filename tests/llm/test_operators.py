@@ -1,17 +1,21 @@
 """Each operator against a brute-force version, an exact round trip or held-out accuracy, and on odd input."""
 
+import gc
 import hashlib
 import itertools
 import random
+import weakref
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.llm import arcwarc, editmatch, langid, minhash, quality, queries, sharding, simple8b, surrogates, wfst, winnow
-from sparkloom.llm.common import components
+from sparkloom.llm.common import arrow_schema, components
 
 from odd_tables import no_docs, odd_docs  # noqa: F401
 
@@ -430,6 +434,52 @@ def test_token_files_equal_the_library(spark, odd_docs, no_docs):
     assert simple8b.token_ids(no_docs, path).count() == 0
 
 
+@pytest.mark.parametrize("operator", ["quality", "near_dedup", "decontaminate", "matches", "encode"])
+def test_batches_of_whole_texts_are_bounded(spark, no_docs, operator):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    items = spark.createDataFrame([(1, "a passage of the benchmark")], "item_id long, text string")
+    call = {
+        "quality": lambda: quality.described(no_docs),
+        "near_dedup": lambda: minhash.keep_one(no_docs),
+        "decontaminate": lambda: editmatch.without_matches(no_docs, items),
+        "matches": lambda: editmatch.benchmark_matches(no_docs, items),
+        "encode": lambda: wfst.encoded(no_docs, public_tokenizers.path("piece_bpe_32k.model")),
+    }[operator]
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    texts = spark.range(0, 400, 1, 1).select(F.expr("repeat('word ', 10000)").alias("text"))  # 20 MB in one task
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        call()
+        assert texts.mapInArrow(sizes, "size long").agg(F.max("size")).first()[0] <= 5 << 20
+        spark.conf.set(name, "1m")  # a smaller bound of the user stays
+        call()
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_worker_lets_go_of_what_another_stage_held(spark):
+    model = type("Model", (), {"value": wfst.read_model(public_tokenizers.path("piece_bpe_32k.model"))})
+    items = type("Items", (), {"value": [(1, "a passage of the benchmark")]})
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["a passage of the benchmark"], "leak": [False]})
+    later = {
+        "quality": lambda: quality.statistics_of.func(pd.Series(["a text"])),
+        "near_dedup": lambda: list(minhash._sketched(arrow_schema("id long, n long, content binary, keys array<long>"), 5, 32, 6)([batch])),
+        "decontaminate": lambda: list(editmatch._flagged(items, "items", "text")([batch])),
+    }
+    for stage, run in later.items():
+        kept = weakref.ref(wfst.transducer(model, "model"))
+        assert wfst.transducer(model, "model") is kept()
+        run()
+        gc.collect()
+        assert kept() is None, stage
+
+
 # 10 decontamination
 
 
