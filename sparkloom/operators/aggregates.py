@@ -24,10 +24,13 @@ AGGREGATE_FAMILIES: dict[str, tuple[str, ...]] = {
     "collect": ("collect_list", "collect_set", "array_agg", "listagg", "string_agg"),
     "pick": ("any_value", "first", "last", "first_value", "last_value"),
     "try": ("try_sum", "try_avg"),
-    # binary states; ``sketches`` merges and reads them
-    "sketch": ("hll_sketch_agg", "hll_union_agg", "theta_sketch_agg", "theta_union_agg", "kll_sketch_agg_double", "bitmap_construct_agg", "bitmap_or_agg"),
 }
 
+# Make and merge binary states, each from columns of some types alone; ``sketches`` merges and reads them.
+SKETCH_AGGREGATES = frozenset(
+    {"hll_sketch_agg", "hll_union_agg", "theta_sketch_agg", "theta_union_agg", "kll_sketch_agg_double", "bitmap_construct_agg", "bitmap_or_agg"}
+)
+
 ALLOWED_AGGREGATES: frozenset[str] = frozenset(n for names in AGGREGATE_FAMILIES.values() for n in names)
 
 # Aggregates whose buffer holds every input value of the group; they are only
@@ -47,7 +50,7 @@ def normalise_name(function: str) -> str:
 def aggregate_column(function: str, column: str, alias: str | None = None) -> Column:
     """Build ``function(column) AS alias`` from an allow-listed name."""
     name = normalise_name(function)
-    if name not in ALLOWED_AGGREGATES:
+    if name not in ALLOWED_AGGREGATES | SKETCH_AGGREGATES:
         raise ValidationError(f"Unsupported aggregate function: {function!r}")
     if column == "*":
         if name != "count":

@@ -81,6 +81,11 @@ def test_every_allowed_aggregate_resolves(spark):
         df.agg(aggregate_column(name, col, "x")).collect()
 
 
+def test_sketch_aggregates_take_states(spark):
+    states = spark.createDataFrame([(1,), (2,)], "i long").groupBy("i").agg(aggregate_column("bitmap_construct_agg", "i", "state"))
+    assert states.agg(aggregate_column("bitmap_or_agg", "state", "x")).first()["x"][0] == 0b110
+
+
 def test_group_keys_only_and_default_limit(lineitem):
     keys = dynamic_query(lineitem, group_by=["l_returnflag", "l_linestatus"], limit=0)
     assert keys.count() == lineitem.select("l_returnflag", "l_linestatus").distinct().count()
