@@ -6,22 +6,28 @@ each topic with their weights, in long form.
 
 Scale.  Vocabularies of real texts grow with them, so neither the terms nor the
 topics-by-terms matrix is whole anywhere.  Documents are packed into blocks of about
-``BLOCK_TOKENS`` tokens, terms dealt into buckets by hash.  A round is two
+``BLOCK_TOKENS`` tokens, terms dealt into buckets by ranges of their hash.  A round is two
 exchanges: a block gets its terms' weights and learns its documents' topics (E step),
 a bucket gets its blocks' shares and makes the next weights (M step).  An exchange
 moves a block's distinct terms, not its tokens; the driver sees a few numbers a topic.
+
+Disk.  A block's terms stand in the order of their hashes, so a bucket's are a stretch of
+them, whatever the number of buckets, and places are rising numbers, stored as
+compressed differences.  A round leaves one row a bucket and one a block; what it
+exchanged is deleted with its job (``session.lean_jobs``), not when the driver collects garbage.
 ``fit_topics`` gives models of ``pyspark.ml``, which keep all terms on the driver:
 for bounded vocabularies.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
@@ -29,7 +35,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import prompts
 from sparkloom.functions.text.tokens import require_text_column, token_array
-from sparkloom.session import staging_path
+from sparkloom.session import staging_path, lean_jobs
 
 MIN_TOKEN, MAX_TOKEN = 2, 15
 BLOCK_TOKENS = 1 << 21
@@ -92,9 +98,35 @@ def _trigamma(x: np.ndarray) -> np.ndarray:
     return low + 1 / x + f / 2 + f / x * (1 / 6 - f * (1 / 30 - f * (1 / 42 - f / 30)))
 
 
+def _hashes(terms) -> np.ndarray:
+    return pd.util.hash_array(np.array(terms, dtype=object), categorize=False)
+
+
+def _places(terms: pa.Array) -> np.ndarray:
+    """Each term's place in the order of hashes, and of terms where hashes are equal."""
+    order = pc.sort_indices(pa.table({"hash": _hashes(terms), "term": terms}), sort_keys=[("hash", "ascending"), ("term", "ascending")])
+    places = np.empty(len(terms), np.int32)
+    places[order.to_numpy()] = np.arange(len(terms), dtype=np.int32)
+    return places
+
+
+def _bytes(numbers: np.ndarray) -> bytes:
+    """Whole numbers, compressed: bytes of one significance together."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
+def _rising(raw: bytes) -> np.ndarray:
+    """The numbers whose differences are in ``raw``."""
+    return np.cumsum(_numbers(raw), dtype=np.int32)
+
+
 def first_weights(terms: list[str], k: int, seed: int) -> np.ndarray:
     """Terms x k, about Gamma(100, 1/100), from the term and the seed alone: Wilson and Hilferty's cube of a normal."""
-    key = pd.util.hash_array(np.array(terms, dtype=object), categorize=False)[:, None] + np.arange(2 * k, dtype=np.uint64)
+    key = _hashes(terms)[:, None] + np.arange(2 * k, dtype=np.uint64)
     with np.errstate(over="ignore"):
         key = key + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
@@ -105,17 +137,19 @@ def first_weights(terms: list[str], k: int, seed: int) -> np.ndarray:
 
 
 def _blocks(words: DataFrame) -> DataFrame:
-    """``(block, terms, size, code, count)``: documents with words, packed; the distinct terms, then each document's number of distinct terms, their places in ``terms`` and counts."""
+    """``(block, docs, terms, size, code, count)``: documents with words, packed; their number, the distinct terms in the order of ``_places``, then each document's number of distinct terms, their places in ``terms`` (differences) and counts, see ``_bytes``."""
 
     def packed(block: int, docs: list[pa.Array]) -> pa.RecordBatch:
         lengths = np.concatenate([d.value_lengths().to_numpy(zero_copy_only=False) for d in docs])
         flat = pa.concat_arrays([d.flatten() for d in docs]).dictionary_encode()
-        width = max(len(flat.dictionary), 1)
-        pairs, count = np.unique(np.repeat(np.arange(len(lengths)), lengths) * width + flat.indices.to_numpy(), return_counts=True)
-        sizes = np.bincount(pairs // width, minlength=len(lengths))
-        columns = [sizes.astype(np.int32), (pairs % width).astype(np.int32), count.astype(np.int32)]
-        arrays = [pa.array([block]), pa.array([flat.dictionary.to_pylist()], pa.list_(pa.string()))] + [pa.array([c.tobytes()], pa.binary()) for c in columns]
-        return pa.RecordBatch.from_arrays(arrays, names=["block", "terms", "size", "code", "count"])
+        terms = flat.dictionary
+        places = _places(terms)
+        pairs, count = np.unique(np.repeat(np.arange(len(lengths)), lengths) * len(terms) + places[flat.indices.to_numpy()], return_counts=True)
+        sizes = np.bincount(pairs // len(terms), minlength=len(lengths))
+        columns = [_bytes(c) for c in (sizes, np.diff(pairs % len(terms), prepend=0), count)]
+        sorted_terms = terms.take(pa.array(np.argsort(places)))
+        arrays = [pa.array([block]), pa.array([len(sizes)]), pa.ListArray.from_arrays([0, len(terms)], sorted_terms)] + [pa.array([c], pa.binary()) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=["block", "docs", "terms", "size", "code", "count"])
 
     def run(batches):
         from pyspark import TaskContext
@@ -137,12 +171,13 @@ def _blocks(words: DataFrame) -> DataFrame:
         if docs:
             yield packed(block, docs)
 
-    return words.where(F.size("words") > 0).select("words").mapInArrow(run, "block long, terms array<string>, size binary, code binary, count binary")
+    return words.where(F.size("words") > 0).select("words").mapInArrow(run, "block long, docs long, terms array<string>, size binary, code binary, count binary")
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with lean_jobs(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -214,86 +249,91 @@ def learn(df: DataFrame, id_col: str, text_col: str, k: int = 5, max_iter: int =
     spark = df.sparkSession
     tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = _staged(_blocks(preprocess(df, id_col, text_col)), "topics-blocks")
-    seen = packed.agg(F.count(F.lit(1)), F.sum(F.size("terms")), F.sum(F.length("size") / 4)).first()
-    buckets, docs = max(1, -(-(seen[1] or 0) // BUCKET_TERMS)), int(seen[2] or 0)
+    seen = packed.agg(F.count(F.lit(1)), F.sum(F.size("terms")), F.sum("docs")).first()
+    buckets, docs = max(1, -(-(seen[1] or 0) // BUCKET_TERMS)), seen[2] or 0
     by_block, by_bucket = (min(max(tasks, n), 3 * n) for n in (max(1, seen[0]), buckets))
 
-    # terms are numbered within their bucket, once; a link says where a block's terms stand in the bucket and in the block
-    def numbered(rows: pd.DataFrame) -> pd.DataFrame:
-        pos, terms = pd.factorize(rows["term"], sort=True)
-        bucket = int(rows["bucket"].iloc[0])
-        rows = rows.assign(pos=pos.astype(np.int32)).sort_values(["block", "pos"])
-        out = [(b, r["pos"].to_numpy(np.int32).tobytes(), r["at"].to_numpy(np.int32).tobytes(), None) for b, r in rows.groupby("block")]
-        out = pd.DataFrame([*out, (None, None, None, list(terms))], columns=["block", "pos", "at", "terms"])
-        return out.assign(block=out["block"].astype("Int64"), bucket=bucket)[["bucket", "block", "pos", "at", "terms"]]
-
-    bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("long").alias("bucket")
-    entries = packed.select("block", F.posexplode("terms").alias("at", "term")).select("block", "at", "term", bucket).repartition(by_bucket, "bucket")
-    links = _staged(entries.groupBy("bucket").applyInPandas(numbered, "bucket long, block long, pos binary, at binary, terms array<string>"), "topics-links")
+    def stretches(batches):
+        for batch in batches:
+            for block, own in zip(batch.column("block"), batch.column("terms")):
+                of = (_hashes(own.values) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                bucket, first = np.unique(of, return_index=True)
+                lists = pa.ListArray.from_arrays([*first.tolist(), len(of)], own.values)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int64)), pa.array([block.as_py()] * len(bucket)), lists], names=["bucket", "block", "terms"])
+
+    # terms are numbered within their bucket, once; a link says where a block's terms stand in the bucket
+    def numbered(rows: pa.Table) -> pa.Table:
+        lists = pa.concat_arrays(rows["terms"].chunks)
+        flat = lists.flatten().dictionary_encode()
+        places = _places(flat.dictionary)
+        pos, ends = places[flat.indices.to_numpy()], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+        links = [_bytes(np.diff(p, prepend=0)) for p in np.split(pos, ends[:-1])]
+        names = pa.ListArray.from_arrays([0] * len(links) + [0, len(places)], flat.dictionary.take(pa.array(np.argsort(places))), mask=pa.array([True] * len(links) + [False]))
+        arrays = [pa.array(rows["bucket"].to_pylist()[:1] * len(names)), pa.array([*rows["block"].to_pylist(), None], pa.int64()), pa.array([*links, None], pa.binary()), names]
+        return pa.Table.from_arrays(arrays, names=["bucket", "block", "pos", "terms"])
+
+    parts = packed.select("block", "terms").mapInArrow(stretches, "bucket long, block long, terms array<string>").repartition(by_bucket, "bucket")
+    links = _staged(parts.groupBy("bucket").applyInArrow(numbered, "bucket long, block long, pos binary, terms array<string>"), "topics-links")
     names = links.where("block is null").select("bucket", "terms")
+    blocks = _staged(packed.select("block", "size", "code", "count"), "topics-documents")
+    _dropped(packed)
 
-    # a block's terms in the order of buckets, and of places in a bucket
-    def ordered(block: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        at = np.frombuffer(b"".join(own.sort_values("bucket")["at"]), np.int32)
-        place = np.empty(len(at), np.int32)
-        place[at] = np.arange(len(at), dtype=np.int32)
-        code = place[np.frombuffer(block["code"].iloc[0], np.int32)]
-        return block[["block", "size", "count"]].assign(code=[code.tobytes()])[["block", "size", "code", "count"]]
-
-    parts = [packed.select("block", "size", "code", "count"), links.where("block is not null").select("block", "bucket", "at")]
-    parts = [p.repartition(by_block, "block").groupBy("block") for p in parts]
-    blocks = _staged(parts[0].cogroup(parts[1]).applyInPandas(ordered, "block long, size binary, code binary, count binary"), "topics-documents")
-
-    dealt = blocks.repartition(by_block, "block").persist(StorageLevel.DISK_ONLY)  # documents are dealt once, not in each round
-
-    def state(bucket: int, weights: np.ndarray, own: pd.DataFrame) -> pd.DataFrame:
-        """A bucket's row, and one for each of its blocks with the weights of that block's terms."""
-        rows = [(bucket, None, None, weights.tobytes(), weights.sum(axis=0))]
-        short = weights.astype(np.float32)
-        rows += [(bucket, b, p, short[np.frombuffer(p, np.int32)].tobytes(), None) for b, p in zip(own["block"], own["pos"])]
-        out = pd.DataFrame(rows, columns=["bucket", "block", "pos", "weights", "total"])
+    def state(bucket: int, weights: np.ndarray) -> pd.DataFrame:
+        out = pd.DataFrame([(bucket, None, None, weights.tobytes(), weights.sum(axis=0))], columns=["bucket", "block", "pos", "weights", "total"])
         return out.assign(block=out["block"].astype("Int64"))
 
-    def started(own: pd.DataFrame) -> pd.DataFrame:
-        whole = own["block"].isna()
-        return state(int(own["bucket"].iloc[0]), first_weights(list(own["terms"][whole].iloc[0]), k, seed), own[~whole].astype({"block": "int64"}))
+    def started(batches):
+        for rows in batches:
+            for bucket, terms in zip(rows["bucket"], rows["terms"]):
+                yield state(int(bucket), first_weights(list(terms), k, seed))
 
-    now = _staged(links.select("bucket", "block", "pos", "terms").repartition(by_bucket, "bucket").groupBy("bucket").applyInPandas(started, _STATE), "topics-weights")
+    now = _staged(names.mapInPandas(started, _STATE), "topics-weights")
     sums = [F.sum(F.get("total", F.lit(j))) for j in range(k)]
     totals = lambda frame, which: np.array(frame.where(which).agg(*sums).first(), float)
     total, alpha = totals(now, "block is null"), np.full(k, 1.0 / k)
     for step in range(1, max_iter + 1 if docs else 1):
         rate = (TAU + step) ** -KAPPA
 
+        def give(old: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            """For each of a bucket's blocks the weights of that block's terms; a block's own state as it is."""
+            if not len(own):
+                return old.assign(total=None)
+            short = np.frombuffer(old["weights"].iloc[0], float).reshape(-1, k).astype(np.float32)
+            rows = [(b, n, p, short[_rising(p)].tobytes(), None) for b, n, p in zip(own["bucket"], own["block"], own["pos"])]
+            return pd.DataFrame(rows, columns=["bucket", "block", "pos", "weights", "total"])
+
         def expect(block: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             own = own.sort_values("bucket")
             before = [np.frombuffer(w, float).reshape(k, -1) for w in own["weights"][own["bucket"] < 0]]
             own = own[own["bucket"] >= 0]
             raw = [np.frombuffer(w, np.float32).reshape(-1, k) for w in own["weights"]]
             beta = np.exp(_digamma(np.concatenate(raw)) - _digamma(total))
-            stats, shares, gamma = _topics_of(*(np.frombuffer(block[c].iloc[0], np.int32) for c in ("size", "code", "count")), beta, alpha, *before)
+            size, code, count = _numbers(block["size"].iloc[0]), _rising(block["code"].iloc[0]), _numbers(block["count"].iloc[0])
+            stats, shares, gamma = _topics_of(size, code, count, beta, alpha, *before)
             stats = np.split((stats * beta).astype(np.float32), np.cumsum([len(r) for r in raw])[:-1])
             number = int(block["block"].iloc[0])
             rows = [(b, number, p, s.tobytes(), None) for b, p, s in zip(own["bucket"], own["pos"], stats)]
             return pd.DataFrame([*rows, (-1 - number, number, None, gamma.tobytes(), shares)], columns=["bucket", "block", "pos", "weights", "total"])
 
         def maximise(old: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-            if not len(old):  # a block's own state and its sums for the concentration
+            if own["bucket"].iloc[0] < 0:  # a block's own state and its sums for the concentration
                 return own
             own = own.sort_values("block")
             weights = np.frombuffer(old["weights"].iloc[0], float).reshape(-1, k)
             new = np.zeros_like(weights)
             for pos, stats in zip(own["pos"], own["weights"]):
-                new[np.frombuffer(pos, np.int32)] += np.frombuffer(stats, np.float32).reshape(-1, k)
-            return state(int(old["bucket"].iloc[0]), (1 - rate) * weights + rate * (new + 1.0 / k), own)
-
-        given = now.where("block is not null").select("block", "bucket", "pos", "weights").repartition(by_block, "block").groupBy("block")
-        found = dealt.groupBy("block").cogroup(given).applyInPandas(expect, _STATE)
-        old = now.where("block is null").select("bucket", "weights").repartition(by_bucket, "bucket").groupBy("bucket")
-        before, now = now, _staged(old.cogroup(found.repartition(by_bucket, "bucket").groupBy("bucket")).applyInPandas(maximise, _STATE), "topics-weights")
+                new[_rising(pos)] += np.frombuffer(stats, np.float32).reshape(-1, k)
+            return state(int(old["bucket"].iloc[0]), (1 - rate) * weights + rate * (new + 1.0 / k))
+
+        dealt = lambda frame, n, key: frame.repartition(n, key).groupBy(key)
+        own = links.where("block is not null").select("bucket", "block", "pos")
+        given = dealt(now, by_bucket, "bucket").cogroup(dealt(own, by_bucket, "bucket")).applyInPandas(give, _STATE)
+        given = given.select("block", "bucket", "pos", "weights")
+        found = dealt(blocks, by_block, "block").cogroup(dealt(given, by_block, "block")).applyInPandas(expect, _STATE)
+        old = now.where("block is null").select("bucket", "weights")
+        before, now = now, _staged(dealt(old, by_bucket, "bucket").cogroup(dealt(found, by_bucket, "bucket")).applyInPandas(maximise, _STATE), "topics-weights")
         _dropped(before)
         total, alpha = totals(now, "block is null"), _concentration(alpha, totals(now, "bucket < 0") / docs, docs, rate)
-    dealt.unpersist()
     return Topics(names, now.where("block is null").select("bucket", "weights"), total, alpha)
 
 
@@ -312,8 +352,9 @@ def describe_topics(df: DataFrame, id_col: str, text_col: str, k: int = 5, terms
     totals = model.totals
 
     def top(names: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
-        share = np.frombuffer(weights["weights"].iloc[0], float).reshape(-1, k) / totals
-        own = names["terms"].iloc[0]
+        order = np.argsort(names["terms"].iloc[0])  # of equal weights the first terms
+        share = (np.frombuffer(weights["weights"].iloc[0], float).reshape(-1, k) / totals)[order]
+        own = names["terms"].iloc[0][order]
         best = np.argsort(-share, axis=0, kind="stable")[:terms]
         return pd.DataFrame([(j, own[i], share[i, j]) for j in range(k) for i in best[:, j]], columns=["topic_id", "term", "weight"])
 

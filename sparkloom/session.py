@@ -8,6 +8,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,26 @@ def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint directory for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/sparkloom-staging/{label}-{uuid.uuid4().hex}"
+
+
+BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def lean_jobs(spark: SparkSession) -> Iterator[None]:
+    """Writes in here delete what they shuffled as soon as they end, and give Python workers Arrow batches of at most ``BATCH_BYTES`` (or one row).
+
+    Otherwise Spark deletes shuffles when the driver collects the plan as garbage, so a loop of jobs fills the disk before;
+    and a batch may have 64 MB.  A smaller bound that the user has set stays.
+    """
+    clean, bound = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = {key: spark.conf.get(key, None) for key in (clean, bound)}
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(bound))
+    spark.conf.set(clean, "true")
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(bound, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -279,3 +279,38 @@ def test_topics_of_any_blocks_and_buckets(spark, monkeypatch):
 def test_topics_without_terms(spark):
     df = spark.createDataFrame([(1, None), (2, "")], "doc_id int, text string")
     assert topics.describe_topics(df, "doc_id", "text", k=2, max_iter=2).collect() == []
+
+
+def test_topics_leave_no_shuffles_behind(spark):
+    import glob
+    import time
+
+    from sparkloom.session import ensure_checkpoint_dir
+
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in row) for row in rng.integers(0, 26, (20_000, 6))]
+    df = spark.createDataFrame([(i, " ".join(words[w] for w in rng.integers(0, len(words), 300))) for i in range(200)], "doc_id int, text string").repartition(4).cache()
+    df.count()
+    manager, staged = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/sparkloom-staging"
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {files.apply(i).getPath(): files.apply(i).length() for i in range(files.length()) if files.apply(i).getName().startswith("shuffle")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept, dirs, setting = shuffled(), set(glob.glob(f"{staged}/*")), spark.conf.get(key)
+    model = topics.learn(df, "doc_id", "text", k=2, max_iter=4)
+    for _ in range(20):
+        left = sum(n for f, n in shuffled().items() if f not in kept)
+        if left < 100_000:
+            break
+        time.sleep(0.5)
+    assert left < 100_000  # a round exchanges some 40,000 terms of blocks, 8 bytes each, both ways
+    # the documents, packed, and the last round's weights are all that is staged; a term takes 16 bytes there
+    new = sorted(d.rsplit("/", 1)[1].rsplit("-", 1)[0] for d in set(glob.glob(f"{staged}/*")) - dirs if glob.glob(f"{d}/*"))
+    assert new == ["topics-documents", "topics-links", "topics-weights"] and model.weights.count() >= 1
+    assert spark.conf.get(key) == setting and not spark.sparkContext._jsc.getPersistentRDDs().size() > 1
+    df.unpersist()
+    rising = np.array([0, 3, 4, 70_000, 2, 2_000_000_000])
+    assert topics._rising(topics._bytes(np.diff(rising, prepend=0))).tolist() == rising.tolist() and len(topics._numbers(topics._bytes(rising[:0]))) == 0
+    assert len(topics._bytes(np.diff(np.arange(0, 300_000, 3), prepend=0))) < 2_000
