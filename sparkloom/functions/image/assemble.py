@@ -95,7 +95,8 @@ def _analyze_rasters(rasters: DataFrame, chosen: list[str], ids: DataFrame | Non
         found = raster.detect_objects(rasters, detector or raster.bright_regions, channels)
         entry = F.struct(*[c for c in found.columns if c != "image_id"])
         parts.append(found.groupBy("image_id").agg(F.sort_array(F.collect_list(entry)).alias("objects")))
-    return _with_defaults(out, parts)
+    # Spark takes what a worker makes of an id to be as small as the id, and would broadcast it
+    return _with_defaults(out, [p.hint("merge") for p in parts])
 
 
 def _with_defaults(out: DataFrame, parts: list[DataFrame]) -> DataFrame:

@@ -439,19 +439,25 @@ def _grid(height: int, width: int) -> np.ndarray:
     return np.mgrid[:height, :width].astype(np.int64)
 
 
-def synthetic(ids: DataFrame, id_col: str, width: int | None = None, height: int = 12) -> DataFrame:
-    """The fixture of ``pixels.synthetic_raster`` as rasters: width ``16 + id % 4`` unless given."""
-    schema = pa.schema([("image_id", pa.int64()), ("width", pa.int32()), ("height", pa.int32()), ("rgb", pa.binary())])
+def synthetic(ids: DataFrame, id_col: str, width: int | None = None, height: int = 12, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The fixture of ``pixels.synthetic_raster`` as rasters, with the columns ``keep``: width ``16 + id % 4`` unless given."""
+    kept = ids.select(F.col(id_col).cast("bigint").alias("image_id"), *keep)
+    schema = StructType([*StructType.fromDDL("image_id bigint, width int, height int, rgb binary").fields, *kept.schema.fields[1:]])
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = []
-                for i in batch.column(0).slice(at, 256).to_pylist():
-                    w = width or 16 + i % 4
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                numbers = some.column(0).to_numpy()
+                widths = np.full(len(numbers), width) if width else 16 + numbers % 4
+                for w in np.unique(widths).tolist():
+                    which = np.flatnonzero(widths == w)
+                    own, i = some.take(pa.array(which)), numbers[which][:, None, None]
                     y, x = _grid(height, w)
-                    v = np.stack([(x * x * 7 + y * 13 * x + i * 31) % 256, (x * 5 + y * y * 3 + i * 17) % 256, (x * y * 11 + i * 7) % 256], axis=2)
-                    rows.append((i, w, height, v.astype(np.uint8).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                    v = np.stack([(x * x * 7 + y * 13 * x + i * 31) % 256, (x * 5 + y * y * 3 + i * 17) % 256, (x * y * 11 + i * 7) % 256], axis=3)
+                    rgb = [image.tobytes() for image in v.astype(np.uint8)]
+                    columns = [own.column(0), pa.array([w] * len(which)), pa.array([height] * len(which)), pa.array(rgb, pa.binary()), *own.columns[1:]]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return dealt(ids.select(F.col(id_col).cast("bigint").alias("image_id"))).mapInArrow(run, "image_id bigint, width int, height int, rgb binary")
+    return dealt(kept).mapInArrow(run, schema)

@@ -657,9 +657,12 @@ def q_image_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
 def q_image_bytes_default_on_error(spark: SparkSession, sf: str) -> DataFrame:
     # the PNG bytes of parts with p_size > 45 are cut short
     part = table(spark, sf, "part").select(F.col("p_partkey").cast("bigint").alias("image_id"), "p_size")
-    images = png.encoded(raster.synthetic(part, "image_id")).join(part, "image_id")
+    ids = part.select("image_id")
+    # a merge join: files of ids are small, so Spark would broadcast every row; and before there are images, whose size it doesn't know
+    sized = ids.join(part.hint("merge"), "image_id")
+    images = png.encoded(raster.synthetic(sized, "image_id", keep=("p_size",)), keep=("p_size",))
     cut = F.when(F.col("p_size") > 45, F.substring("image_data", 1, 40)).otherwise(F.col("image_data"))
-    f = assemble.analyze_images(png.rasters(images.withColumn("image_data", cut), "image_id"), ("COMPOSITION", "STYLE"))
+    f = assemble.analyze_images(png.rasters(images.withColumn("image_data", cut), "image_id"), ("COMPOSITION", "STYLE"), ids=ids)
     return f.select("image_id", _r("aspect_ratio"), "orientation", _r("edge_density"), _r("focal_x"), _r("brightness"))
 
 

@@ -229,3 +229,50 @@ def test_small_images_in_stacks_that_fit_a_cache(spark, monkeypatch):
     together = raster._palette(np.stack(list(images.values())), 5, 5)
     apart = [raster._palette(s, 5, 5) for _, s in stacks]
     assert all(np.array_equal(together[i], np.concatenate([a[i] for a in apart])) for i in (0, 1))
+
+
+def test_made_images_are_not_broadcast(spark, tmp_path):
+    from sparkloom.plans.registry import all_queries
+
+    rows = [(i, 40 + i % 10) for i in range(60)] + [(7, 50), (7, 3), (8, None), (None, 4)]  # ids and sizes
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    found = all_queries()["image_bytes_default_on_error"].fn(spark, str(tmp_path))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in found.collect()]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()  # nor when it ran
+    broken = {(i, 1.0, "unknown", 0.0, 0.5, 0.0) for i in range(60) if 40 + i % 10 > 45 and i not in (7, 8)} | {(None, 1.0, "unknown", 0.0, 0.5, 0.0)}
+    assert {r for r in got if r[2] == "unknown"} == broken
+    # each row's image meets each size of its id: 9 images of 7, 3 of them whole; 4 of 8, 2 of them whole
+    times = {i: sum(r[0] == i for r in got) for i in range(60)}
+    assert times == {i: 3 if i == 7 else 2 if i == 8 else 1 for i in range(60)}
+    ids = spark.createDataFrame([(i,) for i in range(60) if 40 + i % 10 <= 45 or i in (7, 8)], "image_id long")
+    whole = raster.measures(raster.synthetic(ids, "image_id")).select("image_id", *(F.round(c, 6).alias(c) if c != "orientation" else c for c in ("aspect_ratio", "orientation", "edge_density", "focal_x", "brightness")))
+    assert {r for r in got if r[2] != "unknown"} == {tuple(r) for r in whole.collect()}
+
+
+def test_stacked_png_equals_one_by_one(spark):
+    rng = np.random.default_rng(9)
+    shapes = [(4, 6)] * 20 + [(1, 1)] * 9 + [(7, 3)] * 2
+    images = [rng.integers(0, 256, (*s, 3), dtype=np.uint8) for s in shapes]
+    data = [png.encode(a) for a in images]
+    # any filter in any row, samples of every kind, one of the stack broken
+    raws = []
+    for colour, samples in ((0, 1), (2, 3), (4, 2), (6, 4)):
+        for n in range(12):
+            body = rng.integers(0, 256, (5, 1 + 3 * samples), dtype=np.uint8)
+            body[:, 0] = 9 if n == 5 else rng.integers(0, 5, 5)
+            head = struct.pack(">IIBBBBB", 3, 5, 8, colour, 0, 0, 0)
+            raws.append(png.SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(body.tobytes())) + chunk(b"IEND", b""))
+    for i, (image, raw) in enumerate(zip(png._decoded([png._opened(r) for r in raws]), raws)):
+        if i % 12 == 5:
+            assert image is None
+        else:
+            assert (image == png.decode(raw)).all()
+    assert png._decoded([None, png._opened(data[0])])[0] is None
+    df = spark.createDataFrame([(f"i{i}", a.shape[1], a.shape[0], bytearray(a.tobytes()), i) for i, a in enumerate(images)] + [("none", -1, -1, None, 99)],
+                               "image_id string, width int, height int, rgb binary, n int").coalesce(1)
+    made = {r["image_id"]: r for r in png.encoded(df, keep=("n",)).collect()}
+    assert len(made) == 32 and made["none"]["image_data"] is None and made["none"]["n"] == 99
+    assert all(bytes(made[f"i{i}"]["image_data"]) == d and made[f"i{i}"]["n"] == i for i, d in enumerate(data))
+    again = {r["image_id"]: r for r in png.rasters(png.encoded(df), "image_id").collect()}
+    assert again["none"]["width"] == -1 and all(bytes(again[f"i{i}"]["rgb"]) == a.tobytes() for i, a in enumerate(images))
